@@ -77,7 +77,7 @@ def date_literal_cjeu(text: Column) -> Column:
 
 def typed_date(raw: Column, *formats: str) -> Column:
     """Typed DATE of a verbatim literal; NULL when no format parses it."""
-    return F.coalesce(*[F.try_to_date(raw, F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(raw, f) for f in formats])
 
 
 def absolutise_url(href: Column, host: str) -> Column:

@@ -12,3 +12,108 @@ def completeness(pages: DataFrame, run_col: str = "run_id") -> DataFrame:
     return (pages.groupBy(run_col)
             .agg(F.sum("n_rows").alias("n_saved"), F.max("total").alias("api_total"))
             .withColumn("complete", F.col("n_saved") >= F.col("api_total")))
+
+
+# --- joins ---------------------------------------------------------------------
+
+def incremental_skip(requested: DataFrame, present: DataFrame, key: str,
+                     size_col: str = "size") -> tuple[DataFrame, DataFrame]:
+    """Ids still to fetch (not stored with size > 0) and ids skipped.
+
+    Both are shuffle joins on ``key``; the stored side is reduced to distinct
+    keys first (map-side partial aggregation), so a hot key ships one row."""
+    have = present.filter(F.col(size_col) > 0).select(key).distinct()
+    return (requested.join(have, key, "left_anti"),
+            requested.join(have, key, "left_semi"))
+
+
+def enrich(docs: DataFrame, meta: DataFrame, key: str) -> DataFrame:
+    """Non-blocking metadata enrichment — a document without metadata is kept."""
+    return docs.join(meta, key, "left")
+
+
+def overlay_details(hits: DataFrame, details: DataFrame, key: str = "url",
+                    override: tuple = ("full_text",), only_http: bool = True) -> DataFrame:
+    """``hit.update(details)`` — detail values override, a hit without
+    details is unchanged; only hits whose url starts with ``http`` are looked up."""
+    d = details.select(key, *[F.col(c).alias(f"_d_{c}") for c in override]) \
+        .withColumn("_d_hit", F.lit(True))
+    cond = hits[key].startswith("http") if only_http else F.lit(True)
+    out = hits.join(d, (hits[key] == d[key]) & cond, "left").drop(d[key])
+    for c in override:
+        if c in hits.columns:
+            out = out.withColumn(c, F.when(F.col("_d_hit"), F.col(f"_d_{c}")).otherwise(F.col(c)))
+        else:
+            out = out.withColumn(c, F.col(f"_d_{c}"))
+        out = out.drop(f"_d_{c}")
+    return out.drop("_d_hit")
+
+
+def first_success(variants: DataFrame, key: str, priority: str, ok: str = "ok") -> DataFrame:
+    """Per ``key``, the successful variant with the lowest priority.
+
+    ``min_by`` is a plain aggregate: partial aggregation runs map-side, so a
+    key with many variants never ships more than one row per partition."""
+    cols = [c for c in variants.columns if c not in (key,)]
+    packed = F.struct(*[F.col(c) for c in cols])
+    return (variants.filter(F.col(ok))
+            .groupBy(key).agg(F.min_by(packed, F.col(priority)).alias("_w"))
+            .select(key, "_w.*"))
+
+
+# --- aggregations ----------------------------------------------------------------
+
+def run_counters(rows: DataFrame, group_col: str, status_col: str = "status") -> DataFrame:
+    """A1: success / error / skipped / total per source; failed when errors > 0."""
+    s = F.col(status_col)
+    return (rows.groupBy(group_col).agg(
+        F.count_if(s == "success").alias("success"),
+        F.count_if(s == "error").alias("error"),
+        F.count_if(s == "skipped").alias("skipped"),
+        F.count("*").alias("total"))
+        .withColumn("failed", F.col("error") > 0))
+
+
+def validation_summary(checked: DataFrame, group_col: str, passed_col: str = "passed") -> DataFrame:
+    """A2: total/passed/failed per input and overall (``rollup``: one pass,
+    the grand-total row has ``group_col`` NULL)."""
+    p = F.col(passed_col)
+    return (checked.rollup(group_col).agg(
+        F.count("*").alias("total"), F.count_if(p).alias("passed"),
+        F.count_if(~p).alias("failed"))
+        .withColumn("verdict", F.when(F.col("failed") == 0, "PASS").otherwise("FAIL")))
+
+
+def empty_inputs(expected: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """A3: expected inputs (directories) with no file found."""
+    counts = found.groupBy(key).agg(F.count("*").alias("n_files"))
+    return (expected.join(counts, key, "left")
+            .withColumn("n_files", F.coalesce("n_files", F.lit(0)))
+            .filter(F.col("n_files") == 0))
+
+
+def hits_per_keyword(keywords: DataFrame, hits: DataFrame, key: str = "keyword") -> DataFrame:
+    """A5: hit count per searched phrase; a phrase with no hit stays, with 0.
+
+    Counts only — the hits themselves stay a row-level table, never one
+    collected list per phrase (a phrase may hold a third of all hits)."""
+    counts = hits.groupBy(key).agg(F.count("*").alias("n_hits"))
+    return (keywords.select(key).distinct().join(counts, key, "left")
+            .withColumn("n_hits", F.coalesce("n_hits", F.lit(0))))
+
+
+def placeholder_rows(raw_rows: DataFrame, hits: DataFrame, key: str = "keyword",
+                     text_col: str = "text", require_mention: bool = False) -> DataFrame:
+    """A note row for each searched phrase whose result page gave no hit.
+
+    National portal: always.  CJEU portal (``require_mention``): only when the
+    page text mentions the phrase or the word "document"."""
+    page = raw_rows.groupBy(key).agg(
+        F.bool_or(F.lower(F.col(text_col)).contains(F.lower(F.col(key)))
+                  | F.lower(F.col(text_col)).contains("document")).alias("mentioned"))
+    got = hits.select(key).distinct()
+    out = page.join(got, key, "left_anti")
+    if require_mention:
+        out = out.filter("mentioned")
+    return out.select(key, F.lit(True).alias("raw_html_available"),
+                      F.lit("results available at the search url; parser needs updating").alias("note"))

@@ -23,6 +23,7 @@ CORE_CONF = {
     # bounded Arrow batches for the HTML walk (documents can be large)
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
