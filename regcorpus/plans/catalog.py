@@ -5,6 +5,7 @@ from __future__ import annotations
 from regcorpus.plans import common
 from regcorpus.plans import registers  # noqa: F401
 from regcorpus.plans import cases  # noqa: F401
+from regcorpus.plans import documents  # noqa: F401
 
 
 def all_queries():
