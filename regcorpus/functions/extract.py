@@ -151,11 +151,13 @@ def celex_from_citation(number: Column, act_letter: Column | None = None) -> Col
     """``1169/2011`` -> ``32011R1169``; ``2016/127`` -> ``32016R0127``.
 
     Old style is ``number/year``; from 2015 acts are numbered ``year/number``.
-    The second part decides: a 4-digit value not after 2014 is a year.
+    Old style when the second part is a year up to 2014 and the first part
+    is not a year of the new numbering (2015-2035).
     """
     a = F.regexp_extract(number, ACT_NUMBER, 1)
     b = F.regexp_extract(number, ACT_NUMBER, 2)
-    old_style = (F.length(b) == 4) & (b.cast("int") <= 2014)
+    old_style = ((F.length(b) == 4) & b.cast("int").between(1950, 2014)
+                 & ~F.coalesce(a.cast("int").between(2015, 2035), F.lit(False)))
     year = F.when(old_style, b).otherwise(a)
     nr = F.when(old_style, a).otherwise(b)
     letter = act_letter if act_letter is not None else F.lit("R")

@@ -20,3 +20,191 @@ def court_division(hits: DataFrame, spark: SparkSession, sig_col: str = "signatu
     dim = small_dim(spark, COURT_DIVISIONS, "division string, city string")
     code = F.nullif(F.regexp_extract(F.col(sig_col), r"SA/(\w+)", 1), F.lit(""))
     return hits.withColumn("division", code).join(dim, "division", "left")
+
+from pyspark.sql import Window  # noqa: E402
+
+from regcorpus.functions import extract as X  # noqa: E402
+from regcorpus.operators.joins import broadcast_if_small  # noqa: E402
+
+# --- fixed values: citation abbreviations (abbreviation, expansion) ---------
+ABBREVIATIONS = [
+    ("t.j.", "tekst jednolity"), ("zm.", "zmieniony"), ("art.", "artykul"), ("Art.", "artykul"),
+    ("ust.", "ustep"), ("pkt", "punkt"), ("lit.", "litera"), ("zd.", "zdanie"), ("par.", "paragraf"),
+    ("nb.", "numer brzegowy"), ("Rn.", "Randnummer"),
+    ("u.b.z.z.", "ustawa o bezpieczenstwie zywnosci i zywienia"),
+    ("u.PIS", "ustawa o Panstwowej Inspekcji Sanitarnej"),
+    ("KPA", "Kodeks postepowania administracyjnego"),
+    ("PPSA", "Prawo o postepowaniu przed sadami administracyjnymi"), ("Rozp.", "Rozporzadzenie"),
+]
+# Authority of a source (lower is stronger)
+AUTHORITY_RANK = [("eu_regulation", 1), ("eu_directive", 2), ("eu_decision", 3), ("national_act", 4),
+                  ("national_regulation", 5), ("cjeu", 6), ("nsa", 7), ("wsa", 8), ("efsa", 9),
+                  ("soft_law", 10), ("doctrine", 11)]
+# A provision of an EU act, e.g. "Art. 9 ust. 1 lit. b) Rozp. (UE) nr 1169/2011"
+PROVISION = (r"Art\.\s+(\d+[a-z]?)(?:\s+ust\.\s+(\d+))?(?:\s+lit\.\s+([a-z])\))?\s+"
+             r"Rozp\.\s+\((?:UE|WE|EWG)\)\s+nr\s+(\d{1,4}/\d{1,4})")
+# ---------------------------------------------------------------------------
+
+
+def triple_objects(triples: DataFrame, predicate: str, s: str, o: str) -> DataFrame:
+    """One predicate of a (subject, predicate, object) table as a 2-column edge."""
+    return triples.filter(F.col("predicate") == predicate).select(
+        F.col("subject").alias(s), F.col("object").alias(o))
+
+
+def work_titles(triples: DataFrame, language: str, celex_p: str = "celex", date_p: str = "date",
+                belongs_p: str = "belongs_to", lang_p: str = "language",
+                title_p: str = "title") -> DataFrame:
+    """Celex -> work, work -> date, expression -> work, expression ->
+    language, expression -> title; DISTINCT (celex, title, date).  Equi
+    self-joins of the triple table on filtered predicates (date OPTIONAL)."""
+    celex = triple_objects(triples, celex_p, "work", "celex")
+    date = triple_objects(triples, date_p, "work", "date")
+    expr = triple_objects(triples, belongs_p, "expr", "work")
+    lang = triple_objects(triples, lang_p, "expr", "lang").filter(F.col("lang") == language)
+    title = triple_objects(triples, title_p, "expr", "title")
+    e = expr.join(lang, "expr").join(title, "expr")
+    return (celex.join(e, "work").join(date, "work", "left")
+            .select("celex", "title", "date").distinct())
+
+
+def reconcile(index: DataFrame, files: DataFrame, key: str) -> DataFrame:
+    """Full outer join of an index with the files it lists; the NULL
+    side is an orphan."""
+    i = index.select(key).distinct().withColumn("_in_index", F.lit(True))
+    f = files.select(key).distinct().withColumn("_in_files", F.lit(True))
+    j = i.join(f, key, "full_outer")
+    return j.select(key, F.coalesce("_in_index", F.lit(False)).alias("in_index"),
+                    F.coalesce("_in_files", F.lit(False)).alias("in_files")).withColumn(
+        "status", F.when(F.col("in_index") & F.col("in_files"), "ok")
+        .when(F.col("in_index"), "missing_file").otherwise("not_indexed"))
+
+
+def extract_provisions(df: DataFrame, text_col: str, keep=()) -> DataFrame:
+    """Every EU-act provision cited in the text, one row each:
+    ``article, paragraph, letter, act_number`` and the X8 ``celex``."""
+    found = F.regexp_extract_all(F.col(text_col), F.lit(PROVISION), 0)
+    rows = df.select(*keep, F.posexplode(found).alias("cit_no", "citation"))
+    g = lambda i: F.nullif(F.regexp_extract("citation", PROVISION, i), F.lit(""))
+    return rows.select(*keep, "cit_no", g(1).alias("article"), g(2).alias("paragraph"),
+                       g(3).alias("letter"), g(4).alias("act_number"),
+                       X.celex_from_citation(g(4)).alias("celex"))
+
+
+def resolve_acts(citations: DataFrame, acts: DataFrame, key: str = "celex") -> DataFrame:
+    """Citations joined to the act table (left: unresolved keep NULLs).
+    The act table is broadcast only after its size is checked."""
+    a, _ = broadcast_if_small(acts)
+    return citations.join(a, key, "left")
+
+
+def expand_abbreviations(df: DataFrame, text_col: str, spark: SparkSession, keep=()) -> DataFrame:
+    """Whitespace tokens that are known abbreviations, with expansion
+    (fixed 16-row dimension, broadcast)."""
+    dim = small_dim(spark, ABBREVIATIONS, "token string, expansion string")
+    toks = df.select(*keep, F.explode(F.split(F.col(text_col), r"\s+")).alias("token"))
+    return toks.join(dim, "token")
+
+
+def link_graph(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
+    """Per node in/out degree and outgoing edges without a reverse edge."""
+    e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
+    rev = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
+    non_recip = e.join(rev, ["src", "dst"], "left_anti")
+    out_d = e.groupBy("src").agg(F.count("*").alias("out_degree")).withColumnRenamed("src", "node")
+    in_d = e.groupBy("dst").agg(F.count("*").alias("in_degree")).withColumnRenamed("dst", "node")
+    nr = non_recip.groupBy("src").agg(F.count("*").alias("non_reciprocal_out")).withColumnRenamed("src", "node")
+    return (out_d.join(in_d, "node", "full_outer").join(nr, "node", "left")
+            .select("node", F.coalesce("in_degree", F.lit(0)).alias("in_degree"),
+                    F.coalesce("out_degree", F.lit(0)).alias("out_degree"),
+                    F.coalesce("non_reciprocal_out", F.lit(0)).alias("non_reciprocal_out")))
+
+
+def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
+                phrase_col: str = "phrase", id_col: str = "doc_id", max_broadcast: int = 50_000,
+                gram: int = 4) -> DataFrame:
+    """(phrase, document) for every case-insensitive substring match; a
+    document appears once per matching phrase (no de-duplication).
+
+    A bounded phrase list is broadcast and matched with ``contains``.  A larger
+    one is joined on a q-gram key: each phrase on its first ``gram``
+    characters, each document on all its distinct q-grams, then verified
+    with ``contains`` — exact, and a shuffle equi-join instead of a
+    quadratic match."""
+    d = docs.select(id_col, F.lower(F.col(text_col)).alias("_t"))
+    p = phrases.select(F.lower(F.col(phrase_col)).alias(phrase_col)).distinct()
+    small, is_small = broadcast_if_small(p, max_broadcast)
+    if is_small:
+        return d.join(small, F.col("_t").contains(F.col(phrase_col))).select(phrase_col, id_col)
+    short = p.filter(F.length(phrase_col) < gram)
+    long_ = p.filter(F.length(phrase_col) >= gram).withColumn("_g", F.substring(phrase_col, 1, gram))
+    grams = d.select(id_col, "_t", F.explode(F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("_t") - gram + 1, F.lit(1))),
+        lambda i: F.substring("_t", i, gram)))).alias("_g"))
+    via_gram = grams.join(long_, "_g").filter(F.col("_t").contains(F.col(phrase_col)))
+    via_short = d.join(F.broadcast(short), F.col("_t").contains(F.col(phrase_col)))
+    return via_gram.select(phrase_col, id_col).unionByName(via_short.select(phrase_col, id_col))
+
+
+def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Keys only on the left and keys only on the right (anti joins)."""
+    l_ = left.select(key).distinct()
+    r_ = right.select(key).distinct()
+    return (l_.join(r_, key, "left_anti").withColumn("side", F.lit("left_only"))
+            .unionByName(r_.join(l_, key, "left_anti").withColumn("side", F.lit("right_only"))))
+
+
+def version_validity(versions: DataFrame, key: str, valid_from: str = "valid_from") -> DataFrame:
+    """``valid_to`` = the next version's ``valid_from`` for the same key.
+    A version table is a rule history (few versions per key), so one window
+    per key is bounded."""
+    w = Window.partitionBy(key).orderBy(valid_from)
+    return versions.withColumn("valid_to", F.lead(valid_from).over(w))
+
+
+def _month(c):
+    return (F.year(c) * 12 + F.month(c) - 1).cast("int")
+
+
+def as_of(samples: DataFrame, versions: DataFrame, key: str, date_col: str,
+          valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
+    """Each sample joined to the version of its key valid on its date
+    (``valid_from <= d < valid_to``, open end = still valid); samples before
+    the first version keep NULLs.
+
+    Range join made an equi-join: every closed version interval is exploded
+    into the calendar months it covers, and samples join on (key, month) with
+    the range as a residual predicate.  Open-ended versions (one per key) join
+    the distinct (key, month) pairs the samples use.  A key holding a third of
+    all samples is spread over its months; no per-key window over samples."""
+    v = versions.withColumn("_m0", _month(F.col(valid_from)))
+    closed = v.filter(F.col(valid_to).isNotNull()).withColumn(
+        "_m", F.explode(F.sequence(F.col("_m0"), _month(F.date_sub(F.col(valid_to), 1)))))
+    s = samples.withColumn("_m", _month(F.col(date_col)))
+    used = s.select(key, "_m").distinct()
+    open_ = (v.filter(F.col(valid_to).isNull()).join(used, key)
+             .filter(F.col("_m") >= F.col("_m0")))
+    vx = closed.unionByName(open_).drop("_m0")
+    vcols = [c for c in vx.columns if c not in (key, "_m")]
+    vx = vx.select(key, "_m", *[F.col(c).alias(f"_v_{c}") for c in vcols])
+    cond = ((s[key] == vx[key]) & (s["_m"] == vx["_m"]) & (F.col(date_col) >= F.col(f"_v_{valid_from}"))
+            & (F.col(f"_v_{valid_to}").isNull() | (F.col(date_col) < F.col(f"_v_{valid_to}"))))
+    out = s.join(vx, cond, "left").drop(vx[key]).drop(vx["_m"]).drop(s["_m"])
+    return out.select(*samples.columns, *[F.col(f"_v_{c}").alias(c) for c in vcols])
+
+
+def latest_by(df: DataFrame, key: str, order_cols: list) -> DataFrame:
+    """The row with the greatest ``order_cols`` per key (``max`` over a
+    struct: partial aggregation, no window)."""
+    other = [c for c in df.columns if c != key]
+    packed = F.struct(*[F.col(c) for c in order_cols], *[F.col(c).alias(f"_{c}") for c in other])
+    return df.groupBy(key).agg(F.max(packed).alias("_w")).select(
+        key, *[F.col(f"_w._{c}").alias(c) for c in other])
+
+
+def authority_rank(df: DataFrame, kind_col: str, spark: SparkSession) -> DataFrame:
+    """Authority rank of each source kind (EU > national > CJEU > NSA >
+    WSA > EFSA > soft law > doctrine); unknown kinds rank last."""
+    dim = small_dim(spark, AUTHORITY_RANK, "_kind string, authority int")
+    return df.join(dim, df[kind_col] == dim["_kind"], "left").drop("_kind").withColumn(
+        "authority", F.coalesce("authority", F.lit(99)))

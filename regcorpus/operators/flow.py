@@ -49,16 +49,19 @@ def overlay_details(hits: DataFrame, details: DataFrame, key: str = "url",
     return out.drop("_d_hit")
 
 
-def first_success(variants: DataFrame, key: str, priority: str, ok: str = "ok") -> DataFrame:
-    """Per ``key``, the successful variant with the lowest priority.
-
-    ``min_by`` is a plain aggregate: partial aggregation runs map-side, so a
-    key with many variants never ships more than one row per partition."""
-    cols = [c for c in variants.columns if c not in (key,)]
-    packed = F.struct(*[F.col(c) for c in cols])
+def first_success(variants: DataFrame, key: str, priority, ok: str = "ok") -> DataFrame:
+    """Per ``key``, the successful variant with the lowest ``priority``
+    (a column or a list: later columns break ties).
+
+    ``min`` over a struct is a plain aggregate: partial aggregation runs
+    map-side, so a key with many variants never ships more than one row per
+    partition, and ties resolve deterministically."""
+    prio = [priority] if isinstance(priority, str) else list(priority)
+    rest = [c for c in variants.columns if c not in prio and c != key]
+    packed = F.struct(*[F.col(c) for c in prio], *[F.col(c) for c in rest])
     return (variants.filter(F.col(ok))
-            .groupBy(key).agg(F.min_by(packed, F.col(priority)).alias("_w"))
-            .select(key, "_w.*"))
+            .groupBy(key).agg(F.min(packed).alias("_w"))
+            .select(key, *[F.col(f"_w.{c}").alias(c) for c in prio + rest]))
 
 
 # --- aggregations ----------------------------------------------------------------

@@ -6,6 +6,7 @@ from regcorpus.plans import common
 from regcorpus.plans import registers  # noqa: F401
 from regcorpus.plans import cases  # noqa: F401
 from regcorpus.plans import documents  # noqa: F401
+from regcorpus.plans import links  # noqa: F401
 
 
 def all_queries():
