@@ -82,13 +82,22 @@ def reconcile(index: DataFrame, files: DataFrame, key: str) -> DataFrame:
 
 def extract_provisions(df: DataFrame, text_col: str, keep=()) -> DataFrame:
     """Every EU-act provision cited in the text, one row each:
-    ``article, paragraph, letter, act_number`` and the X8 ``celex``."""
+    ``article, paragraph, letter, act_number`` and the X8 ``celex``.
+
+    The full provision pattern runs once per text; each found citation (a
+    short string) is split with small anchored patterns in its own
+    projection, then X8 runs on the extracted number."""
     found = F.regexp_extract_all(F.col(text_col), F.lit(PROVISION), 0)
     rows = df.select(*keep, F.posexplode(found).alias("cit_no", "citation"))
-    g = lambda i: F.nullif(F.regexp_extract("citation", PROVISION, i), F.lit(""))
-    return rows.select(*keep, "cit_no", g(1).alias("article"), g(2).alias("paragraph"),
-                       g(3).alias("letter"), g(4).alias("act_number"),
-                       X.celex_from_citation(g(4)).alias("celex"))
+
+    def part(p):
+        return F.nullif(F.regexp_extract("citation", p, 1), F.lit(""))
+
+    parts = rows.select(*keep, "cit_no", part(r"^Art\.\s+(\d+[a-z]?)").alias("article"),
+                        part(r"\sust\.\s+(\d+)").alias("paragraph"),
+                        part(r"\slit\.\s+([a-z])\)").alias("letter"),
+                        part(r"\snr\s+(\d{1,4}/\d{1,4})$").alias("act_number"))
+    return parts.withColumn("celex", X.celex_from_citation(F.col("act_number")))
 
 
 def resolve_acts(citations: DataFrame, acts: DataFrame, key: str = "celex") -> DataFrame:
@@ -121,21 +130,22 @@ def link_graph(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
-                phrase_col: str = "phrase", id_col: str = "doc_id", max_broadcast: int = 50_000,
+                phrase_col: str = "phrase", id_col: str = "doc_id", max_broadcast: int = 200_000,
                 gram: int = 4) -> DataFrame:
     """(phrase, document) for every case-insensitive substring match; a
-    document appears once per matching phrase (no de-duplication).
-
-    A bounded phrase list is broadcast and matched with ``contains``.  A larger
-    one is joined on a q-gram key: each phrase on its first ``gram``
-    characters, each document on all its distinct q-grams, then verified
-    with ``contains`` — exact, and a shuffle equi-join instead of a
-    quadratic match."""
+    document appears once per matching phrase (no de-duplication across
+    phrases).
+
+    Bounded phrase list (size checked): broadcast once and matched with an
+    Aho-Corasick automaton per Arrow batch — one linear pass over each whole
+    (Spark-lower-cased) text, whatever the number of phrases.  Larger lists:
+    exact q-gram equi-join (phrase on its first ``gram`` characters, document
+    on its distinct q-grams) verified with ``contains``."""
     d = docs.select(id_col, F.lower(F.col(text_col)).alias("_t"))
     p = phrases.select(F.lower(F.col(phrase_col)).alias(phrase_col)).distinct()
-    small, is_small = broadcast_if_small(p, max_broadcast)
-    if is_small:
-        return d.join(small, F.col("_t").contains(F.col(phrase_col))).select(phrase_col, id_col)
+    n = p.limit(max_broadcast + 1).count()
+    if n <= max_broadcast:
+        return _aho_corasick_hits(d, p, phrase_col, id_col)
     short = p.filter(F.length(phrase_col) < gram)
     long_ = p.filter(F.length(phrase_col) >= gram).withColumn("_g", F.substring(phrase_col, 1, gram))
     grams = d.select(id_col, "_t", F.explode(F.array_distinct(F.transform(
@@ -146,6 +156,35 @@ def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
     return via_gram.select(phrase_col, id_col).unionByName(via_short.select(phrase_col, id_col))
 
 
+def _aho_corasick_hits(d: DataFrame, p: DataFrame, phrase_col: str, id_col: str) -> DataFrame:
+    import pandas as pd
+
+    spark = d.sparkSession
+    # the phrase list is bounded (checked by the caller) and shipped once per executor
+    words = [r[0] for r in p.filter(F.length(phrase_col) > 0).collect()]
+    bc = spark.sparkContext.broadcast(words)
+    id_type = d.schema[id_col].dataType.simpleString()
+
+    def run(batches):
+        import ahocorasick
+        auto = ahocorasick.Automaton()
+        for i, w in enumerate(bc.value):
+            auto.add_word(w, i)
+        if len(auto):
+            auto.make_automaton()
+        for pdf in batches:
+            ids, hits = [], []
+            for doc, text in zip(pdf[id_col], pdf["_t"]):
+                if text is None or not len(auto):
+                    continue
+                found = {i for _, i in auto.iter(text)}
+                ids.extend([doc] * len(found))
+                hits.extend(bc.value[i] for i in found)
+            yield pd.DataFrame({phrase_col: pd.Series(hits, dtype=object), id_col: pd.Series(ids, dtype=object)})
+
+    return d.mapInPandas(run, f"{phrase_col} string, {id_col} {id_type}")
+
+
 def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Keys only on the left and keys only on the right (anti joins)."""
     l_ = left.select(key).distinct()
