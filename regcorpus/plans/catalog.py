@@ -8,6 +8,7 @@ from regcorpus.plans import cases  # noqa: F401
 from regcorpus.plans import documents  # noqa: F401
 from regcorpus.plans import links  # noqa: F401
 from regcorpus.plans import rules  # noqa: F401
+from regcorpus.plans import landing  # noqa: F401
 
 
 def all_queries():
