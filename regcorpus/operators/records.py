@@ -113,3 +113,81 @@ def cjeu_hits(df: DataFrame) -> DataFrame:
     return df.filter(usable).select(
         *_hit_columns(t, X.CJEU_HOST, [cn.alias("case_number"), ec.alias("ecli")], d,
                       ("dd/MM/yyyy", "yyyy-MM-dd")))
+
+
+# --- act records, rulings, searches ---------------------------------------------
+
+def act_record(acts: DataFrame) -> DataFrame:
+    """``(id, catalogue struct(name, title) | NULL, api_details struct)``
+    -> id, name, title, journal reference, details.  An ad-hoc id (no
+    catalogue entry) gets name = id and an empty title."""
+    d = F.col("api_details")
+    return acts.select(
+        "id", F.coalesce(F.col("catalogue.name"), F.col("id")).alias("name"),
+        F.coalesce(F.col("catalogue.title"), F.lit("")).alias("title"),
+        F.concat(F.lit("Dz.U. "), d["year"].cast("string"), F.lit(" poz. "), d["position"].cast("string"))
+        .alias("dziennik"), "api_details")
+
+
+# fixed values: per-court key spellings, in priority order
+RULING_IDENTIFIER_KEYS = ("sygnatura", "numer_sprawy", "numer_decyzji", "celex")
+RULING_DATE_KEYS = ("data_orzeczenia", "data_decyzji", "date")
+RULING_PROVISION_KEYS = ("przepisy", "podstawa_prawna")
+RULING_THESIS_KEYS = ("teza", "teza_pl", "przedmiot")
+
+
+def harmonise_rulings(parsed: DataFrame) -> DataFrame:
+    """P5: court-specific front-matter fields -> identifier, date,
+    provisions, thesis (first present spelling wins).  Inputs from several
+    sources can be stacked first with ``unionByName(allowMissingColumns=True)``."""
+    def first(keys):
+        cols = [F.col(k) for k in keys if k in parsed.columns]
+        return F.coalesce(*cols) if cols else F.lit(None)
+    return parsed.withColumns({"identifier": first(RULING_IDENTIFIER_KEYS), "date": first(RULING_DATE_KEYS),
+                               "provisions": first(RULING_PROVISION_KEYS), "thesis": first(RULING_THESIS_KEYS)})
+
+
+def search_acts(acts: DataFrame, keyword: str, publisher: str = "WDU", limit: int = 20,
+                date_col: str = "published", id_col: str = "act_id") -> DataFrame:
+    """F3 + L2 + L3: title contains the keyword (case-insensitive), given
+    publisher, newest first (id breaks ties), first ``limit`` — a top-k, so
+    Spark keeps only ``limit`` rows per partition before the final merge."""
+    return (acts.filter(F.lower(F.col("title")).contains(keyword.lower()) & (F.col("publisher") == publisher))
+            .orderBy(F.col(date_col).desc(), F.col(id_col).desc()).limit(limit))
+
+
+def court_of_signature(sig: Column) -> Column:
+    """Court type of a national signature: ``SA/`` divisions are WSA,
+    ``<roman> <X>SK`` chambers are NSA."""
+    return (F.when(sig.contains("SA/"), "wsa")
+            .when(sig.rlike(r"^[IVX]+\s+[A-Z]SK\s"), "nsa"))
+
+
+def search_cases(hits: DataFrame, phrase: str, court: str = "all", text_col: str = "text_snippet") -> DataFrame:
+    """hits whose text contains the phrase, for one court type or all."""
+    out = hits.filter(F.lower(F.col(text_col)).contains(phrase.lower()))
+    return out if court == "all" else out.filter(court_of_signature(F.col("signature")) == court)
+
+
+def expert_filter(docs: DataFrame, celex: str | None = None, content_type: int | None = None,
+                  directory: str | None = None) -> DataFrame:
+    """by document number, or by content type AND directory code."""
+    if celex is not None:
+        return docs.filter(F.col("celex") == celex)
+    return docs.filter((F.col("content_type") == content_type) & (F.col("directory") == directory))
+
+
+def accept_response(df: DataFrame, body_col: str, ct_col: str, url_col: str) -> DataFrame:
+    """a response whose content type mentions html or text keeps its
+    body; anything else becomes a placeholder pointing at the url."""
+    ok = F.col(ct_col).contains("html") | F.col(ct_col).contains("text")
+    return df.withColumn("body", F.when(ok, F.col(body_col))).withColumn(
+        "placeholder", F.when(~ok, F.concat(F.lit("[Dokument dostepny pod adresem: "), F.col(url_col), F.lit("]"))))
+
+
+def edition_preference(variants: DataFrame, languages: list, consolidated: str = "T") -> DataFrame:
+    """rank columns for the language preference list and consolidated
+    (T) before announced (O) text; feed to ``flow.first_success``."""
+    pos = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col("lang"))
+    return variants.withColumn("lang_rank", F.when(pos == 0, F.lit(999)).otherwise(pos).cast("int")).withColumn(
+        "edition_rank", F.when(F.col("edition") == consolidated, 0).otherwise(1))

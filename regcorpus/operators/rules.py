@@ -218,3 +218,116 @@ def traceability_gaps(moves: DataFrame, suppliers: DataFrame, recipients: DataFr
     no_rec = moves.join(recipients.select(rec).distinct(), rec, "left_anti").withColumn("gap", F.lit("recipient"))
     no_lot = moves.filter(F.col(lot).isNull()).withColumn("gap", F.lit("lot"))
     return no_sup.unionByName(no_rec).unionByName(no_lot)
+
+
+# --- fixed values (continued) ----------------------------------------------------
+# Minimum shares (natural flavour of the named source; organic ingredients)
+NATURAL_FLAVOUR_SHARE = 0.95
+ORGANIC_SHARE = 0.95
+# The four criteria of a food for special medical purposes
+FSMP_CRITERIA = ["medical_supervision", "disease_specific_needs", "not_met_by_normal_diet", "sole_or_partial_feeding"]
+# Additives withdrawn from a date (E number, withdrawn from)
+ADDITIVE_WITHDRAWALS = [("E171", "2022-08-07")]
+# Significant consumption before this date means "not novel"; years of
+# safe third-country use for the traditional-food route
+NOVEL_FOOD_CUTOFF = "1997-05-15"
+TRADITIONAL_USE_YEARS = 25
+# Establishment regime by origin of the food (regime, authority, prior inspection)
+ESTABLISHMENT_REGIMES = [("animal", "approval", "PLW", True), ("non_animal", "registration", "PPIS", False)]
+# Product class criteria (class, criterion) and class priority
+CLASS_CRITERIA = [
+    ("medicine", "purpose_treatment"), ("medicine", "therapeutic_dose"), ("medicine", "presented_as_medicine"),
+    ("supplement", "purpose_supplementation"), ("supplement", "physiological_dose"),
+    ("supplement", "dosage_form"), ("food", "purpose_nutrition"), ("food", "ordinary_form"),
+    ("fsmp", "medical_supervision"), ("fsmp", "disease_specific_needs"),
+]
+CLASS_PRIORITY = [("medicine", 1), ("fsmp", 2), ("supplement", 3), ("food", 4)]
+# Minimum conversion periods in days (kind, days)
+CONVERSION_DAYS = [("annual_crop", 730), ("perennial_crop", 1095), ("grassland", 730),
+                   ("dairy_cattle", 183), ("beef_cattle", 365), ("small_ruminants", 183), ("poultry", 70)]
+# ------------------------------------------------------------------------------------
+
+
+def dry_basis(value: Column, factor: Column) -> Column:
+    """Value converted with the drying/concentration factor before it is
+    compared (factor NULL = product as sold)."""
+    return value * F.coalesce(factor, F.lit(1.0))
+
+
+def share_checks(ingredients: DataFrame, product: str, weight: str, flags: dict) -> DataFrame:
+    """Per product, share of weight carrying each flag and whether it
+    reaches its threshold (``flags``: name -> (flag column, threshold))."""
+    aggs = [F.sum(weight).alias("_total")]
+    for name, (flag, _) in flags.items():
+        aggs.append(F.sum(F.when(F.col(flag), F.col(weight)).otherwise(0)).alias(f"_{name}"))
+    out = ingredients.groupBy(product).agg(*aggs)
+    for name, (_, thr) in flags.items():
+        out = out.withColumn(f"{name}_share", F.col(f"_{name}") / F.col("_total")).withColumn(
+            f"{name}_ok", F.col(f"{name}_share") >= thr).drop(f"_{name}")
+    return out.drop("_total")
+
+
+def fsmp_definition(products: DataFrame, criteria_col: str = "criteria") -> DataFrame:
+    """All four criteria must be met (``forall`` over the required list)."""
+    req = F.array(*[F.lit(c) for c in FSMP_CRITERIA])
+    return products.withColumn("is_fsmp", F.forall(req, lambda c: F.array_contains(F.col(criteria_col), c)))
+
+
+def additive_permission(uses: DataFrame, permissions: DataFrame, spark: SparkSession,
+                        date_col: str = "used_on") -> DataFrame:
+    """(E number, food category) must be listed; NULL maximum =
+    quantum satis; a withdrawn additive is not permitted from its date."""
+    perm, _ = broadcast_if_small(permissions)
+    wd = small_dim(spark, ADDITIVE_WITHDRAWALS, "e_number string, withdrawn string")
+    j = (uses.join(perm, ["e_number", "category"], "left").join(wd, "e_number", "left")
+         .withColumn("withdrawn_from", F.to_date("withdrawn")).drop("withdrawn"))
+    verdict = (F.when(F.col("withdrawn_from").isNotNull() & (F.col(date_col) >= F.col("withdrawn_from")), "withdrawn")
+               .when(~F.col("listed"), "not permitted")
+               .when(F.col("max_level").isNull(), "quantum satis")
+               .when(F.col("level") > F.col("max_level"), "over maximum").otherwise("permitted"))
+    return j.withColumn("listed", F.coalesce("listed", F.lit(False))).withColumn("verdict", verdict)
+
+
+def novel_food_status(first_use: Column, on_union_list: Column, third_country_years: Column) -> Column:
+    """Evidence ranked — use before the cut-off, union list, traditional
+    third-country use, else authorisation required."""
+    return (F.when(first_use < F.lit(NOVEL_FOOD_CUTOFF).cast("date"), "not novel")
+            .when(on_union_list, "authorised novel food")
+            .when(third_country_years >= TRADITIONAL_USE_YEARS, "traditional food notification")
+            .otherwise("authorisation required"))
+
+
+def fortification_violations(used: DataFrame, allowed: DataFrame, keys=("nutrient", "form")) -> DataFrame:
+    """(nutrient, chemical form) pairs not on the allowed list."""
+    a, _ = broadcast_if_small(allowed.select(*keys).distinct())
+    return used.join(a, list(keys), "left_anti")
+
+
+def establishment_regime(est: DataFrame, spark: SparkSession, origin_col: str = "origin") -> DataFrame:
+    """Approval (animal origin) or registration, supervising authority
+    and whether an inspection precedes the start."""
+    dim = small_dim(spark, ESTABLISHMENT_REGIMES, "origin string, regime string, authority string, prior_inspection boolean")
+    return est.join(dim, est[origin_col] == dim["origin"], "left").drop(dim["origin"])
+
+
+def product_class(features: DataFrame, spark: SparkSession, id_col: str, features_col: str = "features") -> DataFrame:
+    """Criteria rows per class; the class matching most criteria wins
+    (ties by class priority).  Criteria are unpivoted with ``explode`` and
+    matched by an equi-join on the criterion."""
+    crit = small_dim(spark, CLASS_CRITERIA, "class string, criterion string")
+    prio = small_dim(spark, CLASS_PRIORITY, "class string, priority int")
+    f = features.select(id_col, F.explode(features_col).alias("criterion"))
+    scores = f.join(crit, "criterion").groupBy(id_col, "class").agg(F.count("*").alias("score"))
+    best = scores.join(prio, "class").groupBy(id_col).agg(
+        F.max(F.struct("score", (-F.col("priority")).alias("np"), "class")).alias("_b"))
+    return features.join(best, id_col, "left").select(
+        *features.columns, F.coalesce(F.col("_b.class"), F.lit("unclassified")).alias("product_class"),
+        F.coalesce(F.col("_b.score"), F.lit(0)).alias("score"))
+
+
+def conversion_complete(units: DataFrame, spark: SparkSession, on: str) -> DataFrame:
+    """Conversion period complete on date ``on`` (kind-specific minimum)."""
+    dim = small_dim(spark, CONVERSION_DAYS, "kind string, min_days int")
+    return units.join(dim, "kind", "left").withColumn(
+        "complete_on", F.date_add(F.col("conversion_start"), F.col("min_days"))).withColumn(
+        "complete", F.col("complete_on") <= F.lit(on).cast("date"))

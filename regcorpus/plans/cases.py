@@ -317,7 +317,7 @@ def standin_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("</h1>"), body, F.lit("</body></html>"))
     title = _pick(F.col("o_orderkey") % 3, [F.lit(""), F.concat(F.lit('A "quoted" title '), F.col("o_orderkey").cast("string")),
                                              F.lit(None).cast("string")])
-    return o.select(celex.alias("celex"), html.alias("html"), title.alias("title"))
+    return o.select("o_orderkey", celex.alias("celex"), html.alias("html"), title.alias("title"))
 
 
 _MONTH_CASE_EN = " ".join(f"WHEN '{m}' THEN '{i + 1:02d}'" for i, m in enumerate(X.MONTHS_EN))

@@ -183,8 +183,8 @@ def act_cellar_block_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
 def judgment_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H6 judgment HTML -> Markdown, then X11 title line, per judgment."""
     j = standin_judgments(spark, sf_dir)
-    md = markup.judgment_markdown(j, "celex", "html")
-    return md.select("celex", T.first_title_line(F.col("markdown")).alias("title"), "markdown")
+    md = markup.judgment_markdown(j, "o_orderkey", "html")
+    return md.select("o_orderkey", T.first_title_line(F.col("markdown")).alias("title"), "markdown")
 
 
 @register("page_detail_text")
