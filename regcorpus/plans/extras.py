@@ -432,3 +432,60 @@ def conversion_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.to_date("o_orderdate").alias("conversion_start"))
     c = R.conversion_complete(u, spark, "1998-01-01")
     return c.groupBy("kind").agg(F.count("*").alias("n"), F.count_if("complete").alias("n_complete"))
+
+
+# ------------------------------------------------------------------- S4 K4 --
+def standin_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """National search result pages: the result rows of each phrase laid out
+    as ``table.lista`` rows, at most 50 per page."""
+    rows = standin_national_rows(spark, sf_dir)
+    esc = lambda c: F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;")
+    cell = F.when(F.col("href").isNotNull(),
+                  F.concat(F.lit('<a href="'), F.col("href"), F.lit('">'), esc(F.col("text")), F.lit("</a>"))) \
+        .otherwise(esc(F.col("text")))
+    tr = F.concat(F.lit('<tr class="wiersz"><td>'), cell, F.lit("</td></tr>"))
+    pages = (rows.withColumn("page_no", F.floor(F.col("row_no") / 50))
+             .groupBy("keyword", "page_no").agg(F.array_sort(F.collect_list(F.struct("row_no", tr.alias("tr")))).alias("trs")))
+    html = F.concat(F.lit('<html><body><div class="wyniki-naglowek">Wyniki</div><table class="lista">'),
+                    F.array_join(F.transform("trs", lambda s: s["tr"]), ""), F.lit("</table></body></html>"))
+    return pages.select("keyword", "page_no", html.alias("html"))
+
+
+_S4_SQL = __import__("regcorpus.plans.cases", fromlist=["x"])._nat_hits_sql(
+    __import__("regcorpus.plans.cases", fromlist=["x"])._SIG_FIXED) + """
+SELECT keyword, text_snippet, signature, date, url FROM hits
+"""
+
+
+@register("result_page_hits", _S4_SQL, bench=True)
+def result_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 result-page scan (selectors, document order) -> P6/F6 hits."""
+    rows = markup.scan_result_pages(standin_result_pages(spark, sf_dir), ("keyword", "page_no"))
+    return records.national_hits(rows).select("keyword", "text_snippet", "signature", "date", "url")
+
+
+@register("judgment_documents_written")
+def judgment_documents_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: judgment files (X7 name, X12 front matter + body) written to the
+    shared folder and read back."""
+    j = judgment_records(spark, sf_dir).join(standin_judgments(spark, sf_dir).select("o_orderkey", "title")
+                                             .withColumnRenamed("title", "given_title"), "o_orderkey")
+    docs = sinks.judgment_documents(j.withColumn("title", F.coalesce("given_title", "title")))
+    out = new_run_dir(spark, "judgments")
+    docs.write.parquet(out)
+    return spark.read.parquet(out)
+
+
+@register("landed_page_listing", """
+SELECT page_id AS page, strlen(html) + 1 AS length FROM pages
+""")
+def landed_page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S11 (two directories, one missing) -> K6 bronze append -> L1 listing
+    in path order."""
+    run = new_run_dir(spark, "listing")
+    table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "html") \
+        .write.partitionBy("page").text(f"{run}/raw")
+    found = files.scan_directories(spark, [f"{run}/raw", f"{run}/not-landed"], extensions=("txt",))
+    sinks.write_bronze(found.select("path", "length", "content", "input_dir"), f"{run}/bronze")
+    b = spark.read.parquet(f"{run}/bronze")
+    return b.select(F.regexp_extract("path", r"page=(\d+)", 1).cast("long").alias("page"), "length").orderBy("page")
