@@ -61,10 +61,17 @@ def clean_markdown(md: Column) -> Column:
     return F.concat(ustrip(md), F.lit("\n"))
 
 
+# X11: the stripped core of every line in one regex pass.  Possessive leading
+# runs strip *all* leading whitespace, then all '#', then all whitespace; the
+# lazy core followed by whitespace/'#'/whitespace to the end of the line is
+# the core ``str.strip().strip("#").strip()`` leaves.
+_HWS = r"[\s&&[^\n]]"
+_LINE_CORE = rf"(?dmU)^{_HWS}*+#*+{_HWS}*+(.*?){_HWS}*#*{_HWS}*$"
+
+
 def first_title_line(md: Column, min_len: int = 5, width: int = 200) -> Column:
-    """X11: first line that, stripped of whitespace and ``#``, is longer than
-    ``min_len``; cut to ``width``.  NULL when there is none."""
-    lines = F.transform(F.split(md, "\n"),
-                        lambda x: ustrip(F.regexp_replace(ustrip(x), r"^#+|#+$", "")))
-    hit = F.filter(lines, lambda x: F.length(x) > min_len)
-    return F.substring(F.get(hit, 0), 1, width)
+    """X11: first line that, stripped of whitespace, then ``#``, then
+    whitespace, is longer than ``min_len``; cut to ``width``.  NULL when there
+    is none.  One regex pass yields every line's core (no split into lines)."""
+    cores = F.regexp_extract_all(md, F.lit(_LINE_CORE), 1)
+    return F.substring(F.get(F.filter(cores, lambda x: F.length(x) > min_len), 0), 1, width)

@@ -24,3 +24,27 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tup
     if n <= max_rows:
         return F.broadcast(df), True
     return df, False
+
+
+def spread_for_python(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition by ``key`` into ``spark.sql.shuffle.partitions``
+    before a Python (Arrow) job.
+
+    Parsing in a Python worker costs far more per byte than a JVM shuffle, and
+    a few large input splits (or a small AQE-coalesced shuffle) would leave
+    most cores idle.  An explicit partition count is not coalesced by AQE."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
+WIDEN_MAX = 64
+
+
+def widen_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a *scan* that yields fewer splits than the cluster has
+    cores (capped at ``WIDEN_MAX``) — small files with few row groups leave
+    cores idle under CPU-heavy text expressions.  Large inputs already have
+    many more splits than cores, so this is a no-op at scale.  Call it on a
+    plain table read only (it inspects the scan's split count, no job)."""
+    target = min(df.sparkSession.sparkContext.defaultParallelism, WIDEN_MAX)
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

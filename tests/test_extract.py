@@ -118,3 +118,18 @@ def test_clean_markdown_matches_python(spark, md):
 def test_signature_matches_python(spark, t):
     m = re.search(X.SIGNATURE_FIXED, t)
     assert _one(spark, X.court_signature(F.col("t")), t) == (m.group() if m else None)
+
+
+def _py_title(md):
+    for line in md.split("\n"):
+        s = line.strip().strip("#").strip()
+        if s and len(s) > 5:
+            return s[:200]
+    return None
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sampled_from(["#", " ", "\n", "\t", "ab", "Tytuł", "x y", "##", "abcdefg", "\r"]),
+                max_size=25).map("".join))
+def test_title_line_matches_python(spark, md):
+    assert _one(spark, T.first_title_line(F.col("t")), md) == _py_title(md)
