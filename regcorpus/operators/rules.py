@@ -155,6 +155,15 @@ def claim_violations(used: DataFrame, authorised: DataFrame, wording_col: str =
     return used.withColumn("_w", normalise_wording(F.col(wording_col))).join(auth, "_w", "left_anti").drop("_w")
 
 
+def flag_claim_violations(used: DataFrame, authorised: DataFrame, wording_col: str = "wording") -> DataFrame:
+    """R10 as a flag: every use with ``violation`` = not an authorised
+    wording (left join on the normalised wording; authorised side distinct)."""
+    auth = authorised.select(normalise_wording(F.col(wording_col)).alias("_w")).distinct() \
+        .withColumn("_auth", F.lit(True))
+    return (used.withColumn("_w", normalise_wording(F.col(wording_col))).join(auth, "_w", "left")
+            .withColumn("violation", F.col("_auth").isNull()).drop("_w", "_auth"))
+
+
 def missing_particulars(labels: DataFrame, present_col: str = "present", abv_col: str = "abv") -> DataFrame:
     """Required particulars absent from a label; the alcohol item is
     required only above 1.2 % vol."""

@@ -60,7 +60,7 @@ def events_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (1, 2):
         land_events(spark, sf_dir, landing, wave)
         ingest.upsert_latest(spark, landing, _schema(spark), "user_id", ["ts", "event_id"],
-                             ["event_type", "value"], target, ckpt, max_files_per_trigger=3)
+                             ["event_type", "value"], target, ckpt, max_files_per_trigger=3, buckets=8)
     return ingest.read_latest(spark, target)
 
 

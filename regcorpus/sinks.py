@@ -66,10 +66,10 @@ def write_bronze(df: DataFrame, path: str, partition_cols=()) -> None:
 
 def alert_report_lines(alerts: DataFrame, seq_col: str) -> DataFrame:
     """K7 (scalable part): the five report lines of each alert, in a table
-    ``(seq, line_no, line)``.  ``""`` stays ``""``; a NULL field prints
-    ``N/A``."""
+    ``(seq, line_no, line)``.  ``""`` stays ``""``; an absent field prints
+    ``N/A``; an explicit null prints ``None`` (as the reference's f-string)."""
     def v(c):
-        return F.coalesce(F.col(c), F.lit("N/A"))
+        return F.coalesce(F.col(c), F.lit("None")) if c in alerts.columns else F.lit("N/A")
     lines = F.array(
         F.concat(F.lit("### "), v("reference"), F.lit(" ("), v("date"), F.lit(")")),
         F.concat(F.lit("- **Type:** "), v("notification_type")),
@@ -84,12 +84,12 @@ def alert_report(alerts: DataFrame, seq_col: str, generated: str, top_n: int = 1
     """K7: the Markdown summary (header with the total, then the first
     ``top_n`` alerts in order) as one row.  Bounded: only ``top_n`` alerts'
     lines reach the single task that joins them."""
-    total = alerts.agg(F.count("*").alias("n"))
+    total = alerts.count()  # one scalar
     head = alerts.orderBy(seq_col).limit(top_n)
-    body = alert_report_lines(head, seq_col).agg(F.array_join(F.transform(
-        F.array_sort(F.collect_list(F.struct("seq", "line_no", "line"))), lambda s: s["line"]), "\n").alias("body"))
     header = F.concat_ws("\n", F.lit("# RASFF Notifications Summary"), F.lit(""),
                          F.concat(F.lit("Generated: "), F.lit(generated)),
-                         F.concat(F.lit("Total notifications: "), F.col("n").cast("string")),
-                         F.lit(""), F.lit("## Notifications"), F.lit(""))
-    return total.crossJoin(body).select(F.concat_ws("\n", header, F.col("body")).alias("markdown"))
+                         F.lit(f"Total notifications: {total}"), F.lit(""), F.lit("## Notifications"), F.lit(""))
+    lines = alert_report_lines(head, seq_col).agg(
+        F.array_sort(F.collect_list(F.struct("seq", "line_no", "line"))).alias("ls"))
+    body = F.array_join(F.transform("ls", lambda s: s["line"]), "\n")
+    return lines.select(F.when(F.size("ls") > 0, F.concat_ws("\n", header, body)).otherwise(header).alias("markdown"))

@@ -9,7 +9,7 @@ T2 keeps the newest record per key across runs.  It is a streaming
 aggregation — ``max(struct(order_col, ...))`` per key — whose per-key state
 lives in the (distributed, checkpointed) state store; ``update`` mode emits the
 keys each micro-batch changed, and ``foreachBatch`` merges them into the
-target table.
+touched key-hash buckets of the target.
 """
 
 from __future__ import annotations
@@ -44,28 +44,44 @@ def latest_per_key(stream: DataFrame, key: str, order_cols: list, value_cols: li
         *[F.col(f"_w._{c}").alias(c) for c in value_cols])
 
 
+TARGET_BUCKETS = 64
+
+
 def upsert_latest(spark: SparkSession, source_dir: str, schema: StructType, key: str, order_cols: list,
                   value_cols: list, target_dir: str, checkpoint_dir: str,
-                  max_files_per_trigger: int | None = None):
+                  max_files_per_trigger: int | None = None, buckets: int = TARGET_BUCKETS):
     """Stream landed files, keep the newest record per key in the state
     store, and merge each micro-batch's changed keys into ``target_dir``.
 
-    The target is versioned by epoch (``target_dir/epoch=<n>``); a batch
-    rewrites only the keys it changed plus the untouched rest of the previous
-    version, so a replayed epoch after a failure produces the same version."""
+    The target is log-structured by key-hash bucket: micro-batch ``n`` writes
+    only the buckets it touches, merged with their previous contents, to
+    ``target_dir/epoch=<n>/_bucket=<b>``; a reader takes each bucket's newest
+    epoch.  A batch costs O(touched buckets), not O(state), and a replayed
+    epoch rewrites the same folder with the same rows."""
     reader = spark.readStream.format("parquet").schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     latest = latest_per_key(reader.load(source_dir), key, order_cols, value_cols)
     cols = [key, *order_cols, *value_cols]
 
+    def bucket_of(df):
+        return df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
+
     def merge(batch: DataFrame, epoch_id: int):
-        prev = _latest_version(spark, target_dir)
-        changed = batch.select(*cols)
-        if prev is not None:
-            keep = spark.read.parquet(prev).join(changed.select(key), key, "left_anti")
-            changed = keep.unionByName(changed)
-        changed.write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id:012d}")
+        changed = bucket_of(batch.select(*cols)).persist()
+        try:
+            touched = [r[0] for r in changed.select("_bucket").distinct().collect()]  # <= buckets values
+            if not touched:
+                return
+            where = _bucket_paths(spark, target_dir)
+            prev_paths = [where[b] for b in touched if b in where]
+            merged = changed
+            if prev_paths:
+                prev = bucket_of(spark.read.parquet(*prev_paths).select(*cols))
+                merged = prev.join(changed.select(key), key, "left_anti").unionByName(changed)
+            merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{target_dir}/epoch={epoch_id:012d}")
+        finally:
+            changed.unpersist()
 
     q = (latest.writeStream.outputMode("update").option("checkpointLocation", checkpoint_dir)
          .foreachBatch(merge).trigger(availableNow=True).start())
@@ -73,23 +89,31 @@ def upsert_latest(spark: SparkSession, source_dir: str, schema: StructType, key:
     return q
 
 
-def _latest_version(spark: SparkSession, target_dir: str) -> str | None:
+def _list_dirs(spark: SparkSession, path: str, prefix: str) -> list:
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(target_dir)
-    fs = path.getFileSystem(conf)
-    if not fs.exists(path):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.getPath().getName().startswith("epoch="))
-    return f"{target_dir}/{names[-1]}" if names else None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)
+                  if s.isDirectory() and s.getPath().getName().startswith(prefix))
+
+
+def _bucket_paths(spark: SparkSession, target_dir: str) -> dict:
+    """Bucket -> folder of its newest epoch (a listing of folder names only)."""
+    out = {}
+    for epoch in _list_dirs(spark, target_dir, "epoch="):
+        for b in _list_dirs(spark, f"{target_dir}/{epoch}", "_bucket="):
+            out[int(b.split("=", 1)[1])] = f"{target_dir}/{epoch}/{b}"
+    return out
 
 
 def read_latest(spark: SparkSession, target_dir: str) -> DataFrame:
-    """Current version of a T2 target."""
-    v = _latest_version(spark, target_dir)
-    if v is None:
+    """Current state of a T2 target (each bucket's newest epoch)."""
+    paths = list(_bucket_paths(spark, target_dir).values())
+    if not paths:
         raise FileNotFoundError(target_dir)
-    return spark.read.parquet(v)
+    return spark.read.parquet(*paths)
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:

@@ -91,12 +91,16 @@ def test_envelope_and_per_keyword_and_report(spark):
     assert not os.path.exists(f"{d}/empty")
     summary = sinks.write_per_keyword(rows, f"{d}/kw").collect()
     assert sorted((r.keyword_safe, r.keyword) for r in summary) == [("a_b", "a b"), ("a_b", "a/b")]
-    alerts = spark.createDataFrame([(1, "2024.1", "2024-01-15", "alert", "S", "", None)],
+    alerts = spark.createDataFrame([(1, "2024.1", "2024-01-15", "alert", "S", "")],
                                    "seq int, reference string, date string, notification_type string, subject string,"
-                                   " hazard string, origin_country string")
+                                   " hazard string")
     md = sinks.alert_report(alerts, "seq", "2026-01-01 00:00:00").first().markdown
     assert "Total notifications: 1" in md and "### 2024.1 (2024-01-15)" in md
     assert "- **Hazard:** \n" in md and "- **Origin:** N/A" in md
+    nulls = alerts.withColumn("origin_country", F.lit(None).cast("string"))
+    assert "- **Origin:** None" in sinks.alert_report(nulls, "seq", "x").first().markdown
+    empty = sinks.alert_report(alerts.limit(0), "seq", "x").first().markdown
+    assert "Total notifications: 0" in empty
 
 
 def test_incremental_ingest_and_latest(spark):
