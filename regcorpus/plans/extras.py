@@ -489,3 +489,91 @@ def landed_page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_bronze(found.select("path", "length", "content", "input_dir"), f"{run}/bronze")
     b = spark.read.parquet(f"{run}/bronze")
     return b.select(F.regexp_extract("path", r"page=(\d+)", 1).cast("long").alias("page"), "length").orderBy("page")
+
+
+# ---------------------------------------------------------------- S5 S6 --
+@register("act_sidecars", """
+SELECT key, count(*) AS n, count(*) FILTER (WHERE contains(value, ': ')) AS n_with_colon FROM (
+  SELECT 'id' AS key, 'WDU' || CAST(s_suppkey AS VARCHAR) AS value FROM supplier
+  UNION ALL SELECT 'title', 'Ustawa: ' || s_name FROM supplier
+  UNION ALL SELECT 'dziennik', 'Dz.U. ' || CAST(1990 + s_nationkey AS VARCHAR) FROM supplier) t
+GROUP BY key
+""")
+def act_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``key: value`` sidecar files landed in the shared folder, split on
+    the first ``": "`` only."""
+    s = table(spark, sf_dir, "supplier")
+    lines = F.array(F.concat(F.lit("id: WDU"), F.col("s_suppkey").cast("string")),
+                    F.concat(F.lit("title: Ustawa: "), F.col("s_name")),
+                    F.concat(F.lit("dziennik: Dz.U. "), (F.col("s_nationkey") + 1990).cast("string")))
+    run = new_run_dir(spark, "sidecars")
+    s.select(F.explode(lines).alias("value")).write.text(run)
+    kv = files.read_sidecars(spark, run)
+    return kv.groupBy("key").agg(F.count("*").alias("n"), F.count_if(F.col("value").contains(": ")).alias("n_with_colon"))
+
+
+@register("act_metadata_json", """
+SELECT 'WDU' || CAST(s_suppkey AS VARCHAR) AS id, s_name AS title, s_nationkey AS nation,
+       CAST(s_suppkey % 3 AS BIGINT) AS n_links
+FROM supplier
+""")
+def act_metadata_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Act metadata JSON (open nested ``api_details``) landed in the
+    shared folder and read as VARIANT; nested fields read by path."""
+    s = table(spark, sf_dir, "supplier")
+    details = F.struct(F.col("s_nationkey").alias("nation"),
+                       F.slice(F.array(F.lit("pdf"), F.lit("html"), F.lit("xml")), 1, (F.col("s_suppkey") % 3).cast("int"))
+                       .alias("links"))
+    run = new_run_dir(spark, "act-meta")
+    s.select(F.concat(F.lit("WDU"), F.col("s_suppkey").cast("string")).alias("id"), F.col("s_name").alias("title"),
+             F.lit("").alias("dziennik"), details.alias("api_details")).write.json(run)
+    m = files.read_act_metadata(spark, run, one_per_file=False)
+    return m.select("id", "title", F.variant_get("api_details", "$.nation", "int").alias("nation"),
+                    F.coalesce(F.variant_get("api_details", "$.links", "array<string>").cast("array<string>")
+                               .alias("l"), F.array()).alias("links")) \
+        .select("id", "title", "nation", F.size("links").cast("long").alias("n_links"))
+
+
+# ----------------------------------------------------------- H3 H4 X16 X17 --
+def standin_act_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents laid out as old EUR-Lex HTML (even ids: ``div#TexteOnly``,
+    ``Artykuł``/``ROZDZIAŁ`` lines) or national act HTML (odd ids:
+    ``div.textContent``, ``Art. n.``/``Rozdział`` lines), with page chrome."""
+    d = table(spark, sf_dir, "documents")
+    eu = F.col("doc_id") % 2 == 0
+    esc = lambda c: F.regexp_replace(F.regexp_replace(c, "&", "&amp;"), "<", "&lt;")
+
+    def line(x, i):
+        k = (i / 5).cast("int").cast("string")
+        art = F.when(eu, F.concat(F.lit("<p>Artykuł "), k, F.lit("</p>"))).otherwise(
+            F.concat(F.lit("<p>Art. "), k, F.lit(".</p>")))
+        chap = F.when(eu, F.concat(F.lit("<p>ROZDZIAŁ "), k, F.lit("</p>"))).otherwise(
+            F.concat(F.lit("<p>Rozdział "), k, F.lit("</p>")))
+        body = F.concat(F.lit("<p>"), esc(x), F.lit("</p>"))
+        return (F.when(i % 10 == 0, F.concat(chap, art, body)).when(i % 5 == 0, F.concat(art, body)).otherwise(body))
+
+    inner = F.array_join(F.transform(F.split("text", "\n"), line), "")
+    html = F.when(eu, F.concat(F.lit('<html><body><header>EUR-Lex</header><nav>menu</nav><div id="TexteOnly">'),
+                               inner, F.lit("</div><footer>stopka</footer></body></html>"))) \
+        .otherwise(F.concat(F.lit('<html><body><nav>ISAP Sejm</nav><div class="textContent">'), inner,
+                            F.lit("</div><footer>isap</footer></body></html>")))
+    return d.select("doc_id", html.alias("html"),
+                    F.when(eu, F.lit("act.html")).otherwise(F.lit("ustawa.html")).alias("file_name"))
+
+
+@register("act_html_headings", """
+WITH l AS (SELECT doc_id, len(string_split(text, chr(10))) AS n_lines FROM documents)
+SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'eurlex' ELSE 'isap' END AS source_type,
+       CAST((n_lines + 4) // 5 AS BIGINT) AS n_articles, CAST((n_lines + 9) // 10 AS BIGINT) AS n_chapters
+FROM l
+""")
+def act_html_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3/H4 walk (root element, chrome dropped) -> X16/X17 heading markup ->
+    X18 clean-up; article and chapter headings per act."""
+    conv = markup.convert_documents(standin_act_html(spark, sf_dir), "doc_id", "html", "file_name")
+    md = markup.to_markdown(conv, "doc_id")
+    art = F.when(F.col("source_type") == "eurlex", r"(?m)^#### Artyku").otherwise(r"(?m)^### Art\. ")
+    chap = F.when(F.col("source_type") == "eurlex", r"(?m)^## ROZDZIA").otherwise(r"(?m)^## Rozdzia")
+    return md.select("doc_id", "source_type",
+                     F.size(F.regexp_extract_all("markdown", art, 0)).cast("long").alias("n_articles"),
+                     F.size(F.regexp_extract_all("markdown", chap, 0)).cast("long").alias("n_chapters"))

@@ -83,10 +83,36 @@ def _alert_item(e: DataFrame) -> Column:
     return F.when(iv == 0, F.lit("[1, 2]")).when(iv == 1, F.lit("null")).otherwise(obj)
 
 
+def _catalogue_item(e: DataFrame) -> Column:
+    iv = F.col("event_id") % 10
+    k = F.get_json_object("props", "$.k").cast("int")
+    status = F.when(F.col("event_type").isin("purchase", "click"), "authorised").otherwise("pending")
+    name = F.concat(F.lit("Ingredient "), (k % 40).cast("string"))
+    cat = F.concat(F.lit("category-"), (k % 6).cast("string"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    full = iv >= 5
+    null = F.lit(None).cast("string")
+    obj = _object_json([
+        _kv("name", name, full | (iv == 2)),
+        _kv("title", name, (iv == 3) | (iv == 2)),
+        _kv("status", F.when(iv == 2, null).otherwise(status), full | (iv == 2)),
+        _kv("authorisationStatus", status, (iv == 3) | (iv == 2)),
+        _kv("category", cat, full),
+        _kv("foodCategory", cat, iv == 3),
+        _kv("applicant", F.concat(F.lit("Applicant "), (F.col("user_id") % 9).cast("string")), full),
+        _kv("date", day, full),
+        _kv("authorisationDate", day, iv == 3),
+        _kv("regulation", F.lit("2017/2470"), full),
+        _kv("conditionsOfUse", F.lit("max 15 g"), iv == 3),
+        _kv("specifications", F.concat(F.lit("spec "), (k % 3).cast("string")), full),
+    ])
+    return F.when(iv == 0, F.lit('"x"')).when(iv == 1, F.lit("null")).otherwise(obj)
+
+
 def standin_register_pages(spark: SparkSession, sf_dir: str, register_name: str) -> DataFrame:
     """Landed pages ``(run_id, page, body)`` of one register, from ``events``."""
     first = envelopes.FIRST_PAGE[register_name]
-    item = {"claims": _claim_item, "alerts": _alert_item, "catalogue": _claim_item}[register_name]
+    item = {"claims": _claim_item, "alerts": _alert_item, "catalogue": _catalogue_item}[register_name]
     ev = table(spark, sf_dir, "events")
     ev = (ev.withColumn("run_id", F.floor(F.col("event_id") / RUN_ITEMS))
           .withColumn("page", F.floor((F.col("event_id") % RUN_ITEMS) / envelopes.PAGE_SIZE) + first)
@@ -101,6 +127,8 @@ def standin_register_pages(spark: SparkSession, sf_dir: str, register_name: str)
     if register_name == "alerts":
         items_key = F.when(items_key == "content", "content").when(items_key == "items", "items") \
             .otherwise("notifications")
+    elif register_name == "catalogue":
+        items_key = F.when(items_key == "claims", "entries").otherwise(items_key)
     total_part = (F.when(vr == 2, F.lit(""))
                   .otherwise(F.concat(F.lit('"'), F.when(vr.isin(1, 6), "totalRecords").otherwise("totalElements"),
                                       F.lit('": '),
@@ -239,3 +267,29 @@ def alerts_food(spark: SparkSession, sf_dir: str) -> DataFrame:
     alerts = records.filter_equals_or_all(records.normalise_alert(items), "product_category", "food")
     return alerts.select("reference", "notification_type", "product_category", "hazard",
                          F.size("distribution_countries").alias("n_distribution"))
+
+
+CATALOGUE_SQL = _CLAIMS_ORACLE_CTE.format(first=0) + """
+SELECT category, status, count(*) AS n_entries, count(DISTINCT name) AS n_names FROM (
+  SELECT CASE WHEN iv = 4 THEN '' WHEN iv = 2 THEN NULL
+              WHEN event_type IN ('purchase', 'click') THEN 'authorised' ELSE 'pending' END AS status,
+         CASE WHEN iv IN (2, 4) THEN '' ELSE 'category-' || CAST(k % 6 AS VARCHAR) END AS category,
+         CASE WHEN iv = 4 THEN '' ELSE 'Ingredient ' || CAST(k % 40 AS VARCHAR) END AS name
+  FROM items) t
+GROUP BY category, status
+"""
+
+
+@register("catalogue_entries_written", CATALOGUE_SQL)
+def catalogue_entries_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 -> W1 -> P3 (name/title, status/authorisationStatus, ... fallbacks)
+    -> K2 records written as JSON and read back -> entries per category and
+    status."""
+    from regcorpus import sinks
+    from regcorpus.streaming.ingest import new_run_dir
+    items = collect_register(standin_register_pages(spark, sf_dir, "catalogue"), "catalogue")
+    out = new_run_dir(spark, "catalogue")
+    sinks.write_json_records(records.normalise_catalogue_entry(items), out)
+    back = spark.read.schema(", ".join(f"{n} string" for n, _ in records.CATALOGUE_FIELDS)).json(out)
+    return back.groupBy("category", "status").agg(F.count("*").alias("n_entries"),
+                                                  F.countDistinct("name").alias("n_names"))

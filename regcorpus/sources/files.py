@@ -71,10 +71,10 @@ def read_sidecars(spark: SparkSession, path: str) -> DataFrame:
         "file", F.regexp_extract("value", kv, 1).alias("key"), F.regexp_extract("value", kv, 2).alias("value"))
 
 
-def read_act_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Act metadata JSON documents; the open nested ``api_details`` is
-    kept as VARIANT."""
-    raw = spark.read.text(path, wholetext=True)
+def read_act_metadata(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
+    """Act metadata JSON documents (one pretty-printed object per file, or
+    JSON lines); the open nested ``api_details`` is kept as VARIANT."""
+    raw = spark.read.text(path, wholetext=one_per_file)
     v = F.try_parse_json("value")
     return raw.select(
         F.variant_get(v, "$.id", "string").alias("id"), F.variant_get(v, "$.name", "string").alias("name"),
