@@ -156,8 +156,8 @@ def celex_from_citation(number: Column, act_letter: Column | None = None) -> Col
     """
     a = F.regexp_extract(number, ACT_NUMBER, 1)
     b = F.regexp_extract(number, ACT_NUMBER, 2)
-    old_style = ((F.length(b) == 4) & b.cast("int").between(1950, 2014)
-                 & ~F.coalesce(a.cast("int").between(2015, 2035), F.lit(False)))
+    old_style = ((F.length(b) == 4) & F.coalesce(b.try_cast("int").between(1950, 2014), F.lit(False))
+                 & ~F.coalesce(a.try_cast("int").between(2015, 2035), F.lit(False)))
     year = F.when(old_style, b).otherwise(a)
     nr = F.when(old_style, a).otherwise(b)
     letter = act_letter if act_letter is not None else F.lit("R")
@@ -176,7 +176,7 @@ def parse_amount(text: Column) -> Column:
     """``"3,0 mg/kg"`` -> struct(value DECIMAL(18,6), unit, value_mg_per_kg)."""
     num = F.regexp_extract(text, r"(\d+(?:[.,]\d+)?)", 1)
     unit = F.lower(F.regexp_extract(text, r"(?U)\d(?:[.,]\d+)?\s*([^\s\d]+/[^\s\d]+)", 1))
-    value = F.regexp_replace(num, ",", ".").cast("decimal(18,6)")
+    value = F.regexp_replace(num, ",", ".").try_cast("decimal(18,6)")
     factor = _factor_map()[unit]
     return F.struct(value.alias("value"), F.nullif(unit, F.lit("")).alias("unit"),
                     (value * factor).cast("decimal(18,6)").alias("value_mg_per_kg"))
@@ -190,4 +190,4 @@ def _factor_map() -> Column:
 # --- X22: deadlines ----------------------------------------------------------
 def deadline(delivery: Column, days: Column) -> Column:
     """Last day of a period of ``days`` counted from delivery."""
-    return F.date_add(delivery, days.cast("int"))
+    return F.date_add(delivery, days.try_cast("int"))

@@ -116,17 +116,22 @@ def expand_abbreviations(df: DataFrame, text_col: str, spark: SparkSession, keep
 
 
 def link_graph(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """Per node in/out degree and outgoing edges without a reverse edge."""
+    """Per node in/out degree and outgoing edges without a reverse edge.
+
+    One pass over the distinct edges: a window over the unordered node pair
+    (at most two rows: a->b and b->a) tells whether the reverse exists, then
+    each edge explodes into (src: out, dst: in) contributions summed per node.
+    No self-join, so the edge input is computed once."""
     e = edges.select(F.col(src).alias("src"), F.col(dst).alias("dst")).distinct()
-    rev = e.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    non_recip = e.join(rev, ["src", "dst"], "left_anti")
-    out_d = e.groupBy("src").agg(F.count("*").alias("out_degree")).withColumnRenamed("src", "node")
-    in_d = e.groupBy("dst").agg(F.count("*").alias("in_degree")).withColumnRenamed("dst", "node")
-    nr = non_recip.groupBy("src").agg(F.count("*").alias("non_reciprocal_out")).withColumnRenamed("src", "node")
-    return (out_d.join(in_d, "node", "full_outer").join(nr, "node", "left")
-            .select("node", F.coalesce("in_degree", F.lit(0)).alias("in_degree"),
-                    F.coalesce("out_degree", F.lit(0)).alias("out_degree"),
-                    F.coalesce("non_reciprocal_out", F.lit(0)).alias("non_reciprocal_out")))
+    pair = Window.partitionBy(F.least("src", "dst"), F.greatest("src", "dst"))
+    e = e.withColumn("_non_recip", (F.count("*").over(pair) == 1) & (F.col("src") != F.col("dst")))
+    contrib = F.explode(F.array(
+        F.struct(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"),
+                 F.col("_non_recip").cast("int").alias("nr")),
+        F.struct(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"), F.lit(0).alias("nr"))))
+    c = e.select(contrib.alias("c")).select("c.*")
+    return c.groupBy("node").agg(F.sum("i").cast("long").alias("in_degree"), F.sum("o").cast("long").alias("out_degree"),
+                                 F.sum("nr").cast("long").alias("non_reciprocal_out"))
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
@@ -211,25 +216,27 @@ def as_of(samples: DataFrame, versions: DataFrame, key: str, date_col: str,
     (``valid_from <= d < valid_to``, open end = still valid); samples before
     the first version keep NULLs.
 
-    Range join made an equi-join: every closed version interval is exploded
-    into the calendar months it covers, and samples join on (key, month) with
-    the range as a residual predicate.  Open-ended versions (one per key) join
-    the distinct (key, month) pairs the samples use.  A key holding a third of
-    all samples is spread over its months; no per-key window over samples."""
-    v = versions.withColumn("_m0", _month(F.col(valid_from)))
-    closed = v.filter(F.col(valid_to).isNotNull()).withColumn(
-        "_m", F.explode(F.sequence(F.col("_m0"), _month(F.date_sub(F.col(valid_to), 1)))))
+    Range join made equi-joins, with the sample side flowing through once:
+    closed version intervals are exploded into the calendar months they cover
+    and joined on (key, month) with the range as a residual predicate; the
+    open-ended version (at most one per key) is a second left join on the key
+    with ``d >= valid_from``.  A key holding a third of all samples is spread
+    over its months in the first join; the second join's version side has one
+    row per key (broadcast by AQE when small, skew-split otherwise)."""
+    vcols = [c for c in versions.columns if c != key]
+    v = versions.select(key, *[F.col(c).alias(f"_v_{c}") for c in vcols])
+    vf, vt = f"_v_{valid_from}", f"_v_{valid_to}"
+    closed = (v.filter(F.col(vt).isNotNull())
+              .withColumn("_m", F.explode(F.sequence(_month(F.col(vf)), _month(F.date_sub(F.col(vt), 1))))))
+    open_ = v.filter(F.col(vt).isNull()).select(F.col(key).alias("_ok"),
+                                                *[F.col(f"_v_{c}").alias(f"_o_{c}") for c in vcols])
     s = samples.withColumn("_m", _month(F.col(date_col)))
-    used = s.select(key, "_m").distinct()
-    open_ = (v.filter(F.col(valid_to).isNull()).join(used, key)
-             .filter(F.col("_m") >= F.col("_m0")))
-    vx = closed.unionByName(open_).drop("_m0")
-    vcols = [c for c in vx.columns if c not in (key, "_m")]
-    vx = vx.select(key, "_m", *[F.col(c).alias(f"_v_{c}") for c in vcols])
-    cond = ((s[key] == vx[key]) & (s["_m"] == vx["_m"]) & (F.col(date_col) >= F.col(f"_v_{valid_from}"))
-            & (F.col(f"_v_{valid_to}").isNull() | (F.col(date_col) < F.col(f"_v_{valid_to}"))))
-    out = s.join(vx, cond, "left").drop(vx[key]).drop(vx["_m"]).drop(s["_m"])
-    return out.select(*samples.columns, *[F.col(f"_v_{c}").alias(c) for c in vcols])
+    c_cond = ((s[key] == closed[key]) & (s["_m"] == closed["_m"])
+              & (F.col(date_col) >= F.col(vf)) & (F.col(date_col) < F.col(vt)))
+    j = s.join(closed, c_cond, "left").drop(closed[key]).drop(closed["_m"]).drop(s["_m"])
+    o_cond = (F.col(key) == F.col("_ok")) & (F.col(date_col) >= F.col(f"_o_{valid_from}"))
+    j = j.join(open_, o_cond, "left")
+    return j.select(*samples.columns, *[F.coalesce(F.col(f"_v_{c}"), F.col(f"_o_{c}")).alias(c) for c in vcols])
 
 
 def latest_by(df: DataFrame, key: str, order_cols: list) -> DataFrame:

@@ -47,16 +47,27 @@ def first_halt(pages: DataFrame, run_col: str = "run_id", page_col: str = "page"
 
 
 def counted_pages(pages: DataFrame, first_page: int = 0, max_pages: int | None = 5,
-                  run_col: str = "run_id", page_col: str = "page") -> DataFrame:
+                  run_col: str = "run_id", page_col: str = "page", cut_lineage: bool = True) -> DataFrame:
     """Keep the pages a sequential collector would have consumed.
 
     ``pages`` needs ``ok``, ``n_rows``, ``total`` (see ``parse_envelope``).
     ``max_pages=None`` reads every landed page.
+
+    The verdict needs the narrow page table three times (block sums, in-block
+    prefix, halts).  With ``cut_lineage`` it is computed once and written
+    with ``checkpoint()`` to the shared checkpoint folder (one small row per
+    page), so the landed pages are parsed twice in all — once for the
+    verdict, once for the items kept — instead of once per use.
     """
     if max_pages is not None:
         pages = pages.filter(F.col(page_col) < first_page + max_pages)
     pages = pages.filter(F.col(page_col) >= first_page)
-    halt = first_halt(pages, run_col, page_col)
+    narrow = pages.select(run_col, page_col, "ok", "n_rows", "total")
+    if cut_lineage:
+        from regcorpus.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(narrow.sparkSession)
+        narrow = narrow.checkpoint(eager=True)
+    halt = first_halt(narrow, run_col, page_col)
     return (pages.join(halt, run_col, "left")
             .filter(F.col("ok") & (F.col("first_halt").isNull()
                                    | (F.col(page_col) <= F.col("first_halt"))))

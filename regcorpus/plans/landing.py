@@ -116,7 +116,7 @@ def index_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rows.filter(F.get("cells", 0) != "turn")  # header row
     return rows.groupBy("conv_id").agg(
         F.count("*").alias("n_rows"), F.count_if(F.get("cells", 1) == "user").alias("n_user_rows"),
-        F.sum(F.get("cells", 2).cast("long")).alias("total_chars"))
+        F.sum(F.get("cells", 2).try_cast("long")).alias("total_chars"))
 
 
 def standin_qa_files(spark: SparkSession, sf_dir: str) -> DataFrame:

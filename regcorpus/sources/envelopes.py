@@ -44,13 +44,12 @@ def _items(env: Column, register: str) -> Column:
 def parse_envelope(pages: DataFrame, register: str, body_col: str = "body") -> DataFrame:
     """Add ``ok`` (response present), ``total``, ``items`` (array of objects) and
     ``n_rows``; drops ``body``.  A failed page has ``ok = false`` and no items."""
-    env = parse_object(F.col(body_col))
-    total = get_first(env, *TOTAL_KEYS, default=F.lit("0"))
+    total = get_first(F.col("_env"), *TOTAL_KEYS, default=F.lit("0"))
     out = (pages
-           .withColumn("_env", env)
+           .withColumn("_env", parse_object(F.col(body_col)))
            .withColumn("ok", F.col(body_col).isNotNull())
            .withColumn("total", F.when(F.col("_env").isNull(), F.lit(0))
-                       .otherwise(F.coalesce(total.cast("bigint"), F.lit(0))))
+                       .otherwise(F.coalesce(total.try_cast("bigint"), F.lit(0))))
            .withColumn("items", F.when(F.col("_env").isNull(),
                                        F.array().cast("array<map<string,string>>"))
                        .otherwise(F.coalesce(_items(F.col("_env"), register),

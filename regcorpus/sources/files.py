@@ -139,7 +139,7 @@ def qa_pairs(df: DataFrame, text_col: str, keep=()) -> DataFrame:
     the question (per document window, bounded by one document)."""
     from pyspark.sql import Window
     lines = df.select(*keep, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    q_no = F.when(F.col("line").rlike(QUESTION), F.regexp_extract("line", QUESTION, 1).cast("int"))
+    q_no = F.when(F.col("line").rlike(QUESTION), F.regexp_extract("line", QUESTION, 1).try_cast("int"))
     q = F.when(F.col("line").rlike(QUESTION), F.regexp_extract("line", QUESTION, 2))
     a = F.when(F.col("line").rlike(ANSWER), F.regexp_extract("line", ANSWER, 1))
     w = Window.partitionBy(*keep).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
