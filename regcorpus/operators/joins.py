@@ -38,13 +38,28 @@ def spread_for_python(df: DataFrame, *keys: str) -> DataFrame:
 
 
 WIDEN_MAX = 64
+WIDEN_MIN_BYTES = 1 << 20
+
+
+def _input_bytes(df: DataFrame) -> int:
+    jvm = df.sparkSession.sparkContext._jvm
+    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
 
 
 def widen_scan(df: DataFrame) -> DataFrame:
     """Round-robin a *scan* that yields fewer splits than the cluster has
-    cores (capped at ``WIDEN_MAX``) — small files with few row groups leave
-    cores idle under CPU-heavy text expressions.  Large inputs already have
-    many more splits than cores, so this is a no-op at scale.  Call it on a
-    plain table read only (it inspects the scan's split count, no job)."""
+    cores (capped at ``WIDEN_MAX``) when it holds at least
+    ``WIDEN_MIN_BYTES`` — small files with few row groups otherwise leave
+    cores idle under CPU-heavy expressions.  Large inputs already have many
+    more splits than cores, so this is a no-op at scale; tiny dimension
+    tables are left alone.  Call it on a plain table read only (it inspects
+    the scan's split count and file sizes, no job)."""
     target = min(df.sparkSession.sparkContext.defaultParallelism, WIDEN_MAX)
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    if df.rdd.getNumPartitions() >= target or _input_bytes(df) < WIDEN_MIN_BYTES:
+        return df
+    return df.repartition(target)

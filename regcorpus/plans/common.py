@@ -31,14 +31,11 @@ def register(name: str, oracle: str | None = None, bench: bool = False):
     return deco
 
 
-TEXT_TABLES = ("documents", "pages", "conversations", "benchmark")
-
-
 def table(spark: SparkSession, sf_dir: str, name: str, widen: bool = True) -> DataFrame:
-    """A driver table.  Text tables are widened to the cluster's cores when
-    their scan has fewer splits (see ``joins.widen_scan``)."""
+    """A driver table, widened to the cluster's cores when its scan has fewer
+    splits than cores and it is not tiny (see ``joins.widen_scan``)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if widen and name in TEXT_TABLES:
+    if widen:
         from regcorpus.operators.joins import widen_scan
         df = widen_scan(df)
     return df
