@@ -578,3 +578,21 @@ def act_html_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return md.select("doc_id", "source_type",
                      F.size(F.regexp_extract_all("markdown", art, 0)).cast("long").alias("n_articles"),
                      F.size(F.regexp_extract_all("markdown", chap, 0)).cast("long").alias("n_chapters"))
+
+
+# ----------------------------------------------------------------------- D2 --
+@register("sql_case_hits", _F4_SQL.split("SELECT keyword, rank, signature FROM hits")[0] + """
+SELECT keyword, rank, signature, date, url FROM hits
+""")
+def sql_case_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The national hit parser written in Spark SQL with the registered
+    SQL functions (X1, X4, X5, F6)."""
+    from regcorpus.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    standin_national_rows(spark, sf_dir).createOrReplaceTempView("regcorpus_national_rows")
+    return spark.sql(f"""
+        SELECT keyword, row_no AS rank, court_signature(text) AS signature,
+               date_literal_national(text) AS date, absolutise_url(href, '{X.NATIONAL_HOST}') AS url
+        FROM regcorpus_national_rows
+        WHERE length(text) >= 10
+          AND (court_signature(text) IS NOT NULL OR date_literal_national(text) IS NOT NULL OR href IS NOT NULL)""")

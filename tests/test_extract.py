@@ -133,3 +133,21 @@ def _py_title(md):
                 max_size=25).map("".join))
 def test_title_line_matches_python(spark, md):
     assert _one(spark, T.first_title_line(F.col("t")), md) == _py_title(md)
+
+
+def test_sql_functions_match_column_functions(spark):
+    from regcorpus.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    rows = [("Orzeczenie 15.06.2019, sygn. IV SA/Wa 200/19", "/a", "62012CJ0299", "a b/ć"),
+            ("Case C-609/12 - ECLI:EU:C:2014:793 - 23/01/2014", None, "INVALID", "x")]
+    df = spark.createDataFrame(rows, "t string, href string, celex string, k string")
+    df.createOrReplaceTempView("fx")
+    sql = spark.sql("SELECT court_signature(t) a, court_signature_compat(t) b, cjeu_case_number(t) c, ecli(t) d, "
+                    "date_literal_national(t) e, date_literal_cjeu(t) f, absolutise_url(href, 'https://h') g, "
+                    "judgment_file_name(celex, '2013-10-03') h, safe_name(k) i, squeeze_ws(t) j FROM fx").collect()
+    col = df.select(X.court_signature(F.col("t")), X.court_signature(F.col("t"), compat=True),
+                    X.cjeu_case_number(F.col("t")), X.ecli(F.col("t")), X.date_literal_national(F.col("t")),
+                    X.date_literal_cjeu(F.col("t")), X.absolutise_url(F.col("href"), "https://h"),
+                    X.judgment_file_name(F.col("celex"), F.lit("2013-10-03")), T.safe_name(F.col("k")),
+                    T.squeeze_ws(F.col("t"))).collect()
+    assert [tuple(r) for r in sql] == [tuple(r) for r in col]
