@@ -112,3 +112,24 @@ def test_first_n_per_group(spark):
     df = spark.createDataFrame([("a", i) for i in range(30)] + [("b", 1)], "keyword string, row_no int")
     out = paging.first_n_per_group(df, "keyword", "row_no", 20)
     assert out.filter("keyword = 'a'").count() == 20 and out.filter("keyword = 'b'").count() == 1
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+_page = st.fixed_dictionaries({"ok": st.booleans() | st.just(True), "n": st.integers(0, 60),
+                               "total": st.sampled_from([0, 40, 100, 150, 10_000])})
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.lists(_page, min_size=1, max_size=9), min_size=1, max_size=4), st.sampled_from([3, 5, None]))
+def test_paging_rule_property(spark, runs, max_pages):
+    pages = {r: dict(enumerate(ps)) for r, ps in enumerate(runs)}
+    rows = [(r, p, v["ok"], v["n"] if v["ok"] else 0, v["total"]) for r, ps in pages.items() for p, v in ps.items()]
+    df = spark.createDataFrame(rows, "run_id int, page int, ok boolean, n_rows long, total long")
+    got = {}
+    for r in paging.counted_pages(df, 0, max_pages, cut_lineage=False).collect():
+        got.setdefault(r.run_id, []).append(r.page)
+    for run, ps in pages.items():
+        model = {p: dict(ok=v["ok"], n=v["n"] if v["ok"] else 0, total=v["total"]) for p, v in ps.items()}
+        want = _model(model, 0, max_pages or 100)
+        assert [p for p in sorted(got.get(run, [])) if model[p]["n"] > 0] == want, (run, model)
