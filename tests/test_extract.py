@@ -151,3 +151,27 @@ def test_sql_functions_match_column_functions(spark):
                     X.judgment_file_name(F.col("celex"), F.lit("2013-10-03")), T.safe_name(F.col("k")),
                     T.squeeze_ws(F.col("t"))).collect()
     assert [tuple(r) for r in sql] == [tuple(r) for r in col]
+
+
+def test_fixture7_unicode_whitespace_and_line_ends(spark):
+    # NBSP is whitespace for X15 and not a word character for X9
+    assert _one(spark, T.squeeze_ws(F.col("t")), "a  b c") == "a b c"
+    assert _one(spark, T.safe_name(F.col("t")), "a b") == "a_b"
+    # only \n ends a line in X16/X18 (\r and U+2028 do not), as in Python re
+    md = "x\rArtykuł 5\nArtykuł 6 ROZDZIAŁ II"
+    got = _one(spark, T.headings_eu(F.col("t")), md)
+    want = re.sub(r"^(Artyku[lł]\s+\d+[a-z]?)", r"\n#### \1", md, flags=re.MULTILINE)
+    want = re.sub(r"^(ROZDZIA[LŁ]\s+[IVX\d]+)", r"\n## \1", want, flags=re.MULTILINE)
+    want = re.sub(r"^(TYTU[LŁ]\s+[IVX\d]+)", r"\n# \1", want, flags=re.MULTILINE)
+    assert got == want
+    for md in ["a \r\n# \n\n\n\n## x \n\n\nb ", "# \r\n\n\n\nt"]:
+        assert _one(spark, T.clean_markdown(F.col("t")), md) == _py_clean(md)
+
+
+def test_fixture7_polish_long_dates(spark):
+    cases = {"5 września 2012": "2012-09-05", "5 wrzesnia 2012": "2012-09-05",
+             "1 października 2020": "2020-10-01", "1 pazdziernika 2020": "2020-10-01",
+             "2001-01-01 oraz 7 lipca 2019": "2019-07-07",
+             "7 lipca 2019, 3 October 2013": "2013-10-03"}
+    for text, want in cases.items():
+        assert _one(spark, X.document_date(F.col("t")), text) == want, text
