@@ -199,11 +199,23 @@ def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def version_validity(versions: DataFrame, key: str, valid_from: str = "valid_from") -> DataFrame:
-    """``valid_to`` = the next version's ``valid_from`` for the same key.
-    A version table is a rule history (few versions per key), so one window
-    per key is bounded."""
-    w = Window.partitionBy(key).orderBy(valid_from)
-    return versions.withColumn("valid_to", F.lead(valid_from).over(w))
+    """``valid_to`` = the next version's ``valid_from`` for the same key
+    (NULL for the newest version).
+
+    Two levels, so no window spans all versions of a key: within a
+    (key, month) bucket ``lead`` gives the next version; the last version of
+    a bucket takes the first ``valid_from`` of the key's next non-empty
+    bucket, found by a window over the bucket table (one row per key and
+    month)."""
+    v = versions.withColumn("_b", _month(F.col(valid_from)))
+    inner = Window.partitionBy(key, "_b").orderBy(valid_from)
+    v = v.withColumn("_next_in", F.lead(valid_from).over(inner))
+    buckets = v.groupBy(key, "_b").agg(F.min(valid_from).alias("_first"))
+    buckets = buckets.withColumn("_next_b", F.lead("_first").over(Window.partitionBy(key).orderBy("_b"))) \
+        .drop("_first")
+    return (v.join(buckets, [key, "_b"])
+            .withColumn("valid_to", F.coalesce("_next_in", "_next_b"))
+            .drop("_b", "_next_in", "_next_b"))
 
 
 def _month(c):

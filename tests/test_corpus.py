@@ -75,3 +75,15 @@ def test_latest_by_and_authority(spark):
     assert {r.kind: r.authority for r in corpus.authority_rank(k, "kind", spark).collect()} == {
         "nsa": 7, "eu_regulation": 1, "blog": 99}
     assert F is not None
+
+
+def test_version_validity_matches_sorted_next(spark):
+    rnd = random.Random(3)
+    base = dt.date(2020, 1, 1)
+    rows = [(k, base + dt.timedelta(days=d)) for k in "ab" for d in sorted(rnd.sample(range(0, 1500), 40))]
+    v = corpus.version_validity(spark.createDataFrame(rows, "k string, valid_from date"), "k")
+    got = {(r.k, r.valid_from): r.valid_to for r in v.collect()}
+    for k in "ab":
+        ds = sorted(d for kk, d in rows if kk == k)
+        for i, d in enumerate(ds):
+            assert got[(k, d)] == (ds[i + 1] if i + 1 < len(ds) else None)
