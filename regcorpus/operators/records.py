@@ -81,6 +81,18 @@ def filter_in_or_all(df: DataFrame, col: str, values) -> DataFrame:
     return df if not values else df.filter(F.col(col).isin(list(values)))
 
 
+def filter_term_or_all(df: DataFrame, cols, term: str | None) -> DataFrame:
+    """free-text search term over the given fields (case-insensitive);
+    empty means all."""
+    if not term:
+        return df
+    hit = None
+    for c in cols:
+        h = F.lower(F.coalesce(F.col(c), F.lit(""))).contains(term.lower())
+        hit = h if hit is None else (hit | h)
+    return df.filter(hit)
+
+
 def _hit_columns(t: Column, host: str, ids: list, date: Column, formats) -> list:
     return ["keyword", F.col("row_no").alias("rank"),
             truncate(t, SNIPPET_CHARS).alias("text_snippet"), *ids, date.alias("date"),

@@ -293,3 +293,23 @@ def catalogue_entries_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = spark.read.schema(", ".join(f"{n} string" for n, _ in records.CATALOGUE_FIELDS)).json(out)
     return back.groupBy("category", "status").agg(F.count("*").alias("n_entries"),
                                                   F.countDistinct("name").alias("n_names"))
+
+
+ALERT_TYPES_SQL = _CLAIMS_ORACLE_CTE.format(first=1) + """
+SELECT notification_type, count(*) AS n_alerts FROM (
+  SELECT CASE WHEN iv = 3 THEN '' ELSE event_type END AS notification_type,
+         CASE WHEN iv = 3 THEN '' ELSE 'Hazard ' || CAST(k % 7 AS VARCHAR) || ' in product' END AS subject
+  FROM items) t
+WHERE notification_type IN ('purchase', 'signup') AND contains(lower(subject), 'hazard 3')
+GROUP BY notification_type
+"""
+
+
+@register("alerts_selected_types", ALERT_TYPES_SQL)
+def alerts_selected_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """notification-type list and free-text search term over normalised
+    alerts; alerts per type."""
+    items = collect_register(standin_register_pages(spark, sf_dir, "alerts"), "alerts")
+    a = records.filter_in_or_all(records.normalise_alert(items), "notification_type", ["purchase", "signup"])
+    a = records.filter_term_or_all(a, ["subject"], "Hazard 3")
+    return a.groupBy("notification_type").agg(F.count("*").alias("n_alerts"))

@@ -56,6 +56,14 @@ def markdown_path(path_col: str = "path"):
     return F.regexp_replace(F.col(path_col), r"\.[^./]+$", ".md")
 
 
+def flag_path_collisions(df: DataFrame, path_col: str = "path_md") -> DataFrame:
+    """K5: mark outputs whose target path is shared by another input
+    (``a.html`` and ``a.xml`` both become ``a.md``); the window is per
+    target path, i.e. a handful of rows."""
+    from pyspark.sql import Window
+    return df.withColumn("path_collision", F.count("*").over(Window.partitionBy(path_col)) > 1)
+
+
 def write_bronze(df: DataFrame, path: str, partition_cols=()) -> None:
     """K6/K8: append raw content with its metadata columns (raw always kept)."""
     w = df.write.mode("append")

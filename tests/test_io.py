@@ -118,3 +118,10 @@ def test_incremental_ingest_and_latest(spark):
     latest = {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt").collect()}
     assert latest == {1: "c", 2: "b"}
     assert F is not None
+
+
+def test_markdown_path_collisions(spark):
+    df = spark.createDataFrame([("d/a.html",), ("d/a.xml",), ("d/b.htm",)], "path string")
+    out = sinks.flag_path_collisions(df.withColumn("path_md", sinks.markdown_path("path")))
+    got = {r.path: (r.path_md, r.path_collision) for r in out.collect()}
+    assert got == {"d/a.html": ("d/a.md", True), "d/a.xml": ("d/a.md", True), "d/b.htm": ("d/b.md", False)}
