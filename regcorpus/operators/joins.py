@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# rows a dimension may have and still be broadcast
+# rows a data-derived dimension may have and still be broadcast; a session may
+# override it with ``regcorpus.broadcast.maxRows``
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -15,11 +16,13 @@ def small_dim(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
 
     The check is a bounded action (``limit(max_rows + 1).count()``); when the
     side is larger it is returned as is and the caller's join shuffles."""
+    if max_rows is None:
+        max_rows = int(df.sparkSession.conf.get("regcorpus.broadcast.maxRows", str(BROADCAST_MAX_ROWS)))
     n = df.limit(max_rows + 1).count()
     if n <= max_rows:
         return F.broadcast(df), True
@@ -59,7 +62,8 @@ def widen_scan(df: DataFrame) -> DataFrame:
     more splits than cores, so this is a no-op at scale; tiny dimension
     tables are left alone.  Call it on a plain table read only (it inspects
     the scan's split count and file sizes, no job)."""
-    target = min(df.sparkSession.sparkContext.defaultParallelism, WIDEN_MAX)
+    cap = int(df.sparkSession.conf.get("regcorpus.widen.maxPartitions", str(WIDEN_MAX)))
+    target = min(df.sparkSession.sparkContext.defaultParallelism, cap)
     if df.rdd.getNumPartitions() >= target or _input_bytes(df) < WIDEN_MIN_BYTES:
         return df
     return df.repartition(target)
