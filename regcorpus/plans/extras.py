@@ -19,9 +19,10 @@ from regcorpus.functions import extract as X
 from regcorpus.functions import text as T
 from regcorpus.operators import flow, markup, quality, records
 from regcorpus.operators import rules as R
-from regcorpus.plans.cases import standin_judgments, standin_national_rows
+from regcorpus.plans.cases import _SIG_FIXED, _nat_hits_sql, standin_judgments, standin_national_rows
 from regcorpus.plans.common import register, table
 from regcorpus.plans.links import standin_triples
+from regcorpus.plans.registers import _CLAIMS_ORACLE_CTE
 from regcorpus.sources import files
 from regcorpus.streaming.ingest import new_run_dir
 
@@ -91,7 +92,8 @@ FROM documents
 """)
 def harmonised_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P5: four front-matter layouts -> one rulings table (identifier, date,
-    provisions, thesis) by ``unionByName(allowMissingColumns)`` + ``coalesce``."""
+    provisions, thesis): every layout's keys are parsed and the first present
+    spelling wins (``coalesce``)."""
     d = files.split_front_matter(standin_ruling_files(spark, sf_dir))
     parsed = d.select("doc_id", "court", *[files.fm_scalar(k).alias(k) for k in (
         "sygnatura", "numer_sprawy", "numer_decyzji", "celex", "data_orzeczenia", "data_decyzji", "date",
@@ -106,7 +108,7 @@ def harmonised_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("judgment_records")
 def judgment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judgment record {markdown (H6), date (X10), title (X11), html,
-    service flag} per landed judgment page."""
+    service flag (false: landed pages, no service call)} per judgment page."""
     j = standin_judgments(spark, sf_dir)
     md = markup.judgment_markdown(j, "o_orderkey", "html")
     return (j.join(md, "o_orderkey").select(
@@ -135,8 +137,7 @@ def act_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "act_id", "title", "published")
 
 
-_F4_SQL = __import__("regcorpus.plans.cases", fromlist=["x"])._nat_hits_sql(
-    __import__("regcorpus.plans.cases", fromlist=["x"])._SIG_FIXED) + """
+_F4_SQL = _nat_hits_sql(_SIG_FIXED) + """
 SELECT keyword, rank, signature FROM hits
 WHERE contains(lower(text_snippet), 'wyrok') AND NOT contains(signature, 'SA/')
       AND regexp_matches(signature, '^[IVX]+\\s+[A-Z]SK\\s')
@@ -215,14 +216,14 @@ FROM pages
 """)
 def landed_page_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1 scan of files Spark landed in the shared folder -> S2 decode -> F8
-    gate -> H8 conversion -> K5 target paths -> A1 counters."""
+    gate -> H8 conversion to Markdown -> A1 counters."""
     run = new_run_dir(spark, "landed-pages")
     p = table(spark, sf_dir, "pages")
     p.select(F.col("page_id").alias("page"), "html").write.partitionBy("page").text(f"{run}/raw")
     scanned = files.scan_landed(spark, f"{run}/raw", extensions=("txt",), recursive=True)
     gated = quality.file_gate(files.decoded(scanned), "content")
     conv = markup.convert_documents(gated.filter("passed"), "path", "text")
-    done = markup.to_markdown(conv, "path").withColumn("path_md", sinks.markdown_path("path"))
+    done = markup.to_markdown(conv, "path")
     ok = done.select(F.when(F.col("status") == "ok", "success").otherwise("error").alias("status"))
     failed = gated.filter(~F.col("passed")).select(F.lit("error").alias("status"))
     return flow.run_counters(ok.unionByName(failed).withColumn("src", F.lit("pages")), "src")
@@ -243,8 +244,7 @@ def work_titles_from_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.work_titles(files.read_triples(spark, f"{run}/triples"), "PL")
 
 
-@register("claim_required_fields_missing", __import__("regcorpus.plans.registers", fromlist=["x"])
-          ._CLAIMS_ORACLE_CTE.format(first=0) + """,
+@register("claim_required_fields_missing", _CLAIMS_ORACLE_CTE.format(first=0) + """,
 r AS (SELECT iv FROM items)
 SELECT field, count(*) AS n_missing FROM (
   SELECT 'claim_wording' AS field FROM r WHERE iv IN (2, 4) UNION ALL
@@ -452,8 +452,7 @@ def standin_result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("keyword", "page_no", html.alias("html"))
 
 
-_S4_SQL = __import__("regcorpus.plans.cases", fromlist=["x"])._nat_hits_sql(
-    __import__("regcorpus.plans.cases", fromlist=["x"])._SIG_FIXED) + """
+_S4_SQL = _nat_hits_sql(_SIG_FIXED) + """
 SELECT keyword, text_snippet, signature, date, url FROM hits
 """
 
@@ -482,14 +481,14 @@ SELECT page_id AS page, strlen(html) + 1 AS length FROM pages
 """)
 def landed_page_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S11 (two directories, one missing) -> K6 bronze append -> L1 listing
-    in path order."""
+    sorted by path."""
     run = new_run_dir(spark, "listing")
     table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "html") \
         .write.partitionBy("page").text(f"{run}/raw")
     found = files.scan_directories(spark, [f"{run}/raw", f"{run}/not-landed"], extensions=("txt",))
     sinks.write_bronze(found.select("path", "length", "content", "input_dir"), f"{run}/bronze")
     b = spark.read.parquet(f"{run}/bronze")
-    return b.select(F.regexp_extract("path", r"page=(\d+)", 1).cast("long").alias("page"), "length").orderBy("page")
+    return b.orderBy("path").select(F.regexp_extract("path", r"page=(\d+)", 1).cast("long").alias("page"), "length")
 
 
 # ---------------------------------------------------------------- S5 S6 --

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from regcorpus import sinks
 from regcorpus.operators import records
 from regcorpus.plans.common import register, table
-from regcorpus.plans.registers import collect_register, standin_register_pages
+from regcorpus.plans.registers import CLAIM_RECORDS_SQL, collect_register, standin_register_pages
 from regcorpus.sources import files
 from regcorpus.streaming import ingest
 
@@ -147,7 +147,7 @@ def qa_pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- K1 K3 K7 --
 @register("claims_envelope_written", """
 SELECT '2026-01-01T00:00:00' AS fetched_at, count(*) AS total_claims FROM (
-""" + __import__("regcorpus.plans.registers", fromlist=["x"]).CLAIM_RECORDS_SQL + ") t")
+""" + CLAIM_RECORDS_SQL + ") t")
 def claims_envelope_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1: claim records written as JSON rows plus a manifest
     ``{fetched_at, total_claims}``; the manifest is read back."""
@@ -170,7 +170,7 @@ def hits_per_keyword_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("alerts_markdown_report")
 def alerts_markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: the alerts summary — header with the total, then the first 200
-    alerts (five lines each, ``N/A`` for NULL)."""
+    alerts (five lines each; an explicit null prints ``None``)."""
     items = collect_register(standin_register_pages(spark, sf_dir, "alerts"), "alerts")
     alerts = records.normalise_alert(items, keep=("run_id", "page", "pos"))
     alerts = alerts.withColumn("seq", F.col("run_id") * 1_000_000 + F.col("page") * 1000 + F.col("pos"))
