@@ -28,6 +28,12 @@ CONTAMINANT_LIMITS = [
     ("AFB1", "supplement", "5.0", "ug/kg", None, None),
     ("OTA", "liquorice_ginger", "10", "ug/kg", None, None),
 ]
+# Lower levels for food for infants and young children (substance, limit,
+# unit); they win over the general row when a sample is infant food.  Cadmium
+# is stated as 0.010-0.020 mg/kg; the upper bound is kept.
+CONTAMINANT_INFANT_LIMITS = [
+    ("Pb", "0.010", "mg/kg"), ("Cd", "0.020", "mg/kg"), ("AFM1", "0.10", "ug/kg"), ("OTA", "0.50", "ug/kg"),
+]
 # R2: default maximum residue level and the infant-food level (mg/kg)
 DEFAULT_MRL = 0.01
 INFANT_MRL = 0.01
@@ -74,9 +80,16 @@ PENALTY_TURNOVER_SHARE = 0.10
 # ------------------------------------------------------------------------------
 
 
-def contaminant_verdicts(samples: DataFrame, spark: SparkSession, date_col: str = "sample_date") -> DataFrame:
+def _mg_per_kg(raw: Column, unit: Column) -> Column:
+    factor = F.when(unit == "ug/kg", F.lit(0.001)).otherwise(F.lit(1.0)).cast("decimal(18,6)")
+    return (raw.cast("decimal(18,6)") * factor).cast("decimal(18,6)")
+
+
+def contaminant_verdicts(samples: DataFrame, spark: SparkSession, date_col: str = "sample_date",
+                         infant_col: str | None = None) -> DataFrame:
     """R1 + R3 + X19: parse ``result`` ("3,2 mg/kg"), normalise to mg/kg, find
-    the limit in force for (substance, matrix, date) and give two verdicts:
+    the limit in force for (substance, matrix, date) — for infant food the
+    infant row of the substance when there is one — and give two verdicts:
     the result as measured, and after deducting the expanded uncertainty
     ``u_rel`` (the two sources disagree on deduction)."""
     lim = small_dim(spark, CONTAMINANT_LIMITS,
@@ -92,6 +105,12 @@ def contaminant_verdicts(samples: DataFrame, spark: SparkSession, date_col: str
             & (lim["valid_from"].isNull() | (F.col(date_col) >= lim["valid_from"]))
             & (lim["valid_to"].isNull() | (F.col(date_col) < lim["valid_to"])))
     j = s.join(lim, cond, "left").drop(lim["substance"]).drop(lim["matrix"])
+    if infant_col is not None:
+        inf = small_dim(spark, CONTAMINANT_INFANT_LIMITS, "_sub string, raw string, unit string")
+        inf = inf.select("_sub", _mg_per_kg(F.col("raw"), F.col("unit")).alias("_infant_limit"))
+        j = (j.join(inf, (F.col("substance") == F.col("_sub")) & F.col(infant_col), "left")
+             .withColumn("limit_mg_per_kg", F.coalesce("_infant_limit", "limit_mg_per_kg"))
+             .drop("_sub", "_infant_limit"))
     v = F.col("value_mg_per_kg")
     return j.select(*s.columns, "limit_mg_per_kg",
                     (v > F.col("limit_mg_per_kg")).alias("exceeds"),

@@ -32,12 +32,13 @@ def standin_contaminant_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = F.when(sub.isin("Pb", "Cd", "Hg"), metal).when(sub == "PA", pa).otherwise(myco)
     return li.select("l_orderkey", sub.alias("substance"), mat.alias("matrix"), result.alias("result"),
                      F.date_add(F.to_date("l_shipdate"), 9862).alias("sample_date"),
-                     F.col("l_discount").alias("u_rel"))
+                     F.col("l_discount").alias("u_rel"), (F.col("l_linenumber") == 2).alias("infant"))
 
 
 _CONTAM_CTE = """
 WITH s0 AS (
   SELECT l_orderkey, l_discount AS u_rel, CAST(l_shipdate AS DATE) + 9862 AS sample_date,
+         l_linenumber = 2 AS infant,
          CAST(l_quantity AS INTEGER) AS q, l_partkey,
          (['Pb','Cd','Cd','PA','PA','PA','AFB1','OTA','Hg'])[l_partkey % 9 + 1] AS substance,
          (['supplement','supplement','algae','herbal_tea','botanical_supplement','pollen','supplement',
@@ -63,11 +64,17 @@ lim(substance, matrix, limit_raw, unit, vf, vt) AS (VALUES
   ('OTA', 'liquorice_ginger', 10, 'ug/kg', NULL, NULL)),
 l AS (SELECT substance, matrix, vf, vt,
              CAST(limit_raw AS DECIMAL(18,6)) * CASE WHEN unit = 'ug/kg' THEN 0.001 ELSE 1.0 END AS lim_v FROM lim),
-j AS (
-  SELECT s.*, l.lim_v, s.v > l.lim_v AS exceeds,
-         CAST(s.v AS DOUBLE) * (1 - s.u_rel) > CAST(l.lim_v AS DOUBLE) AS exceeds_u
+inf(substance, lim_raw, unit) AS (VALUES ('Pb', 0.010, 'mg/kg'), ('Cd', 0.020, 'mg/kg'),
+  ('AFM1', 0.10, 'ug/kg'), ('OTA', 0.50, 'ug/kg')),
+i AS (SELECT substance, CAST(lim_raw AS DECIMAL(18,6)) * CASE WHEN unit = 'ug/kg' THEN 0.001 ELSE 1.0 END AS inf_v
+      FROM inf),
+j0 AS (
+  SELECT s.*, coalesce(CASE WHEN s.infant THEN i.inf_v END, l.lim_v) AS lim_v
   FROM s LEFT JOIN l ON s.substance = l.substance AND s.matrix = l.matrix
-       AND (l.vf IS NULL OR s.sample_date >= l.vf) AND (l.vt IS NULL OR s.sample_date < l.vt))
+       AND (l.vf IS NULL OR s.sample_date >= l.vf) AND (l.vt IS NULL OR s.sample_date < l.vt)
+  LEFT JOIN i ON s.substance = i.substance),
+j AS (
+  SELECT *, v > lim_v AS exceeds, CAST(v AS DOUBLE) * (1 - u_rel) > CAST(lim_v AS DOUBLE) AS exceeds_u FROM j0)
 """
 
 
@@ -78,9 +85,10 @@ SELECT substance, matrix, count(*) AS n_samples, count(*) FILTER (WHERE lim_v IS
 FROM j GROUP BY substance, matrix
 """, bench=True)
 def contaminant_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1 + R3 + X19: results parsed and normalised, dated limit lookup, both
-    uncertainty verdicts; counts per (substance, matrix)."""
-    v = R.contaminant_verdicts(standin_contaminant_samples(spark, sf_dir), spark)
+    """R1 + R3 + X19: results parsed and normalised, dated limit lookup (the
+    infant row wins for infant food), both uncertainty verdicts; counts per
+    (substance, matrix)."""
+    v = R.contaminant_verdicts(standin_contaminant_samples(spark, sf_dir), spark, infant_col="infant")
     return v.groupBy("substance", "matrix").agg(
         F.count("*").alias("n_samples"), F.count_if(F.col("limit_mg_per_kg").isNull()).alias("n_no_limit"),
         F.count_if("exceeds").alias("n_exceeding"),
@@ -93,7 +101,7 @@ FROM (SELECT l_orderkey, bool_or(coalesce(exceeds, false)) AS unlawful FROM j GR
 """)
 def blend_dilution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A blended lot (order) is unlawful if any component exceeds."""
-    v = R.contaminant_verdicts(standin_contaminant_samples(spark, sf_dir), spark)
+    v = R.contaminant_verdicts(standin_contaminant_samples(spark, sf_dir), spark, infant_col="infant")
     b = R.blend_verdicts(v.withColumnRenamed("l_orderkey", "blend"))
     return b.agg(F.count("*").alias("n_blends"), F.count_if("unlawful").alias("n_unlawful"))
 

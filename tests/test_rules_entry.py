@@ -48,3 +48,14 @@ def test_entry_contract(spark):
     assert df.count() > 0 and df.columns == ["food_category", "n_claims"]
     assert set(E.oracle_sql()) <= set(E.queries())
     assert len(E.queries()) >= 80
+
+
+def test_infant_row_wins(spark):
+    s = spark.createDataFrame([
+        ("Pb", "supplement", "0,5 mg/kg", dt.date(2024, 1, 1), 0.0, True),
+        ("Pb", "supplement", "0,5 mg/kg", dt.date(2024, 1, 1), 0.0, False),
+        ("PA", "herbal_tea", "150 ug/kg", dt.date(2024, 1, 1), 0.0, True)],
+        "substance string, matrix string, result string, sample_date date, u_rel double, infant boolean")
+    rows = R.contaminant_verdicts(s, spark, infant_col="infant").collect()
+    assert [float(r.limit_mg_per_kg) for r in rows] == [0.01, 3.0, 0.2]
+    assert [r.exceeds for r in rows] == [True, False, False]
