@@ -35,9 +35,11 @@ def enrich(docs: DataFrame, meta: DataFrame, key: str) -> DataFrame:
 def overlay_details(hits: DataFrame, details: DataFrame, key: str = "url",
                     override: tuple = ("full_text",), only_http: bool = True) -> DataFrame:
     """``hit.update(details)`` — detail values override, a hit without
-    details is unchanged; only hits whose url starts with ``http`` are looked up."""
-    d = details.select(key, *[F.col(c).alias(f"_d_{c}") for c in override]) \
-        .withColumn("_d_hit", F.lit(True))
+    details is unchanged; only hits whose url starts with ``http`` are looked up.
+    Details are one fetch per url: several detail rows for a url are reduced
+    to one (deterministically, ``max``) so a hit is never multiplied."""
+    d = (details.groupBy(key).agg(F.max(F.struct(*[F.col(c).alias(f"_d_{c}") for c in override])).alias("_d"))
+         .select(key, "_d.*").withColumn("_d_hit", F.lit(True)))
     cond = hits[key].startswith("http") if only_http else F.lit(True)
     out = hits.join(d, (hits[key] == d[key]) & cond, "left").drop(d[key])
     for c in override:
@@ -105,6 +107,12 @@ def hits_per_keyword(keywords: DataFrame, hits: DataFrame, key: str = "keyword")
             .withColumn("n_hits", F.coalesce("n_hits", F.lit(0))))
 
 
+# --- fixed values: placeholder notes of the two portals ------------------------
+NOTE_NATIONAL = "Wyniki dostepne pod powyzszym URL - struktura HTML moze wymagac aktualizacji parsera"
+NOTE_CJEU = "Wyniki dostepne pod powyzszym URL - sprawdz recznie lub zaktualizuj parser"
+# ---------------------------------------------------------------------------------
+
+
 def placeholder_rows(raw_rows: DataFrame, hits: DataFrame, key: str = "keyword",
                      text_col: str = "text", require_mention: bool = False) -> DataFrame:
     """A note row for each searched phrase whose result page gave no hit.
@@ -119,4 +127,4 @@ def placeholder_rows(raw_rows: DataFrame, hits: DataFrame, key: str = "keyword",
     if require_mention:
         out = out.filter("mentioned")
     return out.select(key, F.lit(True).alias("raw_html_available"),
-                      F.lit("results available at the search url; parser needs updating").alias("note"))
+                      F.lit(NOTE_CJEU if require_mention else NOTE_NATIONAL).alias("note"))
