@@ -38,16 +38,18 @@ def running_rows(pages: DataFrame, run_col: str = "run_id", page_col: str = "pag
             .drop("_blk", "_boff"))
 
 
-def first_halt(pages: DataFrame, run_col: str = "run_id", page_col: str = "page") -> DataFrame:
+def first_halt(pages: DataFrame, run_col: str = "run_id", page_col: str = "page",
+               block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Per run, the first page after which collection stops (or NULL)."""
     narrow = pages.select(run_col, page_col, "ok", "n_rows", "total")
-    halts = running_rows(narrow, run_col, page_col).filter(
+    halts = running_rows(narrow, run_col, page_col, block_pages=block_pages).filter(
         ~F.col("ok") | (F.col("n_rows") == 0) | (F.col("cum_rows") >= F.col("total")))
     return halts.groupBy(run_col).agg(F.min(page_col).alias("first_halt"))
 
 
 def counted_pages(pages: DataFrame, first_page: int = 0, max_pages: int | None = 5,
-                  run_col: str = "run_id", page_col: str = "page", cut_lineage: bool = True) -> DataFrame:
+                  run_col: str = "run_id", page_col: str = "page", cut_lineage: bool = True,
+                  block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Keep the pages a sequential collector would have consumed.
 
     ``pages`` needs ``ok``, ``n_rows``, ``total`` (see ``parse_envelope``).
@@ -67,7 +69,7 @@ def counted_pages(pages: DataFrame, first_page: int = 0, max_pages: int | None =
         from regcorpus.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(narrow.sparkSession)
         narrow = narrow.checkpoint(eager=True)
-    halt = first_halt(narrow, run_col, page_col)
+    halt = first_halt(narrow, run_col, page_col, block_pages)
     return (pages.join(halt, run_col, "left")
             .filter(F.col("ok") & (F.col("first_halt").isNull()
                                    | (F.col(page_col) <= F.col("first_halt"))))

@@ -121,13 +121,14 @@ _page = st.fixed_dictionaries({"ok": st.booleans() | st.just(True), "n": st.inte
 
 
 @settings(max_examples=25, deadline=None)
-@given(st.lists(st.lists(_page, min_size=1, max_size=9), min_size=1, max_size=4), st.sampled_from([3, 5, None]))
-def test_paging_rule_property(spark, runs, max_pages):
+@given(st.lists(st.lists(_page, min_size=1, max_size=9), min_size=1, max_size=4), st.sampled_from([3, 5, None]),
+       st.sampled_from([2, 4096]))
+def test_paging_rule_property(spark, runs, max_pages, block_pages):
     pages = {r: dict(enumerate(ps)) for r, ps in enumerate(runs)}
     rows = [(r, p, v["ok"], v["n"] if v["ok"] else 0, v["total"]) for r, ps in pages.items() for p, v in ps.items()]
     df = spark.createDataFrame(rows, "run_id int, page int, ok boolean, n_rows long, total long")
     got = {}
-    for r in paging.counted_pages(df, 0, max_pages, cut_lineage=False).collect():
+    for r in paging.counted_pages(df, 0, max_pages, cut_lineage=False, block_pages=block_pages).collect():
         got.setdefault(r.run_id, []).append(r.page)
     for run, ps in pages.items():
         model = {p: dict(ok=v["ok"], n=v["n"] if v["ok"] else 0, total=v["total"]) for p, v in ps.items()}
