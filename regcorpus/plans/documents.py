@@ -172,14 +172,59 @@ def act_cellar_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.to_markdown(conv, "doc_id")
 
 
-@register("act_cellar_block_kinds")
+ACT_BLOCK_KINDS_SQL = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+  FROM documents),
+k AS (
+  SELECT *, length(regexp_replace(line, '{_WS}+', '', 'g')) > 0 AS has_text FROM l),
+kinds AS (
+  SELECT 'chapter' AS kind FROM k WHERE i % 10 = 0
+  UNION ALL SELECT 'article' FROM k WHERE i % 5 = 0 AND i % 10 <> 0
+  UNION ALL SELECT 'article_sub' FROM k WHERE i % 5 = 0 AND i % 10 <> 0
+  UNION ALL SELECT 'para' FROM k WHERE has_text AND (i % 5 = 0 OR i % 7 <> 3)
+  UNION ALL SELECT 'item' FROM k WHERE has_text AND i % 5 <> 0 AND i % 7 = 3
+  UNION ALL SELECT 'title' FROM documents)
+SELECT kind, count(*) AS n_blocks FROM kinds GROUP BY kind
+"""
+
+
+@register("act_cellar_block_kinds", ACT_BLOCK_KINDS_SQL)
 def act_cellar_block_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks per kind over all structured acts (title/chapter/article/...)."""
     conv = markup.convert_documents(standin_cellar_acts(spark, sf_dir), "doc_id", "html", "file_name")
     return markup.to_blocks(conv, "doc_id").groupBy("kind").agg(F.count("*").alias("n_blocks"))
 
 
-@register("judgment_titles")
+JUDGMENT_TITLES_SQL = """
+WITH o AS (
+  SELECT o_orderkey, o_custkey % 5 AS w, o_orderdate, CAST(day(o_orderdate) AS VARCHAR) AS dd,
+         month(o_orderdate) AS mm, strftime(o_orderdate, '%Y') AS yyyy
+  FROM orders),
+o2 AS (
+  SELECT *, dd || ' ' || (['January','February','March','April','May','June','July','August',
+                            'September','October','November','December'])[mm] || ' ' || yyyy AS en,
+         dd || ' ' || CASE WHEN o_orderkey % 2 = 1 AND mm IN (9, 10)
+                           THEN translate((['stycznia','lutego','marca','kwietnia','maja','czerwca','lipca',
+                                            'sierpnia','września','października','listopada','grudnia'])[mm], 'śź', 'sz')
+                           ELSE (['stycznia','lutego','marca','kwietnia','maja','czerwca','lipca',
+                                  'sierpnia','września','października','listopada','grudnia'])[mm] END
+            || ' ' || yyyy AS pl
+  FROM o)
+SELECT o_orderkey, 'Judgment ' || CAST(o_orderkey AS VARCHAR) AS title,
+       '# Judgment ' || CAST(o_orderkey AS VARCHAR) || chr(10) || chr(10) ||
+       CASE w WHEN 0 THEN 'Registered ' || strftime(o_orderdate - INTERVAL 40 DAY, '%Y-%m-%d') || chr(10) || chr(10)
+                          || 'JUDGMENT OF THE COURT of ' || en
+              WHEN 1 THEN 'WYROK TRYBUNAŁU z dnia ' || pl
+              WHEN 2 THEN 'Judgment date: ' || strftime(o_orderdate, '%Y-%m-%d')
+              WHEN 3 THEN 'No date in this judgment'
+              ELSE 'Wyrok z dnia ' || pl || ' (EN: ' || en || ')' END || chr(10) AS markdown
+FROM o2
+"""
+
+
+@register("judgment_titles", JUDGMENT_TITLES_SQL)
 def judgment_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H6 judgment HTML -> Markdown, then X11 title line, per judgment."""
     j = standin_judgments(spark, sf_dir)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from regcorpus import sinks
 from regcorpus.operators import records
 from regcorpus.plans.common import register, table
-from regcorpus.plans.registers import CLAIM_RECORDS_SQL, collect_register, standin_register_pages
+from regcorpus.plans.registers import (_CLAIMS_ORACLE_CTE, CLAIM_RECORDS_SQL, collect_register,
+                                      standin_register_pages)
 from regcorpus.sources import files
 from regcorpus.streaming import ingest
 
@@ -167,7 +168,31 @@ def hits_per_keyword_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.json(f"{out}/summary")
 
 
-@register("alerts_markdown_report")
+ALERTS_REPORT_SQL = _CLAIMS_ORACLE_CTE.format(first=1) + r""",
+a AS (
+  SELECT e.event_id,
+         '2024.' || lpad(CAST(e.event_id AS VARCHAR), 7, '0') AS reference,
+         CASE WHEN e.iv >= 4 OR e.iv = 2 THEN strftime(ev.ts, '%Y-%m-%d') ELSE '' END AS date,
+         CASE WHEN e.iv >= 4 OR e.iv = 2 THEN e.event_type ELSE '' END AS notification_type,
+         CASE WHEN e.iv >= 4 OR e.iv = 2 THEN 'Hazard ' || CAST(e.k % 7 AS VARCHAR) || ' in product' ELSE '' END
+           AS subject,
+         CASE WHEN e.iv = 3 THEN 'None' WHEN e.iv >= 4 THEN 'hazard-' || CAST(e.k % 7 AS VARCHAR) ELSE '' END
+           AS hazard,
+         CASE WHEN e.iv >= 4 THEN (['France', 'Italy', 'Poland', 'Spain', 'Germany'])[e.user_id % 5 + 1] ELSE '' END
+           AS origin
+  FROM items e JOIN events ev USING (event_id)),
+top AS (SELECT * FROM a ORDER BY event_id LIMIT 200)
+SELECT '# RASFF Notifications Summary' || chr(10) || chr(10) || 'Generated: 2026-01-01 00:00:00' || chr(10)
+       || 'Total notifications: ' || CAST((SELECT count(*) FROM a) AS VARCHAR) || chr(10) || chr(10)
+       || '## Notifications' || chr(10) || chr(10)
+       || (SELECT string_agg('### ' || reference || ' (' || date || ')' || chr(10) || '- **Type:** ' || notification_type
+                             || chr(10) || '- **Subject:** ' || subject || chr(10) || '- **Hazard:** ' || hazard
+                             || chr(10) || '- **Origin:** ' || origin || chr(10), chr(10) ORDER BY event_id) FROM top)
+       AS markdown
+"""
+
+
+@register("alerts_markdown_report", ALERTS_REPORT_SQL)
 def alerts_markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K7: the alerts summary — header with the total, then the first 200
     alerts (five lines each; an explicit null prints ``None``)."""
