@@ -21,7 +21,7 @@ def facts(plan: str) -> dict:
     scans = re.findall(r"\(\d+\) Scan parquet[^\n]*\n(?:.*\n)*?ReadSchema: (struct<[^\n]*>)", plan)
     pushed = re.findall(r"PushedFilters: (\[[^\n]*\])", plan)
     return {
-        "exchanges": count(r"\+- Exchange \(") + count(r"^\s*Exchange \("),
+        "exchanges": count(r"\+- Exchange \("),
         "broadcast_joins": count(r"BroadcastHashJoin \w+"),
         "sort_merge_joins": count(r"SortMergeJoin \w+"),
         "nested_loop_joins": count(r"BroadcastNestedLoopJoin"),
