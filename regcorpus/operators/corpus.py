@@ -56,7 +56,8 @@ def work_titles(triples: DataFrame, language: str, celex_p: str = "celex", date_
                 belongs_p: str = "belongs_to", lang_p: str = "language",
                 title_p: str = "title") -> DataFrame:
     """Celex -> work, work -> date, expression -> work, expression ->
-    language, expression -> title; DISTINCT (celex, title, date).  Equi
+    language, expression -> title; DISTINCT, then one row per celex (the
+    query's LIMIT 1 made deterministic: smallest title, then date).  Equi
     self-joins of the triple table on filtered predicates (date OPTIONAL)."""
     celex = triple_objects(triples, celex_p, "work", "celex")
     date = triple_objects(triples, date_p, "work", "date")
@@ -64,8 +65,8 @@ def work_titles(triples: DataFrame, language: str, celex_p: str = "celex", date_
     lang = triple_objects(triples, lang_p, "expr", "lang").filter(F.col("lang") == language)
     title = triple_objects(triples, title_p, "expr", "title")
     e = expr.join(lang, "expr").join(title, "expr")
-    return (celex.join(e, "work").join(date, "work", "left")
-            .select("celex", "title", "date").distinct())
+    rows = celex.join(e, "work").join(date, "work", "left").select("celex", "title", "date").distinct()
+    return rows.groupBy("celex").agg(F.min(F.struct("title", "date")).alias("_r")).select("celex", "_r.*")
 
 
 def reconcile(index: DataFrame, files: DataFrame, key: str) -> DataFrame:

@@ -174,9 +174,18 @@ def claim_violations(used: DataFrame, authorised: DataFrame, wording_col: str =
     return used.withColumn("_w", normalise_wording(F.col(wording_col))).join(auth, "_w", "left_anti").drop("_w")
 
 
+def usable_authorisations(claims: DataFrame, status_col: str = "status", conditions_col: str = "conditions",
+                          authorised: str = "AUTHORISED") -> DataFrame:
+    """Register entries a claim may rely on — status authorised and
+    conditions of use present."""
+    return claims.filter((F.col(status_col) == authorised)
+                         & (F.length(F.trim(F.coalesce(F.col(conditions_col), F.lit("")))) > 0))
+
+
 def flag_claim_violations(used: DataFrame, authorised: DataFrame, wording_col: str = "wording") -> DataFrame:
-    """R10 as a flag: every use with ``violation`` = not an authorised
-    wording (left join on the normalised wording; authorised side distinct)."""
+    """R10 as a flag: every use with ``violation`` = its wording is not an
+    authorised wording (left join on the normalised wording; authorised side
+    distinct; paraphrases fail)."""
     auth = authorised.select(normalise_wording(F.col(wording_col)).alias("_w")).distinct() \
         .withColumn("_auth", F.lit(True))
     return (used.withColumn("_w", normalise_wording(F.col(wording_col))).join(auth, "_w", "left")

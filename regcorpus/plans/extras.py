@@ -230,10 +230,12 @@ def landed_page_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("work_titles_from_tsv", """
-SELECT DISTINCT '3' || CAST(c_nationkey + 1990 AS VARCHAR) || 'R' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS celex,
-       c_name || ' PL ' || n_name AS title,
-       CASE WHEN c_acctbal > 0 THEN CAST(c_nationkey + 1990 AS VARCHAR) || '-01-01' END AS date
-FROM customer JOIN nation ON c_nationkey = n_nationkey
+WITH t AS (
+  SELECT DISTINCT '3' || CAST(c_nationkey + 1990 AS VARCHAR) || 'R' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS celex,
+         c_name || ' PL ' || n_name AS title,
+         CASE WHEN c_acctbal > 0 THEN CAST(c_nationkey + 1990 AS VARCHAR) || '-01-01' END AS date
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)
+SELECT celex, arg_min(title, (title, date)) AS title, arg_min(date, (title, date)) AS date FROM t GROUP BY celex
 """)
 def work_titles_from_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S12 + J5: triples landed as TSV in the shared folder, read back and

@@ -219,7 +219,8 @@ def migration_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("claim_wording_violations", """
-WITH auth AS (SELECT DISTINCT lower(regexp_replace(trim(p_name), '\\s+', ' ', 'g')) AS w FROM part WHERE p_size > 20),
+WITH auth AS (SELECT DISTINCT lower(regexp_replace(trim(p_name), '\\s+', ' ', 'g')) AS w FROM part
+              WHERE p_size > 20 AND p_retailprice > 1000),
 u AS (SELECT CASE l_linenumber % 4 WHEN 2 THEN upper(p_name) || '  '
                                    WHEN 3 THEN 'better ' || p_name ELSE p_name END AS wording
       FROM lineitem JOIN part ON l_partkey = p_partkey)
@@ -229,9 +230,13 @@ SELECT count(*) AS n_uses,
 FROM u
 """)
 def claim_wording_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Used claim wordings that are not an authorised wording."""
+    """Used claim wordings that are not the wording of an authorised
+    register entry with conditions of use."""
     p = table(spark, sf_dir, "part")
-    auth = p.filter(F.col("p_size") > 20).select(F.col("p_name").alias("wording"))
+    register_ = p.select(F.col("p_name").alias("wording"),
+                         F.when(F.col("p_size") > 20, "AUTHORISED").otherwise("PENDING").alias("status"),
+                         F.when(F.col("p_retailprice") > 1000, F.lit("max 1 portion a day")).otherwise("").alias("conditions"))
+    auth = R.usable_authorisations(register_)
     li = table(spark, sf_dir, "lineitem")
     k = F.col("l_linenumber") % 4
     used = li.join(p, li.l_partkey == p.p_partkey).select(
