@@ -51,6 +51,7 @@ COMPOSITION_RANGES = [
 # Plastic food contact materials
 OVERALL_MIGRATION_LIMIT = 10.0   # mg/dm2
 GENERIC_SPECIFIC_LIMIT = 60.0    # mg/kg when no specific limit is set
+FUNCTIONAL_BARRIER_LIMIT = 0.01  # mg/kg for unlisted substances behind a functional barrier
 # Mandatory particulars on a label; alcohol only above 1.2 % vol
 MANDATORY_PARTICULARS = [
     "name", "ingredients", "allergens", "quid", "net_quantity", "date_marking",
@@ -66,7 +67,8 @@ APPEAL_ROUTES = [
     ("order", "objection", "superior", 7),
 ]
 # Validity periods in years
-VALIDITY_YEARS = [("gmo_authorisation", 10), ("smoke_flavouring", 10), ("fcm_documents", 5)]
+VALIDITY_YEARS = [("gmo_authorisation", 10), ("smoke_flavouring", 10), ("fcm_documents", 5),
+                  ("data_protection", 5)]
 # Procedure stages (procedure, stage_no, stage, months)
 PROCEDURE_STAGES = [
     ("novel_food", 1, "validity check", 1), ("novel_food", 2, "EFSA opinion", 9),
@@ -153,13 +155,19 @@ def composition_check(obs: DataFrame, spark: SparkSession) -> DataFrame:
     return j.withColumn("in_range", F.when(F.col("lo").isNull() & F.col("hi").isNull(), F.lit(None)).otherwise(ok))
 
 
-def migration_check(tests: DataFrame, limits: DataFrame, article: str = "article") -> DataFrame:
+def migration_check(tests: DataFrame, limits: DataFrame, article: str = "article",
+                    barrier_col: str | None = None) -> DataFrame:
     """Overall migration within its limit and every substance within its
-    specific limit (generic limit when none is set); per article ``bool_and``."""
+    specific limit — the generic limit when none is set, or the functional-
+    barrier limit for an unlisted substance behind a barrier; per article
+    ``bool_and``."""
     lim, _ = broadcast_if_small(limits)
     j = tests.join(lim, "substance", "left")
+    fallback = F.lit(GENERIC_SPECIFIC_LIMIT)
+    if barrier_col is not None:
+        fallback = F.when(F.col(barrier_col), F.lit(FUNCTIONAL_BARRIER_LIMIT)).otherwise(fallback)
     ok = ((F.col("overall_mg_dm2") <= OVERALL_MIGRATION_LIMIT)
-          & (F.col("specific_mg_kg") <= F.coalesce("sml", F.lit(GENERIC_SPECIFIC_LIMIT))))
+          & (F.col("specific_mg_kg") <= F.coalesce(F.col("sml"), fallback)))
     return j.groupBy(article).agg(F.bool_and(ok).alias("compliant"))
 
 
@@ -263,6 +271,13 @@ NATURAL_FLAVOUR_SHARE = 0.95
 ORGANIC_SHARE = 0.95
 # The four criteria of a food for special medical purposes
 FSMP_CRITERIA = ["medical_supervision", "disease_specific_needs", "not_met_by_normal_diet", "sole_or_partial_feeding"]
+# Label items of a food for special medical purposes (item, required only when applicable)
+FSMP_LABEL_ITEMS = [
+    ("medical_supervision_statement", False), ("dietary_management_statement", False),
+    ("special_characteristics", False), ("target_patients", False), ("sole_or_partial_feeding", False),
+    ("not_for_parenteral_use", True), ("energy_and_composition", False), ("osmolarity", True),
+    ("protein_origin", True),
+]
 # Additives withdrawn from a date (E number, withdrawn from)
 ADDITIVE_WITHDRAWALS = [("E171", "2022-08-07")]
 # Significant consumption before this date means "not novel"; years of
@@ -310,6 +325,15 @@ def fsmp_definition(products: DataFrame, criteria_col: str = "criteria") -> Data
     return products.withColumn("is_fsmp", F.forall(req, lambda c: F.array_contains(F.col(criteria_col), c)))
 
 
+def fsmp_label_missing(labels: DataFrame, present_col: str = "present", applicable_col: str = "applicable") -> DataFrame:
+    """FSMP label items missing — the always-required items plus the
+    conditional ones listed in ``applicable_col``."""
+    always = F.array(*[F.lit(n) for n, cond in FSMP_LABEL_ITEMS if not cond])
+    cond = F.array(*[F.lit(n) for n, c in FSMP_LABEL_ITEMS if c])
+    required = F.concat(always, F.array_intersect(cond, F.coalesce(F.col(applicable_col), F.array().cast("array<string>"))))
+    return labels.withColumn("missing", F.array_except(required, F.col(present_col)))
+
+
 def additive_permission(uses: DataFrame, permissions: DataFrame, spark: SparkSession,
                         date_col: str = "used_on") -> DataFrame:
     """(E number, food category) must be listed; NULL maximum =

@@ -197,14 +197,16 @@ def composition_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH lim AS (SELECT 'S' || CAST(p_partkey % 50 AS VARCHAR) AS substance, max(p_size * 2.0) AS sml
              FROM part WHERE p_partkey % 50 < 30 GROUP BY 1),
 t AS (SELECT l_orderkey AS article, 'S' || CAST(l_partkey % 50 AS VARCHAR) AS substance,
-             l_quantity / 4 AS overall_mg_dm2, l_extendedprice / 1000 AS specific_mg_kg FROM lineitem),
-a AS (SELECT article, bool_and(overall_mg_dm2 <= 10.0 AND specific_mg_kg <= coalesce(sml, 60.0)) AS compliant
+             l_quantity / 4 AS overall_mg_dm2, l_extendedprice / 1000 AS specific_mg_kg,
+             l_linestatus = 'F' AND l_returnflag = 'N' AS behind_barrier FROM lineitem),
+a AS (SELECT article, bool_and(overall_mg_dm2 <= 10.0 AND specific_mg_kg <=
+                               coalesce(sml, CASE WHEN behind_barrier THEN 0.01 ELSE 60.0 END)) AS compliant
       FROM t LEFT JOIN lim USING (substance) GROUP BY article)
 SELECT count(*) AS n_articles, count(*) FILTER (WHERE compliant) AS n_compliant FROM a
 """)
 def migration_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overall and specific migration per article (generic limit when no
-    specific limit is listed)."""
+    specific limit is listed; functional-barrier limit behind a barrier)."""
     p = table(spark, sf_dir, "part")
     lim = (p.filter(F.col("p_partkey") % 50 < 30)
            .groupBy(F.concat(F.lit("S"), (F.col("p_partkey") % 50).cast("string")).alias("substance"))
@@ -213,8 +215,9 @@ def migration_compliance(spark: SparkSession, sf_dir: str) -> DataFrame:
     tests = li.select(F.col("l_orderkey").alias("article"),
                       F.concat(F.lit("S"), (F.col("l_partkey") % 50).cast("string")).alias("substance"),
                       (F.col("l_quantity") / 4).alias("overall_mg_dm2"),
-                      (F.col("l_extendedprice") / 1000).alias("specific_mg_kg"))
-    a = R.migration_check(tests, lim)
+                      (F.col("l_extendedprice") / 1000).alias("specific_mg_kg"),
+                      ((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "N")).alias("behind_barrier"))
+    a = R.migration_check(tests, lim, barrier_col="behind_barrier")
     return a.agg(F.count("*").alias("n_articles"), F.count_if("compliant").alias("n_compliant"))
 
 
@@ -247,11 +250,8 @@ def claim_wording_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("label_missing_particulars", f"""
-WITH l AS (SELECT l_orderkey, l_linenumber, l_tax * 100 AS abv FROM lineitem),
-e AS (SELECT l.*, p.name, p.i FROM l CROSS JOIN (SELECT unnest({R.MANDATORY_PARTICULARS!r}) AS name,
-                                                        generate_series AS i
-                                                 FROM generate_series(0, 11)) p
-      WHERE p.name = ({R.MANDATORY_PARTICULARS!r})[p.i + 1])
+WITH l AS (SELECT l_orderkey, l_linenumber, l_tax * 100 AS abv, unnest(range(0, 12)) AS i FROM lineitem),
+e AS (SELECT *, ({R.MANDATORY_PARTICULARS!r})[i + 1] AS name FROM l)
 SELECT name AS particular, count(*) AS n_missing FROM e
 WHERE (l_orderkey + i * 7 + l_linenumber) % 10 = 0 AND (name <> 'alcohol' OR abv > 1.2)
 GROUP BY name
@@ -387,3 +387,26 @@ def traceability_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = spark.createDataFrame([("supplier",), ("recipient",), ("lot",)], "gap string")
     return kinds.join(g.groupBy("gap").agg(F.count("*").alias("n")), "gap", "left").withColumn(
         "n", F.coalesce("n", F.lit(0)))
+
+
+_FSMP_ITEMS = [n for n, _ in R.FSMP_LABEL_ITEMS]
+
+
+@register("fsmp_label_missing_items", f"""
+WITH e AS (SELECT p_partkey, p_size, p_type, unnest(range(0, 9)) AS i FROM part)
+SELECT ({_FSMP_ITEMS!r})[i + 1] AS item, count(*) AS n_missing FROM e
+WHERE (p_partkey + 3 * i) % 11 = 0
+  AND (i NOT IN (5, 7, 8) OR (i = 5 AND p_type = 'SMALL') OR (i = 7 AND p_size % 2 = 0) OR (i = 8 AND p_size > 30))
+GROUP BY 1
+""")
+def fsmp_label_missing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FSMP label items missing per product (conditional items only
+    where they apply); products missing each item."""
+    p = table(spark, sf_dir, "part")
+    items = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(i).alias("i")) for i, n in enumerate(_FSMP_ITEMS)])
+    present = F.transform(F.filter(items, lambda e: (F.col("p_partkey") + e["i"] * 3) % 11 != 0), lambda e: e["n"])
+    applicable = F.filter(F.array(F.when(F.col("p_type") == "SMALL", F.lit("not_for_parenteral_use")),
+                                  F.when(F.col("p_size") % 2 == 0, F.lit("osmolarity")),
+                                  F.when(F.col("p_size") > 30, F.lit("protein_origin"))), lambda x: x.isNotNull())
+    m = R.fsmp_label_missing(p.select(present.alias("present"), applicable.alias("applicable")))
+    return m.select(F.explode("missing").alias("item")).groupBy("item").agg(F.count("*").alias("n_missing"))
