@@ -297,6 +297,9 @@ CLASS_PRIORITY = [("medicine", 1), ("fsmp", 2), ("supplement", 3), ("food", 4)]
 # Minimum conversion periods in days (kind, days)
 CONVERSION_DAYS = [("annual_crop", 730), ("perennial_crop", 1095), ("grassland", 730),
                    ("dairy_cattle", 183), ("beef_cattle", 365), ("small_ruminants", 183), ("poultry", 70)]
+# Plant products may say "in conversion" after this many months
+IN_CONVERSION_LABEL_MONTHS = 12
+PLANT_KINDS = ["annual_crop", "perennial_crop", "grassland"]
 # ------------------------------------------------------------------------------------
 
 
@@ -387,8 +390,13 @@ def product_class(features: DataFrame, spark: SparkSession, id_col: str, feature
 
 
 def conversion_complete(units: DataFrame, spark: SparkSession, on: str) -> DataFrame:
-    """Conversion period complete on date ``on`` (kind-specific minimum)."""
+    """Conversion period complete on date ``on`` (kind-specific minimum);
+    before that, a plant product may carry the "in conversion" indication
+    once 12 months have passed."""
     dim = small_dim(spark, CONVERSION_DAYS, "kind string, min_days int")
-    return units.join(dim, "kind", "left").withColumn(
-        "complete_on", F.date_add(F.col("conversion_start"), F.col("min_days"))).withColumn(
-        "complete", F.col("complete_on") <= F.lit(on).cast("date"))
+    day = F.lit(on).cast("date")
+    return (units.join(dim, "kind", "left")
+            .withColumn("complete_on", F.date_add(F.col("conversion_start"), F.col("min_days")))
+            .withColumn("complete", F.col("complete_on") <= day)
+            .withColumn("in_conversion_label", ~F.col("complete") & F.col("kind").isin(PLANT_KINDS)
+                        & (F.add_months(F.col("conversion_start"), IN_CONVERSION_LABEL_MONTHS) <= day)))

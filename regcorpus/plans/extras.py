@@ -423,17 +423,22 @@ WITH u AS (SELECT (['annual_crop', 'perennial_crop', 'grassland', 'dairy_cattle'
                   CAST(o_orderdate AS DATE) AS conversion_start FROM orders),
 d(kind, min_days) AS (VALUES ('annual_crop', 730), ('perennial_crop', 1095), ('grassland', 730),
   ('dairy_cattle', 183), ('beef_cattle', 365), ('small_ruminants', 183), ('poultry', 70))
-SELECT kind, count(*) AS n, count(*) FILTER (WHERE conversion_start + min_days <= DATE '1998-01-01') AS n_complete
+SELECT kind, count(*) AS n, count(*) FILTER (WHERE conversion_start + min_days <= DATE '1998-01-01') AS n_complete,
+       count(*) FILTER (WHERE NOT conversion_start + min_days <= DATE '1998-01-01'
+                          AND kind IN ('annual_crop', 'perennial_crop', 'grassland')
+                          AND conversion_start + INTERVAL 12 MONTH <= DATE '1998-01-01') AS n_in_conversion_label
 FROM u JOIN d USING (kind) GROUP BY kind
 """)
 def conversion_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversion to organic complete on 1998-01-01 per production kind."""
+    """Conversion to organic complete on 1998-01-01 per production kind,
+    and plant units that may already say "in conversion"."""
     o = table(spark, sf_dir, "orders")
     kinds = F.array(*[F.lit(k) for k, _ in R.CONVERSION_DAYS])
     u = o.select(F.get(kinds, (F.col("o_orderkey") % 7).cast("int")).alias("kind"),
                  F.to_date("o_orderdate").alias("conversion_start"))
     c = R.conversion_complete(u, spark, "1998-01-01")
-    return c.groupBy("kind").agg(F.count("*").alias("n"), F.count_if("complete").alias("n_complete"))
+    return c.groupBy("kind").agg(F.count("*").alias("n"), F.count_if("complete").alias("n_complete"),
+                                 F.count_if("in_conversion_label").alias("n_in_conversion_label"))
 
 
 # ------------------------------------------------------------------- S4 K4 --
