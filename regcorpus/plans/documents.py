@@ -238,3 +238,15 @@ def page_detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     CJEU selector list, cut to 10 000 chars)."""
     p = table(spark, sf_dir, "pages")
     return markup.detail_texts(p, "page_id", "html", markup.CJEU_DETAIL + ("article",), limit=10000)
+
+
+@register("sql_page_blocks")
+def sql_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D3: the blocks table of every page through the SQL table function
+    ``html_blocks`` (LATERAL join; HTML comments dropped, the default)."""
+    from regcorpus.functions.sql import register_html_blocks
+    register_html_blocks(spark)
+    p = table(spark, sf_dir, "pages").withColumn("file_name", markup.url_file_name(F.col("url")))
+    p.createOrReplaceTempView("regcorpus_pages")
+    return spark.sql("SELECT p.page_id, b.block_no, b.kind, b.text "
+                     "FROM regcorpus_pages p, LATERAL html_blocks(p.html, p.file_name) b")
