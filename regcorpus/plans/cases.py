@@ -326,7 +326,7 @@ _PAT_EN = r"(\d{1,2})\s+(January|February|March|April|May|June|July|August|Septe
 _PAT_PL = (r"(\d{1,2})\s+(stycznia|lutego|marca|kwietnia|maja|czerwca|lipca|sierpnia|wrze[sś]nia"
            r"|pa[zź]dziernika|listopada|grudnia)\s+(\d{4})")
 
-JUDGMENT_FILES_SQL = f"""
+_JUDGMENT_CTE = f"""
 WITH o AS (
   SELECT o_orderkey, o_custkey, o_orderdate, o_orderkey % 6 AS v, o_custkey % 5 AS w,
          strftime(o_orderdate, '%Y') AS yyyy, lpad(CAST(o_custkey AS VARCHAR), 4, '0') AS ck4,
@@ -343,7 +343,8 @@ o2 AS (
             || ' ' || yyyy AS pl
   FROM o),
 j AS (
-  SELECT CASE v WHEN 0 THEN '6' || yyyy || 'CJ' || ck4 WHEN 1 THEN '6' || yyyy || 'CO' || ck4
+  SELECT o_orderkey, w, en, pl, o_orderdate,
+         CASE v WHEN 0 THEN '6' || yyyy || 'CJ' || ck4 WHEN 1 THEN '6' || yyyy || 'CO' || ck4
                 WHEN 2 THEN '6' || yyyy || 'CT' || ck4 WHEN 3 THEN '6' || yyyy || 'CC' || ck4
                 WHEN 4 THEN 'INVALID' || CAST(o_orderkey AS VARCHAR) ELSE '3' || yyyy || 'R' || ck4 END AS celex,
          '<html><body><h1>Judgment ' || CAST(o_orderkey AS VARCHAR) || '</h1>' ||
@@ -372,6 +373,9 @@ q AS (
          WHEN pl_d <> '' THEN pl_y || '-' || (CASE pl_m {_MONTH_CASE_PL} END) || '-' || lpad(pl_d, 2, '0')
          WHEN iso <> '' THEN iso END AS date
   FROM p)
+"""
+
+JUDGMENT_FILES_SQL = _JUDGMENT_CTE + """
 SELECT celex,
        CASE WHEN is_j THEN y END AS year, CASE WHEN is_j THEN n END AS case_number,
        CASE WHEN is_j THEN substr(y, 3, 2) END AS short_year, date,
@@ -387,6 +391,34 @@ FROM q
 """
 
 
+_JUDGMENT_MARKDOWN = """'# Judgment ' || CAST(o_orderkey AS VARCHAR) || chr(10) || chr(10) ||
+       CASE w WHEN 0 THEN 'Registered ' || strftime(o_orderdate - INTERVAL 40 DAY, '%Y-%m-%d') || chr(10) || chr(10)
+                          || 'JUDGMENT OF THE COURT of ' || en
+              WHEN 1 THEN 'WYROK TRYBUNAŁU z dnia ' || pl
+              WHEN 2 THEN 'Judgment date: ' || strftime(o_orderdate, '%Y-%m-%d')
+              WHEN 3 THEN 'No date in this judgment'
+              ELSE 'Wyrok z dnia ' || pl || ' (EN: ' || en || ')' END || chr(10)"""
+
+JUDGMENT_RECORDS_SQL = _JUDGMENT_CTE + f"""
+SELECT o_orderkey, celex, html, {_JUDGMENT_MARKDOWN} AS markdown, date,
+       'Judgment ' || CAST(o_orderkey AS VARCHAR) AS title, false AS soap_used
+FROM q
+"""
+
+JUDGMENT_DOCUMENTS_SQL = _JUDGMENT_CTE + f""",
+r AS (SELECT *, coalesce(title, 'Judgment ' || CAST(o_orderkey AS VARCHAR)) AS t2 FROM q)
+SELECT CASE WHEN NOT is_j THEN 'unknown-' || celex || '.md'
+            WHEN date IS NOT NULL AND date <> '' THEN date || '-C-' || n || '-' || substr(y, 3, 2) || '.md'
+            ELSE 'unknown-date-C-' || n || '-' || substr(y, 3, 2) || '.md' END AS file_name,
+       concat_ws(chr(10), '---', 'celex: "' || celex || '"',
+                 CASE WHEN t2 <> '' THEN 'title: "' || replace(t2, '"', '\\"') || '"' END,
+                 CASE WHEN date IS NOT NULL AND date <> '' THEN 'date: "' || date || '"' END,
+                 'source_url: "https://eur-lex.europa.eu/legal-content/PL/TXT/HTML/?uri=CELEX:' || celex || '"',
+                 '---') || chr(10) || chr(10) || {_JUDGMENT_MARKDOWN} AS content
+FROM r
+"""
+
+
 @register("judgment_files", JUDGMENT_FILES_SQL, bench=True)
 def judgment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X6 CELEX parse, X10 document date (priority EN > PL > ISO), X7 file

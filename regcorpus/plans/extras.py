@@ -19,7 +19,8 @@ from regcorpus.functions import extract as X
 from regcorpus.functions import text as T
 from regcorpus.operators import flow, markup, quality, records
 from regcorpus.operators import rules as R
-from regcorpus.plans.cases import _SIG_FIXED, _nat_hits_sql, standin_judgments, standin_national_rows
+from regcorpus.plans.cases import (JUDGMENT_DOCUMENTS_SQL, JUDGMENT_RECORDS_SQL, _SIG_FIXED, _nat_hits_sql,
+                                   standin_judgments, standin_national_rows)
 from regcorpus.plans.common import register, table
 from regcorpus.plans.links import standin_triples
 from regcorpus.plans.registers import _CLAIMS_ORACLE_CTE
@@ -105,7 +106,7 @@ def harmonised_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------------- P7 --
-@register("judgment_records")
+@register("judgment_records", JUDGMENT_RECORDS_SQL)
 def judgment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judgment record {markdown (H6), date (X10), title (X11), html,
     service flag (false: landed pages, no service call)} per judgment page."""
@@ -471,7 +472,7 @@ def result_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.national_hits(rows).select("keyword", "text_snippet", "signature", "date", "url")
 
 
-@register("judgment_documents_written")
+@register("judgment_documents_written", JUDGMENT_DOCUMENTS_SQL)
 def judgment_documents_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: judgment files (X7 name, X12 front matter + body) written to the
     shared folder and read back."""
