@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from regcorpus import sinks
 from regcorpus.operators import records
+from regcorpus.plans.cases import _SIG_FIXED, _nat_hits_sql
 from regcorpus.plans.common import register, table
 from regcorpus.plans.registers import (_CLAIMS_ORACLE_CTE, CLAIM_RECORDS_SQL, collect_register,
                                       standin_register_pages)
@@ -158,7 +159,11 @@ def claims_envelope_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("fetched_at string, total_claims long").json(f"{out}/manifest")
 
 
-@register("hits_per_keyword_written")
+@register("hits_per_keyword_written", _nat_hits_sql(_SIG_FIXED) + r"""
+SELECT substr(regexp_replace(keyword, '[^\p{L}\p{N}_\-]', '_', 'g'), 1, 50) AS keyword_safe, keyword,
+       count(*) AS n_results
+FROM hits GROUP BY 1, 2
+""")
 def hits_per_keyword_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: hits written per keyword folder (safe names) plus a summary."""
     from regcorpus.plans.cases import standin_national_rows
