@@ -165,7 +165,43 @@ def standin_cellar_acts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", html.alias("html"), F.lit("act.xhtml").alias("file_name"))
 
 
-@register("act_cellar_markdown", bench=True)
+ACT_MARKDOWN_SQL = rf"""
+WITH l AS (
+  SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i
+  FROM documents),
+x AS (
+  SELECT *, regexp_replace(regexp_replace(line, '{_WS}+', ' ', 'g'), '^ +| +$', '', 'g') AS t,
+         CAST(i // 5 AS VARCHAR) AS k
+  FROM l),
+seg AS (
+  SELECT doc_id, i,
+    CASE WHEN i % 10 = 0 THEN chr(10) || '## ROZDZIAŁ ' || k || chr(10) || chr(10)
+                              || CASE WHEN t <> '' THEN t || chr(10) || chr(10) ELSE '' END
+         WHEN i % 5 = 0 THEN chr(10) || '#### Artykuł ' || k || chr(10) || chr(10) || '**Przepis ' || k || '**'
+                             || chr(10) || chr(10) || CASE WHEN t <> '' THEN t || chr(10) || chr(10) ELSE '' END
+         WHEN i % 7 = 3 THEN CASE WHEN t <> '' THEN '(' || CAST(i AS VARCHAR) || ') ' || t || chr(10) || chr(10)
+                                  ELSE '' END
+         ELSE CASE WHEN t <> '' THEN t || chr(10) || chr(10) ELSE '' END END AS s
+  FROM x),
+raw AS (
+  SELECT d.doc_id, '# ROZPORZĄDZENIE ' || CAST(d.doc_id AS VARCHAR) || ' ' || d.lang || chr(10) || chr(10)
+                   || coalesce(b.body, '') AS md
+  FROM documents d LEFT JOIN (SELECT doc_id, string_agg(s, '' ORDER BY i) AS body FROM seg GROUP BY doc_id) b
+       USING (doc_id)),
+c AS (
+  SELECT doc_id,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(md, '\n{{4,}}', chr(10) || chr(10) || chr(10), 'g'),
+        '(?m) +$', '', 'g'), '(?m)^#{{1,6}}{_WS}*$', '', 'g'), '(?m)(^#{{1,6}} .+)\n{{3,}}', '\1' || chr(10) || chr(10), 'g')
+      AS md
+  FROM raw)
+SELECT doc_id, 'cellar' AS source_type, 'ok' AS status,
+       regexp_replace(md, '^{_WS}+|{_WS}+$', '', 'g') || chr(10) AS markdown
+FROM c
+"""
+
+
+@register("act_cellar_markdown", ACT_MARKDOWN_SQL, bench=True)
 def act_cellar_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H1/H2 structured-act walk -> blocks -> Markdown, per document."""
     conv = markup.convert_documents(standin_cellar_acts(spark, sf_dir), "doc_id", "html", "file_name")
