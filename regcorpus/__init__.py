@@ -11,3 +11,18 @@ expressions, joins and windows.  Sub-packages:
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Python tasks (Arrow jobs, the SQL table function) must not depend on
+    the package being installed on executors: functions and classes of this
+    package are pickled by value into the task closures."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except (ImportError, AttributeError, ValueError):  # older cloudpickle: rely on an installed package
+        pass
+
+
+_ship_by_value()
