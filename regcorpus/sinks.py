@@ -17,12 +17,16 @@ from regcorpus.functions.text import safe_name
 
 def write_envelope(rows: DataFrame, path: str, fetched_at: str, total_name: str) -> int:
     """K1: rows as JSON lines under ``path/rows`` and a one-row manifest
-    ``{fetched_at, total_<name>}`` under ``path/manifest``; nothing is written
-    when there are no rows.  Returns the row count (one aggregate job)."""
-    n = rows.count()
+    ``{fetched_at, total_<name>}`` under ``path/manifest``.  The row count is
+    observed during the write (``Observation``: one pass over the rows); with
+    no rows no manifest is written (the rows folder holds no records).
+    Returns the row count."""
+    from pyspark.sql import Observation
+    obs = Observation()
+    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").json(f"{path}/rows")
+    n = int(obs.get["n"])
     if n == 0:
         return 0
-    rows.write.mode("overwrite").json(f"{path}/rows")
     rows.sparkSession.createDataFrame([(fetched_at, n)], f"fetched_at string, {total_name} long") \
         .coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
     return n

@@ -88,7 +88,9 @@ def test_envelope_and_per_keyword_and_report(spark):
     m = spark.read.json(f"{d}/env/manifest").first()
     assert m.total_claims == 2
     assert sinks.write_envelope(rows.limit(0), f"{d}/empty", "x", "total_claims") == 0
-    assert not os.path.exists(f"{d}/empty")
+    assert not os.path.exists(f"{d}/empty/manifest")
+    parts = [f for f in os.listdir(f"{d}/empty/rows") if f.startswith("part-")]
+    assert all(os.path.getsize(f"{d}/empty/rows/{f}") == 0 for f in parts)
     summary = sinks.write_per_keyword(rows, f"{d}/kw").collect()
     assert sorted((r.keyword_safe, r.keyword) for r in summary) == [("a_b", "a b"), ("a_b", "a/b")]
     alerts = spark.createDataFrame([(1, "2024.1", "2024-01-15", "alert", "S", "")],
