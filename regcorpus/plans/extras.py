@@ -223,11 +223,12 @@ def landed_page_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     p.select(F.col("page_id").alias("page"), "html").write.partitionBy("page").text(f"{run}/raw")
     scanned = files.scan_landed(spark, f"{run}/raw", extensions=("txt",), recursive=True)
     gated = quality.file_gate(files.decoded(scanned), "content")
-    conv = markup.convert_documents(gated.filter("passed"), "path", "text")
+    # one pass over the landed files: a file failing the gate reaches the walk
+    # without text and comes back as a failed conversion
+    conv = markup.convert_documents(gated.withColumn("text", F.when(F.col("passed"), F.col("text"))), "path", "text")
     done = markup.to_markdown(conv, "path")
-    ok = done.select(F.when(F.col("status") == "ok", "success").otherwise("error").alias("status"))
-    failed = gated.filter(~F.col("passed")).select(F.lit("error").alias("status"))
-    return flow.run_counters(ok.unionByName(failed).withColumn("src", F.lit("pages")), "src")
+    status = done.select(F.when(F.col("status") == "ok", "success").otherwise("error").alias("status"))
+    return flow.run_counters(status.withColumn("src", F.lit("pages")), "src")
 
 
 @register("work_titles_from_tsv", """
