@@ -87,3 +87,18 @@ def test_version_validity_matches_sorted_next(spark):
         ds = sorted(d for kk, d in rows if kk == k)
         for i, d in enumerate(ds):
             assert got[(k, d)] == (ds[i + 1] if i + 1 < len(ds) else None)
+
+
+def test_size_guards(spark):
+    from regcorpus.operators.joins import broadcast_if_small, widen_scan
+    small = spark.range(10)
+    assert broadcast_if_small(small, max_rows=10)[1] is True
+    assert broadcast_if_small(small, max_rows=5)[1] is False      # above the bound: plain (shuffle) join
+    region = spark.read.parquet("/root/testdata/sf0.1/region.parquet")
+    assert widen_scan(region) is region                            # tiny table left alone
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    target = min(spark.sparkContext.defaultParallelism, 64)
+    widened = widen_scan(docs)
+    assert widened.rdd.getNumPartitions() >= min(target, docs.rdd.getNumPartitions()) or widened is docs
+    if docs.rdd.getNumPartitions() < target:
+        assert widened.rdd.getNumPartitions() == target
