@@ -127,3 +127,15 @@ def test_markdown_path_collisions(spark):
     out = sinks.flag_path_collisions(df.withColumn("path_md", sinks.markdown_path("path")))
     got = {r.path: (r.path_md, r.path_collision) for r in out.collect()}
     assert got == {"d/a.html": ("d/a.md", True), "d/a.xml": ("d/a.md", True), "d/b.htm": ("d/b.md", False)}
+
+
+def test_latest_state_rerun_without_new_files_is_a_no_op(spark):
+    run = ingest.new_run_dir(spark, "test-rerun")
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string("k long, ts long, v string")
+    spark.createDataFrame([(1, 1, "a"), (2, 5, "b"), (1, 3, "c")], "k long, ts long, v string").write.parquet(f"{run}/land/w=1")
+    for _ in range(2):
+        ingest.upsert_latest(spark, f"{run}/land", st, "k", ["ts"], ["v"], f"{run}/tgt", f"{run}/ck", buckets=4)
+    epochs = [e for e in os.listdir(f"{run}/tgt") if e.startswith("epoch=")]
+    assert len(epochs) == 1
+    assert {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt").collect()} == {1: "c", 2: "b"}
