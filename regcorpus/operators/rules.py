@@ -37,8 +37,12 @@ CONTAMINANT_INFANT_LIMITS = [
 # R2: default maximum residue level and the infant-food level (mg/kg)
 DEFAULT_MRL = 0.01
 INFANT_MRL = 0.01
-# GMO labelling threshold (%)
-GMO_THRESHOLD = 0.9
+# GMO thresholds (%) as rule rows (case, threshold, status); the 0.1 %
+# tolerance for unauthorised GMOs with a positive EFSA opinion has expired and
+# is kept as history only
+GMO_THRESHOLDS = [("authorised_adventitious", 0.9, "active"),
+                  ("unauthorised_positive_opinion", 0.1, "expired")]
+GMO_THRESHOLD = next(t for c, t, st in GMO_THRESHOLDS if c == "authorised_adventitious" and st == "active")
 # Nutrient claim thresholds (share of the reference value)
 CLAIM_SOURCE, CLAIM_HIGH = 0.15, 0.30
 # Composition ranges (regime, nutrient, min, max); NULL = open end
@@ -134,7 +138,8 @@ def pesticide_verdicts(samples: DataFrame, mrls: DataFrame, keys=("pesticide", "
 
 def gmo_label(share_pct: Column, authorised: Column, adventitious: Column) -> Column:
     """Authorised above the threshold -> label; at or below and
-    adventitious -> exempt; unauthorised -> not allowed at any level."""
+    adventitious -> exempt; unauthorised -> not allowed at any level (the
+    expired 0.1 % tolerance row is history and is not applied)."""
     return (F.when(~authorised, "not allowed")
             .when(share_pct > GMO_THRESHOLD, "label required")
             .when(adventitious, "exempt").otherwise("label required"))

@@ -59,3 +59,10 @@ def test_infant_row_wins(spark):
     rows = R.contaminant_verdicts(s, spark, infant_col="infant").collect()
     assert [float(r.limit_mg_per_kg) for r in rows] == [0.01, 3.0, 0.2]
     assert [r.exceeds for r in rows] == [True, False, False]
+
+
+def test_gmo_expired_tolerance_is_not_applied(spark):
+    assert R.GMO_THRESHOLD == 0.9
+    assert [c for c, _, st in R.GMO_THRESHOLDS if st == "expired"] == ["unauthorised_positive_opinion"]
+    df = spark.createDataFrame([(0.05, False, True)], "s double, a boolean, adv boolean")
+    assert df.select(R.gmo_label(F.col("s"), F.col("a"), F.col("adv")).alias("v")).first().v == "not allowed"
