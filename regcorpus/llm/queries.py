@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regcorpus.llm import exact_dedup, ngram_join
+from regcorpus.llm import bpe, exact_dedup, ngram_join, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -19,6 +19,12 @@ def _register(fn):
     return fn
 
 
+def _tokenizer() -> tuple[dict, str]:
+    """Ranks and pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -58,3 +64,29 @@ reach AS (SELECT doc_id AS node, doc_id AS seen FROM documents
 SELECT s.doc_id, len(g) AS n_shingles, c.component_id
 FROM s JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) c ON c.node = s.doc_id
 """
+
+
+@_register
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` outside 35-word windows that occur elsewhere."""
+    return substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_substring_dedup"] = """
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws
+           FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, ws FROM w WHERE len(ws) >= 35),
+often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(ws[i:i + 34], ' ')) AS c FROM win),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM often WHERE c > 1),
+cut AS (SELECT doc_id, count(*) AS n_removed, list(i) AS drop_at FROM gone GROUP BY doc_id)
+SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(CASE WHEN drop_at IS NULL THEN array_to_string(ws, ' ') ELSE array_to_string(list_transform(
+         list_filter(range(1, len(ws) + 1), i -> NOT list_contains(drop_at, i)), i -> ws[i]), ' ') END) AS kept_sha256
+FROM w LEFT JOIN cut ON cut.doc_id = w.doc_id
+"""
+
+
+@_register
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE of ``documents``, encoded and decoded again."""
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), *_tokenizer())
