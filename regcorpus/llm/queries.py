@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regcorpus.llm import bpe, exact_dedup, ngram_join, substring_dedup
+from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, substring_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -90,3 +90,9 @@ FROM w LEFT JOIN cut ON cut.doc_id = w.doc_id
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of ``documents``, encoded and decoded again."""
     return bpe.round_trip(_table(spark, sf_dir, "documents"), *_tokenizer())
+
+
+@_register
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` mixed to the sources' target weights."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")

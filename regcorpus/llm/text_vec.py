@@ -52,16 +52,16 @@ def groups(column: pa.Array, limit: int = 4 << 20):
         i = j
 
 
-def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(buf: np.ndarray, offs: np.ndarray, separators: np.ndarray = _SEP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and per text the index of its first
-    word (one more entry than texts)."""
+    word (one more entry than texts).  ``separators`` marks ASCII bytes."""
     n = len(buf)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offs), np.int64)
     edge = np.zeros(n + 1, bool)
     edge[offs] = True
-    sep = _SEP[buf]
+    sep = separators[buf]
     first = ~sep
     first[1:] &= sep[:-1] | edge[1:n]
     last = ~sep
