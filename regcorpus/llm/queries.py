@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, substring_dedup
+from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, substring_dedup, toxicity, vector_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -96,3 +96,30 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the sources' target weights."""
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+@_register
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near copies among all ``embeddings`` of one label, cosine 0.98 or more."""
+    return vector_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op7_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, x -> x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+          AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach AS (SELECT vec_id AS node, vec_id AS seen FROM v UNION SELECT r.node, l.y FROM reach r JOIN links l ON r.seen = l.x),
+c AS (SELECT node, min(seen) AS component_id FROM reach GROUP BY node),
+n AS (SELECT x, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.node = v.vec_id LEFT JOIN n ON n.x = v.vec_id
+"""
+
+
+@_register
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all ``documents``, learned from ``labels``."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
