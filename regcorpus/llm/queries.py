@@ -7,8 +7,9 @@ parameters; the digest columns of the contracts are derived here.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, substring_dedup, toxicity, vector_dedup
+from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, secret_scan, substring_dedup, toxicity, vector_dedup
 
 QUERIES = {}
 ORACLES = {}
@@ -123,3 +124,13 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity scores of all ``documents``, learned from ``labels``."""
     docs = _table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
+@_register
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in all ``documents``: base patterns and Markov spans."""
+    found = secret_scan.secret_spans(_table(spark, sf_dir, "documents"))
+    count = [secret_scan.number_of(F.col("base"), k).alias(f"n_{name}")
+             for k, name in enumerate(secret_scan.KINDS[:3])]
+    return found.select("doc_id", *count, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
+                        secret_scan.listed(F.col("spans")).alias("spans"))
