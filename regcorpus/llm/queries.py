@@ -9,7 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, secret_scan, substring_dedup, toxicity, vector_dedup
+from regcorpus.llm import (
+    bpe,
+    exact_dedup,
+    mixing,
+    ngram_join,
+    secret_scan,
+    substring_dedup,
+    token_counts,
+    toxicity,
+    vector_dedup,
+)
+from regcorpus.llm.store import written
 
 QUERIES = {}
 ORACLES = {}
@@ -134,3 +145,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
              for k, name in enumerate(secret_scan.KINDS[:3])]
     return found.select("doc_id", *count, F.sha2(secret_scan.listed(F.col("base")), 256).alias("base_sha256"),
                         secret_scan.listed(F.col("spans")).alias("spans"))
+
+
+@_register
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents`` written as flat token files, and the tokens of every
+    document counted from the files alone."""
+    files = written(token_counts.token_files(_table(spark, sf_dir, "documents"), *_tokenizer()), "tokens")
+    scanned = written(token_counts.separators(files), "separators")
+    return token_counts.token_counts(files, scanned).select("doc_id", "n_tokens")
