@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from regcorpus.llm.rows import KEY, keys, pick
 from regcorpus.llm.store import written
 
 BLOCK = 4096
@@ -57,20 +58,21 @@ def _regroup(rows: DataFrame) -> DataFrame:
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  block: int = BLOCK, bits: int = 64) -> DataFrame:
     """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``
-    (and ``n_chars``, the code points of the original text).
+    (and ``n_chars``, the code points of the original text, and the row keys of
+    ``rows.keys``).
 
     Null text counts as empty; all empty texts are one group.  Of equal texts
     the longest original stays, then the smallest id (null last), then the row
     read first, so exactly one row of a group is kept even when rows repeat.
     Other columns of ``docs`` are not read.  An empty table gives no rows.
     ``bits`` narrows the hash buckets (tests use it to force crowded ones)."""
-    norm = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .select("doc_id", F.length("text").cast("long").alias("n_chars"), normalised("text").alias("norm"))
+    norm = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
+        .select("doc_id", *keys("doc_id", "text"), F.length("text").cast("long").alias("n_chars"), normalised("text").alias("norm"))
     cut = F.when(F.length("norm") > 0, F.transform(
         F.sequence(F.lit(0), F.floor((F.length("norm") - 1) / block).cast("int")),
         lambda i: F.substr(F.col("norm"), i * block + 1, F.lit(block)))).otherwise(F.array().cast("array<string>"))
     named = written(norm.withColumn("blocks", cut).select(
-        F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"),
+        F.monotonically_increasing_id().alias("row_no"), "doc_id", *KEY, "n_chars", F.sha2("norm", 256).alias("text_sha256"),
         F.transform("blocks", lambda b: F.struct(_bucket([b], bits).alias("h"), F.lit(0).alias("r"))).alias("names")), "names")
     ranks = _ranks(norm.withColumn("blocks", cut).select(F.explode("blocks").alias("content"))
                    .select(_bucket([F.col("content")], bits).alias("h"), "content"), ["content"])
@@ -87,7 +89,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def _ranked_blocks(norm: DataFrame, cut: Column, bits: int, ranks: DataFrame) -> DataFrame:
     """Names with ranks, for the case that some bucket holds several blocks."""
     base = norm.withColumn("blocks", cut).select(
-        F.monotonically_increasing_id().alias("row_no"), "doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"), "blocks")
+        F.monotonically_increasing_id().alias("row_no"), "doc_id", *KEY, "n_chars", F.sha2("norm", 256).alias("text_sha256"), "blocks")
     base = written(base, "blocks")
     rows = base.select("row_no", F.posexplode("blocks").alias("pos", "content")) \
         .withColumn("h", _bucket([F.col("content")], bits)) \
@@ -123,10 +125,15 @@ def _level(named: DataFrame, bits: int) -> DataFrame:
 
 def _groups(named: DataFrame) -> DataFrame:
     key = ["n_blocks", F.col("name.h").alias("h"), F.col("name.r").alias("r")]
-    rows = named.select("row_no", "doc_id", "n_chars", "text_sha256", *key) \
+    rows = named.select("row_no", "doc_id", *KEY, "n_chars", "text_sha256", *key) \
         .withColumn("h", F.coalesce("h", F.lit(0))).withColumn("r", F.coalesce("r", F.lit(0)))
     best = F.min(F.struct((-F.col("n_chars")).alias("c"), F.col("doc_id").isNull().alias("z"), "doc_id", "row_no"))
     kept = rows.groupBy("n_blocks", "h", "r").agg(best.alias("best"), F.count("*").alias("group_size"))
     return rows.join(kept, ["n_blocks", "h", "r"]).select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
-        (F.col("row_no") == F.col("best.row_no")).alias("kept"), "text_sha256", "n_chars")
+        (F.col("row_no") == F.col("best.row_no")).alias("kept"), "text_sha256", "n_chars", *KEY)
+
+
+def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay, one of each group of equal texts."""
+    return pick(docs, exact_groups(docs, id_col, text_col).filter("kept"), id_col, text_col)

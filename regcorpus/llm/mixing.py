@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
+from regcorpus.llm.rows import KEY, keys, repeat
 from regcorpus.llm.store import written
 
 SLOTS = 4096
@@ -30,19 +31,19 @@ ITERATIONS = 60
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    """``doc_id, source, size`` with the number of words of each whole text."""
+    """``doc_id``, row keys, ``source, size`` with the number of words of each whole text."""
     def run(batches):
         for b in batches:
-            sizes = [n for _, _, buf, offs in tv.groups(b.column(2)) for n in _per_text(buf, offs)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64())], ["doc_id", "source", "size"])
+            sizes = [n for _, _, buf, offs in tv.groups(b.column(4)) for n in _per_text(buf, offs)]
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(sizes, pa.int64())], ["doc_id", *KEY, "source", "size"])
 
     def _per_text(buf, offs):
         first = tv.word_spans(buf, offs)[2]
         return (first[1:] - first[:-1]).tolist()
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *keys(id_col, text_col), F.col(source_col).cast("string").alias("source"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .mapInArrow(run, "doc_id bigint, source string, size bigint")
+        .mapInArrow(run, "doc_id bigint, row_key_1 bigint, row_key_2 bigint, source string, size bigint")
 
 
 def targets(histogram: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, limit: int = 2) -> DataFrame:
@@ -121,7 +122,8 @@ def rounded(cells) -> list[tuple[int, int]]:
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: tuple = (5, 2, 1), share: float = 1.5, limit: int = 2) -> DataFrame:
     """One row per input row: ``doc_id, size, source_size, target, copies,
-    taken``; ``copies`` is 0 to ``limit`` and ``taken`` = copies * size.
+    taken`` and the row keys; ``copies`` is 0 to ``limit`` and ``taken`` =
+    copies * size.
 
     Null text has size 0; null is a source of its own, last in order.  A source
     without words has target 0 and its documents one copy of nothing.  Equal
@@ -160,7 +162,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = j.filter("here > 0 and here < m").withColumn("k", rank).withColumn("copies", F.col("base") + (F.col("k") <= F.col("here")).cast("bigint"))
     rest = j.filter("here is null or here = 0 or here = m") \
         .withColumn("copies", F.coalesce(F.col("base") + (F.col("here") > 0).cast("bigint"), F.lit(1)))
-    chosen = part.select("doc_id", "source", "size", "copies").union(rest.select("doc_id", "source", "size", "copies"))
+    chosen = part.select("doc_id", *KEY, "source", "size", "copies").union(rest.select("doc_id", *KEY, "source", "size", "copies"))
     g = goal.withColumnRenamed("source", "gs")
     return chosen.join(g, chosen.source.eqNullSafe(g.gs)).select(
-        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+        "doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"), *KEY)
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple = (5, 2, 1),
+          share: float = 1.5, limit: int = 2) -> DataFrame:
+    """The mix itself: rows of ``docs``, each as often as it is taken.
+    Documents without words come once."""
+    return repeat(docs, mix(docs, id_col, text_col, source_col, weights, share, limit), id_col, text_col)

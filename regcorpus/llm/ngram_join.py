@@ -38,12 +38,13 @@ from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
 from regcorpus.llm.graph import components
+from regcorpus.llm.rows import KEY, keys, pick
 from regcorpus.llm.store import written
 
 CHUNK_ROWS = 1000
 CHUNK_SHINGLES = 1 << 20
 MU = 0.0085  # cost ratio of DivideSkip's choice of long lists
-SKETCH = "doc_id bigint, n bigint, d1 bigint, d2 bigint, probe array<bigint>"
+SKETCH = "doc_id bigint, row_key_1 bigint, row_key_2 bigint, n bigint, d1 bigint, d2 bigint, probe array<bigint>"
 SETS = "d1 bigint, n bigint, shingles array<bigint>"
 
 
@@ -105,12 +106,12 @@ def sketches(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
 
         def rows():
             for b in batches:
-                ids = b.column(0).to_pylist()
-                for i, s in enumerate(shingle_sets(b.column(1), n_words, hasher)):
+                ids = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
+                for i, s in enumerate(shingle_sets(b.column(3), n_words, hasher)):
                     n = len(s)
-                    yield (ids[i], n, *_digests(s), s[:2 * (n - (n * percent + 99) // 100 + 1)] if n else s)
-        yield from _batched(rows(), ["doc_id", "n", "d1", "d2", "probe"])
-    return docs.mapInArrow(run, SKETCH)
+                    yield (*ids[i], n, *_digests(s), s[:2 * (n - (n * percent + 99) // 100 + 1)] if n else s)
+        yield from _batched(rows(), ["doc_id", *KEY, "n", "d1", "d2", "probe"])
+    return docs.select("doc_id", *KEY, "text").mapInArrow(run, SKETCH)
 
 
 def _full_sets(docs: DataFrame, n_words: int) -> DataFrame:
@@ -255,14 +256,16 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4,
                      percent: int = 85, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, class_id``.
+    """One row per input row: ``doc_id, n_shingles, component_id, class_id``
+    and the row keys of ``rows.keys``.
 
     ``component_id`` is the smallest id reachable by links, the row's own
     included; rows without words have no shingles, link with nothing and keep
     their own id.  A null id never names a component unless all its rows are
     null.  Rows that repeat count as copies.  ``class_id`` is equal for rows
     with equal sets.  Other columns are not read; an empty table gives no rows."""
-    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
+        .select("doc_id", "text", *keys("doc_id", "text"))
     sketch = written(sketches(base, n_words, percent), "sketch")
     classes = sketch.filter("n > 0").groupBy("d1", "n").agg(F.min("doc_id").alias("rep"))
     alone = sketch.select(F.explode("probe").alias("s"), "d1").groupBy("s") \
@@ -270,7 +273,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     live = written(classes.join(alone, "d1", "left").filter(F.coalesce("missed", F.lit(0)) < _spare(F.col("n"), percent))
                    .select("d1", "rep"), "live")
     reps = live.select("rep").distinct()
-    sets = _full_sets(base.join(reps, base.doc_id.eqNullSafe(reps.rep), "left_semi"), n_words)
+    sets = _full_sets(base.select("doc_id", "text").join(reps, base.doc_id.eqNullSafe(reps.rep), "left_semi"), n_words)
     sets = written(sets.join(live.select("d1"), "d1", "left_semi").dropDuplicates(["d1"]), "sets")
 
     members = _members(sets, percent)
@@ -292,7 +295,16 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return sketch.drop("probe").join(ids, "d1", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("d1")).alias("class_id"))
+        F.when(F.col("n") > 0, F.col("d1")).alias("class_id"), *KEY)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, percent: int = 85) -> DataFrame:
+    """The rows of ``docs`` that stay: of every component the row with the
+    smallest id, and every row without words."""
+    found = ngram_components(docs, id_col, text_col, n_words, percent)
+    best = found.filter("n_shingles > 0").groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", *KEY)).alias("best")).select("best.*")
+    return pick(docs, best.select(*KEY).union(found.filter("n_shingles = 0").select(*KEY)), id_col, text_col)
 
 
 def _members(sets: DataFrame, percent: int) -> DataFrame:

@@ -20,6 +20,7 @@ from regcorpus.llm import (
     toxicity,
     vector_dedup,
 )
+from regcorpus.llm.rows import KEY
 from regcorpus.llm.store import written
 
 QUERIES = {}
@@ -44,7 +45,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_register
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact copies of ``documents`` by block naming."""
-    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_groups(_table(spark, sf_dir, "documents")).drop(*KEY)
 
 
 ORACLES["op1_exact_dedup"] = """
@@ -59,7 +60,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)
 @_register
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` linked at 4-word Jaccard 0.85 or more."""
-    return ngram_join.ngram_components(_table(spark, sf_dir, "documents")).drop("class_id")
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents")).drop("class_id", *KEY)
 
 
 ORACLES["op2_ngram_jaccard_join"] = """
@@ -107,7 +108,7 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_register
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the sources' target weights."""
-    return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies", *KEY)
 
 
 @_register
