@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from regcorpus.llm import (
     bpe,
     exact_dedup,
+    html_extract,
     mixing,
     ngram_join,
     secret_scan,
@@ -155,3 +156,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = written(token_counts.token_files(_table(spark, sf_dir, "documents"), *_tokenizer()), "tokens")
     scanned = written(token_counts.separators(files), "separators")
     return token_counts.token_counts(files, scanned).select("doc_id", "n_tokens")
+
+
+@_register
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all ``pages``."""
+    pages = _table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
