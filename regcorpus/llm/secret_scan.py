@@ -77,7 +77,7 @@ def markov(samples: DataFrame) -> DataFrame:
         F.log((F.col("r") + 1) / (F.col("ra") + size)) - F.log((F.col("o") + 1) / (F.col("oa") + size))).alias("llr"))
 
 
-def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_mean: float = 0.6) -> DataFrame:
+def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_mean: float = 0.45) -> DataFrame:
     """One row per input row: ``doc_id, base, spans``, arrays of ``start, end,
     kind, token`` in code points, ordered by start, then kind.
 
@@ -96,9 +96,10 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = written(found.select(F.monotonically_increasing_id().alias("row"), "doc_id", "base", free.alias("tokens")), "secrets")
     # labelled samples: keys by pattern, and words, numbers and names by pattern
     random = rows.select(F.explode("base").alias("s")).select(F.col("s.token").alias("token"), F.lit(True).alias("random"))
+    marked = random.select(F.explode(F.regexp_extract_all("token", F.lit(ORDINARY), F.lit(0))).alias("token")).distinct()
     words = base.select(F.explode(F.regexp_extract_all("text", F.lit(ORDINARY), F.lit(0))).alias("token")) \
-        .filter(~F.col("token").rlike(HEX) & ~F.col("token").rlike(ACCESS)) \
-        .groupBy("token").agg(F.count("*").alias("n"))
+        .groupBy("token").agg(F.count("*").alias("n")).join(marked, "token", "left_anti") \
+        .filter(~F.col("token").rlike(HEX) & ~F.col("token").rlike(ACCESS))
     samples = random.groupBy("token", "random").agg(F.count("*").alias("n")) \
         .union(words.select("token", F.lit(False), "n"))
     model = written(markov(samples), "markov")
