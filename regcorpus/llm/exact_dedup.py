@@ -74,7 +74,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     named = written(norm.withColumn("blocks", cut).select(
         F.monotonically_increasing_id().alias("row_no"), "doc_id", *KEY, "n_chars", F.sha2("norm", 256).alias("text_sha256"),
         F.transform("blocks", lambda b: F.struct(_bucket([b], bits).alias("h"), F.lit(0).alias("r"))).alias("names")), "names")
-    ranks = _ranks(norm.withColumn("blocks", cut).select(F.explode("blocks").alias("content"))
+    # explode_outer: explode would push size(blocks) > 0 below the projection and normalise again
+    ranks = _ranks(norm.withColumn("blocks", cut).select(F.explode_outer("blocks").alias("content")).filter("content is not null")
                    .select(_bucket([F.col("content")], bits).alias("h"), "content"), ["content"])
     if ranks is not None:
         named = _ranked_blocks(norm, cut, bits, ranks)
