@@ -165,7 +165,7 @@ def test_markov_tells_random_tokens_from_words(spark):
     hexes = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(400)]
     keys = [base64.b64encode(hashlib.sha256(f"k{i}".encode()).digest()).decode().strip("=") for i in range(400)]
     words = "internationalization straightforwardness misrepresentations counterrevolutionary uncharacteristically 4465758382889437".split()
-    rows = [(i, f"the usual description of international counterrevolution number 445566778899 {w} token = {k} " + " ".join(words))
+    rows = [(i, f"the usual description of international counterrevolution INTERNATIONAL DESCRIPTIONS Westminster Xylophone Yesterday Zeppelin Questions number 445566778899 {w} token = {k} " + " ".join(words))
             for i, (w, k) in enumerate(zip(hexes, keys, strict=True))]
     rows.append((5000, f"see {keys[3][:30]}x9Q here"))
     rows.append((5001, " ".join(words)))
