@@ -24,7 +24,6 @@ def court_division(hits: DataFrame, spark: SparkSession, sig_col: str = "signatu
 from pyspark.sql import Window  # noqa: E402
 
 from regcorpus.functions import extract as X  # noqa: E402
-from regcorpus.operators.joins import broadcast_if_small  # noqa: E402
 
 # --- fixed values: citation abbreviations (abbreviation, expansion) ---------
 ABBREVIATIONS = [
@@ -36,13 +35,29 @@ ABBREVIATIONS = [
     ("KPA", "Kodeks postepowania administracyjnego"),
     ("PPSA", "Prawo o postepowaniu przed sadami administracyjnymi"), ("Rozp.", "Rozporzadzenie"),
 ]
+# What parts tokens
+TOKEN_BREAK = "[\\s()\\[\\],;:\"'„”«»]+"
 # Authority of a source (lower is stronger)
 AUTHORITY_RANK = [("eu_regulation", 1), ("eu_directive", 2), ("eu_decision", 3), ("national_act", 4),
                   ("national_regulation", 5), ("cjeu", 6), ("nsa", 7), ("wsa", 8), ("efsa", 9),
                   ("soft_law", 10), ("doctrine", 11)]
-# A provision of an EU act, e.g. "Art. 9 ust. 1 lit. b) Rozp. (UE) nr 1169/2011"
-PROVISION = (r"Art\.\s+(\d+[a-z]?)(?:\s+ust\.\s+(\d+))?(?:\s+lit\.\s+([a-z])\))?\s+"
-             r"Rozp\.\s+\((?:UE|WE|EWG)\)\s+nr\s+(\d{1,4}/\d{1,4})")
+# A provision of an EU act ("nr" is left out in newer citations), e.g. "Art. 9 ust. 1 lit. b) Rozp. (UE) nr 1169/2011"
+PROVISION = (r"Art\.\s+(\d+[a-z]?)(?:\s+ust\.\s+(\d+))?(?:\s+pkt\s+(\d+))?(?:\s+lit\.\s+([a-z])\))?\s+"
+             r"Rozp\.\s+\((?:UE|WE|EWG)\)\s+(?:nr\s+)?(\d{1,4}/\d{1,4})")
+# The citation families (family, pattern)
+CITATION_FAMILIES = [
+    ("eu_provision", PROVISION),
+    ("eu_annex", r"Zalacznik\s+[IVX]+\s+do\s+Rozp\.\s+\((?:UE|WE|EWG)\)\s+(?:nr\s+)?\d{1,4}/\d{1,4}"),
+    ("eu_directive", r"[Dd]yrektyw\p{L}+\s+(?:\((?:UE|WE|EWG)\)\s+)?\d{2,4}/\d{1,4}(?:/(?:UE|WE|EWG))?"),
+    ("celex", r"\b[03]\d{4}[RLD]\d{4}(?:-\d{8})?\b"),
+    ("national_act", r"Dz\.U\.\s+(?:z\s+)?\d{4}\s+(?:r\.\s+)?poz\.\s+\d+"),
+    ("national_provision", r"[Aa]rt\.\s+\d+[a-z]?(?:\s+ust\.\s+\d+)?(?:\s+pkt\s+\d+)?\s+(?:u\.b\.z\.z\.|u\.PIS|ustawy)"),
+    ("cjeu", r"\b[CTF]-\d+/\d+(?:(?:,\s+[^,;\n]{1,80})?,\s+ECLI:EU:[CTF]:\d{4}:\d+(?:,\s+pkt\s+\d+(?:-\d+)?)?)?"),
+    ("administrative_court", r"(?:Wyrok|Uchwala|Postanowienie)\s+(?:NSA|WSA\s+w\s+\p{L}+)(?:\s+\(\d+\))?\s+z\s+\d{2}\.\d{2}\.\d{4},"
+                             r"\s+sygn\.\s+[IVX]+\s+(?:[A-Z]{3}|SA/\p{L}{2})\s+\d+/\d{2}"),
+    ("decision", r"Decyzja\s+(?:GIS|PPIS|PWIS)(?:\s+w\s+\p{L}+)?\s+z\s+\d{2}\.\d{2}\.\d{4}(?:,\s+znak:\s+[\w./-]*\w)?"),
+    ("efsa", r"EFSA\s+Journal\s+\d{4};\d+\(\d+\):\d+"),
+]
 # ---------------------------------------------------------------------------
 
 
@@ -58,14 +73,15 @@ def work_titles(triples: DataFrame, language: str, celex_p: str = "celex", date_
     """Celex -> work, work -> date, expression -> work, expression ->
     language, expression -> title; DISTINCT, then one row per celex (the
     query's LIMIT 1 made deterministic: smallest title, then date).  Equi
-    self-joins of the triple table on filtered predicates (date OPTIONAL)."""
+    self-joins of the triple table on filtered predicates; a work without a
+    date does not match the pattern."""
     celex = triple_objects(triples, celex_p, "work", "celex")
     date = triple_objects(triples, date_p, "work", "date")
     expr = triple_objects(triples, belongs_p, "expr", "work")
     lang = triple_objects(triples, lang_p, "expr", "lang").filter(F.col("lang") == language)
     title = triple_objects(triples, title_p, "expr", "title")
     e = expr.join(lang, "expr").join(title, "expr")
-    rows = celex.join(e, "work").join(date, "work", "left").select("celex", "title", "date").distinct()
+    rows = celex.join(date, "work").join(e, "work").select("celex", "title", "date").distinct()
     return rows.groupBy("celex").agg(F.min(F.struct("title", "date")).alias("_r")).select("celex", "_r.*")
 
 
@@ -83,7 +99,7 @@ def reconcile(index: DataFrame, files: DataFrame, key: str) -> DataFrame:
 
 def extract_provisions(df: DataFrame, text_col: str, keep=()) -> DataFrame:
     """Every EU-act provision cited in the text, one row each:
-    ``article, paragraph, letter, act_number`` and the X8 ``celex``.
+    ``article, paragraph, point, letter, act_number`` and the X8 ``celex``.
 
     The full provision pattern runs once per text; each found citation (a
     short string) is split with small anchored patterns in its own
@@ -96,23 +112,52 @@ def extract_provisions(df: DataFrame, text_col: str, keep=()) -> DataFrame:
 
     parts = rows.select(*keep, "cit_no", part(r"^Art\.\s+(\d+[a-z]?)").alias("article"),
                         part(r"\sust\.\s+(\d+)").alias("paragraph"),
+                        part(r"\spkt\s+(\d+)").alias("point"),
                         part(r"\slit\.\s+([a-z])\)").alias("letter"),
-                        part(r"\snr\s+(\d{1,4}/\d{1,4})$").alias("act_number"))
+                        part(r"\s(\d{1,4}/\d{1,4})$").alias("act_number"))
     return parts.withColumn("celex", X.celex_from_citation(F.col("act_number")))
 
 
+def extract_citations(df: DataFrame, text_col: str, keep=()) -> DataFrame:
+    """Every citation of every family, ``(keep..., family, cit_no,
+    citation)``; each family's pattern runs once over the text."""
+    found = F.array(*[F.struct(F.lit(name).alias("family"), F.regexp_extract_all(F.col(text_col), F.lit(p), F.lit(0)).alias("c"))
+                      for name, p in CITATION_FAMILIES])
+    each = df.select(*keep, F.explode(found).alias("f")).select(*keep, F.col("f.family").alias("family"), F.col("f.c").alias("c"))
+    return each.select(*keep, "family", F.posexplode("c").alias("cit_no", "citation"))
+
+
+# U4: what a file of each kind must hold (fixed values)
+REQUIRED_PARTS = {
+    "act": ("celex", "tytul_pl", "tytul_en", "dziennik_urzedowy", "data_wejscia", "ostatnia_konsolidacja", "link_eurlex"),
+    "skill": ("Definicja roli", "Kluczowe przepisy", "Typowe pytania", "Metodologia", "Wymagania cytowania", "Pulapki"),
+    "ruling": ("Sygnatura", "Data", "Sklad orzekajacy", "Teza", "Kluczowe fragmenty uzasadnienia", "Przepisy"),
+}
+
+
+def missing_parts(df: DataFrame, kind: str, text_col: str, keep=()) -> DataFrame:
+    """U4/H9: ``(keep..., part)`` for every required part a file lacks: a
+    front-matter key of an act, a heading or ``**name**`` mark of a skill or
+    ruling (case does not matter)."""
+    def has(part: str):
+        name = part.replace("_", "[_ ]")
+        shape = rf"(?m)^{name}:[ \t]*\S" if kind == "act" else rf"(?im)^(?:#{{1,6}}\s+(?:\d+\.\s+)?|(?:[-*]|\d+\.)\s+)?(?:\*\*)?{name}\b"
+        return F.col(text_col).rlike(shape)
+    gaps = F.array(*[F.when(~F.coalesce(has(p), F.lit(False)), F.lit(p)) for p in REQUIRED_PARTS[kind]])
+    return df.select(*keep, F.explode(F.array_compact(gaps)).alias("part"))
+
+
 def resolve_acts(citations: DataFrame, acts: DataFrame, key: str = "celex") -> DataFrame:
-    """Citations joined to the act table (left: unresolved keep NULLs).
-    The act table is broadcast only after its size is checked."""
-    a, _ = broadcast_if_small(acts)
-    return citations.join(a, key, "left")
+    """Citations joined to the act table (left: unresolved keep NULLs)."""
+    return citations.join(acts, key, "left")
 
 
 def expand_abbreviations(df: DataFrame, text_col: str, spark: SparkSession, keep=()) -> DataFrame:
-    """Whitespace tokens that are known abbreviations, with expansion
-    (fixed 16-row dimension, broadcast)."""
+    """Tokens that are known abbreviations, with expansion (fixed 16-row
+    dimension, broadcast).  White space, brackets, quotes, commas, semicolons
+    and colons part tokens, so ``(t.j.)`` and ``KPA,`` count."""
     dim = small_dim(spark, ABBREVIATIONS, "token string, expansion string")
-    toks = df.select(*keep, F.explode(F.split(F.col(text_col), r"\s+")).alias("token"))
+    toks = df.select(*keep, F.explode(F.split(F.col(text_col), TOKEN_BREAK)).alias("token"))
     return toks.join(dim, "token")
 
 
@@ -135,60 +180,42 @@ def link_graph(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
                                  F.sum("nr").cast("long").alias("non_reciprocal_out"))
 
 
+GRAM = 4
+
+
 def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
-                phrase_col: str = "phrase", id_col: str = "doc_id", max_broadcast: int = 200_000,
-                gram: int = 4) -> DataFrame:
+                phrase_col: str = "phrase", id_col: str = "doc_id", gram: int = GRAM) -> DataFrame:
     """(phrase, document) for every case-insensitive substring match; a
     document appears once per matching phrase (no de-duplication across
-    phrases).
-
-    Bounded phrase list (size checked): broadcast once and matched with an
-    Aho-Corasick automaton per Arrow batch — one linear pass over each whole
-    (Spark-lower-cased) text, whatever the number of phrases.  Larger lists:
-    exact q-gram equi-join (phrase on its first ``gram`` characters, document
-    on its distinct q-grams) verified with ``contains``."""
-    d = docs.select(id_col, F.lower(F.col(text_col)).alias("_t"))
-    p = phrases.select(F.lower(F.col(phrase_col)).alias(phrase_col)).distinct()
-    n = p.limit(max_broadcast + 1).count()
-    if n <= max_broadcast:
-        return _aho_corasick_hits(d, p, phrase_col, id_col)
-    short = p.filter(F.length(phrase_col) < gram)
-    long_ = p.filter(F.length(phrase_col) >= gram).withColumn("_g", F.substring(phrase_col, 1, gram))
-    grams = d.select(id_col, "_t", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length("_t") - gram + 1, F.lit(1))),
-        lambda i: F.substring("_t", i, gram)))).alias("_g"))
-    via_gram = grams.join(long_, "_g").filter(F.col("_t").contains(F.col(phrase_col)))
-    via_short = d.join(F.broadcast(short), F.col("_t").contains(F.col(phrase_col)))
-    return via_gram.select(phrase_col, id_col).unionByName(via_short.select(phrase_col, id_col))
-
-
-def _aho_corasick_hits(d: DataFrame, p: DataFrame, phrase_col: str, id_col: str) -> DataFrame:
-    import pandas as pd
-
-    spark = d.sparkSession
-    # the phrase list is bounded (checked by the caller) and shipped once per executor
-    words = [r[0] for r in p.filter(F.length(phrase_col) > 0).collect()]
-    bc = spark.sparkContext.broadcast(words)
-    id_type = d.schema[id_col].dataType.simpleString()
-
-    def run(batches):
-        import ahocorasick
-        auto = ahocorasick.Automaton()
-        for i, w in enumerate(bc.value):
-            auto.add_word(w, i)
-        if len(auto):
-            auto.make_automaton()
-        for pdf in batches:
-            ids, hits = [], []
-            for doc, text in zip(pdf[id_col], pdf["_t"]):
-                if text is None or not len(auto):
-                    continue
-                found = {i for _, i in auto.iter(text)}
-                ids.extend([doc] * len(found))
-                hits.extend(bc.value[i] for i in found)
-            yield pd.DataFrame({phrase_col: pd.Series(hits, dtype=object), id_col: pd.Series(ids, dtype=object)})
-
-    return d.mapInPandas(run, f"{phrase_col} string, {id_col} {id_type}")
+    phrases); empty and null phrases match nothing.
+
+    Postings ``(gram, document)`` hold each document's distinct character grams
+    without its text: of length ``gram``, and of a shorter phrase's own
+    length.  Every phrase is looked up by the one of its grams that the fewest
+    documents hold.  A phrase no longer than ``gram`` is its gram; longer ones
+    are verified by one join of the candidates, gathered per document, back to
+    the texts."""
+    d = docs.select(F.col(id_col).alias("_id"), F.lower(F.col(text_col)).alias("_t")).filter("_t <> ''")
+    p = phrases.select(F.lower(F.col(phrase_col)).alias("_p")).filter("_p <> ''").distinct()
+
+    def grams(text, n):
+        # every place looks ahead n characters and moves on by one
+        return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)))
+
+    own = F.when(F.length("_p") <= gram, F.array("_p")).otherwise(grams(F.col("_p"), gram))
+    wanted = p.select("_p", F.explode(own).alias("_g"))
+    each = F.concat(*[grams(F.col("_t"), n) for n in range(1, gram + 1)])
+    # explode_outer: explode would push a copy of the array below the projection and build it twice
+    postings = d.select("_id", F.explode_outer(each).alias("_g")).filter("_g is not null") \
+        .join(wanted.select("_g").distinct(), "_g", "left_semi")
+    held = postings.groupBy("_g").agg(F.count("*").alias("_df"))
+    rarest = wanted.join(held, "_g", "left").groupBy("_p").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("_g").alias("g"))).alias("m")) \
+        .select("_p", F.col("m.g").alias("_g"))
+    found = postings.join(rarest, "_g").select("_id", "_p")
+    sure = found.filter(F.length("_p") <= gram)
+    maybe = found.filter(F.length("_p") > gram).groupBy("_id").agg(F.collect_list("_p").alias("_ps"))
+    checked = d.join(maybe, "_id").select("_id", F.explode(F.filter("_ps", lambda x: F.col("_t").contains(x))).alias("_p"))
+    return sure.unionByName(checked).select(F.col("_p").alias(phrase_col), F.col("_id").alias(id_col))
 
 
 def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -20,11 +20,12 @@ def incremental_skip(requested: DataFrame, present: DataFrame, key: str,
                      size_col: str = "size") -> tuple[DataFrame, DataFrame]:
     """Ids still to fetch (not stored with size > 0) and ids skipped.
 
-    Both are shuffle joins on ``key``; the stored side is reduced to distinct
-    keys first (map-side partial aggregation), so a hot key ships one row."""
-    have = present.filter(F.col(size_col) > 0).select(key).distinct()
-    return (requested.join(have, key, "left_anti"),
-            requested.join(have, key, "left_semi"))
+    One left join with a flag; the stored side is reduced to distinct keys
+    first (map-side partial aggregation), so a hot key ships one row."""
+    have = present.filter(F.col(size_col) > 0).select(key).distinct().withColumn("_stored", F.lit(True))
+    flagged = requested.join(have, key, "left")
+    return (flagged.filter(F.col("_stored").isNull()).drop("_stored"),
+            flagged.filter(F.col("_stored")).drop("_stored"))
 
 
 def enrich(docs: DataFrame, meta: DataFrame, key: str) -> DataFrame:
@@ -40,8 +41,11 @@ def overlay_details(hits: DataFrame, details: DataFrame, key: str = "url",
     to one (deterministically, ``max``) so a hit is never multiplied."""
     d = (details.groupBy(key).agg(F.max(F.struct(*[F.col(c).alias(f"_d_{c}") for c in override])).alias("_d"))
          .select(key, "_d.*").withColumn("_d_hit", F.lit(True)))
-    cond = hits[key].startswith("http") if only_http else F.lit(True)
-    out = hits.join(d, (hits[key] == d[key]) & cond, "left").drop(d[key])
+    # hits without a url to look up would all meet in one partition of the join: they go round it
+    looked = F.coalesce(F.col(key).startswith("http"), F.lit(False)) if only_http else F.col(key).isNotNull()
+    empty = [F.lit(None).cast(t).alias(c) for c, t in d.dtypes if c != key]
+    out = hits.filter(looked).join(d, key, "left").select(*hits.columns, *[c for c in d.columns if c != key]) \
+        .unionByName(hits.filter(~looked).select("*", *empty))
     for c in override:
         if c in hits.columns:
             out = out.withColumn(c, F.when(F.col("_d_hit"), F.col(f"_d_{c}")).otherwise(F.col(c)))
@@ -113,18 +117,19 @@ NOTE_CJEU = "Wyniki dostepne pod powyzszym URL - sprawdz recznie lub zaktualizuj
 # ---------------------------------------------------------------------------------
 
 
-def placeholder_rows(raw_rows: DataFrame, hits: DataFrame, key: str = "keyword",
-                     text_col: str = "text", require_mention: bool = False) -> DataFrame:
-    """A note row for each searched phrase whose result page gave no hit.
+def placeholder_rows(pages: DataFrame, hits: DataFrame, key: str = "keyword", url_col: str = "url",
+                     html_col: str = "html", require_mention: bool = False) -> DataFrame:
+    """A note row for each searched phrase whose result page gave no hit;
+    the page itself may hold no result row at all.
 
     National portal: always.  CJEU portal (``require_mention``): only when the
-    page text mentions the phrase or the word "document"."""
-    page = raw_rows.groupBy(key).agg(
-        F.bool_or(F.lower(F.col(text_col)).contains(F.lower(F.col(key)))
-                  | F.lower(F.col(text_col)).contains("document")).alias("mentioned"))
-    got = hits.select(key).distinct()
-    out = page.join(got, key, "left_anti")
+    page mentions the phrase or the word "document"."""
+    counts = hits.groupBy(key).agg(F.count("*").alias("_n"))
+    low = F.lower(F.col(html_col))
+    mention = low.contains(F.lower(F.col(key))) | low.contains("document")
+    shown = pages.select(key, F.col(url_col).alias("url"), mention.alias("_mentioned"))
+    out = shown.join(counts, key, "left").filter(F.col("_n").isNull())
     if require_mention:
-        out = out.filter("mentioned")
-    return out.select(key, F.lit(True).alias("raw_html_available"),
+        out = out.filter("_mentioned")
+    return out.select(key, "url", F.lit(True).alias("raw_html_available"),
                       F.lit(NOTE_CJEU if require_mention else NOTE_NATIONAL).alias("note"))

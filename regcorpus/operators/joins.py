@@ -1,69 +1,13 @@
-"""Join helpers: size-checked broadcast and small literal dimensions."""
+"""Small literal dimensions.  All other joins are left to the optimizer, which
+decides broadcasts by bytes."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# rows a data-derived dimension may have and still be broadcast; a session may
-# override it with ``regcorpus.broadcast.maxRows``
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def small_dim(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A literal dimension fixed in code: its size is known, so it is always
     broadcast."""
     return F.broadcast(spark.createDataFrame(rows, schema))
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    The check is a bounded action (``limit(max_rows + 1).count()``); when the
-    side is larger it is returned as is and the caller's join shuffles."""
-    if max_rows is None:
-        max_rows = int(df.sparkSession.conf.get("regcorpus.broadcast.maxRows", str(BROADCAST_MAX_ROWS)))
-    n = df.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
-
-
-def spread_for_python(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition by ``key`` into ``spark.sql.shuffle.partitions``
-    before a Python (Arrow) job.
-
-    Parsing in a Python worker costs far more per byte than a JVM shuffle, and
-    a few large input splits (or a small AQE-coalesced shuffle) would leave
-    most cores idle.  An explicit partition count is not coalesced by AQE."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *keys)
-
-
-WIDEN_MAX = 64
-WIDEN_MIN_BYTES = 1 << 20
-
-
-def _input_bytes(df: DataFrame) -> int:
-    jvm = df.sparkSession.sparkContext._jvm
-    conf = df.sparkSession.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def widen_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a *scan* that yields fewer splits than the cluster has
-    cores (capped at ``WIDEN_MAX``) when it holds at least
-    ``WIDEN_MIN_BYTES`` — small files with few row groups otherwise leave
-    cores idle under CPU-heavy expressions.  Large inputs already have many
-    more splits than cores, so this is a no-op at scale; tiny dimension
-    tables are left alone.  Call it on a plain table read only (it inspects
-    the scan's split count and file sizes, no job)."""
-    cap = int(df.sparkSession.conf.get("regcorpus.widen.maxPartitions", str(WIDEN_MAX)))
-    target = min(df.sparkSession.sparkContext.defaultParallelism, cap)
-    if df.rdd.getNumPartitions() >= target or _input_bytes(df) < WIDEN_MIN_BYTES:
-        return df
-    return df.repartition(target)

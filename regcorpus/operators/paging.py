@@ -1,7 +1,7 @@
 """Paging stop rule (W1) and per-keyword head.
 
 W1 — page *p* of a run counts iff it is within ``max_pages`` of the first
-page, its response is present, and every earlier page *q* had a response,
+page, its response is present, and every earlier page *q* landed, had a response,
 parsed rows > 0 and a running row count below its own total.  An envelope
 without totals has total 0, so a run stops after its first page.
 
@@ -24,27 +24,33 @@ BLOCK_PAGES = 4096
 
 def running_rows(pages: DataFrame, run_col: str = "run_id", page_col: str = "page",
                  n_col: str = "n_rows", block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Add ``cum_rows`` = sum of ``n_col`` over pages <= this page, per run."""
+    """Add ``cum_rows`` = sum of ``n_col`` over pages <= this page and
+    ``cum_pages`` = number of such pages, per run."""
     p = pages.withColumn("_blk", F.floor(F.col(page_col) / block_pages))
-    blocks = (p.groupBy(run_col, "_blk").agg(F.sum(n_col).alias("_bsum"))
-              .withColumn("_boff", F.coalesce(F.sum("_bsum").over(
-                  Window.partitionBy(run_col).orderBy("_blk")
-                  .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-              .drop("_bsum"))
+    before = Window.partitionBy(run_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (p.groupBy(run_col, "_blk").agg(F.sum(n_col).alias("_bsum"), F.count("*").alias("_bpages"))
+              .withColumn("_boff", F.coalesce(F.sum("_bsum").over(before), F.lit(0)))
+              .withColumn("_poff", F.coalesce(F.sum("_bpages").over(before), F.lit(0)))
+              .drop("_bsum", "_bpages"))
     w = (Window.partitionBy(run_col, "_blk").orderBy(page_col)
          .rowsBetween(Window.unboundedPreceding, 0))
     return (p.join(blocks, [run_col, "_blk"])
             .withColumn("cum_rows", F.col("_boff") + F.sum(n_col).over(w))
-            .drop("_blk", "_boff"))
+            .withColumn("cum_pages", F.col("_poff") + F.count("*").over(w))
+            .drop("_blk", "_boff", "_poff"))
 
 
 def first_halt(pages: DataFrame, run_col: str = "run_id", page_col: str = "page",
-               block_pages: int = BLOCK_PAGES) -> DataFrame:
-    """Per run, the first page after which collection stops (or NULL)."""
+               block_pages: int = BLOCK_PAGES, first_page: int = 0) -> DataFrame:
+    """Per run, the first page after which collection stops (or NULL).  A page
+    that never landed stops the run like a missing response: a page whose
+    place in the run is not its number lies behind a gap."""
     narrow = pages.select(run_col, page_col, "ok", "n_rows", "total")
-    halts = running_rows(narrow, run_col, page_col, block_pages=block_pages).filter(
-        ~F.col("ok") | (F.col("n_rows") == 0) | (F.col("cum_rows") >= F.col("total")))
-    return halts.groupBy(run_col).agg(F.min(page_col).alias("first_halt"))
+    gap = F.col("cum_pages") != F.col(page_col) - first_page + 1
+    halts = running_rows(narrow, run_col, page_col, block_pages=block_pages).withColumn(
+        "_halt", F.when(gap, F.col(page_col) - 1)
+        .when(~F.col("ok") | (F.col("n_rows") == 0) | (F.col("cum_rows") >= F.col("total")), F.col(page_col)))
+    return halts.filter("_halt is not null").groupBy(run_col).agg(F.min("_halt").alias("first_halt"))
 
 
 def counted_pages(pages: DataFrame, first_page: int = 0, max_pages: int | None = 5,
@@ -69,7 +75,7 @@ def counted_pages(pages: DataFrame, first_page: int = 0, max_pages: int | None =
         from regcorpus.session import ensure_checkpoint_dir
         ensure_checkpoint_dir(narrow.sparkSession)
         narrow = narrow.checkpoint(eager=True)
-    halt = first_halt(narrow, run_col, page_col, block_pages)
+    halt = first_halt(narrow, run_col, page_col, block_pages, first_page)
     return (pages.join(halt, run_col, "left")
             .filter(F.col("ok") & (F.col("first_halt").isNull()
                                    | (F.col(page_col) <= F.col("first_halt"))))

@@ -191,8 +191,10 @@ def expert_filter(docs: DataFrame, celex: str | None = None, content_type: int |
 
 def accept_response(df: DataFrame, body_col: str, ct_col: str, url_col: str) -> DataFrame:
     """a response whose content type mentions html or text keeps its
-    body; anything else becomes a placeholder pointing at the url."""
-    ok = F.col(ct_col).contains("html") | F.col(ct_col).contains("text")
+    body; anything else, an absent type too, becomes a placeholder pointing at
+    the url."""
+    ct = F.coalesce(F.col(ct_col), F.lit(""))
+    ok = ct.contains("html") | ct.contains("text")
     return df.withColumn("body", F.when(ok, F.col(body_col))).withColumn(
         "placeholder", F.when(~ok, F.concat(F.lit("[Dokument dostepny pod adresem: "), F.col(url_col), F.lit("]"))))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regcorpus.functions import extract as X
-from regcorpus.operators.joins import broadcast_if_small, small_dim
+from regcorpus.operators.joins import small_dim
 
 # --- fixed values --------------------------------------------------------------
 # Maximum levels (substance, matrix, limit, unit, valid_from, valid_to)
@@ -127,8 +127,7 @@ def contaminant_verdicts(samples: DataFrame, spark: SparkSession, date_col: str
 def pesticide_verdicts(samples: DataFrame, mrls: DataFrame, keys=("pesticide", "commodity")) -> DataFrame:
     """R2: specific MRL when listed, else the default; infant food always the
     infant level."""
-    m, _ = broadcast_if_small(mrls)
-    j = samples.join(m, list(keys), "left")
+    j = samples.join(mrls, list(keys), "left")
     applicable = (F.when(F.col("infant"), F.lit(INFANT_MRL))
                   .otherwise(F.coalesce(F.col("mrl"), F.lit(DEFAULT_MRL))))
     return j.withColumn("applicable_mrl", applicable).withColumn(
@@ -166,8 +165,7 @@ def migration_check(tests: DataFrame, limits: DataFrame, article: str = "article
     specific limit — the generic limit when none is set, or the functional-
     barrier limit for an unlisted substance behind a barrier; per article
     ``bool_and``."""
-    lim, _ = broadcast_if_small(limits)
-    j = tests.join(lim, "substance", "left")
+    j = tests.join(limits, "substance", "left")
     fallback = F.lit(GENERIC_SPECIFIC_LIMIT)
     if barrier_col is not None:
         fallback = F.when(F.col(barrier_col), F.lit(FUNCTIONAL_BARRIER_LIMIT)).otherwise(fallback)
@@ -263,11 +261,13 @@ def blend_verdicts(component_verdicts: DataFrame, blend: str = "blend", exceeds:
 def traceability_gaps(moves: DataFrame, suppliers: DataFrame, recipients: DataFrame,
                       sup: str = "supplier", rec: str = "recipient", lot: str = "lot") -> DataFrame:
     """Movements whose supplier or recipient is unknown, or without a
-    lot identifier (anti joins on both sides of the movement edge)."""
-    no_sup = moves.join(suppliers.select(sup).distinct(), sup, "left_anti").withColumn("gap", F.lit("supplier"))
-    no_rec = moves.join(recipients.select(rec).distinct(), rec, "left_anti").withColumn("gap", F.lit("recipient"))
-    no_lot = moves.filter(F.col(lot).isNull()).withColumn("gap", F.lit("lot"))
-    return no_sup.unionByName(no_rec).unionByName(no_lot)
+    lot identifier, one row per gap; the movements flow through once."""
+    s = suppliers.select(sup).distinct().withColumn("_sup", F.lit(True))
+    r = recipients.select(rec).distinct().withColumn("_rec", F.lit(True))
+    gaps = F.array(F.when(F.col("_sup").isNull(), "supplier"), F.when(F.col("_rec").isNull(), "recipient"),
+                   F.when(F.col(lot).isNull(), "lot"))
+    return (moves.join(s, sup, "left").join(r, rec, "left")
+            .select(*moves.columns, F.explode(F.array_compact(gaps)).alias("gap")))
 
 
 # --- fixed values (continued) ----------------------------------------------------
@@ -346,9 +346,8 @@ def additive_permission(uses: DataFrame, permissions: DataFrame, spark: SparkSes
                         date_col: str = "used_on") -> DataFrame:
     """(E number, food category) must be listed; NULL maximum =
     quantum satis; a withdrawn additive is not permitted from its date."""
-    perm, _ = broadcast_if_small(permissions)
     wd = small_dim(spark, ADDITIVE_WITHDRAWALS, "e_number string, withdrawn string")
-    j = (uses.join(perm, ["e_number", "category"], "left").join(wd, "e_number", "left")
+    j = (uses.join(permissions, ["e_number", "category"], "left").join(wd, "e_number", "left")
          .withColumn("withdrawn_from", F.to_date("withdrawn")).drop("withdrawn"))
     verdict = (F.when(F.col("withdrawn_from").isNotNull() & (F.col(date_col) >= F.col("withdrawn_from")), "withdrawn")
                .when(~F.col("listed"), "not permitted")
@@ -368,8 +367,7 @@ def novel_food_status(first_use: Column, on_union_list: Column, third_country_ye
 
 def fortification_violations(used: DataFrame, allowed: DataFrame, keys=("nutrient", "form")) -> DataFrame:
     """(nutrient, chemical form) pairs not on the allowed list."""
-    a, _ = broadcast_if_small(allowed.select(*keys).distinct())
-    return used.join(a, list(keys), "left_anti")
+    return used.join(allowed.select(*keys).distinct(), list(keys), "left_anti")
 
 
 def establishment_regime(est: DataFrame, spark: SparkSession, origin_col: str = "origin") -> DataFrame:

@@ -228,26 +228,43 @@ def case_hits_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.unionByName(c).agg(F.count("*").alias("n_hits"))
 
 
+def standin_result_pages(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One result page per phrase ``(keyword, url, html)``; phrases made from
+    nations have a page without any row."""
+    url = F.concat(F.lit("https://portal.example/?q="), F.col("keyword"))
+    found = rows.groupBy("keyword").agg(F.max("text").alias("html"))
+    none = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("haslo "), F.col("n_name")).alias("keyword"),
+        F.when(F.col("n_nationkey") % 3 == 0, F.concat(F.lit("<p>0 Documents for HASLO "), F.col("n_name"), F.lit("</p>")))
+        .when(F.col("n_nationkey") % 3 == 1, F.lit("<p>brak wynikow</p>")).alias("html"))
+    return found.unionByName(none).select("keyword", url.alias("url"), F.coalesce("html", F.lit("")).alias("html"))
+
+
 @register("case_placeholders", _nat_hits_sql(_SIG_FIXED) + r""",
 cjh AS (SELECT keyword FROM cj WHERE length(text) >= 10 AND (
           regexp_extract(text, '[CT]-\d+/\d+', 0) <> '' OR
           regexp_extract(text, 'ECLI:EU:[CTF]:\d{4}:\d+', 0) <> '' OR
           regexp_extract(text, '\d{2}/\d{2}/\d{4}|\d{4}-\d{2}-\d{2}', 0) <> '')),
-cjp AS (SELECT keyword, bool_or(contains(lower(text), lower(keyword)) OR contains(lower(text), 'document')) AS m
-        FROM cj GROUP BY keyword)
-SELECT 'national' AS portal, keyword FROM (SELECT DISTINCT keyword FROM nat) n
+empty AS (SELECT 'haslo ' || n_name AS keyword,
+                 CASE n_nationkey % 3 WHEN 0 THEN '<p>0 Documents for HASLO ' || n_name || '</p>'
+                                      WHEN 1 THEN '<p>brak wynikow</p>' ELSE '' END AS html FROM nation),
+np AS (SELECT keyword, max(text) AS html FROM nat GROUP BY keyword UNION ALL SELECT * FROM empty),
+cp AS (SELECT keyword, max(text) AS html FROM cj GROUP BY keyword UNION ALL SELECT * FROM empty)
+SELECT 'national' AS portal, keyword, 'https://portal.example/?q=' || keyword AS url FROM np
   WHERE keyword NOT IN (SELECT keyword FROM hits)
 UNION ALL
-SELECT 'cjeu' AS portal, keyword FROM cjp WHERE m AND keyword NOT IN (SELECT keyword FROM cjh)
+SELECT 'cjeu', keyword, 'https://portal.example/?q=' || keyword FROM cp
+  WHERE keyword NOT IN (SELECT keyword FROM cjh) AND (contains(lower(html), lower(keyword)) OR contains(lower(html), 'document'))
 """)
 def case_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Note rows for result pages that gave no hit (national: always;
-    CJEU: only if the page mentions the phrase or "document")."""
+    """Note rows for result pages that gave no hit, pages without any row
+    included (national: always; CJEU: only if the page mentions the phrase or
+    "document")."""
     nr, cr = standin_national_rows(spark, sf_dir), standin_cjeu_rows(spark, sf_dir)
-    n = flow.placeholder_rows(nr, records.national_hits(nr))
-    c = flow.placeholder_rows(cr, records.cjeu_hits(cr), require_mention=True)
-    return (n.select(F.lit("national").alias("portal"), "keyword")
-            .unionByName(c.select(F.lit("cjeu").alias("portal"), "keyword")))
+    n = flow.placeholder_rows(standin_result_pages(nr, spark, sf_dir), records.national_hits(nr))
+    c = flow.placeholder_rows(standin_result_pages(cr, spark, sf_dir), records.cjeu_hits(cr), require_mention=True)
+    return (n.select(F.lit("national").alias("portal"), "keyword", "url")
+            .unionByName(c.select(F.lit("cjeu").alias("portal"), "keyword", "url")))
 
 
 @register("case_details_overlay", _nat_hits_sql(_SIG_FIXED) + """,

@@ -31,11 +31,6 @@ def register(name: str, oracle: str | None = None, bench: bool = False):
     return deco
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, widen: bool = True) -> DataFrame:
-    """A driver table, widened to the cluster's cores when its scan has fewer
-    splits than cores and it is not tiny (see ``joins.widen_scan``)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if widen:
-        from regcorpus.operators.joins import widen_scan
-        df = widen_scan(df)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

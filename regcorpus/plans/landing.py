@@ -62,8 +62,8 @@ def events_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     for wave in (1, 2):
         land_events(spark, sf_dir, landing, wave)
         ingest.upsert_latest(spark, landing, _schema(spark), "user_id", ["ts", "event_id"],
-                             ["event_type", "value"], target, ckpt, max_files_per_trigger=3, buckets=8)
-    return ingest.read_latest(spark, target)
+                             ["event_type", "value"], target, ckpt, max_files_per_trigger=3)
+    return ingest.read_latest(spark, target, "user_id", ["ts", "event_id"])
 
 
 # ----------------------------------------------------------------- S7 S8 S9 --
@@ -115,7 +115,6 @@ FROM conversations GROUP BY conv_id
 def index_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the Markdown index table of each conversation file."""
     rows = files.markdown_table_rows(standin_index_tables(spark, sf_dir), "text", keep=("conv_id",))
-    rows = rows.filter(F.get("cells", 0) != "turn")  # header row
     return rows.groupBy("conv_id").agg(
         F.count("*").alias("n_rows"), F.count_if(F.get("cells", 1) == "user").alias("n_user_rows"),
         F.sum(F.get("cells", 2).try_cast("long")).alias("total_chars"))
@@ -124,21 +123,23 @@ def index_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def standin_qa_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations")
     one_line = F.regexp_replace("text", r"\n", " ")
+    words = F.regexp_replace("text", r"[#*]", "")          # answers keep their lines, without heading marks
     line = (F.when(F.col("role") == "user",
                    F.concat(F.lit("## P"), (F.col("turn") + 1).cast("string"), F.lit(": "), one_line))
-            .otherwise(F.concat(F.lit("**O**: "), one_line)))
+            .otherwise(F.concat(F.lit("**O**: "), words)))
     return c.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", line.alias("l")))).alias("ls")) \
         .select("conv_id", F.array_join(F.transform("ls", lambda s: s["l"]), "\n\n").alias("text"))
 
 
 @register("qa_pair_table", r"""
-WITH c AS (SELECT conv_id, turn, role, regexp_replace(text, '\n', ' ', 'g') AS t FROM conversations),
+WITH c AS (SELECT conv_id, turn, role, regexp_replace(text, '\n', ' ', 'g') AS t,
+                  regexp_replace(text, '[#*]', '', 'g') AS u FROM conversations),
 q AS (SELECT *, max(CASE WHEN role = 'user' THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn
                  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS qt FROM c),
-a AS (SELECT conv_id, qt, arg_min(t, turn) AS answer FROM q WHERE role <> 'user' AND qt IS NOT NULL
+a AS (SELECT conv_id, qt, arg_min(u, turn) AS answer FROM q WHERE role <> 'user' AND qt IS NOT NULL
       GROUP BY conv_id, qt)
 SELECT a.conv_id, CAST(a.qt + 1 AS INTEGER) AS q_no, regexp_replace(c.t, '^\s+', '') AS question,
-       regexp_replace(a.answer, '^\s+', '') AS answer
+       regexp_replace(a.answer, '^\s+|\s+$', '', 'g') AS answer
 FROM a JOIN c ON a.conv_id = c.conv_id AND a.qt = c.turn
 """)
 def qa_pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,7 +176,7 @@ def hits_per_keyword_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ALERTS_REPORT_SQL = _CLAIMS_ORACLE_CTE.format(first=1) + r""",
 a AS (
-  SELECT e.event_id,
+  SELECT e.run_id, e.page, e.pos,
          '2024.' || lpad(CAST(e.event_id AS VARCHAR), 7, '0') AS reference,
          CASE WHEN e.iv >= 4 OR e.iv = 2 THEN strftime(ev.ts, '%Y-%m-%d') ELSE '' END AS date,
          CASE WHEN e.iv >= 4 OR e.iv = 2 THEN e.event_type ELSE '' END AS notification_type,
@@ -185,23 +186,21 @@ a AS (
            AS hazard,
          CASE WHEN e.iv >= 4 THEN (['France', 'Italy', 'Poland', 'Spain', 'Germany'])[e.user_id % 5 + 1] ELSE '' END
            AS origin
-  FROM items e JOIN events ev USING (event_id)),
-top AS (SELECT * FROM a ORDER BY event_id LIMIT 200)
-SELECT '# RASFF Notifications Summary' || chr(10) || chr(10) || 'Generated: 2026-01-01 00:00:00' || chr(10)
-       || 'Total notifications: ' || CAST((SELECT count(*) FROM a) AS VARCHAR) || chr(10) || chr(10)
-       || '## Notifications' || chr(10) || chr(10)
-       || (SELECT string_agg('### ' || reference || ' (' || date || ')' || chr(10) || '- **Type:** ' || notification_type
-                             || chr(10) || '- **Subject:** ' || subject || chr(10) || '- **Hazard:** ' || hazard
-                             || chr(10) || '- **Origin:** ' || origin || chr(10), chr(10) ORDER BY event_id) FROM top)
-       AS markdown
+  FROM (SELECT *, row_number() OVER (PARTITION BY run_id, page ORDER BY event_id) - 1 AS pos FROM items) e JOIN events ev USING (event_id)),
+l AS (SELECT 1 AS part, run_id, page, pos, unnest(range(0, 6)) AS line_no, unnest([
+        '### ' || reference || ' (' || date || ')', '- **Type:** ' || notification_type, '- **Subject:** ' || subject,
+        '- **Hazard:** ' || hazard, '- **Origin:** ' || origin, '']) AS line FROM a)
+SELECT part, run_id, page, pos, CAST(line_no AS INTEGER) AS line_no, line FROM l
+UNION ALL
+SELECT 0, NULL, NULL, NULL, CAST(unnest(range(0, 7)) AS INTEGER), unnest(['# RASFF Notifications Summary', '', 'Generated: 2026-01-01 00:00:00',
+  'Total notifications: ' || CAST((SELECT count(*) FROM a) AS VARCHAR), '', '## Notifications', ''])
 """
 
 
 @register("alerts_markdown_report", ALERTS_REPORT_SQL)
 def alerts_markdown_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K7: the alerts summary — header with the total, then the first 200
-    alerts (five lines each; an explicit null prints ``None``)."""
+    """K7: every line of the alerts summary: the header with the total, then
+    all alerts in order (an explicit null prints ``None``)."""
     items = collect_register(standin_register_pages(spark, sf_dir, "alerts"), "alerts")
     alerts = records.normalise_alert(items, keep=("run_id", "page", "pos"))
-    alerts = alerts.withColumn("seq", F.col("run_id") * 1_000_000 + F.col("page") * 1000 + F.col("pos"))
-    return sinks.alert_report(alerts, "seq", "2026-01-01 00:00:00", top_n=200)
+    return sinks.alert_report(alerts, ("run_id", "page", "pos"), "2026-01-01 00:00:00")

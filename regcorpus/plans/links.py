@@ -88,12 +88,12 @@ def standin_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH t AS (
   SELECT DISTINCT '3' || CAST(c_nationkey + 1990 AS VARCHAR) || 'R' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') AS celex,
          c_name || ' PL ' || n_name AS title,
-         CASE WHEN c_acctbal > 0 THEN CAST(c_nationkey + 1990 AS VARCHAR) || '-01-01' END AS date
-  FROM customer JOIN nation ON c_nationkey = n_nationkey)
+         CAST(c_nationkey + 1990 AS VARCHAR) || '-01-01' AS date
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal > 0)
 SELECT celex, arg_min(title, (title, date)) AS title, arg_min(date, (title, date)) AS date FROM t GROUP BY celex
 """)
 def work_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Triple-pattern self-joins: celex, Polish title and (optional) date."""
+    """Triple-pattern self-joins: celex, Polish title and date; undated works do not match."""
     return corpus.work_titles(standin_triples(spark, sf_dir), "PL")
 
 
@@ -147,7 +147,7 @@ def standin_citing_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                   F.concat(F.lit("Art. 3 ust. "), ust, F.lit(" lit. b) Rozp. (UE) nr "), num, F.lit(" (t.j.)")))
             .when(F.col("l_linenumber") == 1,
                   F.concat(F.lit("Zgodnie z Art. 1 ust. "), ust, F.lit(" Rozp. (UE) nr "), num,
-                           F.lit(" oraz Art. 2 Rozp. (UE) nr 2015/2283 i KPA")))
+                           F.lit(" oraz Art. 2 Rozp. (UE) nr 2015/2283 i KPA, PPSA; pkt: 3")))
             .otherwise(F.concat(F.lit("Art. "), ln, F.lit(" ust. "), ust, F.lit(" Rozp. (UE) nr "), num,
                                 F.lit(" zm. u.b.z.z."))))
     return li.select("l_orderkey", "l_linenumber", text.alias("text"))
@@ -169,7 +169,7 @@ t AS (
     CASE WHEN l_linenumber = 7 THEN 'Zob. Art. 7 Rozp. (WE) nr ' || CAST(l_suppkey AS VARCHAR) || '/1989'
          WHEN l_linenumber = 3 THEN 'Art. 3 ust. ' || ust || ' lit. b) Rozp. (UE) nr ' || num || ' (t.j.)'
          WHEN l_linenumber = 1 THEN 'Zgodnie z Art. 1 ust. ' || ust || ' Rozp. (UE) nr ' || num
-                                    || ' oraz Art. 2 Rozp. (UE) nr 2015/2283 i KPA'
+                                    || ' oraz Art. 2 Rozp. (UE) nr 2015/2283 i KPA, PPSA; pkt: 3'
          ELSE 'Art. ' || CAST(l_linenumber AS VARCHAR) || ' ust. ' || ust || ' Rozp. (UE) nr ' || num
               || ' zm. u.b.z.z.' END AS text
   FROM (SELECT *, CASE WHEN yr <= 2014 THEN CAST(nr AS VARCHAR) || '/' || CAST(yr AS VARCHAR)
@@ -196,7 +196,7 @@ FROM y LEFT JOIN acts ON y.celex = acts.celex GROUP BY 1, 2
 """, bench=True)
 def citation_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X20 provision extraction -> X8 CELEX -> J7 resolution against the act
-    table (size-checked broadcast); unresolved citations keep a NULL title."""
+    table ; unresolved citations keep a NULL title."""
     cites = corpus.extract_provisions(standin_citing_texts(spark, sf_dir), "text", keep=("l_orderkey",))
     res = corpus.resolve_acts(cites, standin_acts(spark, sf_dir))
     return res.groupBy("celex", "title").agg(F.count("*").alias("n_citations"))
@@ -209,7 +209,7 @@ dim(token, expansion) AS (VALUES ('t.j.', 'tekst jednolity'), ('zm.', 'zmieniony
   ('u.b.z.z.', 'ustawa o bezpieczenstwie zywnosci i zywienia'),
   ('u.PIS', 'ustawa o Panstwowej Inspekcji Sanitarnej'), ('KPA', 'Kodeks postepowania administracyjnego'),
   ('PPSA', 'Prawo o postepowaniu przed sadami administracyjnymi'), ('Rozp.', 'Rozporzadzenie')),
-tok AS (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS token FROM t)
+tok AS (SELECT unnest(regexp_split_to_array(text, '[\\s()\\[\\],;:"''„”«»]+')) AS token FROM t)
 SELECT tok.token, dim.expansion, count(*) AS n_uses FROM tok JOIN dim USING (token) GROUP BY 1, 2
 """)
 def abbreviation_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,17 +249,16 @@ def trade_link_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("phrase_document_hits", """
 WITH p AS (SELECT DISTINCT w AS phrase FROM (
              SELECT unnest(regexp_split_to_array(lower(text), '[^\\p{L}]+')) AS w FROM benchmark) t
-           WHERE length(w) >= 8)
+           WHERE w <> '')
 SELECT p.phrase, count(*) AS n_docs
 FROM p JOIN documents d ON contains(lower(d.text), p.phrase) GROUP BY p.phrase
 """, bench=True)
 def phrase_document_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every benchmark word of 8+ letters searched in every whole
-    document (substring, case-insensitive); documents per phrase."""
+    """Every benchmark word searched in every whole document (substring,
+    case-insensitive); documents per phrase."""
     words = table(spark, sf_dir, "benchmark").select(
-        F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("phrase")).filter(F.length("phrase") >= 8)
-    # one linear automaton pass per text: cheaper than spreading the texts first
-    hits = corpus.phrase_hits(table(spark, sf_dir, "documents", widen=False), words)
+        F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("phrase"))
+    hits = corpus.phrase_hits(table(spark, sf_dir, "documents"), words)
     return hits.groupBy("phrase").agg(F.count("*").alias("n_docs"))
 
 
@@ -391,3 +390,69 @@ def topic_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.groupBy(F.col("o_orderpriority").alias("topic")).agg(
         F.count("*").alias("n_rulings"), F.min(F.to_date("o_orderdate")).alias("first_date"),
         F.max(F.to_date("o_orderdate")).alias("last_date"))
+
+
+# ------------------------------------------------------------ X20 families U4 --
+def standin_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that cite one act, ruling, decision or opinion each, in brackets,
+    after commas and at the end of a sentence."""
+    k, n = F.col("o_orderkey"), (F.col("o_custkey") % 900 + 1).cast("string")
+    day = F.date_format(F.to_date("o_orderdate"), "dd.MM.yyyy")
+    c, t = F.concat, F.lit
+    cites = [c(t("Art. "), n, t(" ust. 1 pkt 2 lit. a) Rozp. (UE) 2016/127")), c(t("Zalacznik IV do Rozp. (WE) nr "), n, t("/2008")),
+             c(t("dyrektywy 2002/"), n, t("/WE")), c(t("02011R"), F.lpad(n, 4, "0"), t("-20240514")), c(t("Dz.U. z 2023 r. poz. "), n),
+             c(t("art. "), n, t(" ust. 2 u.b.z.z.")), c(t("C-"), n, t("/13, Digibet i Albers, ECLI:EU:C:2014:"), n, t(", pkt 42")),
+             c(t("Wyrok WSA w Warszawie z "), day, t(", sygn. VII SA/Wa "), n, t("/22")),
+             c(t("Decyzja PPIS w Krakowie z "), day, t(", znak: NS."), n, t("-1/22")), c(t("EFSA Journal 2011;9(4):"), n)]
+    cite = F.get(F.array(*cites), (k % 10).cast("int"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", c(t("Zob. ("), cite, t("), jak wyzej; por. "), cite, t(".")).alias("text"))
+
+
+_RULING_CITES = """
+WITH o AS (SELECT o_orderkey, CAST(o_custkey % 900 + 1 AS VARCHAR) AS n, strftime(o_orderdate, '%d.%m.%Y') AS d FROM orders),
+c AS (SELECT o_orderkey, ['eu_provision', 'eu_annex', 'eu_directive', 'celex', 'national_act', 'national_provision', 'cjeu',
+         'administrative_court', 'decision', 'efsa'][o_orderkey % 10 + 1] AS family,
+       ['Art. ' || n || ' ust. 1 pkt 2 lit. a) Rozp. (UE) 2016/127', 'Zalacznik IV do Rozp. (WE) nr ' || n || '/2008',
+        'dyrektywy 2002/' || n || '/WE', '02011R' || lpad(n, 4, '0') || '-20240514', 'Dz.U. z 2023 r. poz. ' || n,
+        'art. ' || n || ' ust. 2 u.b.z.z.', 'C-' || n || '/13, Digibet i Albers, ECLI:EU:C:2014:' || n || ', pkt 42',
+        'Wyrok WSA w Warszawie z ' || d || ', sygn. VII SA/Wa ' || n || '/22',
+        'Decyzja PPIS w Krakowie z ' || d || ', znak: NS.' || n || '-1/22', 'EFSA Journal 2011;9(4):' || n][o_orderkey % 10 + 1] AS citation
+      FROM o)
+"""
+
+
+@register("citation_families", _RULING_CITES + """
+SELECT o_orderkey, family, CAST(unnest([0, 1]) AS INTEGER) AS cit_no, citation FROM c
+""")
+def citation_families(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations of every family in ruling texts."""
+    return corpus.extract_citations(standin_rulings(spark, sf_dir), "text", keep=("o_orderkey",))
+
+
+@register("act_files_incomplete", """
+SELECT p_partkey, part FROM (
+  SELECT p_partkey, unnest(['celex', 'tytul_pl', 'tytul_en', 'dziennik_urzedowy', 'data_wejscia', 'ostatnia_konsolidacja', 'link_eurlex']) AS part,
+         unnest(range(0, 7)) AS i FROM part) t
+WHERE (p_partkey + i) % 4 = 0
+""")
+def act_files_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4: front-matter keys that act files lack (absent or without a value)."""
+    keys = ["celex", "tytul_pl", "tytul_en", "dziennik_urzedowy", "data_wejscia", "ostatnia_konsolidacja", "link_eurlex"]
+    lines = [F.when((F.col("p_partkey") + i) % 4 != 0, F.concat(F.lit(f"{k}: "), F.col("p_brand")))
+             .otherwise(F.when(F.col("p_partkey") % 2 == 0, F.lit(f"{k}: "))) for i, k in enumerate(keys)]
+    files = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws("\n", F.lit("---"), *lines, F.lit("---"), F.col("p_name")).alias("text"))
+    return corpus.missing_parts(files, "act", "text", keep=("p_partkey",))
+
+
+@register("ruling_files_incomplete", """
+SELECT o_orderkey, part FROM (
+  SELECT o_orderkey, unnest(['Sygnatura', 'Data', 'Sklad orzekajacy', 'Teza', 'Kluczowe fragmenty uzasadnienia', 'Przepisy']) AS part,
+         unnest(range(0, 6)) AS i FROM orders) t
+WHERE (o_orderkey + i) % 5 = 0
+""")
+def ruling_files_incomplete(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U4/H9: parts that ruling files lack."""
+    parts = ["Sygnatura", "Data", "Sklad orzekajacy", "Teza", "Kluczowe fragmenty uzasadnienia", "Przepisy"]
+    text = F.concat_ws("\n\n", *[F.when((F.col("o_orderkey") + i) % 5 != 0, F.concat(
+        F.lit(f"## {i + 1}. {p}\n" if i % 2 else f"- **{p}**: "), F.col("o_orderpriority"))) for i, p in enumerate(parts)])
+    return corpus.missing_parts(table(spark, sf_dir, "orders").select("o_orderkey", text.alias("text")), "ruling", "text", keep=("o_orderkey",))

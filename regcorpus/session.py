@@ -50,11 +50,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the operator (a shared file
-    system) and is only read here.  When it is unset — local tests — a scratch
-    folder is made once and remembered under ``regcorpus.scratch.dir``
+    system) and is only read here; without it a cluster session fails.  With a
+    local master — tests — a scratch folder is made once and remembered under ``regcorpus.scratch.dir``
     (``spark.checkpoint.dir`` itself cannot be changed at run time)."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("regcorpus.scratch.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="regcorpus-ckpt-")
         spark.conf.set("regcorpus.scratch.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:

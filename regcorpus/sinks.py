@@ -2,8 +2,8 @@
 
 Canonical outputs are tables (parquet / JSON lines) written by executors in
 parallel.  The reference's single-document shapes (one JSON envelope with all
-rows, one Markdown report) are produced as *tables plus a manifest*; the only
-single-task rendering is the bounded top-N report (K7).
+rows, one Markdown report) are produced as *tables plus a manifest* and as an
+ordered table of lines (K7).
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from regcorpus.functions import extract as X
 from regcorpus.functions.text import safe_name
 
+SALTS = 8  # files a keyword is spread over (K3)
+
 
 def write_envelope(rows: DataFrame, path: str, fetched_at: str, total_name: str) -> int:
     """K1: rows as JSON lines under ``path/rows`` and a one-row manifest
@@ -41,8 +43,11 @@ def write_per_keyword(hits: DataFrame, path: str, keyword_col: str = "keyword")
     """K3: one folder per keyword (safe name, X9) plus a summary table;
     the original keyword stays a column because safe names can collide."""
     out = hits.withColumn("keyword_safe", safe_name(F.col(keyword_col)))
-    out.write.mode("overwrite").partitionBy("keyword_safe").json(f"{path}/by_keyword")
-    summary = out.groupBy("keyword_safe", keyword_col).agg(F.count("*").alias("n_results"))
+    # a keyword's rows meet in at most SALTS tasks, so it gets few files and no task a whole hot one
+    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hits.columns]), F.lit(SALTS))
+    out.repartition("keyword_safe", salt).write.mode("overwrite").partitionBy("keyword_safe").json(f"{path}/by_keyword")
+    written = out.sparkSession.read.schema(out.schema).json(f"{path}/by_keyword")
+    summary = written.groupBy("keyword_safe", keyword_col).agg(F.count("*").alias("n_results"))
     summary.write.mode("overwrite").json(f"{path}/summary")
     return summary
 
@@ -76,10 +81,12 @@ def write_bronze(df: DataFrame, path: str, partition_cols=()) -> None:
     w.parquet(path)
 
 
-def alert_report_lines(alerts: DataFrame, seq_col: str) -> DataFrame:
-    """K7 (scalable part): the five report lines of each alert, in a table
-    ``(seq, line_no, line)``.  ``""`` stays ``""``; an absent field prints
-    ``N/A``; an explicit null prints ``None`` (as the reference's f-string)."""
+def alert_report(alerts: DataFrame, order_cols: tuple, generated: str) -> DataFrame:
+    """K7: every line of the Markdown summary as a table ``(part, *order_cols,
+    line_no, line)``: part 0 is the header with the total, part 1 the six
+    lines of each alert.  ``""`` stays ``""``; an absent field prints ``N/A``;
+    an explicit null prints ``None``.  Sorted by its columns up to ``line_no``
+    the lines are the report."""
     def v(c):
         return F.coalesce(F.col(c), F.lit("None")) if c in alerts.columns else F.lit("N/A")
     lines = F.array(
@@ -89,19 +96,16 @@ def alert_report_lines(alerts: DataFrame, seq_col: str) -> DataFrame:
         F.concat(F.lit("- **Hazard:** "), v("hazard")),
         F.concat(F.lit("- **Origin:** "), v("origin_country")),
         F.lit(""))
-    return alerts.select(F.col(seq_col).alias("seq"), F.posexplode(lines).alias("line_no", "line"))
-
-
-def alert_report(alerts: DataFrame, seq_col: str, generated: str, top_n: int = 1000) -> DataFrame:
-    """K7: the Markdown summary (header with the total, then the first
-    ``top_n`` alerts in order) as one row.  Bounded: only ``top_n`` alerts'
-    lines reach the single task that joins them."""
-    total = alerts.count()  # one scalar
-    head = alerts.orderBy(seq_col).limit(top_n)
-    header = F.concat_ws("\n", F.lit("# RASFF Notifications Summary"), F.lit(""),
-                         F.concat(F.lit("Generated: "), F.lit(generated)),
-                         F.lit(f"Total notifications: {total}"), F.lit(""), F.lit("## Notifications"), F.lit(""))
-    lines = alert_report_lines(head, seq_col).agg(
-        F.array_sort(F.collect_list(F.struct("seq", "line_no", "line"))).alias("ls"))
-    body = F.array_join(F.transform("ls", lambda s: s["line"]), "\n")
-    return lines.select(F.when(F.size("ls") > 0, F.concat_ws("\n", header, body)).otherwise(header).alias("markdown"))
+    head = F.array(F.lit("# RASFF Notifications Summary"), F.lit(""), F.concat(F.lit("Generated: "), F.lit(generated)),
+                   F.concat(F.lit("Total notifications: "), F.col("n").cast("string")), F.lit(""),
+                   F.lit("## Notifications"), F.lit(""))
+    header = alerts.agg(F.count("*").alias("n")).select(F.lit(0).alias("part"), *[
+        F.lit(None).cast(alerts.schema[c].dataType).alias(c) for c in order_cols], F.posexplode(head).alias("line_no", "line"))
+    body = alerts.select(F.lit(1).alias("part"), *order_cols, F.posexplode(lines).alias("line_no", "line"))
+    return header.unionByName(body)
+
+
+def write_alert_report(lines: DataFrame, order_cols: tuple, path: str) -> None:
+    """K7: the report as text files whose names sort in report order (a range
+    sort; no task holds more than its range)."""
+    lines.orderBy("part", *order_cols, "line_no").select("line").write.mode("overwrite").text(path)

@@ -120,13 +120,19 @@ def fm_list(key: str, fm_col: str = "front_matter"):
 # --- S8 Markdown tables, S9 Q&A -----------------------------------------------------
 def markdown_table_rows(df: DataFrame, text_col: str, keep=()) -> DataFrame:
     """Rows of every ``| a | b |`` table (header and ``---`` separator
-    rows excluded): ``(table_no, row_no, cells ARRAY<STRING>)``."""
+    rows excluded): ``(table_no, row_no, line_no, cells ARRAY<STRING>)``.  The
+    window is per document, bounded by one document's lines."""
+    from pyspark.sql import Window
     lines = df.select(*keep, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    t = lines.withColumn("is_row", F.col("line").rlike(r"^\s*\|"))
-    t = t.filter("is_row").withColumn("is_sep", F.col("line").rlike(r"^\s*\|[\s:|-]+\|\s*$"))
-    cells = F.transform(F.slice(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), 1, 10_000),
-                        lambda c: F.trim(c))
-    return t.filter(~F.col("is_sep")).select(*keep, "line_no", cells.alias("cells"))
+    t = lines.filter(F.col("line").rlike(r"^\s*\|")).withColumn("is_sep", F.col("line").rlike(r"^\s*\|[\s:|-]+\|\s*$"))
+    doc = Window.partitionBy(*keep).orderBy("line_no")
+    starts = F.coalesce(F.lag("line_no").over(doc) != F.col("line_no") - 1, F.lit(True))
+    heads = F.coalesce(F.lead("is_sep").over(doc) & (F.lead("line_no").over(doc) == F.col("line_no") + 1), F.lit(False))
+    t = t.withColumn("_start", starts.cast("int")).withColumn("_head", heads).withColumn("table_no", F.sum("_start").over(doc) - 1)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("line"), r"^\||\|$", ""), r"\|"), lambda c: F.trim(c))
+    return t.filter(~F.col("is_sep") & ~F.col("_head")).select(
+        *keep, "table_no", (F.row_number().over(Window.partitionBy(*keep, "table_no").orderBy("line_no")) - 1).alias("row_no"),
+        "line_no", cells.alias("cells"))
 
 
 QUESTION = r"^##\s+P(\d+):\s*(.*)$"
@@ -135,15 +141,21 @@ ANSWER = r"^\*\*O\*\*:\s*(.*)$"
 
 def qa_pairs(df: DataFrame, text_col: str, keep=()) -> DataFrame:
     """``## P<n>: question`` followed by ``**O**: answer`` ->
-    ``(q_no, question, answer)``; the answer is the first answer line after
-    the question (per document window, bounded by one document)."""
+    ``(q_no, question, answer)``.  The first answer after the question counts,
+    with all its lines up to the next heading or answer mark, outer blank lines
+    removed (per document windows, bounded by one document)."""
     from pyspark.sql import Window
     lines = df.select(*keep, F.posexplode(F.split(F.col(text_col), "\n")).alias("line_no", "line"))
-    q_no = F.when(F.col("line").rlike(QUESTION), F.regexp_extract("line", QUESTION, 1).try_cast("int"))
-    q = F.when(F.col("line").rlike(QUESTION), F.regexp_extract("line", QUESTION, 2))
-    a = F.when(F.col("line").rlike(ANSWER), F.regexp_extract("line", ANSWER, 1))
+    is_q, is_a = F.col("line").rlike(QUESTION), F.col("line").rlike(ANSWER)
     w = Window.partitionBy(*keep).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = (lines.withColumn("q_no", F.last(q_no, ignorenulls=True).over(w))
-              .withColumn("question", F.last(q, ignorenulls=True).over(w)).withColumn("answer", a))
-    return (tagged.filter(F.col("answer").isNotNull() & F.col("q_no").isNotNull())
-            .groupBy(*keep, "q_no", "question").agg(F.min_by("answer", "line_no").alias("answer")))
+    tagged = (lines.withColumn("mark", F.when(is_q, "q").when(is_a, "a").when(F.col("line").rlike(r"^#{1,6}\s"), "h"))
+              .withColumn("state", F.last("mark", ignorenulls=True).over(w))
+              .withColumn("q_line", F.last(F.when(is_q, F.col("line_no")), ignorenulls=True).over(w))
+              .withColumn("a_line", F.last(F.when(is_a, F.col("line_no")), ignorenulls=True).over(w)))
+    text = F.when(is_a, F.regexp_extract("line", ANSWER, 1)).otherwise(F.col("line"))
+    answers = tagged.filter((F.col("state") == "a") & (F.col("a_line") > F.col("q_line"))).groupBy(*keep, "q_line", "a_line").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", text.alias("t")))), lambda x: x["t"]), "\n").alias("answer"))
+    first = answers.groupBy(*keep, "q_line").agg(F.min_by(F.regexp_replace("answer", r"^\s+|\s+$", ""), "a_line").alias("answer"))
+    asked = lines.filter(is_q).select(*keep, F.col("line_no").alias("q_line"), F.regexp_extract("line", QUESTION, 1).try_cast("int").alias("q_no"),
+                                      F.regexp_extract("line", QUESTION, 2).alias("question"))
+    return asked.join(first, [*keep, "q_line"]).select(*keep, "q_no", "question", "answer")

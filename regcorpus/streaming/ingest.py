@@ -8,8 +8,8 @@ remembers which landed files it has processed, so a re-run with
 T2 keeps the newest record per key across runs.  It is a streaming
 aggregation — ``max(struct(order_col, ...))`` per key — whose per-key state
 lives in the (distributed, checkpointed) state store; ``update`` mode emits the
-keys each micro-batch changed, and ``foreachBatch`` merges them into the
-touched key-hash buckets of the target.
+keys each micro-batch changed, and ``foreachBatch`` appends them to the target
+as one epoch, which readers reduce by key.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from regcorpus.operators.corpus import latest_by
 from regcorpus.session import scratch_path
 
 
@@ -44,76 +45,40 @@ def latest_per_key(stream: DataFrame, key: str, order_cols: list, value_cols: li
         *[F.col(f"_w._{c}").alias(c) for c in value_cols])
 
 
-TARGET_BUCKETS = 64
-
-
 def upsert_latest(spark: SparkSession, source_dir: str, schema: StructType, key: str, order_cols: list,
                   value_cols: list, target_dir: str, checkpoint_dir: str,
-                  max_files_per_trigger: int | None = None, buckets: int = TARGET_BUCKETS):
+                  max_files_per_trigger: int | None = None):
     """Stream landed files, keep the newest record per key in the state
-    store, and merge each micro-batch's changed keys into ``target_dir``.
+    store, and append each micro-batch's changed keys to ``target_dir``.
 
-    The target is log-structured by key-hash bucket: micro-batch ``n`` writes
-    only the buckets it touches, merged with their previous contents, to
-    ``target_dir/epoch=<n>/_bucket=<b>``; a reader takes each bucket's newest
-    epoch.  A batch costs O(touched buckets), not O(state), and a replayed
-    epoch rewrites the same folder with the same rows."""
+    Micro-batch ``n`` writes the keys it changed to ``target_dir/epoch=<n>``
+    and reads nothing there, so a replayed batch writes the same folder with
+    the same rows.  Readers reduce by key (``read_latest``); ``compact_latest``
+    rewrites the target when many epochs have gathered."""
     reader = spark.readStream.format("parquet").schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     latest = latest_per_key(reader.load(source_dir), key, order_cols, value_cols)
-    cols = [key, *order_cols, *value_cols]
-
-    def bucket_of(df):
-        return df.withColumn("_bucket", F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)))
-
-    def merge(batch: DataFrame, epoch_id: int):
-        changed = bucket_of(batch.select(*cols)).persist()
-        try:
-            touched = [r[0] for r in changed.select("_bucket").distinct().collect()]  # <= buckets values
-            if not touched:
-                return
-            where = _bucket_paths(spark, target_dir)
-            prev_paths = [where[b] for b in touched if b in where]
-            merged = changed
-            if prev_paths:
-                prev = bucket_of(spark.read.parquet(*prev_paths).select(*cols))
-                merged = prev.join(changed.select(key), key, "left_anti").unionByName(changed)
-            merged.write.mode("overwrite").partitionBy("_bucket").parquet(f"{target_dir}/epoch={epoch_id:012d}")
-        finally:
-            changed.unpersist()
+
+    def append(batch: DataFrame, epoch_id: int):
+        batch.select(key, *order_cols, *value_cols).write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id:012d}")
 
     q = (latest.writeStream.outputMode("update").option("checkpointLocation", checkpoint_dir)
-         .foreachBatch(merge).trigger(availableNow=True).start())
+         .foreachBatch(append).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def _list_dirs(spark: SparkSession, path: str, prefix: str) -> list:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(p)
-                  if s.isDirectory() and s.getPath().getName().startswith(prefix))
-
-
-def _bucket_paths(spark: SparkSession, target_dir: str) -> dict:
-    """Bucket -> folder of its newest epoch (a listing of folder names only)."""
-    out = {}
-    for epoch in _list_dirs(spark, target_dir, "epoch="):
-        for b in _list_dirs(spark, f"{target_dir}/{epoch}", "_bucket="):
-            out[int(b.split("=", 1)[1])] = f"{target_dir}/{epoch}/{b}"
-    return out
+def read_latest(spark: SparkSession, target_dir: str, key: str, order_cols: list) -> DataFrame:
+    """Current state of a T2 target: per key the row with the greatest
+    ``order_cols`` over all epochs (map-side combined)."""
+    return latest_by(spark.read.parquet(target_dir).drop("epoch"), key, order_cols)
 
 
-def read_latest(spark: SparkSession, target_dir: str) -> DataFrame:
-    """Current state of a T2 target (each bucket's newest epoch)."""
-    paths = list(_bucket_paths(spark, target_dir).values())
-    if not paths:
-        raise FileNotFoundError(target_dir)
-    return spark.read.parquet(*paths)
+def compact_latest(spark: SparkSession, target_dir: str, key: str, order_cols: list, compacted_dir: str) -> None:
+    """Write the current state as epoch 0 of a new target folder; streaming
+    goes on there with the same checkpoint."""
+    read_latest(spark, target_dir, key, order_cols).write.mode("overwrite").parquet(f"{compacted_dir}/epoch={0:012d}")
 
 
 def new_run_dir(spark: SparkSession, name: str) -> str:

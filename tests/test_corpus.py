@@ -25,15 +25,14 @@ def test_as_of_matches_brute_force(spark):
         assert got[sid] == want, (key, d)
 
 
-def test_phrase_hits_both_paths(spark):
-    docs = [(1, "Ala ma kota i PSA"), (2, "kotara"), (3, "nic"), (4, "ab abc")]
-    phrases = ["kot", "psa", "ab", "abc", "x", "ma kota"]
+def test_phrase_hits(spark):
+    docs = [(1, "Ala ma kota i PSA"), (2, "kotara"), (3, "nic"), (4, "ab abc"), (5, None), (6, ""), (7, "alpha beta xx")]
+    phrases = ["kot", "psa", "ab", "abc", "x", "ma kota", "beta", "xx", "", None, "kotar", "nieobecne"]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     p = spark.createDataFrame([(x,) for x in phrases], "phrase string")
-    want = sorted((ph, i) for i, t in docs for ph in phrases if ph in t.lower())
-    fast = sorted(tuple(r) for r in corpus.phrase_hits(d, p).collect())
-    gram = sorted(tuple(r) for r in corpus.phrase_hits(d, p, max_broadcast=0, gram=3).collect())
-    assert fast == want and gram == want
+    want = sorted((ph, i) for i, t in docs for ph in phrases if t and ph and ph in t.lower())
+    for gram in (1, 3, 4):
+        assert sorted(tuple(r) for r in corpus.phrase_hits(d, p, gram=gram).collect()) == want
 
 
 def test_link_graph_and_reconcile(spark):
@@ -89,16 +88,21 @@ def test_version_validity_matches_sorted_next(spark):
             assert got[(k, d)] == (ds[i + 1] if i + 1 < len(ds) else None)
 
 
-def test_size_guards(spark):
-    from regcorpus.operators.joins import broadcast_if_small, widen_scan
-    small = spark.range(10)
-    assert broadcast_if_small(small, max_rows=10)[1] is True
-    assert broadcast_if_small(small, max_rows=5)[1] is False      # above the bound: plain (shuffle) join
-    region = spark.read.parquet("/root/testdata/sf0.1/region.parquet")
-    assert widen_scan(region) is region                            # tiny table left alone
-    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
-    target = min(spark.sparkContext.defaultParallelism, 64)
-    widened = widen_scan(docs)
-    assert widened.rdd.getNumPartitions() >= min(target, docs.rdd.getNumPartitions()) or widened is docs
-    if docs.rdd.getNumPartitions() < target:
-        assert widened.rdd.getNumPartitions() == target
+def test_citation_families_and_punctuated_abbreviations(spark):
+    text = ("Art. 9 ust. 1 lit. b) Rozp. (UE) 2016/127; Art. 5 ust. 1 pkt 2 lit. a) Rozp. (UE) nr 1169/2011; art. 3 dyrektywy 2002/46/WE; "
+            "wyrok C-544/10, Uchwala NSA (7) z 01.02.2020, sygn. II GSK 1/20, Decyzja GIS z 02.03.2021, EFSA Journal 2023;21(10):8340. tekst (t.j.) wg KPA, art. 5")
+    df = spark.createDataFrame([(1, text)], "id int, text string")
+    got = {(r.family, r.citation) for r in corpus.extract_citations(df, "text", keep=("id",)).collect()}
+    assert {f for f, _ in got} == {"eu_provision", "eu_directive", "cjeu", "administrative_court", "decision", "efsa"}
+    assert ("eu_directive", "dyrektywy 2002/46/WE") in got and ("cjeu", "C-544/10") in got
+    p = [(r.article, r.paragraph, r.point, r.letter, r.celex) for r in corpus.extract_provisions(df, "text", keep=("id",)).collect()]
+    assert p == [("9", "1", None, "b", "32016R0127"), ("5", "1", "2", "a", "32011R1169")]
+    tokens = {r.token for r in corpus.expand_abbreviations(df, "text", spark, keep=("id",)).collect()}
+    assert {"t.j.", "KPA", "art."} <= tokens
+
+
+def test_skill_files_with_all_parts_are_complete(spark):
+    parts = "\n".join(f"{i}. **{p}** - x" for i, p in enumerate(corpus.REQUIRED_PARTS["skill"], 1))
+    df = spark.createDataFrame([(1, parts), (2, parts.replace("Pulapki", "Inne")), (3, None)], "id int, text string")
+    got = sorted((r.id, r.part) for r in corpus.missing_parts(df, "skill", "text", keep=("id",)).collect())
+    assert got == [(2, "Pulapki")] + sorted((3, p) for p in corpus.REQUIRED_PARTS["skill"])

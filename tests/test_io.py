@@ -76,7 +76,7 @@ def test_front_matter_table_and_qa(spark):
     assert (r.s, r.d, r.p, r.t, r.n) == ("II GSK 1647/20", "2022-09-15", ["art. 100 u.b.z.z.", "art. 103"], ["a", "b"], None)
     assert r.body.startswith("# Tytuł")
     rows = files.markdown_table_rows(df, "body", keep=("id",)).collect()
-    assert [x.cells for x in rows] == [["data", "sygn"], ["2022", "II GSK"]]
+    assert [(x.table_no, x.row_no, x.cells) for x in rows] == [(0, 0, ["2022", "II GSK"])]
     qa = files.qa_pairs(df, "body", keep=("id",)).first()
     assert (qa.q_no, qa.question, qa.answer) == (1, "Pytanie?", "Odpowiedź.")
 
@@ -96,13 +96,24 @@ def test_envelope_and_per_keyword_and_report(spark):
     alerts = spark.createDataFrame([(1, "2024.1", "2024-01-15", "alert", "S", "")],
                                    "seq int, reference string, date string, notification_type string, subject string,"
                                    " hazard string")
-    md = sinks.alert_report(alerts, "seq", "2026-01-01 00:00:00").first().markdown
+    def report(a):
+        rows = sinks.alert_report(a, ("seq",), "2026-01-01 00:00:00").orderBy("part", "seq", "line_no").collect()
+        return "\n".join(r.line for r in rows)
+
+    md = report(alerts)
     assert "Total notifications: 1" in md and "### 2024.1 (2024-01-15)" in md
     assert "- **Hazard:** \n" in md and "- **Origin:** N/A" in md
     nulls = alerts.withColumn("origin_country", F.lit(None).cast("string"))
-    assert "- **Origin:** None" in sinks.alert_report(nulls, "seq", "x").first().markdown
-    empty = sinks.alert_report(alerts.limit(0), "seq", "x").first().markdown
-    assert "Total notifications: 0" in empty
+    assert "- **Origin:** None" in report(nulls)
+    assert "Total notifications: 0" in report(alerts.limit(0))
+    many = spark.range(1500).selectExpr("id AS seq", "cast(id as string) AS reference", "'d' AS date", "'t' AS notification_type",
+                                        "'s' AS subject", "'h' AS hazard")
+    text = report(many)
+    assert "Total notifications: 1500" in text and text.count("### ") == 1500 and text.index("### 9 (") < text.index("### 1499 (")
+    lines = sinks.alert_report(many, ("seq",), "x")
+    sinks.write_alert_report(lines, ("seq",), f"{d}/report")
+    files_ = sorted(f for f in os.listdir(f"{d}/report") if f.startswith("part-"))
+    assert "".join(open(f"{d}/report/{f}").read() for f in files_).splitlines()[7] == "### 0 (d)"
 
 
 def test_incremental_ingest_and_latest(spark):
@@ -117,7 +128,7 @@ def test_incremental_ingest_and_latest(spark):
     ingest.incremental_ingest(spark, f"{run}/land", st, f"{run}/out", f"{run}/ck")
     ingest.upsert_latest(spark, f"{run}/land", st, "k", ["ts"], ["v"], f"{run}/tgt", f"{run}/ck2")
     assert spark.read.parquet(f"{run}/out").count() == 4
-    latest = {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt").collect()}
+    latest = {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt", "k", ["ts"]).collect()}
     assert latest == {1: "c", 2: "b"}
     assert F is not None
 
@@ -135,7 +146,56 @@ def test_latest_state_rerun_without_new_files_is_a_no_op(spark):
     st = _parse_datatype_string("k long, ts long, v string")
     spark.createDataFrame([(1, 1, "a"), (2, 5, "b"), (1, 3, "c")], "k long, ts long, v string").write.parquet(f"{run}/land/w=1")
     for _ in range(2):
-        ingest.upsert_latest(spark, f"{run}/land", st, "k", ["ts"], ["v"], f"{run}/tgt", f"{run}/ck", buckets=4)
+        ingest.upsert_latest(spark, f"{run}/land", st, "k", ["ts"], ["v"], f"{run}/tgt", f"{run}/ck")
     epochs = [e for e in os.listdir(f"{run}/tgt") if e.startswith("epoch=")]
     assert len(epochs) == 1
-    assert {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt").collect()} == {1: "c", 2: "b"}
+    assert {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt", "k", ["ts"]).collect()} == {1: "c", 2: "b"}
+
+
+def test_latest_state_survives_a_replayed_batch(spark):
+    """The commit of the last batch is taken out of the checkpoint, as after a
+    crash between target write and commit; the batch runs again."""
+    run = ingest.new_run_dir(spark, "test-replay")
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string("k long, ts long, v string")
+    for w, rows in enumerate([[(1, 1, "a"), (2, 5, "b")], [(1, 3, "c"), (3, 1, "d")]]):
+        spark.createDataFrame(rows, "k long, ts long, v string").write.parquet(f"{run}/land/w={w}")
+        ingest.upsert_latest(spark, f"{run}/land", st, "k", ["ts"], ["v"], f"{run}/tgt", f"{run}/ck")
+    last = max((f for f in os.listdir(f"{run}/ck/commits") if f.isdigit()), key=int)
+    for f in (last, f".{last}.crc"):
+        if os.path.exists(f"{run}/ck/commits/{f}"):
+            os.remove(f"{run}/ck/commits/{f}")
+    ingest.upsert_latest(spark, f"{run}/land", st, "k", ["ts"], ["v"], f"{run}/tgt", f"{run}/ck")
+    want = {1: "c", 2: "b", 3: "d"}
+    assert {r.k: r.v for r in ingest.read_latest(spark, f"{run}/tgt", "k", ["ts"]).collect()} == want
+    ingest.compact_latest(spark, f"{run}/tgt", "k", ["ts"], f"{run}/small")
+    assert {r.k: r.v for r in ingest.read_latest(spark, f"{run}/small", "k", ["ts"]).collect()} == want
+
+
+def test_wide_table_rows_and_long_answers(spark):
+    wide = "| " + " | ".join(str(i) for i in range(10_001)) + " |"
+    text = f"{wide}\n|---|\n{wide}\n\n| a |\n| b |\n"
+    rows = files.markdown_table_rows(spark.createDataFrame([(1, text)], "id int, text string"), "text", keep=("id",)).collect()
+    assert [(r.table_no, r.row_no, len(r.cells)) for r in rows] == [(0, 0, 10_001), (1, 0, 1), (1, 1, 1)]
+    qa = "## P1: q1\n\n**O**: one\ntwo\n\nthree\n\n## P2: q2\n**O**: x\n**O**: second\n# Koniec\nrest"
+    got = files.qa_pairs(spark.createDataFrame([(1, qa)], "id int, text string"), "text", keep=("id",)).collect()
+    assert sorted((r.q_no, r.answer) for r in got) == [(1, "one\ntwo\n\nthree"), (2, "x")]
+
+
+def test_cluster_without_shared_folder_fails(spark, monkeypatch):
+    import pytest
+
+    from regcorpus import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Cluster:
+        conf = Conf()
+
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+    with pytest.raises(RuntimeError):
+        session.ensure_checkpoint_dir(Cluster())

@@ -88,6 +88,8 @@ def test_paging_stop_rule_matches_loop(spark):
         3: {0: dict(ok=True, n=50, total=500), 1: dict(ok=False, n=0, total=0), 2: dict(ok=True, n=50, total=500)},
         4: {0: dict(ok=True, n=50, total=0), 1: dict(ok=True, n=50, total=0)},
         5: {p: dict(ok=True, n=50, total=10_000) for p in range(9)},
+        6: {p: dict(ok=True, n=50, total=10_000) for p in (0, 1, 3)},      # page 2 never landed
+        7: {p: dict(ok=True, n=50, total=10_000) for p in (1, 2)},         # nor the first page
     }
     rows = [(r, p, v["ok"], v["n"], v["total"]) for r, ps in runs.items() for p, v in ps.items()]
     df = spark.createDataFrame(rows, "run_id int, page int, ok boolean, n_rows long, total long")
@@ -116,7 +118,7 @@ def test_first_n_per_group(spark):
 
 from hypothesis import given, settings, strategies as st  # noqa: E402
 
-_page = st.fixed_dictionaries({"ok": st.booleans() | st.just(True), "n": st.integers(0, 60),
+_page = st.fixed_dictionaries({"landed": st.just(True) | st.just(True) | st.booleans(), "ok": st.booleans() | st.just(True), "n": st.integers(0, 60),
                                "total": st.sampled_from([0, 40, 100, 150, 10_000])})
 
 
@@ -124,7 +126,7 @@ _page = st.fixed_dictionaries({"ok": st.booleans() | st.just(True), "n": st.inte
 @given(st.lists(st.lists(_page, min_size=1, max_size=9), min_size=1, max_size=4), st.sampled_from([3, 5, None]),
        st.sampled_from([2, 4096]))
 def test_paging_rule_property(spark, runs, max_pages, block_pages):
-    pages = {r: dict(enumerate(ps)) for r, ps in enumerate(runs)}
+    pages = {r: {p: v for p, v in enumerate(ps) if v["landed"]} for r, ps in enumerate(runs)}
     rows = [(r, p, v["ok"], v["n"] if v["ok"] else 0, v["total"]) for r, ps in pages.items() for p, v in ps.items()]
     df = spark.createDataFrame(rows, "run_id int, page int, ok boolean, n_rows long, total long")
     got = {}
