@@ -65,24 +65,11 @@ def register_sql_functions(spark: SparkSession) -> list:
     return list(definitions())
 
 
-def register_html_blocks(spark: SparkSession, name: str = "html_blocks") -> str:
-    """D3: ``html_blocks(html, file_name)`` as a SQL table function (Arrow
-    Python UDTF) yielding ``(block_no, kind, text)`` with the H8 dispatcher:
-
-        SELECT p.page_id, b.* FROM pages p, LATERAL html_blocks(p.html, p.url) b
-
-    A convenience for SQL users; bulk conversion should use
-    ``operators.markup.convert_documents`` (one Arrow job, spread first)."""
-    from pyspark.sql.functions import udtf
-
-    from regcorpus.operators.markup import convert_one
-
-    @udtf(returnType="block_no int, kind string, text string", useArrow=True)
-    class HtmlBlocks:
-        def eval(self, html: str, file_name: str):
-            _, kinds, lines, _ = convert_one(html, file_name or "")
-            for i, (k, t) in enumerate(zip(kinds, lines)):
-                yield i, k, t
-
-    spark.udtf.register(name, HtmlBlocks)
+def register_html_blocks(spark: SparkSession, source: str, id_col: str, html_col: str, name_col: str | None = None,
+                         name: str = "html_blocks") -> str:
+    """D3: the blocks ``(id, block_no, kind, text)`` of every document of a
+    table or view as the view ``name``, for SQL users."""
+    from regcorpus.operators import markup
+    conv = markup.convert_documents(spark.table(source), id_col, html_col, name_col)
+    markup.to_blocks(conv, id_col).createOrReplaceTempView(name)
     return name

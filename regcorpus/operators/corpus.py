@@ -190,32 +190,29 @@ def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
     phrases); empty and null phrases match nothing.
 
     Postings ``(gram, document)`` hold each document's distinct character grams
-    without its text: of length ``gram``, and of a shorter phrase's own
-    length.  Every phrase is looked up by the one of its grams that the fewest
-    documents hold.  A phrase no longer than ``gram`` is its gram; longer ones
-    are verified by one join of the candidates, gathered per document, back to
-    the texts."""
+    and their beginnings, without its text.  Every phrase is looked up by the
+    one of its grams (or itself, when shorter) that the fewest documents hold;
+    the candidates, gathered per document, are verified by one join back to the
+    texts."""
     d = docs.select(F.col(id_col).alias("_id"), F.lower(F.col(text_col)).alias("_t")).filter("_t <> ''")
     p = phrases.select(F.lower(F.col(phrase_col)).alias("_p")).filter("_p <> ''").distinct()
-
-    def grams(text, n):
-        # every place looks ahead n characters and moves on by one
-        return F.array_distinct(F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{n}}}))."), F.lit(1)))
-
-    own = F.when(F.length("_p") <= gram, F.array("_p")).otherwise(grams(F.col("_p"), gram))
+    # every place looks ahead ``gram`` characters and moves on by one
+    ahead = F.lit(f"(?s)(?=(.{{{gram}}})).")
+    own = F.when(F.length("_p") <= gram, F.array("_p")).otherwise(F.array_distinct(F.regexp_extract_all("_p", ahead, F.lit(1))))
     wanted = p.select("_p", F.explode(own).alias("_g"))
-    each = F.concat(*[grams(F.col("_t"), n) for n in range(1, gram + 1)])
+    full = d.select("_id", F.array_distinct(F.regexp_extract_all(
+        F.concat("_t", F.lit("\u0000" * (gram - 1))), ahead, F.lit(1))).alias("_gs"))
+    starts = [F.array_distinct(F.expr(f"transform(_gs, g -> substring(g, 1, {n}))")) for n in range(1, gram)]
     # explode_outer: explode would push a copy of the array below the projection and build it twice
-    postings = d.select("_id", F.explode_outer(each).alias("_g")).filter("_g is not null") \
+    postings = full.select("_id", F.explode_outer(F.concat("_gs", *starts)).alias("_g")).filter("_g is not null") \
         .join(wanted.select("_g").distinct(), "_g", "left_semi")
     held = postings.groupBy("_g").agg(F.count("*").alias("_df"))
-    rarest = wanted.join(held, "_g", "left").groupBy("_p").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), F.col("_g").alias("g"))).alias("m")) \
-        .select("_p", F.col("m.g").alias("_g"))
-    found = postings.join(rarest, "_g").select("_id", "_p")
-    sure = found.filter(F.length("_p") <= gram)
-    maybe = found.filter(F.length("_p") > gram).groupBy("_id").agg(F.collect_list("_p").alias("_ps"))
-    checked = d.join(maybe, "_id").select("_id", F.explode(F.filter("_ps", lambda x: F.col("_t").contains(x))).alias("_p"))
-    return sure.unionByName(checked).select(F.col("_p").alias(phrase_col), F.col("_id").alias(id_col))
+    rarest = wanted.join(held, "_g").groupBy("_p").agg(F.min(F.struct("_df", "_g")).alias("m"), F.count("*").alias("_n"))
+    # a phrase with a gram that no document holds is nowhere
+    whole = wanted.groupBy("_p").agg(F.count("*").alias("_n")).join(rarest, ["_p", "_n"]).select("_p", F.col("m._g").alias("_g"))
+    found = postings.join(whole, "_g").groupBy("_id").agg(F.collect_list("_p").alias("_ps"))
+    hits = d.join(found, "_id").select("_id", F.explode(F.filter("_ps", lambda x: F.col("_t").contains(x))).alias("_p"))
+    return hits.select(F.col("_p").alias(phrase_col), F.col("_id").alias(id_col))
 
 
 def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

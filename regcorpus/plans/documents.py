@@ -119,6 +119,27 @@ def page_source_types(spark: SparkSession, sf_dir: str) -> DataFrame:
                     markup.source_type(F.col("html"), name).alias("source_type"))
 
 
+PAGE_BLOCKS_SQL = r"""
+WITH s AS (""" + PAGE_SOURCE_SQL + r"""),
+b AS (SELECT p.page_id, regexp_replace(regexp_replace(html, '(?s)^.*<body[^>]*>', ''), '(?s)</body>.*$', '') AS body, source_type
+      FROM pages p JOIN s ON s.page_id = p.page_id),
+d AS (SELECT page_id, CASE WHEN source_type IN ('isap', 'eurlex')
+             THEN regexp_replace(regexp_replace(body, '(?s)<nav>.*?</nav>', '', 'g'), '(?s)<footer>.*?</footer>', '', 'g') ELSE body END AS body FROM b),
+t AS (SELECT page_id, unnest(regexp_extract_all(body, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>|<[^>]*>|[^<]+')) AS tok,
+             generate_subscripts(regexp_extract_all(body, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>|<[^>]*>|[^<]+'), 1) AS i FROM d),
+x AS (SELECT page_id, i, regexp_replace(CASE
+        WHEN starts_with(tok, '<!--') THEN CASE WHEN {comments} THEN tok[5:length(tok) - 3] ELSE '' END
+        WHEN starts_with(tok, '<') THEN ''
+        ELSE replace(replace(replace(replace(replace(replace(tok, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&copy;', '\xa9'), '&middot;', '\xb7'), '&amp;', '&')
+        END, '^' || '{ws}+|{ws}+$', '', 'g') AS text FROM t)
+SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS block_no, 'line' AS kind, text FROM x WHERE text <> ''
+"""
+
+
+def _page_blocks_sql(comments: bool) -> str:
+    return PAGE_BLOCKS_SQL.replace("{comments}", str(comments).lower()).replace("{ws}", _WS).replace("\\xa9", "\xa9").replace("\\xb7", "\xb7")
+
+
 def _converted_pages(spark, sf_dir, **kw):
     p = table(spark, sf_dir, "pages").withColumn("file_name", markup.url_file_name(F.col("url")))
     return markup.convert_documents(p, "page_id", "html", "file_name", **kw)
@@ -130,7 +151,7 @@ def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     return markup.to_markdown(_converted_pages(spark, sf_dir), "page_id")
 
 
-@register("page_blocks")
+@register("page_blocks", _page_blocks_sql(True))
 def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``blocks`` table of every page (comments kept, as the reference)."""
     return markup.to_blocks(_converted_pages(spark, sf_dir, keep_comments=True), "page_id")
@@ -268,21 +289,29 @@ def judgment_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return md.select("o_orderkey", T.first_title_line(F.col("markdown")).alias("title"), "markdown")
 
 
-@register("page_detail_text")
+def standin_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ruling pages whose content element holds a document's lines."""
+    body = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p>"), _esc(x), F.lit("</p>"))), "")
+    return table(spark, sf_dir, "documents").select("doc_id", F.concat(
+        F.lit('<body><div class="menu">m</div><div id="content"><div>'), body, F.lit('</div></div><div class="content">later</div></body>')).alias("html"))
+
+
+@register("page_detail_text", f"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents),
+t AS (SELECT doc_id, i, regexp_replace(line, '^{_WS}+|{_WS}+$', '', 'g') AS line FROM l)
+SELECT d.doc_id, coalesce((SELECT string_agg(line, chr(10) ORDER BY i) FROM t WHERE t.doc_id = d.doc_id AND line <> ''), '') AS full_text
+FROM documents d
+""")
 def page_detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """H7: detail text of each page (first element with a content class/id;
-    CJEU selector list, cut to 10 000 chars)."""
-    p = table(spark, sf_dir, "pages")
-    return markup.detail_texts(p, "page_id", "html", markup.CJEU_DETAIL + ("article",), limit=10000)
+    """H7: the uncut detail text of national rulings."""
+    return markup.detail_texts(standin_detail_pages(spark, sf_dir), "doc_id", "html")
 
 
-@register("sql_page_blocks")
+@register("sql_page_blocks", _page_blocks_sql(False))
 def sql_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: the blocks table of every page through the SQL table function
-    ``html_blocks`` (LATERAL join; HTML comments dropped, the default)."""
+    """D3: the blocks of every page through the SQL view ``html_blocks``
+    (comments dropped, the default)."""
     from regcorpus.functions.sql import register_html_blocks
-    register_html_blocks(spark)
-    p = table(spark, sf_dir, "pages").withColumn("file_name", markup.url_file_name(F.col("url")))
-    p.createOrReplaceTempView("regcorpus_pages")
-    return spark.sql("SELECT p.page_id, b.block_no, b.kind, b.text "
-                     "FROM regcorpus_pages p, LATERAL html_blocks(p.html, p.file_name) b")
+    table(spark, sf_dir, "pages").withColumn("file_name", markup.url_file_name(F.col("url"))).createOrReplaceTempView("regcorpus_pages")
+    register_html_blocks(spark, "regcorpus_pages", "page_id", "html", "file_name")
+    return spark.sql("SELECT page_id, block_no, kind, text FROM html_blocks")
