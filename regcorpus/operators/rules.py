@@ -24,6 +24,8 @@ CONTAMINANT_LIMITS = [
     ("PA", "herbal_tea", "200", "ug/kg", "2024-01-01", None),
     ("PA", "botanical_supplement", "400", "ug/kg", None, "2024-01-01"),
     ("PA", "botanical_supplement", "200", "ug/kg", "2024-01-01", None),
+    ("PA", "herbal_infusion", "150", "ug/kg", None, "2024-01-01"),
+    ("PA", "herbal_infusion", "75", "ug/kg", "2024-01-01", None),
     ("PA", "pollen", "500", "ug/kg", None, None),
     ("AFB1", "supplement", "5.0", "ug/kg", None, None),
     ("OTA", "liquorice_ginger", "10", "ug/kg", None, None),
@@ -48,7 +50,7 @@ CLAIM_SOURCE, CLAIM_HIGH = 0.15, 0.30
 # Composition ranges (regime, nutrient, min, max); NULL = open end
 COMPOSITION_RANGES = [
     ("infant_formula", "protein", 0.45, 0.7), ("infant_formula", "fat", 1.1, 1.4),
-    ("infant_formula", "carbohydrate", 2.2, 3.4),
+    ("infant_formula", "carbohydrate", 2.2, 3.4), ("infant_formula", "energy", 60.0, 70.0),
     ("diet_replacement", "protein", 75.0, None), ("diet_replacement", "carbohydrate", 30.0, None),
     ("diet_replacement", "fibre", 10.0, 30.0),
 ]
@@ -68,6 +70,7 @@ FONT_MIN_MM, FONT_MIN_SMALL_MM, SMALL_PACK_CM2 = 1.2, 0.9, 80.0
 APPEAL_ROUTES = [
     ("PPIS", "appeal", "PWIS", 14), ("PWIS", "complaint", "WSA", 30),
     ("WSA", "cassation", "NSA", 30), ("GIS", "reconsideration", "GIS", 14),
+    ("GIS_reconsidered", "complaint", "WSA", 30),
     ("order", "objection", "superior", 7),
 ]
 # Validity periods in years
@@ -356,10 +359,14 @@ def additive_permission(uses: DataFrame, permissions: DataFrame, spark: SparkSes
     return j.withColumn("listed", F.coalesce("listed", F.lit(False))).withColumn("verdict", verdict)
 
 
-def novel_food_status(first_use: Column, on_union_list: Column, third_country_years: Column) -> Column:
-    """Evidence ranked — use before the cut-off, union list, traditional
-    third-country use, else authorisation required."""
+def novel_food_status(first_use: Column, on_union_list: Column, third_country_years: Column,
+                      catalogue_not_novel: Column | None = None) -> Column:
+    """Evidence ranked: use before the cut-off, the catalogue (indicative
+    only, so it is named), union list, traditional third-country use, else
+    authorisation required."""
+    listed = F.coalesce(catalogue_not_novel, F.lit(False)) if catalogue_not_novel is not None else F.lit(False)
     return (F.when(first_use < F.lit(NOVEL_FOOD_CUTOFF).cast("date"), "not novel")
+            .when(listed, "not novel by the catalogue")
             .when(on_union_list, "authorised novel food")
             .when(third_country_years >= TRADITIONAL_USE_YEARS, "traditional food notification")
             .otherwise("authorisation required"))

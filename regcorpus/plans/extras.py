@@ -297,6 +297,19 @@ def organic_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.agg(F.count("*").alias("n_products"), F.count_if("organic_ok").alias("n_organic_label"))
 
 
+@register("natural_flavour_share", """
+SELECT count(*) AS n_flavours, count(*) FILTER (WHERE share >= 0.95) AS n_natural_label FROM (
+  SELECT l_partkey, sum(CASE WHEN l_discount < 0.1 THEN l_quantity ELSE 0 END) / sum(l_quantity) AS share
+  FROM lineitem GROUP BY l_partkey) t
+""")
+def natural_flavour_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flavourings whose flavouring component comes to 95 % from the named
+    source."""
+    li = table(spark, sf_dir, "lineitem").withColumn("named", F.col("l_discount") < 0.1)
+    s = R.share_checks(li, "l_partkey", "l_quantity", {"natural": ("named", R.NATURAL_FLAVOUR_SHARE)})
+    return s.agg(F.count("*").alias("n_flavours"), F.count_if("natural_ok").alias("n_natural_label"))
+
+
 @register("fsmp_products", """
 SELECT count(*) AS n_products,
        count(*) FILTER (WHERE p_partkey % 2 = 0 AND p_partkey % 3 = 0 AND p_size > 10 AND p_retailprice > 1000)

@@ -166,11 +166,11 @@ def nutrient_claim_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("composition_ranges", """
 WITH o AS (
   SELECT CASE WHEN l_returnflag = 'R' THEN 'diet_replacement' ELSE 'infant_formula' END AS regime,
-         (['protein', 'fat', 'carbohydrate', 'fibre'])[l_linenumber % 4 + 1] AS nutrient,
-         CASE WHEN l_returnflag = 'R' THEN l_quantity * 2 ELSE l_tax * 40 END AS value
+         (['protein', 'fat', 'carbohydrate', 'fibre', 'energy'])[l_linenumber % 5 + 1] AS nutrient,
+         CASE WHEN l_linenumber % 5 = 4 THEN 50 + l_quantity / 2 WHEN l_returnflag = 'R' THEN l_quantity * 2 ELSE l_tax * 40 END AS value
   FROM lineitem),
 r(regime, nutrient, lo, hi) AS (VALUES ('infant_formula', 'protein', 0.45, 0.7), ('infant_formula', 'fat', 1.1, 1.4),
-  ('infant_formula', 'carbohydrate', 2.2, 3.4), ('diet_replacement', 'protein', 75.0, NULL),
+  ('infant_formula', 'carbohydrate', 2.2, 3.4), ('infant_formula', 'energy', 60, 70), ('diet_replacement', 'protein', 75.0, NULL),
   ('diet_replacement', 'carbohydrate', 30.0, NULL), ('diet_replacement', 'fibre', 10.0, 30.0))
 SELECT regime, nutrient, count(*) AS n,
        count(*) FILTER (WHERE r.lo IS NOT NULL OR r.hi IS NOT NULL) AS n_with_range,
@@ -184,9 +184,10 @@ def composition_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     obs = li.select(
         F.when(F.col("l_returnflag") == "R", "diet_replacement").otherwise("infant_formula").alias("regime"),
-        F.get(F.array(*[F.lit(x) for x in ("protein", "fat", "carbohydrate", "fibre")]),
-              (F.col("l_linenumber") % 4).cast("int")).alias("nutrient"),
-        F.when(F.col("l_returnflag") == "R", F.col("l_quantity") * 2).otherwise(F.col("l_tax") * 40).alias("value"))
+        F.get(F.array(*[F.lit(x) for x in ("protein", "fat", "carbohydrate", "fibre", "energy")]),
+              (F.col("l_linenumber") % 5).cast("int")).alias("nutrient"),
+        F.when(F.col("l_linenumber") % 5 == 4, 50 + F.col("l_quantity") / 2)
+        .when(F.col("l_returnflag") == "R", F.col("l_quantity") * 2).otherwise(F.col("l_tax") * 40).alias("value"))
     c = R.composition_check(obs, spark)
     return c.groupBy("regime", "nutrient").agg(
         F.count("*").alias("n"), F.count_if(F.col("in_range").isNotNull()).alias("n_with_range"),

@@ -66,3 +66,18 @@ def test_gmo_expired_tolerance_is_not_applied(spark):
     assert [c for c, _, st in R.GMO_THRESHOLDS if st == "expired"] == ["unauthorised_positive_opinion"]
     df = spark.createDataFrame([(0.05, False, True)], "s double, a boolean, adv boolean")
     assert df.select(R.gmo_label(F.col("s"), F.col("a"), F.col("adv")).alias("v")).first().v == "not allowed"
+
+
+def test_added_rule_rows(spark):
+    from pyspark.sql import functions as F
+
+    from regcorpus.operators import rules as R
+    s = spark.createDataFrame([("PA", "herbal_infusion", "100 ug/kg", 0.0, d) for d in ("2023-06-01", "2024-06-01")],
+                              "substance string, matrix string, result string, u_rel double, d string").withColumn("sample_date", F.to_date("d"))
+    got = {r.d: (float(r.limit_mg_per_kg), r.exceeds) for r in R.contaminant_verdicts(s, spark).collect()}
+    assert got == {"2023-06-01": (0.15, False), "2024-06-01": (0.075, True)}
+    energy = spark.createDataFrame([("infant_formula", "energy", v) for v in (59.0, 60.0, 70.0, 71.0)], "regime string, nutrient string, value double")
+    assert sorted((r.value, r.in_range) for r in R.composition_check(energy, spark).collect()) == [(59.0, False), (60.0, True), (70.0, True), (71.0, False)]
+    food = spark.createDataFrame([(None, True), (None, False), ("1990-01-01", True)], "first string, listed boolean")
+    st = food.select(R.novel_food_status(F.to_date("first"), F.lit(False), F.lit(0), F.col("listed")).alias("s"))
+    assert [r.s for r in st.collect()] == ["not novel by the catalogue", "authorisation required", "not novel"]
