@@ -77,7 +77,7 @@ def _signatures(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFr
 
 def bucket_links(unit: np.ndarray, codes: np.ndarray, side: np.ndarray, table: int, cosine: float):
     """Links of one block (``side`` all 0) or between two blocks (sides 0 and
-    1): counts per row and the pairs of a spanning forest."""
+    1): counts per row, and one link from each connected row to its root."""
     first, second = (np.arange(len(unit)),) * 2 if not side.any() else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
     near = unit[first] @ unit[second].T >= cosine
     if first is second:
@@ -98,13 +98,11 @@ def bucket_links(unit: np.ndarray, codes: np.ndarray, side: np.ndarray, table: i
             i = up[i]
         return i
 
-    forest = []
     for i, j in zip(x.tolist(), y.tolist(), strict=True):
         a, b = root(i), root(j)
         if a != b:
             up[max(a, b)] = min(a, b)
-            forest.append((i, j))
-    return counts, forest
+    return counts, [(i, root(i)) for i in range(len(unit)) if root(i) != i]
 
 
 def _compare(cells: DataFrame, cosine: float) -> DataFrame:
