@@ -67,9 +67,9 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op2_ngram_jaccard_join"] = """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws FROM documents),
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] ELSE list_distinct(list_transform(
-    range(1, greatest(2, len(ws) - 2)), i -> array_to_string(ws[i:i + 3], ' '))) END AS g FROM w),
+    range(1, greatest(2, len(ws) - 2)), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS g FROM w),
 p AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
 links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM p a JOIN p b ON a.g = b.g AND a.doc_id <> b.doc_id
           GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
@@ -87,7 +87,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_substring_dedup"] = """
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS ws
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
            FROM documents),
 win AS (SELECT doc_id, unnest(range(1, len(ws) - 33)) AS i, ws FROM w WHERE len(ws) >= 35),
 often AS (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(ws[i:i + 34], ' ')) AS c FROM win),
@@ -95,7 +95,7 @@ gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM often WHERE
 cut AS (SELECT doc_id, count(*) AS n_removed, list(i) AS drop_at FROM gone GROUP BY doc_id)
 SELECT w.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed,
        sha256(CASE WHEN drop_at IS NULL THEN array_to_string(ws, ' ') ELSE array_to_string(list_transform(
-         list_filter(range(1, len(ws) + 1), i -> NOT list_contains(drop_at, i)), i -> ws[i]), ' ') END) AS kept_sha256
+         list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(drop_at, i)), lambda i: ws[i]), ' ') END) AS kept_sha256
 FROM w LEFT JOIN cut ON cut.doc_id = w.doc_id
 """
 
@@ -120,8 +120,8 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op7_embedding_near_dedup"] = """
 WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-       AND len(list_filter(e, x -> x <> 0)) > 0),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND len(list_filter(e, lambda x: x <> 0)) > 0),
 links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
           AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
 reach AS (SELECT vec_id AS node, vec_id AS seen FROM v UNION SELECT r.node, l.y FROM reach r JOIN links l ON r.seen = l.x),
