@@ -273,7 +273,8 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     live = written(classes.join(alone, "d1", "left").filter(F.coalesce("missed", F.lit(0)) < _spare(F.col("n"), percent))
                    .select("d1", "rep"), "live")
     reps = live.select("rep").distinct()
-    sets = _full_sets(base.select("doc_id", "text").join(reps, base.doc_id.eqNullSafe(reps.rep), "left_semi"), n_words)
+    # one plan at every size: the texts meet the live ids by a merge join
+    sets = _full_sets(base.select("doc_id", "text").join(reps.hint("merge"), base.doc_id.eqNullSafe(reps.rep), "left_semi"), n_words)
     sets = written(sets.join(live.select("d1"), "d1", "left_semi").dropDuplicates(["d1"]), "sets")
 
     members = _members(sets, percent)
