@@ -229,10 +229,20 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
         held, key, a, b = [], None, [], []
 
         def close():
+            # one link per member, to the smallest member it is connected with
             if len(held) > 1:
-                for x, y in divide_skip([h[2] for h in held], [h[1] for h in held], percent):
-                    a.append(held[x][0])
-                    b.append(held[y][0])
+                low = {}
+                links = divide_skip([h[2] for h in held], [h[1] for h in held], percent)
+                forest = Forest(range(len(held)))
+                for x, y in links:
+                    forest.join(x, y)
+                roots = [forest.root(i) for i in range(len(held))]
+                for h, r in zip(held, roots, strict=True):
+                    low[r] = min(low.get(r, h[0]), h[0])
+                for h, r in zip(held, roots, strict=True):
+                    if h[0] != low[r]:
+                        a.append(h[0])
+                        b.append(low[r])
 
         for batch in batches:
             cols = [batch.column(i).to_pylist() for i in range(len(keys) + 2)]
