@@ -16,8 +16,9 @@ holds back an incomplete last character until its other bytes arrive.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
-from itertools import chain
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 # White space of the pattern below, as Unicode lists it (fixed values).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-MEMO, TABLE = 250_000, 400_000
+MEMO, TABLE = 400_000, 400_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -61,9 +62,10 @@ class Transducer:
         self._clear()
 
     def _clear(self) -> None:
-        self.states: list[tuple] = [((0, -1, ()),)]
-        self.number = {self.states[0]: 0}
-        self.steps: dict[int, tuple[int, tuple]] = {}
+        first = ((0, -1, ()),)
+        self.start = {-1: first}
+        self.states = {first: self.start}
+        gc.collect()  # states point at each other
 
     def merge(self, data: bytes, least: int = 1) -> list[int]:
         """The merges applied one by one, lowest rank first, until ``least``
@@ -121,19 +123,21 @@ class Transducer:
             self.valid[a, b] = got
         return got
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple]:
-        live, at_end = [], None
-        for node, last, pending in self.states[state]:
-            nxt = self.child.get(node << 8 | byte)
+    def _step(self, state: dict, byte: int) -> tuple[dict, tuple]:
+        """The next state and the tokens emitted; a state is a table from bytes
+        to both, with what it stands for under -1."""
+        child, token, inner, follows = self.child.get, self.token, self.inner, self.follows
+        live, found, ours = [], False, ()
+        for node, last, pending in state[-1]:
+            nxt = child(node << 8 | byte)
             if nxt is None:
                 continue
-            t = self.token[nxt]
-            if t >= 0 and at_end is None and self.follows(last, t):
-                at_end = (0, t, (*pending, t))
-            if self.inner[nxt]:
+            if not found:
+                t = token[nxt]
+                if t >= 0 and follows(last, t):
+                    found, ours, ending = True, (*pending, t), t
+            if inner[nxt]:
                 live.append((nxt, last, pending))
-        live.append(at_end)
-        ours = at_end[2]
         common = len(ours)
         for _, _, other in live:
             same, limit = 0, min(common, len(other))
@@ -142,12 +146,14 @@ class Transducer:
             common = same
             if not common:
                 break
-        key = tuple([(n, a, p[common:]) for n, a, p in live]) if common else tuple(live)
-        number = self.number.get(key)
-        if number is None:
-            number = self.number[key] = len(self.states)
-            self.states.append(key)
-        out = self.steps[state << 8 | byte] = (number, ours[:common])
+        if common:
+            live = [(n, a, p[common:]) for n, a, p in live]
+        live.append((0, ending, ours[common:]))
+        key = tuple(live)
+        known = self.states.get(key)
+        if known is None:
+            known = self.states[key] = {-1: key}
+        out = state[byte] = (known, ours[:common])
         return out
 
     def encode(self, data: bytes) -> tuple[int, ...]:
@@ -157,23 +163,34 @@ class Transducer:
         whole = self.ranks.get(data)
         if whole is not None:
             return (whole,)
-        out, state, get = [], 0, self.steps.get
-        for n, b in enumerate(data):
-            if not n & 0xFFFF and len(self.states) > TABLE:
-                kept = self.states[state]
+        out, state, step = [], self.start, self._step
+        for at in range(0, len(data), 1 << 16):
+            if at and len(self.states) > TABLE:
+                kept = state[-1]
                 self._clear()
-                get = self.steps.get
-                state = self.number.setdefault(kept, len(self.states))
-                if state == len(self.states):
-                    self.states.append(kept)
-            nxt = get(state << 8 | b) or self._step(state, b)
-            state = nxt[0]
-            if nxt[1]:
-                out.extend(nxt[1])
-        out.extend(self.states[state][-1][2])
+                state = self.states.setdefault(kept, {-1: kept})
+            for b in data[at:at + (1 << 16)]:
+                nxt = state.get(b)
+                state, ids = nxt if nxt is not None else step(state, b)
+                if ids:
+                    out += ids
+        out += state[-1][-1][2]
         return tuple(out)
 
 
+@contextmanager
+def few_collections():
+    """The tables grow by very many small objects; Python's collector would
+    walk all of them again and again while they stay in use."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Encoder:
     """Ids of whole texts; every match of the pattern is encoded separately."""
 
@@ -188,12 +205,24 @@ class Encoder:
         self.memo: dict[str, tuple] = {}
 
     def _chunk(self, text: str) -> tuple:
-        if len(self.memo) >= MEMO:
-            self.memo.clear()
-        encode = self.machine.encode
-        ids = tuple(chain.from_iterable([encode(p.encode()) for p in self.find(text)]))
+        memo = self.memo
+        if len(memo) >= MEMO:
+            memo.clear()
+        pieces = self.find(text)
+        if len(pieces) == 1:
+            ids = self.machine.encode(text.encode())
+        else:
+            out = []
+            for p in pieces:
+                ids = memo.get(p)
+                if ids is None:
+                    ids = self.machine.encode(p.encode())
+                    if len(p) <= 40:
+                        memo[p] = ids
+                out += ids
+            ids = tuple(out)
         if len(text) <= 40:
-            self.memo[text] = ids
+            memo[text] = ids
         return ids
 
     def __call__(self, text: str) -> list[int]:
@@ -254,6 +283,10 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                      text_col: str = "text") -> DataFrame:
     """``doc_id, ids array<int>`` per row; null text is empty and has no ids."""
     def run(batches):
+        with few_collections():
+            yield from encode(batches)
+
+    def encode(batches):
         encoder = Encoder(ranks, pattern)
         for b in batches:
             out, rows, size = [], [], 0
@@ -290,6 +323,10 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
     Null text counts as empty; rows are independent, so repeated rows give
     repeated results; other columns are not read."""
     def run(batches):
+        with few_collections():
+            yield from both_ways(batches)
+
+    def both_ways(batches):
         encoder = Encoder(ranks, pattern)
         vocab = {i: t for t, i in ranks.items()}
         name = {i: str(i) for i in vocab}

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from regcorpus.llm.bpe import Encoder
+from regcorpus.llm.bpe import Encoder, few_collections
 
 BLOCK = 1 << 16
 SEGMENT = 1024
@@ -38,6 +38,10 @@ def token_files(docs: DataFrame, ranks: dict, pattern: str, id_col: str = "doc_i
         raise ValueError("ids do not fit the token type, or the end id is taken")
 
     def run(batches):
+        with few_collections():
+            yield from encode(batches)
+
+    def encode(batches):
         encoder, file = Encoder(ranks, pattern), TaskContext.get().partitionId()
         held, size, at, names = [], 0, 0, 0
 
