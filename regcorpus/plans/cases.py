@@ -337,8 +337,11 @@ def standin_judgments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", celex.alias("celex"), html.alias("html"), title.alias("title"))
 
 
-_MONTH_CASE_EN = " ".join(f"WHEN '{m}' THEN '{i + 1:02d}'" for i, m in enumerate(X.MONTHS_EN))
-_MONTH_CASE_PL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in X.MONTHS_PL.items())
+_EN = ['January', 'February', 'March', 'April', 'May', 'June', 'July', 'August', 'September', 'October', 'November', 'December']
+_PL = {'stycznia': '01', 'lutego': '02', 'marca': '03', 'kwietnia': '04', 'maja': '05', 'czerwca': '06', 'lipca': '07', 'sierpnia':
+    '08', 'września': '09', 'wrzesnia': '09', 'października': '10', 'pazdziernika': '10', 'listopada': '11', 'grudnia': '12'}
+_MONTH_CASE_EN = " ".join(f"WHEN '{m}' THEN '{i + 1:02d}'" for i, m in enumerate(_EN))
+_MONTH_CASE_PL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _PL.items())
 _PAT_EN = r"(\d{1,2})\s+(January|February|March|April|May|June|July|August|September|October|November|December)\s+(\d{4})"
 _PAT_PL = (r"(\d{1,2})\s+(stycznia|lutego|marca|kwietnia|maja|czerwca|lipca|sierpnia|wrze[sś]nia"
            r"|pa[zź]dziernika|listopada|grudnia)\s+(\d{4})")

@@ -311,13 +311,15 @@ def latest_edition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.latest_by(o, "o_custkey", ["edition_date", "o_orderkey"])
 
 
-_KINDS = [k for k, _ in corpus.AUTHORITY_RANK]
+_AUTHORITY = [('eu_regulation', 1), ('eu_directive', 2), ('eu_decision', 3), ('national_act', 4), ('national_regulation', 5), ('cjeu', 6),
+    ('nsa', 7), ('wsa', 8), ('efsa', 9), ('soft_law', 10), ('doctrine', 11)]
+_KINDS = [k for k, _ in _AUTHORITY]
 
 
 @register("strongest_source", f"""
 WITH s AS (SELECT o_custkey, o_orderkey, o_orderdate,
                   ({_KINDS!r})[o_orderkey % 12 + 1] AS kind FROM orders),
-r(kind, authority) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in corpus.AUTHORITY_RANK)}),
+r(kind, authority) AS (VALUES {", ".join(f"('{k}', {v})" for k, v in _AUTHORITY)}),
 j AS (SELECT s.*, coalesce(r.authority, 99) AS authority FROM s LEFT JOIN r USING (kind))
 SELECT o_custkey, o_orderkey, kind, authority FROM (
   SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY authority, o_orderdate DESC, o_orderkey DESC) AS rn
