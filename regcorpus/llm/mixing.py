@@ -70,7 +70,7 @@ def targets(histogram: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5
                          .otherwise(F.col("water") * F.col("weight")).alias("target"))
 
 
-def multipliers(histogram: DataFrame, goal: DataFrame, limit: int = 2, tolerance: float = 1e-9) -> DataFrame:
+def multipliers(histogram: DataFrame, goal: DataFrame, limit: int = 2, tolerance: float = 1e-6) -> DataFrame:
     """``source, mean, lam``: Newton on the dual, safeguarded by a bracket that
     is halved when a step leaves it.  State is one row per source."""
     cells = histogram.filter("size > 0")
