@@ -10,7 +10,8 @@ least ``T = ceil(percent * n / 100)`` of its inverted lists, so at most
 2. A class with more than ``n - T`` lists that hold nothing but itself has no
    partner.  The smallest hashes of each set (twice ``n - T + 1``) are enough
    to show that for nearly all classes; counting them is one map-side combined
-   aggregation.
+   aggregation.  A shingle may lie among the smallest of one set and not of its
+   partner, so the limit is ``may_miss``, which counts these as well.
 3. The remaining classes get their full sets.  Lists are ordered by length; the
    ``n - T + 1`` shortest must contain any partner.  A class goes to the cell of
    the smallest class on each of these lists, so two partners share a cell.
@@ -44,7 +45,7 @@ from regcorpus.llm.store import written
 CHUNK_ROWS = 1000
 CHUNK_SHINGLES = 1 << 20
 MU = 0.0085  # cost ratio of DivideSkip's choice of long lists
-SKETCH = "doc_id bigint, row_key_1 bigint, row_key_2 bigint, n bigint, d1 bigint, d2 bigint, probe array<bigint>"
+SKETCH = "doc_id bigint, row_key_1 bigint, row_key_2 bigint, n bigint, d1 bigint, d2 bigint, most bigint, probe array<bigint>"
 SETS = "d1 bigint, n bigint, shingles array<bigint>"
 
 
@@ -53,6 +54,25 @@ def _spare(n: Column, percent: int) -> Column:
     return n - F.floor((n * percent + 99) / 100) + 1
 
 
+def _probe_size(n, percent: int):
+    """Number of smallest hashes of a set of ``n`` that step 2 counts."""
+    return np.minimum(n, 2 * (n - (n * percent + 99) // 100 + 1))
+
+
+def may_miss(n: int, percent: int) -> int:
+    """The most hashes of the probe of a set of ``n`` that no other probe holds
+    although the set has a partner.
+
+    A partner of size ``m`` has ``c >= percent * (n + m) / (100 + percent)``
+    shingles in common.  Common shingles lie in the same order in both sets, so
+    the probe of the partner holds the smallest ``probe(m) - (m - c)`` of them
+    at least; the first probe holds at most ``n - T`` shingles of its own."""
+    m = np.arange(-(-percent * n // 100), 100 * n // percent + 1)
+    c = -(-percent * (n + m) // (100 + percent))
+    m, c = m[c <= np.minimum(n, m)], c[c <= np.minimum(n, m)]
+    return max(n - (n * percent + 99) // 100, int(np.max(_probe_size(n, percent) - _probe_size(m, percent) + m - c)))
+
+
 def shingle_sets(column: pa.Array, n_words: int, hasher: tv.WordHasher):
     """Sorted distinct shingle hashes of every text of a column, in order."""
     for _, _, buf, offs in tv.groups(column):
@@ -100,17 +120,21 @@ def _batch(held, names):
 
 
 def sketches(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """Per row the set size, its digests and its smallest shingle hashes."""
+    """Per row the set size, its digests, ``may_miss`` of its size and its
+    smallest shingle hashes."""
     def run(batches):
         hasher = tv.WordHasher(lower=True)
+        most = {0: 0}
 
         def rows():
             for b in batches:
                 ids = list(zip(*(b.column(i).to_pylist() for i in range(3)), strict=True))
                 for i, s in enumerate(shingle_sets(b.column(3), n_words, hasher)):
                     n = len(s)
-                    yield (*ids[i], n, *_digests(s), s[:2 * (n - (n * percent + 99) // 100 + 1)] if n else s)
-        yield from _batched(rows(), ["doc_id", *KEY, "n", "d1", "d2", "probe"])
+                    if n not in most:
+                        most[n] = may_miss(n, percent)
+                    yield (*ids[i], n, *_digests(s), most[n], s[:_probe_size(n, percent)])
+        yield from _batched(rows(), ["doc_id", *KEY, "n", "d1", "d2", "most", "probe"])
     return docs.select("doc_id", *KEY, "text").mapInArrow(run, SKETCH)
 
 
@@ -277,10 +301,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .select("doc_id", "text", *keys("doc_id", "text"))
     sketch = written(sketches(base, n_words, percent), "sketch")
-    classes = sketch.filter("n > 0").groupBy("d1", "n").agg(F.min("doc_id").alias("rep"))
+    classes = sketch.filter("n > 0").groupBy("d1", "n", "most").agg(F.min("doc_id").alias("rep"))
     alone = sketch.select(F.explode("probe").alias("s"), "d1").groupBy("s") \
         .agg(F.min("d1").alias("x"), F.max("d1").alias("y")).filter("x = y").groupBy(F.col("x").alias("d1")).agg(F.count("*").alias("missed"))
-    live = written(classes.join(alone, "d1", "left").filter(F.coalesce("missed", F.lit(0)) < _spare(F.col("n"), percent))
+    live = written(classes.join(alone, "d1", "left").filter(F.coalesce("missed", F.lit(0)) <= F.col("most"))
                    .select("d1", "rep"), "live")
     reps = live.select("rep").distinct()
     # one plan at every size: the texts meet the live ids by a merge join
@@ -303,7 +327,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = classes.join(roots, F.col("d1") == F.col("node"), "left")
     joined = named.filter("root is not null").groupBy("root").agg(F.min("rep").alias("component"))
     ids = written(named.join(joined, "root", "left").select("d1", F.coalesce("component", "rep").alias("component_id")), "ids")
-    return sketch.drop("probe").join(ids, "d1", "left").select(
+    return sketch.drop("probe", "most").join(ids, "d1", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         F.when(F.col("n") > 0, F.col("d1")).alias("class_id"), *KEY)

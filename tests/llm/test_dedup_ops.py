@@ -50,6 +50,18 @@ def test_ngram_components_of_a_chain_of_edits_in_small_chunks(spark):
         assert brute.order((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
+def test_ngram_components_of_small_sets_and_their_parts(spark):
+    data = []
+    for size in range(4, 30):
+        for group, (a, b) in enumerate([(0, -1), (1, None), (0, -2), (1, -1)]):
+            text = [f"g{group}s{size}w{i}" for i in range(size)]
+            data += [(len(data), " ".join(text)), (len(data) + 1, " ".join(text[a:b]))]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    for percent in (85, 70):
+        got = ngram_join.ngram_components(df, percent=percent).collect()
+        assert brute.order((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute.order(brute.jaccard(data, percent))
+
+
 def test_one_of_each_near_group(docs):
     kept = ngram_join.one_of_each(docs)
     assert kept.schema == docs.schema
