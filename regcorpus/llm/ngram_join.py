@@ -290,14 +290,16 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4,
                      percent: int = 85, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, class_id``
-    and the row keys of ``rows.keys``.
+    """One row per input row: ``doc_id, n_shingles, component_id, class_id,
+    group_id`` and the row keys of ``rows.keys``.
 
     ``component_id`` is the smallest id reachable by links, the row's own
     included; rows without words have no shingles, link with nothing and keep
     their own id.  A null id never names a component unless all its rows are
     null.  Rows that repeat count as copies.  ``class_id`` is equal for rows
-    with equal sets.  Other columns are not read; an empty table gives no rows."""
+    with equal sets, ``group_id`` for rows of one component; ids may be null or
+    repeat, so ``component_id`` need not tell components apart.  Other columns
+    are not read; an empty table gives no rows."""
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .select("doc_id", "text", *keys("doc_id", "text"))
     sketch = written(sketches(base, n_words, percent), "sketch")
@@ -326,18 +328,19 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     named = classes.join(roots, F.col("d1") == F.col("node"), "left")
     joined = named.filter("root is not null").groupBy("root").agg(F.min("rep").alias("component"))
-    ids = written(named.join(joined, "root", "left").select("d1", F.coalesce("component", "rep").alias("component_id")), "ids")
+    ids = written(named.join(joined, "root", "left").select("d1", F.coalesce("component", "rep").alias("component_id"),
+                                                            F.coalesce("root", "d1").alias("group_id")), "ids")
     return sketch.drop("probe", "most").join(ids, "d1", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("d1")).alias("class_id"), *KEY)
+        F.when(F.col("n") > 0, F.col("d1")).alias("class_id"), "group_id", *KEY)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stay: of every component the row with the
     smallest id, and every row without words."""
     found = ngram_components(docs, id_col, text_col, n_words, percent)
-    best = found.filter("n_shingles > 0").groupBy("component_id").agg(
+    best = found.filter("n_shingles > 0").groupBy("group_id").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", *KEY)).alias("best")).select("best.*")
     return pick(docs, best.select(*KEY).union(found.filter("n_shingles = 0").select(*KEY)), id_col, text_col)
 

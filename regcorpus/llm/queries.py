@@ -61,7 +61,7 @@ FROM d WINDOW w AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id)
 @_register
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of ``documents`` linked at 4-word Jaccard 0.85 or more."""
-    return ngram_join.ngram_components(_table(spark, sf_dir, "documents")).drop("class_id", *KEY)
+    return ngram_join.ngram_components(_table(spark, sf_dir, "documents")).drop("class_id", "group_id", *KEY)
 
 
 ORACLES["op2_ngram_jaccard_join"] = """

@@ -70,6 +70,19 @@ def test_one_of_each_near_group(docs):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(want)
 
 
+def test_one_of_each_with_null_and_shared_ids(spark):
+    data = [(None, brute.sentence(i, 60)) for i in range(20, 26)]
+    data += [(None, data[0][1] + " end"), (None, data[1][1]), (8, data[2][1] + " end")]      # copies and near copies of null ids
+    data += [(5, brute.sentence(30, 60)), (5, brute.sentence(31, 60)), (5, brute.sentence(31, 60) + " end"), (4, brute.sentence(30, 60) + " end")]
+    sets = [brute.shingles(t) for _, t in data]
+    comp = brute.components(len(data), [(a, b) for a in range(len(data)) for b in range(a)
+                                        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])])
+    kept = [tuple(r) for r in ngram_join.one_of_each(spark.createDataFrame(data, "doc_id long, text string")).collect()]
+    at = [{comp[i] for i, row in enumerate(data) if row == k} for k in kept]
+    assert all(len(c) == 1 for c in at) and sorted(min(c) for c in at) == sorted(set(comp))
+    assert {i for i, _ in kept} == {None, 8, 5, 4}
+
+
 @pytest.mark.parametrize(("window", "sub", "crowd"), [(35, 16, 1000), (35, 16, 0), (5, 2, 1), (20, 20, 1000)])
 def test_substring_dedup(docs, window, sub, crowd):
     got = substring_dedup.substring_dedup(docs, window=window, sub=sub, crowd=crowd).collect()
