@@ -27,7 +27,7 @@ from regcorpus.llm.rows import KEY, keys, repeat
 from regcorpus.llm.store import written
 
 SLOTS = 4096
-ITERATIONS = 60
+ITERATIONS = 200  # more than halving the whole bracket takes
 
 
 def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -70,9 +70,11 @@ def targets(histogram: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5
                          .otherwise(F.col("water") * F.col("weight")).alias("target"))
 
 
-def multipliers(histogram: DataFrame, goal: DataFrame, limit: int = 2, tolerance: float = 1e-6) -> DataFrame:
+def multipliers(histogram: DataFrame, goal: DataFrame, limit: int = 2, tolerance: float = 1e-9) -> DataFrame:
     """``source, mean, lam``: Newton on the dual, safeguarded by a bracket that
-    is halved when a step leaves it.  State is one row per source."""
+    is halved when a step leaves it.  State is one row per source.  A source is
+    done within ``tolerance`` of its target and within its mean document; one
+    that is not done after ``ITERATIONS`` is an error."""
     cells = histogram.filter("size > 0")
     means = cells.groupBy(F.col("source").alias("src")).agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
     state = written(goal.join(means, goal.source.eqNullSafe(means.src)).select(
@@ -97,11 +99,14 @@ def multipliers(histogram: DataFrame, goal: DataFrame, limit: int = 2, tolerance
         inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high"))
         middle = F.when(F.col("low") <= -1e6, F.col("high") * 2 - 1).when(F.col("high") >= 1e6, F.col("low") * 2 + 1) \
             .otherwise((F.col("low") + F.col("high")) / 2)
-        near = F.abs(F.col("gap")) <= F.greatest(F.col("target") * tolerance, F.lit(1e-6))
+        near = F.abs(F.col("gap")) <= F.greatest(F.least(F.col("target") * tolerance, "mean"), F.lit(1e-6))
         done = F.col("done") | near | (F.col("high") - F.col("low") < 1e-12)
         state = written(j.select("source", "mean", "target", "source_size",
                                  F.when(done, F.col("lam")).when(inside, newton).otherwise(middle).alias("lam"),
                                  "low", "high", done.alias("done")), "dual")
+    else:
+        if not state.filter("not done").isEmpty():
+            raise RuntimeError(f"sources are off their targets after {ITERATIONS} iterations")
     return state.select("source", "mean", F.when(F.col("target") >= limit * F.col("source_size"), F.lit(math.inf))
                         .otherwise(F.col("lam")).alias("lam"))
 

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import re
 
 import public_tokenizers as P
@@ -120,6 +121,18 @@ def test_mix(docs):
     assert mixing.mix(docs).exceptAll(mixing.mix(docs)).count() == 0
 
 
+def test_multipliers_of_a_very_large_source(spark, monkeypatch):
+    cells = [(100, 4 * 10**9), (700, 10**9), (3000, 10**8)]
+    total = sum(z * n for z, n in cells)
+    histogram = spark.createDataFrame([("a", z, n) for z, n in cells], "source string, size long, n long")
+    goal = spark.createDataFrame([("a", total, 0.23 * total)], "source string, source_size long, target double")
+    r = mixing.multipliers(histogram, goal).first()
+    assert abs(sum(z * n * min(2, math.exp(r.lam * z / r.mean)) for z, n in cells) - 0.23 * total) <= r.mean
+    monkeypatch.setattr(mixing, "ITERATIONS", 2)
+    with pytest.raises(RuntimeError):
+        mixing.multipliers(histogram, goal)
+
+
 def test_rounding_carries_the_error_on():
     cells = [(100, 3, 0.4), (10, 7, 0.55), (1, 50, 0.5)]
     got = mixing.rounded(cells)
