@@ -52,7 +52,7 @@ CITATION_FAMILIES = [
     ("celex", r"\b[03]\d{4}[RLD]\d{4}(?:-\d{8})?\b"),
     ("national_act", r"Dz\.U\.\s+(?:z\s+)?\d{4}\s+(?:r\.\s+)?poz\.\s+\d+"),
     ("national_provision", r"[Aa]rt\.\s+\d+[a-z]?(?:\s+ust\.\s+\d+)?(?:\s+pkt\s+\d+)?\s+(?:u\.b\.z\.z\.|u\.PIS|ustawy)"),
-    ("cjeu", r"\b[CTF]-\d+/\d+(?:(?:,\s+[^,;\n]{1,80})?,\s+ECLI:EU:[CTF]:\d{4}:\d+(?:,\s+pkt\s+\d+(?:-\d+)?)?)?"),
+    ("cjeu", r"\b[CTF]-\d+/\d+(?:(?:,\s+[^,;\n]++)?,\s+ECLI:EU:[CTF]:\d{4}:\d+(?:,\s+pkt\s+\d+(?:-\d+)?)?)?"),
     ("administrative_court", r"(?:Wyrok|Uchwala|Postanowienie)\s+(?:NSA|WSA\s+w\s+\p{L}+)(?:\s+\(\d+\))?\s+z\s+\d{2}\.\d{2}\.\d{4},"
                              r"\s+sygn\.\s+[IVX]+\s+(?:[A-Z]{3}|SA/\p{L}{2})\s+\d+/\d{2}"),
     ("decision", r"Decyzja\s+(?:GIS|PPIS|PWIS)(?:\s+w\s+\p{L}+)?\s+z\s+\d{2}\.\d{2}\.\d{4}(?:,\s+znak:\s+[\w./-]*\w)?"),

@@ -101,6 +101,14 @@ def test_citation_families_and_punctuated_abbreviations(spark):
     assert {"t.j.", "KPA", "art."} <= tokens
 
 
+def test_cjeu_citation_with_a_long_case_name(spark):
+    name = " i ".join(f"Przedsiebiorstwo numer {i}" for i in range(12))
+    cites = [f"C-156/13, {name}, ECLI:EU:C:2014:1756, pkt 42", "T-2/20, ECLI:EU:T:2021:7", "C-544/10"]
+    df = spark.createDataFrame([(1, f"Zob. ({cites[0]}); {cites[1]}, oraz {cites[2]}, {name}; por. {cites[0]}.")], "id int, text string")
+    got = [r.citation for r in corpus.extract_citations(df, "text", keep=("id",)).filter("family = 'cjeu'").orderBy("cit_no").collect()]
+    assert got == [*cites, cites[0]]
+
+
 def test_skill_files_with_all_parts_are_complete(spark):
     parts = "\n".join(f"{i}. **{p}** - x" for i, p in enumerate(corpus.REQUIRED_PARTS["skill"], 1))
     df = spark.createDataFrame([(1, parts), (2, parts.replace("Pulapki", "Inne")), (3, None)], "id int, text string")
