@@ -35,7 +35,9 @@ BLOCK_TAGS = frozenset("""address article aside blockquote body caption center d
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table
 tbody td tfoot th thead title tr ul""".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|noscript|template|textarea|svg|iframe|select|object|title|button"
+RAW_TAGS = "script|style|noscript|template|textarea|iframe|title"
+# ordinary elements whose own text is left out when they are closed
+LEFT_OUT_TAGS = frozenset(("svg", "select", "object", "button"))
 CONTENT_TAGS = frozenset(("article", "main"))
 OTHER_TAGS = frozenset(("nav", "footer", "aside", "form", "menu", "dialog"))
 OTHER_NAMES = re.compile(r"(?i)(^|[-_ ])(ad|ads|advert\w*|banner|breadcrumb\w*|comment\w*|cookie\w*|consent|foot\w*|head\w*|menu\w*|nav\w*|"
@@ -43,12 +45,13 @@ OTHER_NAMES = re.compile(r"(?i)(^|[-_ ])(ad|ads|advert\w*|banner|breadcrumb\w*|c
 # which open element a start tag ends, and how far up it looks
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr"}, {"table"}),
         "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-P_STOPS = frozenset(("td", "th", "table", "caption", "object", "button"))
+P_STOPS = LEFT_OUT_TAGS | {"td", "th", "table", "caption"}
 
 TOKEN = re.compile(rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)
-|<(?P<raw>{RAW_TAGS})(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>.*?(?:</(?P=raw)\s*>|\Z)
+|<(?P<raw>{RAW_TAGS})(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+>
 |<(?P<close>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
 |<(?P<close2>/?)(?P<tag2>[a-zA-Z][a-zA-Z0-9:-]*)[^>]*+>""", re.S | re.I | re.X)
+RAW_ENDS = {(tag, svg): re.compile(rf"</(?:{tag}{'|(?P<svg>svg)' if svg else ''})\s*>", re.I) for tag in RAW_TAGS.split("|") for svg in (False, True)}
 NAMES = re.compile(r"""(?i)(?<![\w-])(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
 
 
@@ -62,22 +65,37 @@ class Block:
         self.tag, self.content, self.other = tag, content, other
 
 
+def joined(a: list, b: list) -> list:
+    """``a + b`` in the longer of the two lists."""
+    if len(a) < len(b):
+        b[:0] = a
+        return b
+    a.extend(b)
+    return a
+
+
 def leaf_blocks(page: str, named: bool = True) -> list[Block]:
     """Leaf blocks in page order.  The path is a running sum over the open
     elements, so depth costs nothing.  Without ``named``, sectioning elements
-    and class names do not enter the path."""
+    and class names do not enter the path.
+
+    The text of a left-out element is set aside until its end tag drops it; of
+    an element that never meets its end tag it stays."""
     out: list[Block] = []
     stack: list[tuple] = []
     path = np.zeros(PATH_DIMS, np.float32)
     parts: list[str] = []
-    linked = links = content = other = 0
+    linked = links = content = other = svgs = 0
+    cut = False  # whether a block ended since the innermost left-out element
+    aside: list[tuple] = []  # what was read before each open left-out element
 
     def mark(name: str, step: int) -> None:
         h = crc32(name.encode())
         path[h % PATH_DIMS] += step if h >> 16 & 1 else -step
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, cut
+        cut = True
         if parts:
             text = " ".join(entities.unescape("".join(parts)).split())
             if text:
@@ -85,27 +103,47 @@ def leaf_blocks(page: str, named: bool = True) -> list[Block]:
             parts.clear()
         linked = 0
 
-    def pop() -> None:
-        nonlocal links, content, other
+    def pop(ended: bool = False) -> None:
+        nonlocal links, content, other, svgs
         tag, names, is_content, is_other = stack.pop()
         for name in names:
             mark(name, -1)
         links -= tag == "a"
         content -= is_content
         other -= is_other
+        svgs -= tag == "svg"
+        if tag in LEFT_OUT_TAGS:
+            back(ended)
+
+    def back(drop: bool) -> None:
+        nonlocal out, parts, linked, cut
+        inner, inner_parts, inner_linked, inner_cut = out, parts, linked, cut
+        out, parts, linked, cut = aside.pop()
+        if not drop:
+            if inner_cut:
+                flush()
+            out, parts = joined(out, inner), joined(parts, inner_parts)
+            linked += inner_linked
 
     at = 0
-    for m in TOKEN.finditer(page):
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             parts.append(page[at:m.start()])
             if links:
                 linked += m.start() - at
         at = m.end()
         tag = (m["tag"] or m["tag2"] or "").lower()
-        if m["raw"] or not tag:
-            if m["raw"] and m["raw"].lower() in BLOCK_TAGS:
+        if m["raw"]:
+            # inside svg such an element may close itself and ends with the svg
+            name = m["raw"].lower()
+            if not (svgs and m[0].endswith("/>")):
+                end = RAW_ENDS[name, svgs > 0].search(page, at)
+                at = len(page) if not end else end.start() if svgs and end["svg"] else end.end()
+            if name in BLOCK_TAGS:
                 flush()
             continue
+        if not tag:
+            continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -116,9 +154,9 @@ def leaf_blocks(page: str, named: bool = True) -> list[Block]:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     while len(stack) > i:
-                        pop()
+                        pop(len(stack) == i + 1)
                     break
-                if tag not in BLOCK_TAGS and stack[i][0] in BLOCK_TAGS:
+                if tag not in BLOCK_TAGS and tag not in LEFT_OUT_TAGS and stack[i][0] in BLOCK_TAGS:
                     break
             continue
         if tag in BLOCK_TAGS:
@@ -130,7 +168,7 @@ def leaf_blocks(page: str, named: bool = True) -> list[Block]:
                         break
                     if stack[i][0] in stops or (ended == {"p"} and stack[i][0] in BLOCK_TAGS):
                         break
-        if tag in VOID_TAGS:
+        if tag in VOID_TAGS or (m[0].endswith("/>") and (svgs or tag == "svg")):
             continue
         attrs = m["attrs"] or ""
         names = [x for g in NAMES.findall(attrs) for x in "".join(g).split()] if "=" in attrs else []
@@ -143,8 +181,14 @@ def leaf_blocks(page: str, named: bool = True) -> list[Block]:
         links += tag == "a"
         content += is_content
         other += is_other
+        svgs += tag == "svg"
+        if tag in LEFT_OUT_TAGS:
+            aside.append((out, parts, linked, cut))
+            out, parts, linked, cut = [], [], 0, False
     if at < len(page):
         parts.append(page[at:])
+    while aside:
+        back(False)
     flush()
     return out
 

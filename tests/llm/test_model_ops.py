@@ -25,6 +25,17 @@ def test_leaf_blocks_of_broken_markup():
     assert texts("<div>" * 20000 + "deep" + "</div>" * 20000 + "after") == ["deep", "after"]
 
 
+def test_leaf_blocks_around_left_out_elements():
+    assert texts("<p>a <svg><title>t</title><text>x</text></svg>b <button><div>c</div></button>d<p>Pick <select><option>e<option>f</select>g") \
+        == ["a b d", "Pick g"]
+    assert texts('<p>a<svg class="x"/>b<p>c<svg><title/><style/></svg>d<p>e<svg><style>y</svg>f') == ["ab", "cd", "ef"]
+    assert texts("<object data='x'/><p>a</p><object>y</object><p>b</p>") == ["a", "b"]
+    assert texts("<div>a<button>x</div><p>b</p><button>y</button><p>c</p></button>") == ["a", "x", "b", "c"]
+    assert texts("<div><select><option>x</div><p>b") == ["x", "b"]
+    assert texts("<p>a<button>" * 3000 + "<p>b") == ["a"] * 3000 + ["b"]
+    assert texts("<p>a<object><p>x</object>b") == ["ab"] and texts("<p>a<textarea><p>x</textarea>b<iframe>y") == ["ab"]
+
+
 @pytest.fixture(scope="module")
 def labeller(spark):
     return html_extract.fit(spark.read.parquet(f"{SF}/pages.parquet"))
