@@ -13,6 +13,8 @@ labelled by the sectioning elements and class names that say what they are;
 each sampled page is seen a second time without those names, so that context
 and words must tell.  The model has a fixed size and travels with the tasks.
 Every page of the table is then labelled whole, in one pass without a shuffle.
+When no page could be sampled, the blocks are labelled by those elements and
+names themselves.
 """
 
 from __future__ import annotations
@@ -218,6 +220,7 @@ class Labeller:
     """Bidirectional LSTM with a logistic output per block."""
 
     def __init__(self, seed: int = 4):
+        self.trained = False
         rng = np.random.default_rng(seed)
         self.p = {}
         for d in ("f", "b"):
@@ -300,6 +303,7 @@ class Labeller:
                     a += 0.1 * (grad[k] - a)
                     b += 0.001 * (grad[k] ** 2 - b)
                     v -= rate * (a / (1 - 0.9 ** step)) / (np.sqrt(b / (1 - 0.999 ** step)) + 1e-8)
+        self.trained = True
         return self
 
     def label(self, pages: list[np.ndarray]) -> list[np.ndarray]:
@@ -330,8 +334,8 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE, max_html: int = MAX_HTML) -> Labeller:
-    """A labeller trained on a bounded sample; an empty sample leaves the
-    untrained one."""
+    """A labeller trained on a bounded sample; an empty sample, as of a table of
+    pages above ``max_html`` only, leaves the untrained one."""
     rows = pages.select(F.col(id_col).cast("bigint").alias("i"), F.col(html_col).alias("h"))
     # a threshold on the hash lets about twice the sample through, so no more is sent to be sorted
     chosen = F.pmod(F.xxhash64("i", F.lit(41)), F.lit(1 << 20)) < min(1 << 20, ((2 * sample) << 20) // max(1, rows.count()) + 1)
@@ -349,7 +353,8 @@ def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", sampl
 
 
 def extract(pages: DataFrame, labeller: Labeller, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per input row: ``page_id, url, text, n_chars``.
+    """One row per input row: ``page_id, url, text, n_chars``.  An untrained
+    labeller is not asked; ``weak_labels`` decide in its place.
 
     Blocks labelled as main text, in page order, joined by two line ends; null
     or empty html gives the empty text.  Broken markup never fails: what is
@@ -360,7 +365,7 @@ def extract(pages: DataFrame, labeller: Labeller, id_col: str = "page_id", url_c
             for at in range(0, max(1, b.num_rows), 256):
                 part = b.slice(at, 256)
                 blocks = [leaf_blocks(h.as_py() or "") for h in part.column(2)]
-                chosen = labeller.label([features(p) for p in blocks])
+                chosen = labeller.label([features(p) for p in blocks]) if labeller.trained else [weak_labels(p) > 0 for p in blocks]
                 texts = ["\n\n".join(x.text for x, yes in zip(p, c, strict=True) if yes) for p, c in zip(blocks, chosen, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()),
                                                   pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])

@@ -56,6 +56,15 @@ def test_extract_edge_rows(spark, labeller):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string"), labeller).count() == 0
 
 
+def test_extract_of_long_pages_only(spark):
+    article = "".join(f"<p>Paragraph {i} of the article.</p>" for i in range(400))
+    rows = [(i, "u", f"<nav><p>menu {i}</p></nav><article>{article}</article><footer>end</footer>") for i in range(3)] + [(3, "u", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract(pages, html_extract.fit(pages, max_html=5000)).collect()}
+    want = "\n\n".join(f"Paragraph {i} of the article." for i in range(400))
+    assert got == {0: want, 1: want, 2: want, 3: ""}
+
+
 def test_gradient_against_finite_differences():
     model = html_extract.Labeller(seed=1)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
