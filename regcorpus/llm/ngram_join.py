@@ -25,7 +25,10 @@ least ``T = ceil(percent * n / 100)`` of its inverted lists, so at most
    join two components.
 6. Components of the links (``graph.components``).
 
-Shingles are compared by 64-bit hashes and sets by 128 bits.
+Shingles are compared by 64-bit hashes and sets by 128 bits and their size.
+From step 3 on a class has a name of 64 bits: the upper bits of its first
+digest and its rank among the classes that share them, so no two names are
+equal.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
@@ -46,7 +49,8 @@ CHUNK_ROWS = 1000
 CHUNK_SHINGLES = 1 << 20
 MU = 0.0085  # cost ratio of DivideSkip's choice of long lists
 SKETCH = "doc_id bigint, row_key_1 bigint, row_key_2 bigint, n bigint, d1 bigint, d2 bigint, most bigint, probe array<bigint>"
-SETS = "d1 bigint, n bigint, shingles array<bigint>"
+SETS = "d1 bigint, d2 bigint, n bigint, shingles array<bigint>"
+CLASS = ["d1", "d2", "n"]
 
 
 def _spare(n: Column, percent: int) -> Column:
@@ -145,8 +149,8 @@ def _full_sets(docs: DataFrame, n_words: int) -> DataFrame:
         def rows():
             for b in batches:
                 for s in shingle_sets(b.column(0), n_words, hasher):
-                    yield _digests(s)[0], len(s), s
-        yield from _batched(rows(), ["d1", "n", "shingles"])
+                    yield *_digests(s), len(s), s
+        yield from _batched(rows(), [*CLASS, "shingles"])
     return docs.select("text").mapInArrow(run, SETS)
 
 
@@ -303,15 +307,22 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .select("doc_id", "text", *keys("doc_id", "text"))
     sketch = written(sketches(base, n_words, percent), "sketch")
-    classes = sketch.filter("n > 0").groupBy("d1", "n", "most").agg(F.min("doc_id").alias("rep"))
+    classes = sketch.filter("n > 0").groupBy(*CLASS).agg(F.min("doc_id").alias("rep"))
     alone = sketch.select(F.explode("probe").alias("s"), "d1").groupBy("s") \
         .agg(F.min("d1").alias("x"), F.max("d1").alias("y")).filter("x = y").groupBy(F.col("x").alias("d1")).agg(F.count("*").alias("missed"))
-    live = written(classes.join(alone, "d1", "left").filter(F.coalesce("missed", F.lit(0)) <= F.col("most"))
-                   .select("d1", "rep"), "live")
+    # lists are counted by d1; classes that share one stay
+    first = sketch.filter("n > 0").groupBy("d1").agg(
+        F.max("most").alias("most"), F.min("d2").alias("d2_low"), F.max("d2").alias("d2_high"), F.min("n").alias("n_low"), F.max("n").alias("n_high"))
+    stay = first.join(alone, "d1", "left").filter((F.coalesce("missed", F.lit(0)) <= F.col("most")) | F.expr("d2_low != d2_high or n_low != n_high"))
+    bucket = F.shiftleft(F.shiftright("d1", 8), 8)
+    rank = F.row_number().over(Window.partitionBy("bucket").orderBy(*CLASS)) - 1
+    live = written(classes.join(stay.select("d1"), "d1", "left_semi").withColumn("bucket", bucket).withColumn("rank", rank)
+                   .select(*CLASS, "rep", F.when(F.col("rank") < 256, F.col("bucket") + F.col("rank"))
+                           .otherwise(F.raise_error(F.lit("more than 256 classes share 56 bits")).cast("bigint")).alias("name")), "live")
     reps = live.select("rep").distinct()
     # one plan at every size: the texts meet the live ids by a merge join
     sets = _full_sets(base.select("doc_id", "text").join(reps.hint("merge"), base.doc_id.eqNullSafe(reps.rep), "left_semi"), n_words)
-    sets = written(sets.join(live.select("d1"), "d1", "left_semi").dropDuplicates(["d1"]), "sets")
+    sets = written(sets.join(live.select(*CLASS, "name"), CLASS).select(F.col("name").alias("d1"), "n", "shingles").dropDuplicates(["d1"]), "sets")
 
     members = _members(sets, percent)
     cells = members.groupBy("cell").agg(F.count("*").alias("c"), F.sum("n").alias("w")).filter("c > 1") \
@@ -326,14 +337,15 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         links = written(links.union(_across(large, roots, sets, percent, chunk_rows)), "links")
         roots = written(components(links), "roots")
 
-    named = classes.join(roots, F.col("d1") == F.col("node"), "left")
+    named = classes.join(live.join(roots, F.col("name") == F.col("node")).select(*CLASS, "root"), CLASS, "left")
     joined = named.filter("root is not null").groupBy("root").agg(F.min("rep").alias("component"))
-    ids = written(named.join(joined, "root", "left").select("d1", F.coalesce("component", "rep").alias("component_id"),
-                                                            F.coalesce("root", "d1").alias("group_id")), "ids")
-    return sketch.drop("probe", "most").join(ids, "d1", "left").select(
+    # a class without links is a group of its own, named by both digests
+    group = F.struct(F.coalesce("root", "d1").alias("g1"), F.when(F.col("root").isNull(), F.col("d2")).alias("g2"))
+    ids = written(named.join(joined, "root", "left").select(*CLASS, F.coalesce("component", "rep").alias("component_id"), group.alias("group_id")), "ids")
+    return sketch.drop("probe", "most").join(ids, CLASS, "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        F.when(F.col("n") > 0, F.col("d1")).alias("class_id"), "group_id", *KEY)
+        F.when(F.col("n") > 0, F.struct("d1", "d2")).alias("class_id"), "group_id", *KEY)
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4, percent: int = 85) -> DataFrame:

@@ -34,6 +34,15 @@ def test_ngram_components(docs, chunk):
     assert brute.order((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute.order(brute.jaccard(brute.edge_rows()))
 
 
+def test_ngram_components_with_equal_first_digests(docs, monkeypatch):
+    whole = ngram_join._digests
+    monkeypatch.setattr(ngram_join, "_digests", lambda s: (whole(s)[0] & 1, whole(s)[1]))
+    got = ngram_join.ngram_components(docs).collect()
+    assert brute.order((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute.order(brute.jaccard(brute.edge_rows()))
+    sets = {brute.shingles(r[1]) for r in brute.edge_rows()} - {frozenset()}
+    assert len({r.class_id for r in got} - {None}) == len(sets)
+
+
 def test_ngram_components_of_a_chain_of_edits_in_small_chunks(spark):
     rng = random.Random(3)
     data, text = [], brute.sentence(11, 120).split()
