@@ -13,6 +13,7 @@ from regcorpus.llm import (
     bpe,
     exact_dedup,
     html_extract,
+    merkle,
     mixing,
     ngram_join,
     secret_scan,
@@ -163,3 +164,16 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all ``pages``."""
     pages = _table(spark, sf_dir, "pages")
     return html_extract.extract(pages, html_extract.fit(pages))
+
+
+@_register
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proofs of all ``documents``; every fifth one (by checksum) comes back
+    with a text in lower case."""
+    docs = _table(spark, sf_dir, "documents")
+    values = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, merkle.leaf([*values, lower]))
+    leaves = docs.select(F.col("source").cast("string").alias("tree"), F.col("doc_id").cast("bigint").alias("id"),
+                         merkle.leaf([*values, F.col("text")]).alias("leaf"), tampered.alias("claimed"))
+    return merkle.manifest(leaves).select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
