@@ -16,6 +16,7 @@ from regcorpus.llm import (
     merkle,
     mixing,
     ngram_join,
+    periodic,
     secret_scan,
     substring_dedup,
     token_counts,
@@ -177,3 +178,35 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = docs.select(F.col("source").cast("string").alias("tree"), F.col("doc_id").cast("bigint").alias("id"),
                          merkle.leaf([*values, F.col("text")]).alias("leaf"), tampered.alias("claimed"))
     return merkle.manifest(leaves).select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def _looped(docs: DataFrame) -> DataFrame:
+    """Documents; where the id's checksum says so, the words from some word on
+    repeat a stretch of the text (null ids have no checksum and stay)."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    chosen = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", h.alias("h"), F.floor(h / 10).cast("bigint").alias("g"),
+                         F.when(h % 10 == 0, words).alias("words"))
+    n, a, p = F.size("words"), F.col("a"), F.col("p")
+    sized = chosen.withColumn("n", F.when(n > 0, n)).withColumn("a", (F.col("g") % F.col("n")).cast("int")) \
+        .withColumn("p", (1 + F.floor((F.col("n") - a) / (3 + F.col("g") % 8))).cast("int"))
+    left = F.col("n") - a
+    loop = F.slice(F.flatten(F.array_repeat(F.slice("words", a + 1, p), F.ceil(left / p).cast("int"))), F.lit(1), left)
+    return sized.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(F.concat(F.slice("words", F.lit(1), a), loop), " "))
+                        .otherwise(F.col("text")).alias("text"))
+
+
+@_register
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all ``documents``, some with looped words, and the
+    texts without what the runs repeat."""
+    found = periodic.periodic_runs(_looped(_table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.reduce("runs", none, lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r).otherwise(best))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
