@@ -18,6 +18,7 @@ from regcorpus.llm import (
     ngram_join,
     periodic,
     secret_scan,
+    spot_sigs,
     substring_dedup,
     token_counts,
     toxicity,
@@ -210,3 +211,18 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
         F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
         F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@_register
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all ``documents`` and of the same texts with their last
+    half from the next document."""
+    beside = spot_sigs.with_next(_table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("n_chars", F.length("text").cast("long"))
+    half = F.floor(F.col("n_chars") / 2).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), (F.col("n_chars") - half).cast("int")), F.substr("next_text", F.lit(1), half))
+    both = spot_sigs.with_signatures(beside.withColumn("edited", edited), "edited", "edited_signatures")
+    return both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+                       spot_sigs.printed(F.col("signatures")).alias("fingerprint"),
+                       spot_sigs.printed(F.col("edited_signatures")).alias("edited_fingerprint"),
+                       spot_sigs.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
+                       spot_sigs.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"))
