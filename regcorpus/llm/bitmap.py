@@ -31,7 +31,7 @@ def _bases(counts: DataFrame, group: list[str], low: int, high: int) -> DataFram
     """``base`` of every ``at``: the rows of its group at smaller ones (null
     first).  Children of a node, at most 2^16, are summed in one window, nodes
     likewise one level up."""
-    last = low >> NODE_BITS == high >> NODE_BITS
+    last = high - low < 1 << NODE_BITS
     node = F.lit(None).cast("bigint") if last else F.shiftright("at", NODE_BITS)
     counts = counts.withColumn("node", node)
     order = Window.partitionBy(*group, *([] if last else ["node"])).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)

@@ -141,25 +141,26 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     beside the next one by descending id (null ids last, shared ids by a hash of
     the text, repeated rows side by side); the last one's next is the first.
 
-    A block holds 64 ids and moves once; the first row of every block is copied
-    to the block before it, so a window never spans blocks."""
+    A block holds 64 ids and moves once; the first row of every block is sent to
+    the block before it, so a window never spans blocks."""
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
         .withColumn("k1", F.xxhash64("text")).withColumn("k2", F.xxhash64("text", F.lit("next")))
     base = base.withColumn("block", _place("doc_id", "k1"))
-    first = F.min(F.struct(F.bitwise_not("doc_id").alias("o"), "k1", "k2")).alias("f")
-    heads = written(base.groupBy("block").agg(first), "heads")
-    marks, _, _ = index(heads.select("block"), [], "block")
-    numbered = written(ranked(heads, marks, [], "block"), "blocks")
-    n = numbered.count()
-    before = numbered.select(((F.col("place") + 1) % F.lit(max(n, 1))).alias("place"), F.col("block").alias("to"))
-    # (block and row of a head, block that it is copied to)
-    copies = numbered.join(before, "place").select("block", F.col("f.k1").alias("k1"), F.col("f.k2").alias("k2"), "f.o", "to")
-    same_row = [base["block"] == copies["block"], base["k1"] == copies["k1"], base["k2"] == copies["k2"],
-                F.bitwise_not(base["doc_id"]).eqNullSafe(copies["o"])]
-    extra = base.join(copies, same_row).select(base["doc_id"], base["text"], base["k1"], base["k2"], F.col("to").alias("block"), F.lit(1).alias("copy"))
-    rows = base.withColumn("copy", F.lit(0)).unionByName(extra)
-    order = ["copy", F.col("doc_id").desc_nulls_last(), "k1", "k2"]
-    dealt = with_signatures(rows.repartition("block").sortWithinPartitions("block", *order), "text", "signatures")
+    blocks = written(base.select("block").distinct(), "blocks")
+    marks, _, _ = index(blocks, [], "block")
+    numbered = written(ranked(blocks, marks, [], "block"), "numbered")
+    n = max(numbered.count(), 1)
+    before = numbered.select(((F.col("place") + 1) % F.lit(n)).alias("place"), F.col("block").alias("to"))
+    links = written(numbered.join(before, "place").select("block", "to"), "links")
+    order = [F.col("doc_id").desc_nulls_last(), "k1", "k2"]
     beside = Window.partitionBy("block").orderBy(*order)
-    return dealt.withColumn("next_text", F.lead("text").over(beside)).withColumn("next_signatures", F.lead("signatures").over(beside)) \
-        .filter("copy = 0").select("doc_id", "text", "signatures", "next_text", "next_signatures")
+    dealt = base.repartition("block")
+    first = dealt.withColumn("r", F.row_number().over(beside)).filter("r = 1").join(links, "block") \
+        .select(F.col("to").alias("block"), F.col("text").alias("head"))
+    heads = with_signatures(first.repartition("block"), "head", "head_signatures").withColumn("last", F.lit(True))
+    rows = with_signatures(dealt.sortWithinPartitions("block", *order), "text", "signatures") \
+        .withColumn("next_text", F.lead("text").over(beside)).withColumn("next_signatures", F.lead("signatures").over(beside)) \
+        .withColumn("last", F.col("next_text").isNull())
+    return rows.join(heads, ["block", "last"], "left").select(
+        "doc_id", "text", "signatures", F.coalesce("next_text", "head").alias("next_text"),
+        F.coalesce("next_signatures", "head_signatures").alias("next_signatures"))
