@@ -1,129 +1,227 @@
-"""HTML as a token table.
-
-``tokens`` turns documents into one row per tag, text or comment, in order.
-An element is the range from its start tag to the next token of the same tag
-name and nesting level, found with running sums per document and tag name, so
-stray and unclosed tags of other names do not matter and depth costs nothing.
-``p`` also ends at the next block-level tag.  Regions (outermost elements that
-match a rule), counters and texts are windows over that table: no tree is built
-and nothing runs in Python.
+"""HTML inside the row: tokens, elements and texts of a document as arrays.
+
+A document becomes one array of tokens (tags, texts, comments); its elements
+come from one fold over the tags, which keeps the open elements and closes them
+by HTML's rules for optional end tags.  Everything is Spark SQL text over
+higher-order functions, so a document is never exploded, shuffled or sorted, the
+same text serves DataFrames and SQL functions, and no Python runs in tasks.
+
+Fragments take and return SQL expressions.  ``let`` binds a value once: an
+expression used inside a lambda would be evaluated for every element.
 """
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-# --- fixed values: element names ---------------------------------------------
+# --- fixed values: element names -----------------------------------------------
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr")
-BLOCK = ("address", "article", "aside", "blockquote", "body", "dd", "div", "dl", "dt", "fieldset", "footer", "form", "h1", "h2", "h3",
-         "h4", "h5", "h6", "header", "hr", "html", "li", "main", "nav", "ol", "p", "pre", "section", "table", "tbody", "td", "tfoot",
-         "th", "thead", "tr", "ul")
+BLOCK = ("address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt",
+         "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li", "main",
+         "menu", "nav", "ol", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul")
+HEAD = ("html", "head", "title", "base", "link", "meta", "style", "script", "noscript", "template")
 RAW = "script|style|noscript|template"
-# ------------------------------------------------------------------------------
-TOKEN = (rf"(?is)<!--.*?(?:-->|\z)|<({RAW})(?=[\s/>]).*?(?:</\1\s*>|\z)|<[!?][^>]*(?:>|\z)"
-         r"""|</?[a-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-z][^>]*>|[^<]+|<""")
-NEVER = (1 << 31) - 1
-LETTERS = r"(?U)^\s+|\s+$"
-
-
-def stripped(c: Column) -> Column:
-    """Without white space at both ends."""
-    return F.regexp_replace(c, LETTERS, "")
-
-
-def squeezed(c: Column) -> Column:
-    """White space runs as one space, none at the ends."""
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
-
-
-def _attribute(tok: Column, name: str) -> Column:
-    found = F.regexp_extract(tok, rf"""(?i)[\s"'/]{name}\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+)""", 0)
-    value = F.regexp_replace(F.regexp_replace(found, r"^[^=]*=\s*", ""), r"""^["']|["']$""", "")
-    return F.when(found != "", value)
-
-
-def decoded(text: Column) -> Column:
-    """Character references resolved; unknown ones stay as they are."""
-    ref = r"&(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
-    names = F.create_map(*[F.lit(x) for n, c in name2codepoint.items() for x in (n, chr(c))],
-                         F.lit("apos"), F.lit("'"))
-
-    def value(r: Column) -> Column:
-        code = F.when(r.rlike("^#[xX]"), F.conv(F.substring(r, 3, 8), 16, 10)).when(r.startswith("#"), F.substring(r, 2, 8)).cast("long")
-        valid = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(valid, char).otherwise(F.coalesce(F.try_element_at(names, r), F.concat(F.lit("&"), r, F.lit(";"))))
-
-    gaps = F.split(text, ref, -1)
-    refs = F.concat(F.transform(F.regexp_extract_all(text, F.lit(ref), F.lit(1)), value), F.array(F.lit("")))
-    whole = F.array_join(F.zip_with(gaps, refs, lambda g, r: F.concat(g, r)), "")
-    return F.when(text.contains("&"), whole).otherwise(text)
-
-
-def tokens(df: DataFrame, keys: tuple, html_col: str) -> DataFrame:
-    """``(keys..., pos, kind, tag, text, classes, element_id, href, level,
-    end)``; ``kind`` is open, close, text, comment or skip."""
-    t = df.select(*keys, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(TOKEN), F.lit(0))).alias("pos", "tok")).repartition(*keys)
-    tok = F.col("tok")
-    tag = F.lower(F.regexp_extract(tok, r"^</?([a-zA-Z][a-zA-Z0-9:-]*)", 1))
-    t = t.withColumn("tag", tag)
-    kind = (F.when(tok.startswith("<!--"), "comment").when(F.col("tag").isin(*RAW.split("|")), "skip")
-            .when((F.col("tag") != "") & tok.startswith("</"), "close").when(F.col("tag") != "", "open")
-            .when(tok.startswith("<!") | tok.startswith("<?"), "skip").otherwise("text"))
-    t = t.withColumn("kind", kind)
-    opens = F.col("kind") == "open"
-    t = t.select(*keys, "pos", "kind", "tag",
-                 F.when(F.col("kind") == "text", decoded(tok)).when(F.col("kind") == "comment", F.regexp_replace(tok, r"^<!--|-->$", "")).alias("text"),
-                 F.when(opens, F.split(squeezed(F.coalesce(_attribute(tok, "class"), F.lit(""))), " ")).alias("classes"),
-                 F.when(opens, _attribute(tok, "id")).alias("element_id"),
-                 F.when(opens & (F.col("tag") == "a"), decoded(_attribute(tok, "href"))).alias("href"),
-                 F.when(opens & ~F.col("tag").isin(*VOID) & ~tok.endswith("/>"), 1).when(F.col("kind") == "close", -1).otherwise(0).alias("step"))
-    same = Window.partitionBy(*keys, "tag").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("level", F.sum("step").over(same) + (F.col("kind") == "close").cast("int"))
-    close = F.lead("pos").over(Window.partitionBy(*keys, "tag", "level").orderBy("pos"))
-    edge = F.col("tag").isin(*BLOCK) & F.col("kind").isin("open", "close")
-    nearest = F.last(F.when(edge, F.col("pos")), ignorenulls=True).over(
-        Window.partitionBy(*keys).orderBy(F.desc("pos")).rowsBetween(Window.unboundedPreceding, -1))
-    end = F.when((F.col("kind") == "open") & (F.col("step") == 1), F.coalesce(close, F.lit(NEVER)))
-    return t.withColumn("end", F.when((F.col("tag") == "p") & end.isNotNull(), F.least(end, F.coalesce(nearest, F.lit(NEVER)))).otherwise(end)).drop("step")
-
-
-def has_class(name: str) -> Column:
-    return F.array_contains("classes", name)
-
-
-def regions(t: DataFrame, keys: tuple, rule: Column, name: str) -> DataFrame:
-    """Add ``name`` = ``(start, end, rule, level)`` of the outermost element
-    with a rule that a token lies in, its start tag included; null outside."""
-    before = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    so_far = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    t = t.withColumn("_rule", F.when(F.col("end").isNotNull(), rule))
-    t = t.withColumn("_past", F.max(F.when(F.col("_rule").isNotNull(), F.col("end"))).over(before))
-    mine = F.struct(F.col("pos").alias("start"), "end", F.col("_rule").alias("rule"), "level")
-    outer = F.col("_rule").isNotNull() & (F.col("pos") >= F.coalesce("_past", F.lit(-1)))
-    t = t.withColumn("_last", F.last(F.when(outer, mine), ignorenulls=True).over(so_far))
-    return t.withColumn(name, F.when(F.col("pos") < F.col("_last.end"), F.col("_last"))).drop("_rule", "_past", "_last")
-
-
-def first_element(t: DataFrame, keys: tuple, match: Column, name: str) -> DataFrame:
-    """Add ``name`` = ``(start, end)`` of the document's first matching element."""
-    found = F.when(F.col("end").isNotNull() & match, F.struct(F.col("pos").alias("start"), "end"))
-    return t.withColumn(name, F.min(found).over(Window.partitionBy(*keys)))
-
-
-def inside(name: str) -> Column:
-    return (F.col("pos") > F.col(f"{name}.start")) & (F.col("pos") < F.col(f"{name}.end"))
-
-
-def open_count(keys: tuple, tags: Column) -> Column:
-    """How many elements of the names in an array column are open here."""
-    step = F.when(~F.array_contains(tags, F.col("tag")), 0).when(F.col("end").isNotNull(), 1).when(F.col("kind") == "close", -1).otherwise(0)
-    return F.sum(step).over(Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-
-
-def in_order(order: tuple, value: str) -> Column:
-    """Aggregate: the values of a group in document order."""
-    return F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("v")))), lambda x: x["v"])
+# groups of elements whose ends may be left out, and elements that fence them in
+GROUPS = {"li": 1, "dt": 2, "dd": 2, "td": 4 | 128, "th": 4 | 128, "tr": 8, "thead": 16, "tbody": 16, "tfoot": 16, "p": 32,
+          "ul": 64, "ol": 64, "menu": 64, "dl": 64, "caption": 128, "button": 128, "object": 128, "table": 256}
+LI, DT, CELL, ROW, SECTION, P, LIST, FENCE, TABLE = 1, 2, 4, 8, 16, 32, 64, 128, 256
+# start tag: groups it ends, elements it does not reach beyond
+ENDS = {"li": (LI | P, LIST | FENCE | TABLE), "dt": (DT | P, LIST | FENCE | TABLE), "dd": (DT | P, LIST | FENCE | TABLE),
+        "td": (CELL, TABLE), "th": (CELL, TABLE), "tr": (ROW | CELL, TABLE), "thead": (SECTION | ROW | CELL, TABLE),
+        "tbody": (SECTION | ROW | CELL, TABLE), "tfoot": (SECTION | ROW | CELL, TABLE), "caption": (0, 0), "html": (0, 0), "body": (0, 0)}
+# end tags that stay inside a table; those of the others stay inside a cell as well
+IN_TABLE = ("caption", "td", "th", "tr", "thead", "tbody", "tfoot")
+THROUGH = ("table", "body", "html")
+# ---------------------------------------------------------------------------------
+TOKEN = (rf"(?is)<!--.*?(?:-->|\z)|<({RAW})(?=[\s/>]).*?(?:</\1\s*>|\z)|<title(?=[\s/>])[^>]*>[^<]*(?:</title\s*>)?"
+         r"""|<[!?][^>]*(?:>|\z)|</?[a-z](?:[^>"']++|"[^"]*+"|'[^']*+')*+>|</?[a-z][^>]*>|(?:[^<]++|<(?![a-z/!?]))++|<""")
+TAG = "struct<i:int,open:boolean,tag:string,own:int,ends:int,stop:int,rule:string,mark:int,need:int>"
+ENTRY = "struct<tag:string,own:int,start:int,rule:string,mark:int,row:int>"
+ELEMENT = "struct<start:int,end:int,rule:string,row:int>"
+CHUNK = 128
+
+
+def lit(s: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` bound to ``value``."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def among(value: str, names) -> str:
+    return f"{value} IN ({', '.join(lit(n) for n in names)})"
+
+
+def _by_tag(tag: str, table: dict, default: int) -> str:
+    groups: dict[int, list[str]] = {}
+    for name, value in table.items():
+        groups.setdefault(value, []).append(name)
+    return "CASE " + " ".join(f"WHEN {among(tag, names)} THEN {value}" for value, names in groups.items()) + f" ELSE {default} END"
+
+
+# --- texts -----------------------------------------------------------------------
+def stripped(text: str) -> str:
+    return rf"regexp_replace({text}, {lit('(?U)^\\s+|\\s+$')}, '')"
+
+
+def squeezed(text: str) -> str:
+    """White space runs as one space, none at the ends."""
+    return rf"trim(regexp_replace({text}, {lit('(?U)\\s+')}, ' '))"
+
+
+def decoded(text: str, bare: bool = True) -> str:
+    """Character references resolved, unknown ones as they are; ``bare`` names
+    without semicolon too (in texts, not in addresses)."""
+    legacy = sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n))
+    ref = r"&(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;" + ("|" + "|".join(legacy) if bare else "") + ")"
+
+    def names(keep):
+        table = "\x02".join(f"{n}\x03{html5[n + ';']}" for n in keep)
+        return f"str_to_map({lit(table)}, {lit(chr(2))}, {lit(chr(3))})"
+
+    rest = [n[:-1] for n in html5 if n.endswith(";") and n[:-1] not in html5]
+    number = ("CASE WHEN n RLIKE '^#[xX]' THEN CAST(conv(substring(n, 3), 16, 10) AS bigint) "
+              "WHEN n LIKE '#%' THEN CAST(substring(n, 2) AS bigint) END")
+    valid = "c > 0 AND c <= 1114111 AND NOT c BETWEEN 55296 AND 57343"
+    char = "decode(unhex(lpad(hex(c), 8, '0')), 'UTF-32')"
+    known = f"coalesce(try_element_at({names(sorted(legacy))}, n), try_element_at({names(sorted(rest))}, n), concat('&', r))"
+    value = let("n", "replace(r, ';', '')", let("c", number, f"CASE WHEN {valid} THEN {char} WHEN c IS NOT NULL THEN concat('&', r) ELSE {known} END"))
+    refs = f"concat(transform(regexp_extract_all(w, {lit(ref)}, 1), r -> {value}), array(''))"
+    return let("w", text, f"CASE WHEN contains(w, '&') THEN array_join(zip_with(split(w, {lit(ref)}, -1), {refs}, (g, r) -> concat(g, r)), '') ELSE w END")
+
+
+def tokens(html: str) -> str:
+    return f"regexp_extract_all({html}, {lit(TOKEN)}, 0)"
+
+
+def is_text(tok: str) -> str:
+    return f"({tok} = '<' OR {tok} NOT RLIKE {lit('^<[a-zA-Z/!?]')})"
+
+
+def tag_name(tok: str) -> str:
+    """Lower-case name of a tag; empty for anything else."""
+    return f"lower(regexp_extract({tok}, {lit(f'^</?(?!(?i:title|{RAW})[\\s/>])([a-zA-Z][a-zA-Z0-9:-]*)')}, 1))"
+
+
+def attribute(tok: str, name: str) -> str:
+    """An attribute's value; null where it is absent."""
+    found = f"nullif(regexp_extract({tok}, {lit(rf'''(?i)[\s"'/]{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)''')}, 1), '')"
+    return f"regexp_replace({found}, {lit(r'''^["']|["']$''')}, '')"
+
+
+def has_class(name: str) -> str:
+    """Test on ``cls``, the class names with a space around each."""
+    return f"contains(cls, {lit(f' {name} ')})"
+
+
+# --- elements ----------------------------------------------------------------------
+def tags(toks: str, rule: str, mark: str = "0", need: str = "0", first: tuple[str, ...] = (), every: bool = False) -> str:
+    """The tags that shape the document, as an array of ``TAG``.
+
+    ``rule`` names the elements to find, an expression over ``tag``, ``cls``,
+    ``eid`` and ``tok``; ``mark`` is a bit set of an element and ``need`` the
+    marks that must be open around one for its rule to hold.  Of a rule in
+    ``first`` only the document's first element counts.  ``every`` lets any tag
+    be an element, else only block-level ones (and those with a rule) are."""
+    opens = f"tok NOT LIKE '</%' AND NOT {among('tag', VOID)} AND tok NOT LIKE '%/>'"
+    cls = "concat(' ', " + squeezed(f"coalesce({attribute('tok', 'class')}, '')") + ", ' ')"
+    group = _by_tag("tag", GROUPS, 0)
+    ends = _by_tag("tag", {t: e for t, (e, _) in ENDS.items()}, 0)
+    block = among("tag", BLOCK)
+    ends = f"CASE WHEN {among('tag', ENDS)} THEN {ends} WHEN {block} THEN {P} ELSE 0 END"
+    stop_open = f"CASE WHEN {among('tag', ENDS)} THEN {_by_tag('tag', {t: s for t, (_, s) in ENDS.items()}, 0)} ELSE {FENCE | TABLE} END"
+    stop_close = (f"CASE WHEN {among('tag', THROUGH)} THEN 0 WHEN {among('tag', IN_TABLE)} THEN {TABLE} "
+                  f"WHEN tag = 'li' THEN {LIST | FENCE | TABLE} ELSE {FENCE | TABLE} END")
+    made = (f"named_struct('i', i, 'open', o, 'tag', tag, 'own', {group}, 'ends', CASE WHEN tok LIKE '</%' THEN 0 ELSE {ends} END, "
+            f"'stop', CASE WHEN tok LIKE '</%' THEN {stop_close} ELSE {stop_open} END, "
+            f"'rule', CASE WHEN o THEN {rule} END, 'mark', CASE WHEN o THEN {mark} ELSE 0 END, 'need', {need})")
+    made = let("o", opens, let("cls", f"CASE WHEN o THEN {cls} ELSE '' END", let("eid", f"CASE WHEN o THEN coalesce({attribute('tok', 'id')}, '') ELSE '' END", made)))
+    one = let("tag", tag_name("tok"), f"CASE WHEN tag <> '' THEN {made} END")
+    all_tags = f"array_compact(transform({toks}, (tok, i) -> CASE WHEN tok LIKE '<%' THEN {one} END))"
+    if first:
+        head = ", ".join(f"get(filter(all, t -> t.rule = {lit(r)}), 0).i" for r in first)
+        only = let("heads", f"array({head})", "transform(all, t -> CASE WHEN "
+                   f"{among('t.rule', first)} AND NOT coalesce(array_contains(array_compact(heads), t.i), false) "
+                   "THEN named_struct('i', t.i, 'open', t.open, 'tag', t.tag, 'own', t.own, 'ends', t.ends, 'stop', t.stop, "
+                   "'rule', CAST(NULL AS string), 'mark', 0, 'need', t.need) ELSE t END)")
+        all_tags = let("all", all_tags, only)
+    if every:
+        return all_tags
+    # tags of other names only where some element of that name has a rule or a mark
+    named = "array_distinct(transform(filter(all, t -> t.rule IS NOT NULL OR t.mark <> 0), t -> t.tag))"
+    return let("all", all_tags, let("named", named, f"filter(all, t -> t.own <> 0 OR t.ends <> 0 OR {among('t.tag', BLOCK)} OR array_contains(named, t.tag))"))
+
+
+def elements(tag_array: str, size: str, free: tuple[str, ...] = ("root", "body"), choose: str | None = None, cuts: bool = False) -> str:
+    """Elements with a rule, ``array<ELEMENT>`` in document order, ``end`` being
+    the token that ends them (or ``size``).
+
+    An element counts where no other counted one is open, those with a rule in
+    ``free`` everywhere.  ``choose`` replaces this choice, an expression over the
+    tag ``t``, the open elements ``rest`` (innermost first), ``counted`` (is one
+    open) and ``marked`` (are the needed marks open).  ``cuts`` adds the
+    block-level tags outside of all counted elements as ``cut``."""
+    counted = f"exists(rest, e -> e.rule IS NOT NULL AND NOT {among('e.rule', free)})"
+    marked = "(t.need = 0 OR exists(rest, e -> e.mark & t.need <> 0))"
+    own = choose or f"CASE WHEN {among('t.rule', free)} THEN t.rule WHEN t.rule IS NOT NULL AND {marked} AND NOT {counted} THEN t.rule END"
+    own = own.replace("{counted}", counted).replace("{marked}", marked)
+    row = f"CASE WHEN r = 'cell' THEN get(filter(rest, e -> e.own & {ROW | TABLE} <> 0), 0).start END"
+    pushed = let("r", own, f"concat(array(named_struct('tag', t.tag, 'own', t.own, 'start', t.i, 'rule', r, 'mark', t.mark, 'row', {row})), rest)")
+    ended = "transform(filter(slice(a.stack, 1, k), e -> e.rule IS NOT NULL), e -> named_struct('start', e.start, 'end', t.i, 'rule', e.rule, 'row', e.row))"
+    none = f"CAST(array() AS array<{ELEMENT}>)"
+    cut = "array(named_struct('start', t.i, 'end', t.i + 1, 'rule', 'cut', 'row', CAST(NULL AS int)))"
+    done = f"concat(found, CASE WHEN {among('t.tag', BLOCK)} AND NOT {counted} THEN {cut} ELSE {none} END)" if cuts else "found"
+    # how many of the open elements end: up to the farthest of a group within the fence, or up to the tag's own
+    fence = "array_position(transform(a.stack, e -> e.own & t.stop <> 0), true)"
+    farthest = let("near", f"CASE WHEN t.stop = 0 THEN 0 ELSE {fence} END",
+                   let("scope", "transform(CASE WHEN near = 0 THEN a.stack ELSE slice(a.stack, 1, CAST(near - 1 AS int)) END, e -> e.own & t.ends <> 0)",
+                       "CASE WHEN array_contains(scope, true) THEN size(scope) + 1 - array_position(reverse(scope), true) ELSE 0 END"))
+    matching = let("at", "array_position(transform(a.stack, e -> e.tag = t.tag OR e.own & t.stop <> 0), true)",
+                   "CASE WHEN at > 0 AND get(a.stack, CAST(at - 1 AS int)).tag = t.tag THEN at ELSE 0 END")
+    ending = f"CAST(CASE WHEN t.ends <> 0 THEN {farthest} WHEN t.open THEN 0 ELSE {matching} END AS int)"
+    after = let("rest", "CASE WHEN k = 0 THEN a.stack ELSE slice(a.stack, k + 1, greatest(size(a.stack) - k, 0)) END",
+                let("found", f"CASE WHEN k = 0 THEN a.done ELSE concat(a.done, {ended}) END",
+                    f"named_struct('stack', CASE WHEN t.open THEN {pushed} ELSE rest END, 'done', {done})"))
+    inner = f"aggregate(chunk, named_struct('stack', s.stack, 'done', {none}), (a, t) -> {let('k', ending, after)})"
+    outer = let("z", inner, "named_struct('stack', z.stack, 'parts', array_append(s.parts, z.done))")
+    chunks = f"transform(sequence(0, greatest(size(tags) - 1, 0) DIV {CHUNK}), c -> slice(tags, CAST(c * {CHUNK} + 1 AS int), {CHUNK}))"
+    left = f"transform(filter(s.stack, e -> e.rule IS NOT NULL), e -> named_struct('start', e.start, 'end', {size}, 'rule', e.rule, 'row', e.row))"
+    fold = (f"aggregate({chunks}, named_struct('stack', CAST(array() AS array<{ENTRY}>), 'parts', CAST(array() AS array<array<{ELEMENT}>>)), "
+            f"(s, chunk) -> {outer}, s -> array_sort(concat(flatten(s.parts), {left})))")
+    return let("tags", tag_array, fold)
+
+
+def head(toks: str) -> str:
+    """The head as an element ``drop`` in an array (empty without one).  It ends
+    at its end tag; where that is left out, at the first tag that cannot stand in
+    it or the first text."""
+    is_head = f"tok RLIKE {lit(r'(?i)^<head[ />' + chr(92) + 's]')}"
+    name = f"CASE WHEN tok LIKE '<%' THEN {tag_name('tok')} ELSE '' END"
+    leaves = let("tag", name, f"tag <> '' AND (tok LIKE '</%' OR NOT {among('tag', HEAD)})")
+    text = f"{is_text('tok')} AND {stripped('tok')} <> ''"
+
+    def first(test):
+        return f"get(array_compact(transform(toks, (tok, i) -> CASE WHEN i > h AND ({test}) THEN i END)), 0)"
+
+    tag_end = f"coalesce({first(leaves)}, size(toks))"
+    end = let("e", tag_end, f"CASE WHEN get(toks, e) RLIKE '(?i)^</head' THEN e ELSE least(e, coalesce({first(text)}, e)) END")
+    found = let("h", f"get(array_compact(transform(toks, (tok, i) -> CASE WHEN {is_head} THEN i END)), 0)",
+                f"array(named_struct('start', h, 'end', {end}, 'rule', 'drop', 'row', CAST(NULL AS int)))")
+    return let("toks", toks, f"CASE WHEN exists(toks, tok -> {is_head}) THEN {found} ELSE CAST(array() AS array<{ELEMENT}>) END")
+
+
+def gaps(found: str, low: str, high: str) -> str:
+    """``array<struct<start, end>>``: the tokens between ``low`` and ``high``
+    (both left out) that lie in none of the disjoint elements ``found``; the
+    token that ends an element is not part of it."""
+    starts = f"concat(array({low}), transform(x, e -> e.end - 1))"
+    ends = f"concat(transform(x, e -> e.start), array({high}))"
+    return let("x", found, f"filter(zip_with({starts}, {ends}, (a, b) -> named_struct('start', a, 'end', b)), g -> g.start + 1 < g.end)")
+
+
+def between(array: str, start: str, end: str) -> str:
+    """The entries of a token-aligned array after ``start`` and before ``end``."""
+    return f"slice({array}, {start} + 2, greatest({end} - {start} - 1, 0))"
