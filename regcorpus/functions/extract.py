@@ -115,14 +115,17 @@ def document_date(html: Column) -> Column:
     over the whole text (priority, not leftmost); ``YYYY-MM-DD``; NULL if none."""
     en = {m: f"{i + 1:02d}" for i, m in enumerate(MONTHS_EN)}
 
+    def found(pattern, build):
+        # one search of the text; the short match is taken apart
+        return F.get(F.transform(F.array(F.regexp_extract(html, pattern, 0)), lambda m: F.when(m != "", build(m))), 0)
+
     def long_form(pattern, months):
-        day = F.regexp_extract(html, pattern, 1)
-        mon = F.coalesce(_month_map(months)[F.regexp_extract(html, pattern, 2)], F.lit("01"))
-        yr = F.regexp_extract(html, pattern, 3)
-        return F.when(day != "", F.concat(yr, F.lit("-"), mon, F.lit("-"), F.lpad(day, 2, "0")))
+        def parts(m):
+            mon = F.coalesce(_month_map(months)[F.regexp_extract(m, pattern, 2)], F.lit("01"))
+            return F.concat(F.regexp_extract(m, pattern, 3), F.lit("-"), mon, F.lit("-"), F.lpad(F.regexp_extract(m, pattern, 1), 2, "0"))
+        return found(pattern, parts)
 
-    iso = F.when(F.regexp_extract(html, DATE_ISO, 0) != "",
-                 F.regexp_extract(html, DATE_ISO, 0))
+    iso = found(DATE_ISO, lambda m: m)
     return F.coalesce(long_form(DATE_EN, en), long_form(DATE_PL, MONTHS_PL), iso)
 
 

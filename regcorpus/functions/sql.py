@@ -24,6 +24,13 @@ def _first(pattern: str) -> str:
     return f"nullif(regexp_extract(t, {_lit('(?U)' + pattern)}, 0), '')"
 
 
+def source_type_sql(html: str, file_name: str) -> str:
+    """X14 as SQL text."""
+    return (f"CASE WHEN contains({html}, 'eli-container') OR contains({html}, 'oj-ti-art') THEN 'cellar' "
+            f"WHEN contains(lower({html}), 'eur-lex') OR startswith({file_name}, '3') THEN 'eurlex' "
+            f"WHEN contains(lower({html}), 'isap') OR contains(lower({html}), 'sejm') THEN 'isap' ELSE 'unknown' END")
+
+
 def definitions() -> dict:
     """name -> (signature, return type, body)."""
     j = X.CELEX_JUDGMENT
@@ -50,11 +57,7 @@ def definitions() -> dict:
         "get_with_fallback": ("m MAP<STRING, STRING>, a STRING, b STRING", "STRING",
                               "CASE WHEN map_contains_key(m, a) THEN m[a] WHEN map_contains_key(m, b) THEN m[b] "
                               "ELSE '' END"),
-        "source_type": ("html STRING, file_name STRING", "STRING",
-                        "CASE WHEN contains(html, 'eli-container') OR contains(html, 'oj-ti-art') THEN 'cellar' "
-                        "WHEN contains(lower(html), 'eur-lex') OR startswith(file_name, '3') THEN 'eurlex' "
-                        "WHEN contains(lower(html), 'isap') OR contains(lower(html), 'sejm') THEN 'isap' "
-                        "ELSE 'unknown' END"),
+        "source_type": ("html STRING, file_name STRING", "STRING", source_type_sql("html", "file_name")),
     }
 
 
@@ -65,11 +68,22 @@ def register_sql_functions(spark: SparkSession) -> list:
     return list(definitions())
 
 
-def register_html_blocks(spark: SparkSession, source: str, id_col: str, html_col: str, name_col: str | None = None,
-                         name: str = "html_blocks") -> str:
-    """D3: the blocks ``(id, block_no, kind, text)`` of every document of a
-    table or view as the view ``name``, for SQL users."""
+def register_html_functions(spark: SparkSession) -> list:
+    """D3: SQL table functions over one HTML value, for ``LATERAL``:
+
+    - ``html_blocks(html, file_name)``: ``(block_no, kind, text)`` (H1 to H5);
+    - ``result_rows(html)``: ``(row_no, text, href)`` of a national result page
+      (S4);
+
+    and the scalar ``judgment_markdown(html)`` (H6).  Returns their names."""
     from regcorpus.operators import markup
-    conv = markup.convert_documents(spark.table(source), id_col, html_col, name_col)
-    markup.to_blocks(conv, id_col).createOrReplaceTempView(name)
-    return name
+    kind = source_type_sql("html", "coalesce(file_name, '')")
+    blocks = markup.block_expression("coalesce(html, '')", kind)
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION html_blocks(html STRING, file_name STRING) RETURNS TABLE(block_no INT, kind STRING, text STRING) "
+              f"RETURN SELECT b.pos, b.col.kind, b.col.line FROM LATERAL (SELECT posexplode({blocks})) AS b(pos, col)")
+    rows = markup.result_row_expression("coalesce(html, '')")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION result_rows(html STRING) RETURNS TABLE(row_no INT, text STRING, href STRING) "
+              f"RETURN SELECT b.pos, b.col.text, b.col.href FROM LATERAL (SELECT posexplode({rows})) AS b(pos, col)")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION judgment_markdown(html STRING) RETURNS STRING "
+              f"RETURN {markup.judgment_markdown_expression(chr(99) + 'oalesce(html, ' + chr(39) * 2 + ')')}")
+    return ["html_blocks", "result_rows", "judgment_markdown"]

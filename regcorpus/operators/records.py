@@ -93,11 +93,17 @@ def filter_term_or_all(df: DataFrame, cols, term: str | None) -> DataFrame:
     return df.filter(hit)
 
 
-def _hit_columns(t: Column, host: str, ids: list, date: Column, formats) -> list:
-    return ["keyword", F.col("row_no").alias("rank"),
-            truncate(t, SNIPPET_CHARS).alias("text_snippet"), *ids, date.alias("date"),
-            X.typed_date(date, *formats).alias("date_parsed"),
-            X.absolutise_url(F.col("href"), host).alias("url")]
+def _hits(df: DataFrame, host: str, ids: dict, date: Column, usable, formats) -> DataFrame:
+    """Usable rows as hits.  The patterns run once per text: a filter over
+    computed columns would be pushed below them and search again, so they go
+    through a one-entry array (``explode_outer`` takes no filter below it)."""
+    text = F.col("text")
+    found = F.array(F.struct(*[c.alias(name) for name, c in ids.items()], date.alias("date")))
+    kept = F.explode_outer(F.filter(found, usable)).alias("f")
+    rows = df.filter(F.length(text) >= 10).select("keyword", "row_no", "text", "href", kept).filter("f IS NOT NULL")
+    return rows.select("keyword", F.col("row_no").alias("rank"), truncate(text, SNIPPET_CHARS).alias("text_snippet"),
+                       *[F.col(f"f.{name}").alias(name) for name in ids], "f.date",
+                       X.typed_date(F.col("f.date"), *formats).alias("date_parsed"), X.absolutise_url(F.col("href"), host).alias("url"))
 
 
 def national_hits(df: DataFrame, compat: bool = False) -> DataFrame:
@@ -106,12 +112,8 @@ def national_hits(df: DataFrame, compat: bool = False) -> DataFrame:
 
     Usable: text of at least 10 chars with a signature, a date or any link."""
     t = F.col("text")
-    sig = X.court_signature(t, compat=compat)
-    d = X.date_literal_national(t)
-    usable = (F.length(t) >= 10) & (sig.isNotNull() | d.isNotNull() | F.col("href").isNotNull())
-    return df.filter(usable).select(
-        *_hit_columns(t, X.NATIONAL_HOST, [sig.alias("signature")], d,
-                      ("yyyy-MM-dd", "dd.MM.yyyy")))
+    return _hits(df, X.NATIONAL_HOST, {"signature": X.court_signature(t, compat=compat)}, X.date_literal_national(t),
+                 lambda f: f["signature"].isNotNull() | f["date"].isNotNull() | F.col("href").isNotNull(), ("yyyy-MM-dd", "dd.MM.yyyy"))
 
 
 def cjeu_hits(df: DataFrame) -> DataFrame:
@@ -120,11 +122,8 @@ def cjeu_hits(df: DataFrame) -> DataFrame:
     Usable: text of at least 10 chars with a case number, an ECLI or a date;
     a link alone is not enough."""
     t = F.col("text")
-    cn, ec, d = X.cjeu_case_number(t), X.ecli(t), X.date_literal_cjeu(t)
-    usable = (F.length(t) >= 10) & (cn.isNotNull() | ec.isNotNull() | d.isNotNull())
-    return df.filter(usable).select(
-        *_hit_columns(t, X.CJEU_HOST, [cn.alias("case_number"), ec.alias("ecli")], d,
-                      ("dd/MM/yyyy", "yyyy-MM-dd")))
+    return _hits(df, X.CJEU_HOST, {"case_number": X.cjeu_case_number(t), "ecli": X.ecli(t)}, X.date_literal_cjeu(t),
+                 lambda f: f["case_number"].isNotNull() | f["ecli"].isNotNull() | f["date"].isNotNull(), ("dd/MM/yyyy", "yyyy-MM-dd"))
 
 
 # --- act records, rulings, searches ---------------------------------------------

@@ -145,12 +145,50 @@ def _converted_pages(spark, sf_dir, **kw):
     return markup.convert_documents(p, "page_id", "html", "file_name", **kw)
 
 
-@register("page_markdown", bench=True)
+# The same rules from the blocks of the pages: lines joined, headings by source, clean-up
+PAGE_MARKDOWN_SQL = rf"""
+WITH b AS ({_page_blocks_sql(False)}),
+j AS (SELECT s.page_id, s.source_type, coalesce(m.md, '') AS md FROM ({PAGE_SOURCE_SQL}) s
+      LEFT JOIN (SELECT page_id, string_agg(text, chr(10) ORDER BY block_no) AS md FROM b GROUP BY page_id) m USING (page_id)),
+h AS (SELECT page_id, source_type, CASE source_type
+  WHEN 'eurlex' THEN regexp_replace(regexp_replace(regexp_replace(md, '(?m)^(Artyku[lł]{_WS}+[0-9]+[a-z]?)', chr(10) || '#### \1', 'g'),
+       '(?m)^(ROZDZIA[LŁ]{_WS}+[IVX0-9]+)', chr(10) || '## \1', 'g'), '(?m)^(TYTU[LŁ]{_WS}+[IVX0-9]+)', chr(10) || '# \1', 'g')
+  WHEN 'isap' THEN regexp_replace(regexp_replace(regexp_replace(md, '(?m)^(Art\.{_WS}+[0-9]+[a-z]?\.)', chr(10) || '### \1', 'g'),
+       '(?m)^(Rozdzia[lł]{_WS}+[0-9]+[a-z]?)', chr(10) || '## \1', 'g'), '(?m)^(DZIA[LŁ]{_WS}+[IVX0-9]+)', chr(10) || '# \1', 'g')
+  ELSE md END AS md FROM j),
+c AS (SELECT page_id, source_type,
+    regexp_replace(regexp_replace(regexp_replace(regexp_replace(md, '\n{{4,}}', chr(10) || chr(10) || chr(10), 'g'),
+        '(?m) +$', '', 'g'), '(?m)^#{{1,6}}{_WS}*$', '', 'g'), '(?m)(^#{{1,6}} .+)\n{{3,}}', '\1' || chr(10) || chr(10), 'g') AS md FROM h)
+SELECT c.page_id, source_type, CASE WHEN trim(html) = '' THEN 'failed: blank document' ELSE 'ok' END AS status,
+       CASE WHEN trim(html) <> '' THEN regexp_replace(md, '^{_WS}+|{_WS}+$', '', 'g') || chr(10) END AS markdown
+FROM c JOIN pages p ON p.page_id = c.page_id
+"""
+
+
+@register("page_markdown", PAGE_MARKDOWN_SQL, bench=True)
 def page_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H8 dispatcher (X14 -> H3/H4/H5) + X16/X17 + X18 over every page."""
     return markup.to_markdown(_converted_pages(spark, sf_dir), "page_id")
 
 
+# --- fixed values: end tags that HTML lets out ---
+OPTIONAL_ENDS = "(?i)</(?:head|body|html|li|dt|dd|p|td|th|tr|thead|tbody|tfoot)>"
+
+
+def without_optional_ends(html):
+    """Markup in which every end tag that may be left out is left out."""
+    return F.regexp_replace(html, OPTIONAL_ENDS, "")
+
+
+@register("page_markdown_optional_ends", PAGE_MARKDOWN_SQL)
+def page_markdown_optional_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H3 to H5 over pages whose optional end tags (``</head>`` too) are left
+    out: the same Markdown as of the pages as landed."""
+    p = table(spark, sf_dir, "pages").withColumn("file_name", markup.url_file_name(F.col("url")))
+    conv = markup.convert_documents(p.withColumn("html", without_optional_ends(F.col("html"))), "page_id", "html", "file_name")
+    return markup.to_markdown(conv, "page_id")
+
+
 @register("page_blocks", _page_blocks_sql(True))
 def page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``blocks`` table of every page (comments kept, as the reference)."""
@@ -247,6 +285,13 @@ SELECT kind, count(*) AS n_blocks FROM kinds GROUP BY kind
 """
 
 
+@register("act_cellar_markdown_optional_ends", ACT_MARKDOWN_SQL)
+def act_cellar_markdown_optional_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H1/H2 over the same acts without any optional end tag."""
+    acts = standin_cellar_acts(spark, sf_dir).withColumn("html", without_optional_ends(F.col("html")))
+    return markup.to_markdown(markup.convert_documents(acts, "doc_id", "html", "file_name"), "doc_id")
+
+
 @register("act_cellar_block_kinds", ACT_BLOCK_KINDS_SQL)
 def act_cellar_block_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Blocks per kind over all structured acts (title/chapter/article/...)."""
@@ -289,6 +334,16 @@ def judgment_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return md.select("o_orderkey", T.first_title_line(F.col("markdown")).alias("title"), "markdown")
 
 
+@register("judgment_titles_optional_ends", JUDGMENT_TITLES_SQL)
+def judgment_titles_optional_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """H6 over judgment pages with an unclosed head and without optional end
+    tags."""
+    head = F.lit("<html><head><title>portal</title><meta name=x><body>")
+    html = F.concat(head, without_optional_ends(F.regexp_replace("html", "^<html><body>", "")))
+    md = markup.judgment_markdown(standin_judgments(spark, sf_dir).withColumn("html", html), "o_orderkey", "html")
+    return md.select("o_orderkey", T.first_title_line(F.col("markdown")).alias("title"), "markdown")
+
+
 def standin_detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ruling pages whose content element holds a document's lines."""
     body = F.array_join(F.transform(F.split("text", "\n"), lambda x: F.concat(F.lit("<p>"), _esc(x), F.lit("</p>"))), "")
@@ -309,9 +364,11 @@ def page_detail_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sql_page_blocks", _page_blocks_sql(False))
 def sql_page_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """D3: the blocks of every page through the SQL view ``html_blocks``
-    (comments dropped, the default)."""
-    from regcorpus.functions.sql import register_html_blocks
-    table(spark, sf_dir, "pages").withColumn("file_name", markup.url_file_name(F.col("url"))).createOrReplaceTempView("regcorpus_pages")
-    register_html_blocks(spark, "regcorpus_pages", "page_id", "html", "file_name")
-    return spark.sql("SELECT page_id, block_no, kind, text FROM html_blocks")
+    """D3: the blocks of every page through the SQL table function
+    ``html_blocks`` (comments dropped, the default)."""
+    from regcorpus.functions.sql import register_html_functions
+    register_html_functions(spark)
+    table(spark, sf_dir, "pages").createOrReplaceTempView("regcorpus_pages")
+    return spark.sql(r"""
+        SELECT p.page_id, b.block_no, b.kind, b.text
+        FROM regcorpus_pages p, LATERAL html_blocks(p.html, regexp_extract(p.url, '([^/?#]*)(?:[?#].*)?$', 1)) b""")

@@ -22,6 +22,7 @@ from regcorpus.operators import rules as R
 from regcorpus.plans.cases import (JUDGMENT_DOCUMENTS_SQL, JUDGMENT_RECORDS_SQL, _SIG_FIXED, _nat_hits_sql,
                                    standin_judgments, standin_national_rows)
 from regcorpus.plans.common import register, table
+from regcorpus.plans.documents import without_optional_ends
 from regcorpus.plans.links import standin_triples
 from regcorpus.plans.registers import _CLAIMS_ORACLE_CTE
 from regcorpus.sources import files
@@ -110,11 +111,15 @@ def harmonised_rulings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def judgment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Judgment record {markdown (H6), date (X10), title (X11), html,
     service flag (false: landed pages, no service call)} per judgment page."""
-    j = standin_judgments(spark, sf_dir)
-    md = markup.judgment_markdown(j, "o_orderkey", "html")
-    return (j.join(md, "o_orderkey").select(
-        "o_orderkey", "celex", "html", "markdown", X.document_date(F.col("html")).alias("date"),
-        T.first_title_line(F.col("markdown")).alias("title"), F.lit(False).alias("soap_used")))
+    return _judgment_records(standin_judgments(spark, sf_dir)).drop("given_title")
+
+
+def _judgment_records(judgments: DataFrame) -> DataFrame:
+    """P7 with the title that the catalogue gives; one pass, no join."""
+    kept = judgments.withColumnRenamed("title", "given_title").withColumn("page", F.col("html"))
+    md = markup.judgment_markdown(kept, "o_orderkey", "html", keep=("celex", "given_title", "page"))
+    return md.select("o_orderkey", "celex", F.col("page").alias("html"), "markdown", X.document_date(F.col("page")).alias("date"),
+                     T.first_title_line(F.col("markdown")).alias("title"), F.lit(False).alias("soap_used"), "given_title")
 
 
 # ------------------------------------------------------------------ F3 F4 F5 --
@@ -484,12 +489,19 @@ def result_page_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.national_hits(rows).select("keyword", "text_snippet", "signature", "date", "url")
 
 
+@register("result_page_hits_optional_ends", _S4_SQL)
+def result_page_hits_optional_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S4 over result pages without ``</td>``, ``</tr>`` and the like."""
+    pages = standin_result_pages(spark, sf_dir).withColumn("html", without_optional_ends(F.col("html")))
+    rows = markup.scan_result_pages(pages, ("keyword", "page_no"))
+    return records.national_hits(rows).select("keyword", "text_snippet", "signature", "date", "url")
+
+
 @register("judgment_documents_written", JUDGMENT_DOCUMENTS_SQL)
 def judgment_documents_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: judgment files (X7 name, X12 front matter + body) written to the
     shared folder and read back."""
-    j = judgment_records(spark, sf_dir).join(standin_judgments(spark, sf_dir).select("o_orderkey", "title")
-                                             .withColumnRenamed("title", "given_title"), "o_orderkey")
+    j = _judgment_records(standin_judgments(spark, sf_dir))
     docs = sinks.judgment_documents(j.withColumn("title", F.coalesce("given_title", "title")))
     out = new_run_dir(spark, "judgments")
     docs.write.parquet(out)
