@@ -153,7 +153,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     # one group holds a source's distinct sizes, not its documents
     cells = written(rates.groupBy("source").applyInArrow(plan, "source string, size bigint, base bigint, extra bigint"), "cells")
-    slot = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(SLOTS))
+    slot = F.pmod(F.xxhash64(*KEY, F.lit(5)), F.lit(SLOTS))
     slots = rows.withColumn("slot", slot)
     per_slot = slots.groupBy("source", "size", "slot").agg(F.count("*").alias("m"))
     offset = per_slot.withColumn("before", F.sum("m").over(Window.partitionBy("source", "size").orderBy("slot")) - F.col("m"))
@@ -161,7 +161,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     todo = o.join(c, o.os.eqNullSafe(c.cs) & (o.oz == c.cz)) \
         .select("os", "oz", "ot", "base", F.greatest(F.lit(0), F.least(F.col("m"), F.col("extra") - F.col("before"))).alias("here"), "m")
     todo = written(todo, "slots")
-    rank = F.row_number().over(Window.partitionBy("source", "size", "slot").orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id"))
+    rank = F.row_number().over(Window.partitionBy("source", "size", "slot").orderBy(*KEY))
     j = slots.join(todo, slots.source.eqNullSafe(todo.os) & (slots.size == todo.oz) & (slots.slot == todo.ot), "left")
     # only slots that are split need an order
     part = j.filter("here > 0 and here < m").withColumn("k", rank).withColumn("copies", F.col("base") + (F.col("k") <= F.col("here")).cast("bigint"))

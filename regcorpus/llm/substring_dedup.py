@@ -16,8 +16,9 @@ windows only need comparing inside the bucket of their minimiser.
    split: its windows are counted by an aggregation on the window itself.
 4. Marks return to the documents as covered word ranges.
 
-Rows are identified by a 64-bit hash of id and text, and packed strings on the
-way back by minimiser and string hash (128 bits); windows are compared as words.
+Rows are named by 128 bits of id and text (``rows.keys``), and packed strings on
+the way back by minimiser and string hash (128 bits); windows are compared as
+words.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
+from regcorpus.llm.rows import keys
 from regcorpus.llm.store import written
 
 WINDOW, SUB, CROWD = 35, 16, 1000
@@ -57,32 +59,33 @@ def _super_kmers(words: np.ndarray, first: np.ndarray, window: int, sub: int):
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return base.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
+    k, k2 = keys("doc_id", "text")
+    return base.select("doc_id", "text", k.alias("k"), k2.alias("k2"))
 
 
 def _minimisers(rows: DataFrame, window: int, sub: int) -> DataFrame:
     def run(batches):
         hasher = tv.WordHasher()
         for b in batches:
-            keys = b.column(0).to_numpy()
-            for i, j, buf, offs in tv.groups(b.column(1)):
+            k, k2 = b.column(0).to_numpy(), b.column(1).to_numpy()
+            for i, j, buf, offs in tv.groups(b.column(2)):
                 starts, ends, first = tv.word_spans(buf, offs)
                 bucket, at, _ = _super_kmers(hasher(buf, starts, ends), first, window, sub)
                 text = np.searchsorted(first, at, "right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(keys[i:j][text]),
-                                                  pa.array((at - first[text]).astype(np.int32))], ["bucket", "k", "at"])
-    return rows.select("k", "text").mapInArrow(run, "bucket bigint, k bigint, at int")
+                yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(k[i:j][text]), pa.array(k2[i:j][text]),
+                                                  pa.array((at - first[text]).astype(np.int32))], ["bucket", "k", "k2", "at"])
+    return rows.select("k", "k2", "text").mapInArrow(run, "bucket bigint, k bigint, k2 bigint, at int")
 
 
 def _packed(rows: DataFrame, window: int, sub: int) -> DataFrame:
-    """Super-k-mers not struck off, as ``bucket, packed, k, at, n``; one more
+    """Super-k-mers not struck off, as ``bucket, packed, k, k2, at, n``; one more
     row per text that has any holds the text itself (``at`` = -1)."""
     def run(batches):
         hasher = tv.WordHasher()
         for b in batches:
-            keys, alone = b.column(0).to_numpy(), b.column(2)
-            out, size = ([], [], [], [], []), 0
-            for i, j, buf, offs in tv.groups(b.column(1)):
+            k, k2, alone = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(3)
+            out, size = ([], [], [], [], [], []), 0
+            for i, j, buf, offs in tv.groups(b.column(2)):
                 starts, ends, first = tv.word_spans(buf, offs)
                 bucket, at, n = _super_kmers(hasher(buf, starts, ends), first, window, sub)
                 cut = np.searchsorted(at, first)
@@ -96,22 +99,22 @@ def _packed(rows: DataFrame, window: int, sub: int) -> DataFrame:
                         continue
                     for x in keep + cut[t]:
                         piece = b" ".join(raw[starts[at[x]]:ends[at[x] + n[x] + window - 2]].split()).decode()
-                        for c, v in zip(out, (int(bucket[x].view(np.int64)), piece, int(keys[i + t]), int(at[x] - first[t]), int(n[x])), strict=True):
+                        for c, v in zip(out, (int(bucket[x].view(np.int64)), piece, k[i + t], k2[i + t], int(at[x] - first[t]), int(n[x])), strict=True):
                             c.append(v)
                         size += len(piece)
-                    for c, v in zip(out, (None, raw[offs[t]:offs[t + 1]].decode(), int(keys[i + t]), -1, 0), strict=True):
+                    for c, v in zip(out, (None, raw[offs[t]:offs[t + 1]].decode(), k[i + t], k2[i + t], -1, 0), strict=True):
                         c.append(v)
                     size += int(offs[t + 1] - offs[t])
                     if size > 8 << 20:
                         yield _rows(out)
-                        out, size = ([], [], [], [], []), 0
+                        out, size = ([], [], [], [], [], []), 0
             yield _rows(out)
-    return rows.select("k", "text", "alone").mapInArrow(run, "bucket bigint, packed string, k bigint, at int, n int")
+    return rows.select("k", "k2", "text", "alone").mapInArrow(run, "bucket bigint, packed string, k bigint, k2 bigint, at int, n int")
 
 
 def _rows(out):
-    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int32())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["bucket", "packed", "k", "at", "n"])
+    kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds, strict=True)], ["bucket", "packed", "k", "k2", "at", "n"])
 
 
 def bucket_marks(strings: list[str], times: list[int], window: int) -> list[int]:
@@ -176,34 +179,35 @@ def _crowded(strings: DataFrame, window: int) -> DataFrame:
 
 
 def _covered(marks: DataFrame, window: int) -> DataFrame:
-    """``k, spans``: disjoint covered word ranges ``[start, end)`` per text."""
+    """``k, k2, spans``: disjoint covered word ranges ``[start, end)`` per text."""
     def run(batches):
         for b in batches:
             out = []
-            for hits in b.column(1):
+            for hits in b.column(2):
                 at, mask = (np.asarray(hits.values.field(i)) for i in range(2))
                 wins = np.sort(np.concatenate([at[(mask >> np.int64(i)) & 1 == 1] + i for i in range(window)]))
                 cut = np.flatnonzero(np.diff(wins) > window) + 1
                 out.append([{"start": int(p[0]), "end": int(p[-1]) + window} for p in np.split(wins, cut)])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["k", "spans"])
-    rows = marks.groupBy("k").agg(F.collect_set(F.struct(F.col("at").cast("bigint").alias("at"), "mask")).alias("hits"))
-    return rows.mapInArrow(run, "k bigint, spans array<struct<start:bigint,end:bigint>>")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
+                                             ["k", "k2", "spans"])
+    rows = marks.groupBy("k", "k2").agg(F.collect_set(F.struct(F.col("at").cast("bigint").alias("at"), "mask")).alias("hits"))
+    return rows.mapInArrow(run, "k bigint, k2 bigint, spans array<struct<start:bigint,end:bigint>>")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
                    sub: int = SUB, crowd: int = CROWD) -> tuple[DataFrame, DataFrame]:
-    """Covered word ranges of every text that has any, ``(k, spans)``, and the
-    texts that could have some, ``(k, text)``.
+    """Covered word ranges of every text that has any, ``(k, k2, spans)``, and
+    the texts that could have some, ``(k, k2, text)``.
 
-    ``k`` is ``xxhash64(id, text)``.  Windows are compared across and within
+    ``k`` and ``k2`` are ``rows.keys``.  Windows are compared across and within
     rows; rows that repeat cover each other.  Null or empty texts and texts
     under ``window`` words have no windows.  At most 64 windows share a
     super-k-mer, so ``window - sub`` must stay below 64."""
     keyed = _keyed(docs, id_col, text_col)
     once = _minimisers(keyed, window, sub).groupBy("bucket") \
-        .agg(F.count("*").alias("c"), F.min("k").alias("k"), F.min("at").alias("at")).filter("c = 1")
-    alone = once.groupBy("k").agg(F.collect_list("at").alias("alone"))
-    occ = written(_packed(keyed.select("k", "text").join(alone, "k", "left"), window, sub), "packed")
+        .agg(F.count("*").alias("c"), F.min("k").alias("k"), F.min("k2").alias("k2"), F.min("at").alias("at")).filter("c = 1")
+    alone = once.groupBy("k", "k2").agg(F.collect_list("at").alias("alone"))
+    occ = written(_packed(keyed.select("k", "k2", "text").join(alone, ["k", "k2"], "left"), window, sub), "packed")
     found = occ.filter("at >= 0").withColumn("sig", F.xxhash64("packed"))
     crowds = written(found.select("bucket", "sig").distinct().groupBy("bucket").count().filter(F.col("count") > crowd)
                      .select("bucket"), "crowds")
@@ -213,17 +217,17 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     else:
         marks = _cold(strings.join(crowds, "bucket", "left_anti"), window) \
             .union(_crowded(strings.join(crowds, "bucket", "left_semi"), window))
-    hits = found.select("bucket", "sig", "k", "at").join(written(marks, "marks"), ["bucket", "sig"])
-    return _covered(hits, window), occ.filter("at = -1").select("k", F.col("packed").alias("text")).dropDuplicates(["k"])
+    hits = found.select("bucket", "sig", "k", "k2", "at").join(written(marks, "marks"), ["bucket", "sig"])
+    return _covered(hits, window), occ.filter("at = -1").select("k", "k2", F.col("packed").alias("text")).dropDuplicates(["k", "k2"])
 
 
 def kept_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """``k, n_removed, kept`` of texts with covered ranges: the other words,
+    """``k, k2, n_removed, kept`` of texts with covered ranges: the other words,
     joined by one space."""
     def run(batches):
         for b in batches:
             removed, kept = [], []
-            for text, cut in zip(b.column(1), b.column(2), strict=True):
+            for text, cut in zip(b.column(2), b.column(3), strict=True):
                 words = text.as_py().encode().split()
                 out, at, gone = [], 0, 0
                 for s in cut.as_py():
@@ -233,22 +237,22 @@ def kept_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 out.extend(words[at:])
                 removed.append(gone)
                 kept.append(b" ".join(out).decode())
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["k", "n_removed", "kept"])
-    return texts.join(spans, "k").select("k", "text", "spans").mapInArrow(run, "k bigint, n_removed bigint, kept string")
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["k", "k2", "n_removed", "kept"])
+    return texts.join(spans, ["k", "k2"]).select("k", "k2", "text", "spans").mapInArrow(run, "k bigint, k2 bigint, n_removed bigint, kept string")
 
 
 def _word_digests(keyed: DataFrame) -> DataFrame:
-    """``doc_id, k, n_words, all_sha256`` of every row."""
+    """``doc_id, k, k2, n_words, all_sha256`` of every row."""
     def run(batches):
         for b in batches:
             n, sha = [], []
-            for text in b.column(2):
+            for text in b.column(3):
                 words = text.as_py().encode().split()
                 n.append(len(words))
                 sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(sha, pa.string())],
-                                             ["doc_id", "k", "n_words", "all_sha256"])
-    return keyed.select("doc_id", "k", "text").mapInArrow(run, "doc_id bigint, k bigint, n_words bigint, all_sha256 string")
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(sha, pa.string())],
+                                             ["doc_id", "k", "k2", "n_words", "all_sha256"])
+    return keyed.select("doc_id", "k", "k2", "text").mapInArrow(run, "doc_id bigint, k bigint, k2 bigint, n_words bigint, all_sha256 string")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -259,7 +263,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     input.  A text without words keeps the empty string.  Extra columns are not
     read; an empty table gives no rows."""
     spans, texts = repeated_spans(docs, id_col, text_col, window, sub, crowd)
-    cut = kept_texts(texts, spans).select("k", "n_removed", F.sha2("kept", 256).alias("cut_sha256"))
-    return _word_digests(_keyed(docs, id_col, text_col)).join(cut, "k", "left").select(
+    cut = kept_texts(texts, spans).select("k", "k2", "n_removed", F.sha2("kept", 256).alias("cut_sha256"))
+    return _word_digests(_keyed(docs, id_col, text_col)).join(cut, ["k", "k2"], "left").select(
         "doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("cut_sha256", "all_sha256").alias("kept_sha256"))

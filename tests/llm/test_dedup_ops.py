@@ -130,3 +130,11 @@ def test_rows_are_picked_once_and_repeated(docs):
     assert rows.pick(docs, k.filter("doc_id = 7"), "doc_id", "text").count() == 1
     twice = rows.repeat(docs, k.filter("doc_id = 3").withColumn("copies", F.lit(2)), "doc_id", "text")
     assert [r.doc_id for r in twice.collect()] == [3, 3] and twice.schema == docs.schema
+
+
+def test_substring_rows_with_equal_first_keys(spark, docs, monkeypatch):
+    """Rows are told apart by both keys."""
+    real = substring_dedup.keys
+    monkeypatch.setattr(substring_dedup, "keys", lambda i, t: [(real(i, t)[0].bitwiseAND(F.lit(1))).alias("k1"), real(i, t)[1]])
+    got = substring_dedup.substring_dedup(docs, window=5, sub=2).collect()
+    assert brute.order(map(tuple, got)) == brute.order(brute.substrings(brute.edge_rows(), 5))

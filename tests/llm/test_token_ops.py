@@ -207,3 +207,14 @@ def test_entry_registers_every_operator():
     for n in range(1, 11):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names and set(queries.QUERIES) <= set(names)
+
+
+def test_mixed_rows_do_not_follow_row_order(spark):
+    """Null and shared ids of one source and size; rows in two orders."""
+    rows = [(None if i % 2 else i // 8, " ".join(f"w{i}x{k}" for k in range(5)), "s" if i % 3 else None) for i in range(300)]
+    rows += [(None, "a b c d e", "s")] * 6
+    got = []
+    for data, parts in ((rows, 2), (rows[::-1], 7)):
+        df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(parts)
+        got.append(sorted(map(repr, mixing.mixed(df, weights=(1, 1)).collect())))
+    assert got[0] == got[1] and 0 < len(set(got[0])) < len(got[0])
