@@ -174,6 +174,11 @@ def consolidated_celex(celex: Column, consolidation_date: Column) -> Column:
                     F.date_format(consolidation_date, "yyyyMMdd"))
 
 
+def act_url(celex: Column, language: str = "PL") -> Column:
+    """Address of an act's text, consolidated or not."""
+    return F.concat(F.lit(f"https://eur-lex.europa.eu/legal-content/{language}/TXT/?uri=CELEX:"), celex)
+
+
 # --- X19: decimals with units ------------------------------------------------
 def parse_amount(text: Column) -> Column:
     """``"3,0 mg/kg"`` -> struct(value DECIMAL(18,6), unit, value_mg_per_kg)."""

@@ -3,9 +3,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from regcorpus.functions import extract as X
 from regcorpus.operators.joins import small_dim
 
 # --- fixed values: administrative court divisions (code, seat) -------------
@@ -21,9 +22,6 @@ def court_division(hits: DataFrame, spark: SparkSession, sig_col: str = "signatu
     code = F.nullif(F.regexp_extract(F.col(sig_col), r"SA/(\w+)", 1), F.lit(""))
     return hits.withColumn("division", code).join(dim, "division", "left")
 
-from pyspark.sql import Window  # noqa: E402
-
-from regcorpus.functions import extract as X  # noqa: E402
 
 # --- fixed values: citation abbreviations (abbreviation, expansion) ---------
 ABBREVIATIONS = [
@@ -61,28 +59,51 @@ CITATION_FAMILIES = [
 # ---------------------------------------------------------------------------
 
 
-def triple_objects(triples: DataFrame, predicate: str, s: str, o: str) -> DataFrame:
-    """One predicate of a (subject, predicate, object) table as a 2-column edge."""
-    return triples.filter(F.col("predicate") == predicate).select(
-        F.col("subject").alias(s), F.col("object").alias(o))
-
-
-def work_titles(triples: DataFrame, language: str, celex_p: str = "celex", date_p: str = "date",
-                belongs_p: str = "belongs_to", lang_p: str = "language",
-                title_p: str = "title") -> DataFrame:
-    """Celex -> work, work -> date, expression -> work, expression ->
-    language, expression -> title; DISTINCT, then one row per celex (the
-    query's LIMIT 1 made deterministic: smallest title, then date).  Equi
-    self-joins of the triple table on filtered predicates; a work without a
-    date does not match the pattern."""
-    celex = triple_objects(triples, celex_p, "work", "celex")
-    date = triple_objects(triples, date_p, "work", "date")
-    expr = triple_objects(triples, belongs_p, "expr", "work")
-    lang = triple_objects(triples, lang_p, "expr", "lang").filter(F.col("lang") == language)
-    title = triple_objects(triples, title_p, "expr", "title")
-    e = expr.join(lang, "expr").join(title, "expr")
-    rows = celex.join(date, "work").join(e, "work").select("celex", "title", "date").distinct()
-    return rows.groupBy("celex").agg(F.min(F.struct("title", "date")).alias("_r")).select("celex", "_r.*")
+def entities(triples: DataFrame, predicates: list) -> DataFrame:
+    """``(subject, po)``: each subject's distinct ``(predicate, object)`` pairs
+    of the given predicates.  One scan and one exchange of the triples; every
+    branch of a pattern reads this table."""
+    # the joins ask for subjects that are not null; asked here, all branches share one exchange
+    return triples.filter(F.col("predicate").isin(predicates) & F.col("subject").isNotNull()).groupBy("subject") \
+        .agg(F.collect_set(F.struct("predicate", "object")).alias("po"))
+
+
+def objects(predicate: str) -> Column:
+    """The objects of one predicate of an entity."""
+    return F.transform(F.filter("po", lambda x: x["predicate"] == predicate), lambda x: x["object"])
+
+
+def work_pattern(triples: DataFrame, language: str, file_type: str | None = None, celex_p: str = "celex", date_p: str = "date",
+                 belongs_p: str = "belongs_to", lang_p: str = "language", title_p: str = "title",
+                 manifests_p: str = "manifests", type_p: str = "file_type") -> DataFrame:
+    """The pattern celex -> work, work -> date, expression -> work,
+    expression -> language and title, and with ``file_type`` OPTIONAL
+    manifestation -> expression of that type: all matches ``(celex, date,
+    expression, title, manifestation)``, distinct.
+
+    A work without a date does not match; an expression without such a
+    manifestation matches with NULL.  Conditional sets per subject, then one
+    join per edge of the pattern."""
+    optional = [manifests_p, type_p] if file_type else []
+    e = entities(triples, [celex_p, date_p, belongs_p, lang_p, title_p, *optional])
+    works = e.select(F.col("subject").alias("work"), F.explode(objects(celex_p)).alias("celex"), objects(date_p).alias("d")) \
+        .select("work", "celex", F.explode("d").alias("date"))
+    spoken = e.filter(F.exists("po", lambda x: (x["predicate"] == lang_p) & (x["object"] == language)))
+    exprs = spoken.select(F.col("subject").alias("expression"), F.explode(objects(belongs_p)).alias("work"), objects(title_p).alias("t")) \
+        .select("expression", "work", F.explode("t").alias("title"))
+    rows = works.join(exprs, "work")
+    if not file_type:
+        return rows.select("celex", "date", "expression", "title", F.lit(None).cast("string").alias("manifestation")).distinct()
+    typed = e.filter(F.exists("po", lambda x: (x["predicate"] == type_p) & (x["object"] == file_type)))
+    files = typed.select(F.col("subject").alias("manifestation"), F.explode(objects(manifests_p)).alias("expression"))
+    return rows.join(files, "expression", "left").select("celex", "date", "expression", "title", "manifestation").distinct()
+
+
+def work_titles(triples: DataFrame, language: str, **predicates: str) -> DataFrame:
+    """J5 with LIMIT 1 made deterministic: per celex the smallest title, then
+    date, of the pattern's matches."""
+    rows = work_pattern(triples, language, **predicates).select("celex", F.struct("title", "date").alias("r"))
+    return rows.groupBy("celex").agg(F.min("r").alias("r")).select("celex", "r.*")
 
 
 def reconcile(index: DataFrame, files: DataFrame, key: str) -> DataFrame:
@@ -147,6 +168,34 @@ def missing_parts(df: DataFrame, kind: str, text_col: str, keep=()) -> DataFrame
     return df.select(*keep, F.explode(F.array_compact(gaps)).alias("part"))
 
 
+# H9: the sections of a case file by collection, in order (fixed values)
+SECTION_SETS = {
+    "nsa": ("Teza", "Stan faktyczny", "Uzasadnienie", "Znaczenie dla praktyki prawa zywnosciowego", "Powolane przepisy", "Cytowanie"),
+    "wsa": ("Teza", "Stan faktyczny", "Uzasadnienie", "Znaczenie dla praktyki prawa zywnosciowego", "Powolane przepisy", "Cytowanie"),
+    "tsue": ("Teza", "Stan faktyczny i pytania prejudycjalne", "Rozstrzygniecie", "Uzasadnienie", "Znaczenie dla prawa zywnosciowego",
+             "Powolane przepisy", "Cytowanie"),
+    "gis": ("Przedmiot sprawy", "Ustalenia", "Rozstrzygniecie", "Uzasadnienie", "Znaczenie praktyczne", "Podstawa prawna", "Cytowanie"),
+}
+
+
+def section_check(files: DataFrame, kind_col: str, text_col: str, keep=()) -> DataFrame:
+    """H9: the ``##`` sections of every file against the set of its collection:
+    ``(keep..., kind, n_sections, missing, unexpected, repeated, in_order)``.
+
+    Relational division inside the row: what the set has and the file lacks, and
+    the reverse; ``in_order`` compares the sections both have, in either order
+    of listing.  Unknown collections have an empty set; a null text has no
+    sections."""
+    required = F.coalesce(F.try_element_at(F.create_map(*[x for k, v in SECTION_SETS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]),
+                                           F.coalesce(F.col(kind_col), F.lit(""))), F.array().cast("array<string>"))
+    body = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), r"(?ms)^(```|~~~).*?^\1", "")
+    rows = files.select(*keep, F.col(kind_col).alias("kind"), required.alias("r"),
+                        F.transform(F.regexp_extract_all(body, F.lit(r"(?m)^##[ \t]+(.*?)[ \t#]*$"), F.lit(1)), F.trim).alias("s"))
+    own, other = F.array_distinct("s"), F.col("r")
+    return rows.select(*keep, "kind", F.size("s").alias("n_sections"), F.array_except(other, own).alias("missing"), F.array_except(own, other).alias("unexpected"),
+                       (F.size("s") > F.size(own)).alias("repeated"), (F.array_intersect(own, other) == F.array_intersect(other, own)).alias("in_order"))
+
+
 def resolve_acts(citations: DataFrame, acts: DataFrame, key: str = "celex") -> DataFrame:
     """Citations joined to the act table (left: unresolved keep NULLs)."""
     return citations.join(acts, key, "left")

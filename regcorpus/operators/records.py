@@ -180,6 +180,15 @@ def search_cases(hits: DataFrame, phrase: str, court: str = "all", text_col: str
     return out if court == "all" else out.filter(court_of_signature(F.col("signature")) == court)
 
 
+def search_cjeu_cases(hits: DataFrame, phrase: str, language: str | None = None, courts: tuple = ("C", "T", "F"),
+                      text_col: str = "text_snippet") -> DataFrame:
+    """F4 (CJEU portal): hits whose text contains the phrase, in one language
+    and of the given courts (Court, General Court, Civil Service Tribunal: the
+    letter of the case number); hits without a case number have no court."""
+    out = hits.filter(F.lower(F.col(text_col)).contains(phrase.lower()) & F.substring("case_number", 1, 1).isin(*courts))
+    return out if language is None else out.filter(F.col("language") == language)
+
+
 def expert_filter(docs: DataFrame, celex: str | None = None, content_type: int | None = None,
                   directory: str | None = None) -> DataFrame:
     """by document number, or by content type AND directory code."""

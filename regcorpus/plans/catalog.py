@@ -10,6 +10,7 @@ from regcorpus.plans import links  # noqa: F401
 from regcorpus.plans import rules  # noqa: F401
 from regcorpus.plans import landing  # noqa: F401
 from regcorpus.plans import extras  # noqa: F401
+from regcorpus.plans import structure  # noqa: F401
 
 
 def all_queries():

@@ -8,8 +8,12 @@ ordered table of lines (K7).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from regcorpus.functions import extract as X
 from regcorpus.functions.text import safe_name
@@ -34,6 +38,36 @@ def write_envelope(rows: DataFrame, path: str, fetched_at: str, total_name: str)
     return n
 
 
+def write_json_document(rows: DataFrame, path: str, order_cols: list, fetched_at: str, total_name: str, rows_name: str = "rows") -> int:
+    """K1 as one document: text files whose concatenation in name order is
+    ``{"fetched_at": ..., total_name: n, rows_name: [...]}``, one row a line in
+    the order of ``order_cols``.  Returns the number of rows.
+
+    The rows are sorted by range and written once with their running numbers;
+    the first one's number and their count give the header and the commas, so
+    no task holds more than its range.  No rows give an empty list."""
+    spark = rows.sparkSession
+    own = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]), {"ignoreNullFields": "false"})
+    rows.orderBy(*order_cols).select(own.alias("line")).withColumn("no", F.monotonically_increasing_id()).write.parquet(f"{path}/staged")
+    staged = spark.read.parquet(f"{path}/staged")
+    low, n = staged.agg(F.min("no"), F.count("*")).first()
+    head = json.dumps({"fetched_at": fetched_at, total_name: n})[:-1] + f", {json.dumps(rows_name)}: ["
+    ends = spark.createDataFrame([(0, 0, head), (2, 0, "]}")], "part int, no long, line string")
+    body = staged.select(F.lit(1).alias("part"), "no", F.when(F.col("no") == (low or 0), F.col("line")).otherwise(F.concat(F.lit(","), F.col("line"))).alias("line"))
+    ends.unionByName(body).orderBy("part", "no").select("line").write.text(f"{path}/document")
+    return n
+
+
+def read_json_document(spark: SparkSession, path: str, schema, total_name: str) -> DataFrame:
+    """The rows of ``write_json_document``, each with the document's total."""
+    lines = spark.read.text(f"{path}/document")
+    head = lines.filter(F.col("value").startswith('{"fetched_at"')).first()
+    total = json.loads(head["value"] + "]}")[total_name]
+    rows = lines.filter(F.col("value").rlike(r"^,?\{") & ~F.col("value").startswith('{"fetched_at"'))
+    parsed = rows.select(F.from_json(F.regexp_replace("value", "^,", ""), schema).alias("r"))
+    return parsed.select("r.*", F.lit(total).cast("long").alias(total_name))
+
+
 def write_json_records(rows: DataFrame, path: str) -> None:
     """K2: the records as JSON (no envelope)."""
     rows.write.mode("overwrite").json(path)
@@ -61,8 +95,10 @@ def judgment_documents(j: DataFrame, language: str = "PL") -> DataFrame:
 
 
 def markdown_path(path_col: str = "path"):
-    """K5: the input path with its extension replaced by ``.md``."""
-    return F.regexp_replace(F.col(path_col), r"\.[^./]+$", ".md")
+    """K5: the input path with its extension replaced by ``.md`` (added where
+    there is none)."""
+    path = F.col(path_col)
+    return F.when(path.rlike(r"[^/]\.[^./]+$"), F.regexp_replace(path, r"\.[^./]+$", ".md")).otherwise(F.concat(path, F.lit(".md")))
 
 
 def flag_path_collisions(df: DataFrame, path_col: str = "path_md") -> DataFrame:
@@ -73,6 +109,102 @@ def flag_path_collisions(df: DataFrame, path_col: str = "path_md") -> DataFrame:
     return df.withColumn("path_collision", F.count("*").over(Window.partitionBy(path_col)) > 1)
 
 
+def mirrored_paths(df: DataFrame, path_col: str = "path", text_col: str = "markdown") -> DataFrame:
+    """K5: ``(path, markdown)`` with every input's target path.  Of inputs that
+    share one the first by name keeps it, the others keep their extension too
+    (``a.xml.md``), and a number where even that is taken."""
+    from pyspark.sql import Window
+    rows = df.select(F.col(path_col).alias("own"), F.col(text_col).alias("markdown")).withColumn("path", markdown_path("own"))
+    same = Window.partitionBy("path").orderBy("own")
+    k = F.row_number().over(same)
+    again = F.row_number().over(Window.partitionBy("path", "own").orderBy("own"))
+    rows = rows.withColumn("k", k).withColumn("again", again)
+    number = F.when(F.col("again") > 1, F.concat(F.lit("."), F.col("again").cast("string"))).otherwise("")
+    return rows.select(F.when(F.col("k") == 1, F.col("path")).otherwise(F.concat("own", number, F.lit(".md"))).alias("path"), "markdown")
+
+
+def write_mirrored(files: DataFrame, path: str) -> None:
+    """K5: one file per row at ``path/<path>``, through the data source
+    ``mirrored_files``: tasks write under a folder of their own, and the files
+    are moved to their places when all tasks are done; a failed job leaves
+    none."""
+    files.sparkSession.dataSource.register(MirroredFiles)
+    files.select("path", "markdown").write.format("mirrored_files").mode("append").save(path)
+
+
+def read_mirrored(spark: SparkSession, path: str, suffix: str = ".md") -> DataFrame:
+    """``(path, markdown)`` of the files under a folder, paths relative to it
+    (Spark's file scan passes over files without a byte)."""
+    root = "/" + path.split(":", 1)[-1].strip("/") + "/"
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*{suffix}").load(path)
+    name = F.try_url_decode(F.regexp_replace(F.regexp_replace("path", "^[a-z0-9]+:/*", "/"), r"\+", "%2B"))
+    return raw.select(F.substring_index(name, root, -1).alias("path"), F.decode("content", "UTF-8").alias("markdown"))
+
+
+class _Written(WriterCommitMessage):
+    def __init__(self, folder: str):
+        self.folder = folder
+
+
+class MirroredFiles(DataSource):
+    """Write side of ``mirrored_files``: rows ``(path, markdown)`` as files."""
+
+    @classmethod
+    def name(cls):
+        return "mirrored_files"
+
+    def schema(self):
+        return "path string, markdown string"
+
+    def writer(self, schema, overwrite):
+        return _MirroredWriter(self.options["path"])
+
+
+class _MirroredWriter(DataSourceWriter):
+    """Two phases: a task writes its files below ``_staged/<attempt>``, the
+    commit moves those of successful attempts, the abort removes the folder."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def _files(self):
+        from pyarrow import fs
+        return fs.FileSystem.from_uri(self.path if "://" in self.path or ":/" in self.path else "file://" + os.path.abspath(self.path))
+
+    def write(self, iterator):
+        import uuid
+        store, root = self._files()
+        folder = f"{root}/_staged/{uuid.uuid4().hex}"
+        store.create_dir(folder, recursive=True)
+        for row in iterator:
+            name = row[0].strip("/")
+            if ".." in name.split("/"):
+                raise ValueError(f"path leaves the folder: {name}")
+            store.create_dir(f"{folder}/{name}".rsplit("/", 1)[0], recursive=True)
+            with store.open_output_stream(f"{folder}/{name}") as out:
+                out.write((row[1] or "").encode())
+        return _Written(folder)
+
+    def commit(self, messages):
+        from pyarrow import fs
+        store, root = self._files()
+        for m in messages:
+            if m is None:
+                continue
+            for info in store.get_file_info(fs.FileSelector(m.folder, recursive=True)):
+                if info.is_file:
+                    target = f"{root}/{info.path.split(m.folder.strip('/') + '/', 1)[1]}"
+                    store.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                    store.move(info.path, target)
+        store.delete_dir(f"{root}/_staged")
+
+    def abort(self, messages):
+        from pyarrow import fs
+        store, root = self._files()
+        if store.get_file_info(f"{root}/_staged").type != fs.FileType.NotFound:
+            store.delete_dir(f"{root}/_staged")
+
+
 def write_bronze(df: DataFrame, path: str, partition_cols=()) -> None:
     """K6/K8: append raw content with its metadata columns (raw always kept)."""
     w = df.write.mode("append")

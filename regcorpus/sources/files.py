@@ -19,9 +19,18 @@ log = logging.getLogger(__name__)
 CONVERT_EXTENSIONS = ("html", "htm", "xml", "xhtml")
 VALIDATE_EXTENSIONS = ("md", "html", "json")
 SIDECAR_SUFFIX = ".meta.txt"
+# The food-law acts fetched by default
+SEED_ACTS = ("32002R0178", "32011R1169", "32006R1924", "32006R1925", "32015R2283", "32004R0852", "32004R0853", "32023R0915", "32013R0609",
+             "32005R0396", "32016R0127", "32016R0128", "32017R1798", "32008R1333", "32008R1334", "32008R1332", "32011R0010", "32004R1935",
+             "32003R2065", "32009R1107", "32006R1881")
 # ------------------------------------------------------------------------------
 
 
+def seed_acts(spark: SparkSession, numbers: tuple = SEED_ACTS) -> DataFrame:
+    """The acts to fetch as a table ``(celex)``."""
+    return spark.createDataFrame([(n,) for n in numbers], "celex string")
+
+
 def scan_landed(spark: SparkSession, path: str, extensions=CONVERT_EXTENSIONS, recursive: bool = True,
                 exclude_suffix: str = SIDECAR_SUFFIX) -> DataFrame:
     """S1 + U3: landed files by extension (brace glob), optionally recursive,
@@ -88,6 +97,40 @@ def read_triples(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema="subject string, predicate string, object string")
 
 
+TERM = r"<([^<>\"{}|^`\x00-\x20]*)>"
+BLANK = r"(_:[^\s<>\"]+)"
+NTRIPLE = (rf"^\s*(?:{TERM}|{BLANK})\s*{TERM}\s*(?:{TERM}|{BLANK}|" + r'"((?:[^"\\\n\r]|\\.)*+)"(?:@([A-Za-z]+(?:-[A-Za-z0-9]+)*)|\^\^' + TERM + r")?)\s*\.\s*(?:#.*)?$")
+# fixed values: letters after a backslash
+ESCAPES = {"t": "\t", "b": "\b", "n": "\n", "r": "\r", "f": "\f", '"': '"', "'": "'", "\\": "\\"}
+
+
+def unescaped(text):
+    """Backslash escapes of N-Triples resolved."""
+    names = F.create_map(*[F.lit(x) for kv in ESCAPES.items() for x in kv])
+
+    def value(p):
+        code = F.lpad(F.substring(p, 3, 8), 8, "0")
+        return F.when(~p.startswith("\\"), p).when(p.rlike(r"^\\[uU]"), F.decode(F.unhex(code), "UTF-32")) \
+            .otherwise(F.coalesce(F.try_element_at(names, F.substring(p, 2, 1)), p))
+    parts = F.regexp_extract_all(text, F.lit(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\.|[^\\]++"), F.lit(0))
+    return F.when(text.contains("\\"), F.array_join(F.transform(parts, value), "")).otherwise(text)
+
+
+def read_ntriples(spark: SparkSession, path: str) -> DataFrame:
+    """Landed N-Triples: ``(subject, predicate, object, kind, language,
+    datatype)``; ``kind`` is iri, blank or literal.  Comments and blank lines
+    are left out; a line that is no triple gives NULLs and ``kind`` bad."""
+    lines = spark.read.text(path).filter(~F.col("value").rlike(r"^\s*(?:#.*)?$"))
+    g = [F.regexp_extract("value", NTRIPLE, i) for i in range(1, 9)]
+    ok = F.col("value").rlike(NTRIPLE)
+    quoted = F.col("value").rlike(rf"^\s*(?:{TERM}|{BLANK})\s*{TERM}\s*\"")
+    iri = lambda a, b: unescaped(F.when(a != "", a).otherwise(b))
+    return lines.select(F.when(ok, iri(g[0], g[1])).alias("subject"), F.when(ok, unescaped(g[2])).alias("predicate"),
+                        F.when(ok, F.when(quoted, unescaped(g[5])).otherwise(iri(g[3], g[4]))).alias("object"),
+                        F.when(~ok, "bad").when(quoted, "literal").when(g[4] != "", "blank").otherwise("iri").alias("kind"),
+                        F.nullif(g[6], F.lit("")).alias("language"), F.nullif(unescaped(g[7]), F.lit("")).alias("datatype"))
+
+
 # --- S7 front matter -------------------------------------------------------------
 FRONT_MATTER = r"(?s)^---\n(.*?)\n---\n?(.*)$"
 
