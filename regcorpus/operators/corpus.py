@@ -232,36 +232,72 @@ def link_graph(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFram
 GRAM = 4
 
 
-def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text",
-                phrase_col: str = "phrase", id_col: str = "doc_id", gram: int = GRAM) -> DataFrame:
+def word_postings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """J9's index: ``(word, id)``, each document's distinct lower-case words
+    (stretches without white space)."""
+    words = F.array_distinct(F.split(F.lower(F.col(text_col)), r"\s+"))
+    # explode_outer: explode would push a copy of the array below the projection and build it twice
+    return docs.select(F.col(id_col).alias("id"), F.explode_outer(words).alias("word")).filter("word <> ''").select("word", "id")
+
+
+def append_postings(postings: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """A wave of postings appended to the kept index, a table in buckets by
+    word, sorted inside: a search reads it without shuffling it.  Waves hold
+    different documents; ``merge_postings`` rewrites many waves' files as one."""
+    writer = postings.repartition(buckets, "word").write.mode("append").bucketBy(buckets, "word").sortBy("word")
+    writer.option("path", path).format("parquet").saveAsTable(table)
+
+
+def merge_postings(spark: SparkSession, table: str, merged: str, path: str, buckets: int = 64) -> None:
+    """All waves of an index as a new one with one file per bucket; rows
+    that several waves hold are kept once."""
+    append_postings(spark.table(table).dropDuplicates(["word", "id"]), merged, path, buckets)
+
+
+def _grams(word: str, gram: int) -> Column:
+    """Distinct character grams of 1 to ``gram`` characters."""
+    ahead = F.lit(f"(?s)(?=(.{{{gram}}})).")
+    full = F.array_distinct(F.regexp_extract_all(F.concat(word, F.lit("\u0000" * (gram - 1))), ahead, F.lit(1)))
+    return F.get(F.transform(F.array(full), lambda g: F.concat(g, *[F.array_distinct(F.transform(g, lambda x: F.substring(x, 1, n)))  # noqa: B023
+                                                                    for n in range(1, gram)])), 0)
+
+
+def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text", phrase_col: str = "phrase", id_col: str = "doc_id",
+                gram: int = GRAM, postings: DataFrame | None = None) -> DataFrame:
     """(phrase, document) for every case-insensitive substring match; a
     document appears once per matching phrase (no de-duplication across
-    phrases); empty and null phrases match nothing.
-
-    Postings ``(gram, document)`` hold each document's distinct character grams
-    and their beginnings, without its text.  Every phrase is looked up by the
-    one of its grams (or itself, when shorter) that the fewest documents hold;
-    the candidates, gathered per document, are verified by one join back to the
-    texts."""
-    d = docs.select(F.col(id_col).alias("_id"), F.lower(F.col(text_col)).alias("_t")).filter("_t <> ''")
-    p = phrases.select(F.lower(F.col(phrase_col)).alias("_p")).filter("_p <> ''").distinct()
+    phrases); empty and null phrases, and those of white space alone, match
+    nothing.
+
+    A phrase without white space lies inside one word, so it is looked up in the
+    corpus's distinct words, by the one of its character grams that the fewest
+    words hold, and carried to the documents by the word postings: texts are not
+    read again.  Of other phrases the longest word is looked up this way, and
+    the documents found are verified by their text.  ``postings`` is a kept
+    index (``word_postings`` of the same documents)."""
+    held_words = word_postings(docs, text_col, id_col) if postings is None else postings
+    parts = F.filter(F.split("_p", r"\s+"), lambda w: w != "")
+    p = phrases.select(F.lower(F.col(phrase_col)).alias("_p")).distinct().withColumn("_parts", parts).filter("size(_parts) > 0")
+    p = p.select("_p", F.xxhash64("_p").alias("_k"), F.array_max(F.transform("_parts", lambda w: F.struct(F.length(w), w.alias("w"))))["w"].alias("_w"),
+                 F.col("_p").rlike(r"\s").alias("_many"))
     # every place looks ahead ``gram`` characters and moves on by one
-    ahead = F.lit(f"(?s)(?=(.{{{gram}}})).")
-    own = F.when(F.length("_p") <= gram, F.array("_p")).otherwise(F.array_distinct(F.regexp_extract_all("_p", ahead, F.lit(1))))
-    wanted = p.select("_p", F.explode(own).alias("_g"))
-    full = d.select("_id", F.array_distinct(F.regexp_extract_all(
-        F.concat("_t", F.lit("\u0000" * (gram - 1))), ahead, F.lit(1))).alias("_gs"))
-    starts = [F.array_distinct(F.expr(f"transform(_gs, g -> substring(g, 1, {n}))")) for n in range(1, gram)]
-    # explode_outer: explode would push a copy of the array below the projection and build it twice
-    postings = full.select("_id", F.explode_outer(F.concat("_gs", *starts)).alias("_g")).filter("_g is not null") \
-        .join(wanted.select("_g").distinct(), "_g", "left_semi")
-    held = postings.groupBy("_g").agg(F.count("*").alias("_df"))
-    rarest = wanted.join(held, "_g").groupBy("_p").agg(F.min(F.struct("_df", "_g")).alias("m"), F.count("*").alias("_n"))
-    # a phrase with a gram that no document holds is nowhere
-    whole = wanted.groupBy("_p").agg(F.count("*").alias("_n")).join(rarest, ["_p", "_n"]).select("_p", F.col("m._g").alias("_g"))
-    found = postings.join(whole, "_g").groupBy("_id").agg(F.collect_list("_p").alias("_ps"))
-    hits = d.join(found, "_id").select("_id", F.explode(F.filter("_ps", lambda x: F.col("_t").contains(x))).alias("_p"))
-    return hits.select(F.col("_p").alias(phrase_col), F.col("_id").alias(id_col))
+    own = F.when(F.length("_w") <= gram, F.array("_w")).otherwise(F.array_distinct(F.regexp_extract_all("_w", F.lit(f"(?s)(?=(.{{{gram}}})).") , F.lit(1))))
+    wanted = p.select("_k", "_w", F.explode(own).alias("_g"))
+    vocabulary = held_words.select("word").distinct()
+    in_words = vocabulary.select("word", F.explode_outer(_grams("word", gram)).alias("_g")).join(wanted.select("_g").distinct(), "_g", "left_semi")
+    often = in_words.groupBy("_g").agg(F.count("*").alias("_df"))
+    # a phrase with a gram that no word holds is nowhere
+    rarest = wanted.join(often, "_g", "left").groupBy("_k", "_w").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("_df"), "_g")).alias("m")) \
+        .filter("m._df > 0").select("_k", "_w", F.col("m._g").alias("_g"))
+    matched = in_words.join(rarest, "_g").filter(F.col("word").contains(F.col("_w"))).groupBy("word").agg(F.collect_list("_k").alias("_ks"))
+    found = held_words.join(matched, "word").groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("_ks"))).alias("_ks"))
+    hits = found.select("id", F.explode("_ks").alias("_k")).join(p.select("_k", "_p", "_many"), "_k")
+    alone = hits.filter("NOT _many").select(F.col("_p").alias(phrase_col), F.col("id").alias(id_col))
+    if p.filter("_many").isEmpty():
+        return alone
+    texts = docs.select(F.col(id_col).alias("id"), F.lower(F.col(text_col)).alias("_t"))
+    many = hits.filter("_many").join(texts, "id").filter(F.col("_t").contains(F.col("_p"))).select(F.col("_p").alias(phrase_col), F.col("id").alias(id_col))
+    return alone.unionByName(many)
 
 
 def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -280,14 +316,12 @@ def version_validity(versions: DataFrame, key: str, valid_from: str = "valid_fro
     (key, month) bucket ``lead`` gives the next version; the last version of
     a bucket takes the first ``valid_from`` of the key's next non-empty
     bucket, found by a window over the bucket table (one row per key and
-    month)."""
-    v = versions.withColumn("_b", _month(F.col(valid_from)))
+    month).  The buckets come from the same exchange as the versions."""
+    v = versions.withColumn("_b", _month(F.col(valid_from))).repartition(key, "_b")
     inner = Window.partitionBy(key, "_b").orderBy(valid_from)
-    v = v.withColumn("_next_in", F.lead(valid_from).over(inner))
     buckets = v.groupBy(key, "_b").agg(F.min(valid_from).alias("_first"))
-    buckets = buckets.withColumn("_next_b", F.lead("_first").over(Window.partitionBy(key).orderBy("_b"))) \
-        .drop("_first")
-    return (v.join(buckets, [key, "_b"])
+    buckets = buckets.withColumn("_next_b", F.lead("_first").over(Window.partitionBy(key).orderBy("_b"))).drop("_first")
+    return (v.withColumn("_next_in", F.lead(valid_from).over(inner)).join(buckets, [key, "_b"])
             .withColumn("valid_to", F.coalesce("_next_in", "_next_b"))
             .drop("_b", "_next_in", "_next_b"))
 
@@ -298,31 +332,35 @@ def _month(c):
 
 def as_of(samples: DataFrame, versions: DataFrame, key: str, date_col: str,
           valid_from: str = "valid_from", valid_to: str = "valid_to") -> DataFrame:
-    """Each sample joined to the version of its key valid on its date
-    (``valid_from <= d < valid_to``, open end = still valid); samples before
-    the first version keep NULLs.
-
-    Range join made equi-joins, with the sample side flowing through once:
-    closed version intervals are exploded into the calendar months they cover
-    and joined on (key, month) with the range as a residual predicate; the
-    open-ended version (at most one per key) is a second left join on the key
-    with ``d >= valid_from``.  A key holding a third of all samples is spread
-    over its months in the first join; the second join's version side has one
-    row per key (broadcast by AQE when small, skew-split otherwise)."""
+    """Each sample joined to the newest version of its key that began on
+    or before its date; NULLs before the first version, and where that version
+    has ended (``valid_to``, if the versions have it, on or before the date).
+    Samples without key or date have no version.
+
+    A merge of both sides: they are dealt out together by (key, month), and in a
+    bucket the last version seen is carried on in date order; the version that a
+    bucket starts with is the newest of the key's earlier buckets, from a window
+    over the bucket table (one row per key and month).  Each side is read and
+    moved once, and a hot key is spread over its months."""
     vcols = [c for c in versions.columns if c != key]
-    v = versions.select(key, *[F.col(c).alias(f"_v_{c}") for c in vcols])
-    vf, vt = f"_v_{valid_from}", f"_v_{valid_to}"
-    closed = (v.filter(F.col(vt).isNotNull())
-              .withColumn("_m", F.explode(F.sequence(_month(F.col(vf)), _month(F.date_sub(F.col(vt), 1))))))
-    open_ = v.filter(F.col(vt).isNull()).select(F.col(key).alias("_ok"),
-                                                *[F.col(f"_v_{c}").alias(f"_o_{c}") for c in vcols])
-    s = samples.withColumn("_m", _month(F.col(date_col)))
-    c_cond = ((s[key] == closed[key]) & (s["_m"] == closed["_m"])
-              & (F.col(date_col) >= F.col(vf)) & (F.col(date_col) < F.col(vt)))
-    j = s.join(closed, c_cond, "left").drop(closed[key]).drop(closed["_m"]).drop(s["_m"])
-    o_cond = (F.col(key) == F.col("_ok")) & (F.col(date_col) >= F.col(f"_o_{valid_from}"))
-    j = j.join(open_, o_cond, "left")
-    return j.select(*samples.columns, *[F.coalesce(F.col(f"_v_{c}"), F.col(f"_o_{c}")).alias(c) for c in vcols])
+    v = F.struct(F.col(valid_from).alias("_at"), *[F.col(c).alias(c) for c in vcols])
+    began = versions.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
+        F.col(key).alias("_k"), F.col(valid_from).alias("_d"), F.lit(0).alias("_side"), v.alias("_v"))
+    asked = samples.select(F.col(key).alias("_k"), F.col(date_col).alias("_d"), F.lit(1).alias("_side"), F.struct(*[F.col(c) for c in samples.columns]).alias("_s"))
+    both = began.unionByName(asked, allowMissingColumns=True).withColumn("_m", _month(F.col("_d")))
+    # samples without key or date match nothing: they are dealt by their values
+    lone = F.when(F.col("_k").isNull() | F.col("_d").isNull(), F.xxhash64("_s"))
+    dealt = both.withColumn("_lone", lone).repartition("_k", "_m", "_lone")
+    earlier = Window.partitionBy("_k").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
+    buckets = dealt.groupBy("_k", "_m", "_lone").agg(F.max("_v").alias("_last")).filter("_lone IS NULL").drop("_lone") \
+        .withColumn("_before", F.max("_last").over(earlier)).select(F.col("_k").alias("_bk"), F.col("_m").alias("_bm"), "_before")
+    so_far = Window.partitionBy("_k", "_m", "_lone").orderBy("_d", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    seen = dealt.withColumn("_own", F.max("_v").over(so_far)).filter("_side = 1")
+    j = seen.join(buckets, (F.col("_k") == F.col("_bk")) & (F.col("_m") == F.col("_bm")) & F.col("_lone").isNull(), "left")
+    found = j.withColumn("_f", F.when(F.col("_lone").isNull(), F.coalesce("_own", "_before")))
+    if valid_to in vcols:
+        found = found.withColumn("_f", F.when(F.col(f"_f.{valid_to}").isNull() | (F.col("_d") < F.col(f"_f.{valid_to}")), F.col("_f")))
+    return found.select(*[F.col(f"_s.{c}").alias(c) for c in samples.columns], *[F.col(f"_f.{c}").alias(c) for c in vcols])
 
 
 def latest_by(df: DataFrame, key: str, order_cols: list) -> DataFrame:

@@ -12,6 +12,7 @@ expression used inside a lambda would be evaluated for every element.
 
 from __future__ import annotations
 
+import re
 from html.entities import html5
 
 # --- fixed values: element names -----------------------------------------------
@@ -24,7 +25,7 @@ RAW = "script|style|noscript|template"
 # groups of elements whose ends may be left out, and elements that fence them in
 GROUPS = {"li": 1, "dt": 2, "dd": 2, "td": 4 | 128, "th": 4 | 128, "tr": 8, "thead": 16, "tbody": 16, "tfoot": 16, "p": 32,
           "ul": 64, "ol": 64, "menu": 64, "dl": 64, "caption": 128, "button": 128, "object": 128, "table": 256}
-LI, DT, CELL, ROW, SECTION, P, LIST, FENCE, TABLE = 1, 2, 4, 8, 16, 32, 64, 128, 256
+LI, DT, CELL, ROW, SECTION, P, LIST, FENCE, TABLE, BLOCK_BIT = 1, 2, 4, 8, 16, 32, 64, 128, 256, 512
 # start tag: groups it ends, elements it does not reach beyond
 ENDS = {"li": (LI | P, LIST | FENCE | TABLE), "dt": (DT | P, LIST | FENCE | TABLE), "dd": (DT | P, LIST | FENCE | TABLE),
         "td": (CELL, TABLE), "th": (CELL, TABLE), "tr": (ROW | CELL, TABLE), "thead": (SECTION | ROW | CELL, TABLE),
@@ -55,11 +56,16 @@ def among(value: str, names) -> str:
     return f"{value} IN ({', '.join(lit(n) for n in names)})"
 
 
-def _by_tag(tag: str, table: dict, default: int) -> str:
-    groups: dict[int, list[str]] = {}
-    for name, value in table.items():
-        groups.setdefault(value, []).append(name)
-    return "CASE " + " ".join(f"WHEN {among(tag, names)} THEN {value}" for value, names in groups.items()) + f" ELSE {default} END"
+def _tag_facts() -> str:
+    """A map of tag name -> groups, what a start tag ends, how far start and
+    end tags reach, and whether the element is void."""
+    facts = []
+    for tag in sorted({*BLOCK, *GROUPS, *ENDS, *VOID}):
+        own = GROUPS.get(tag, 0) | (BLOCK_BIT if tag in BLOCK else 0)
+        ends, stop = ENDS.get(tag, (P if tag in BLOCK else 0, FENCE | TABLE))
+        back = 0 if tag in THROUGH else TABLE if tag in IN_TABLE else LIST | FENCE | TABLE if tag == "li" else FENCE | TABLE
+        facts.append(f"{lit(tag)}, named_struct('own', {own}, 'ends', {ends}, 'stop', {stop}, 'back', {back}, 'void', {str(tag in VOID).lower()})")
+    return f"map({', '.join(facts)})"
 
 
 # --- texts -----------------------------------------------------------------------
@@ -126,19 +132,15 @@ def tags(toks: str, rule: str, mark: str = "0", need: str = "0", first: tuple[st
     marks that must be open around one for its rule to hold.  Of a rule in
     ``first`` only the document's first element counts.  ``every`` lets any tag
     be an element, else only block-level ones (and those with a rule) are."""
-    opens = f"tok NOT LIKE '</%' AND NOT {among('tag', VOID)} AND tok NOT LIKE '%/>'"
-    cls = "concat(' ', " + squeezed(f"coalesce({attribute('tok', 'class')}, '')") + ", ' ')"
-    group = _by_tag("tag", GROUPS, 0)
-    ends = _by_tag("tag", {t: e for t, (e, _) in ENDS.items()}, 0)
-    block = among("tag", BLOCK)
-    ends = f"CASE WHEN {among('tag', ENDS)} THEN {ends} WHEN {block} THEN {P} ELSE 0 END"
-    stop_open = f"CASE WHEN {among('tag', ENDS)} THEN {_by_tag('tag', {t: s for t, (_, s) in ENDS.items()}, 0)} ELSE {FENCE | TABLE} END"
-    stop_close = (f"CASE WHEN {among('tag', THROUGH)} THEN 0 WHEN {among('tag', IN_TABLE)} THEN {TABLE} "
-                  f"WHEN tag = 'li' THEN {LIST | FENCE | TABLE} ELSE {FENCE | TABLE} END")
-    made = (f"named_struct('i', i, 'open', o, 'tag', tag, 'own', {group}, 'ends', CASE WHEN tok LIKE '</%' THEN 0 ELSE {ends} END, "
-            f"'stop', CASE WHEN tok LIKE '</%' THEN {stop_close} ELSE {stop_open} END, "
+    opens = "tok NOT LIKE '</%' AND NOT coalesce(m.void, false) AND tok NOT LIKE '%/>'"
+    # most tags have no attribute
+    cls = "CASE WHEN o AND contains(tok, '=') THEN concat(' ', " + squeezed(f"coalesce({attribute('tok', 'class')}, '')") + ", ' ') ELSE '' END"
+    eid = f"CASE WHEN o AND contains(tok, '=') THEN coalesce({attribute('tok', 'id')}, '') ELSE '' END"
+    made = (f"named_struct('i', i, 'open', o, 'tag', tag, 'own', coalesce(m.own, 0), 'ends', CASE WHEN tok LIKE '</%' THEN 0 ELSE coalesce(m.ends, 0) END, "
+            f"'stop', coalesce(CASE WHEN tok LIKE '</%' THEN m.back ELSE m.stop END, {FENCE | TABLE}), "
             f"'rule', CASE WHEN o THEN {rule} END, 'mark', CASE WHEN o THEN {mark} ELSE 0 END, 'need', {need})")
-    made = let("o", opens, let("cls", f"CASE WHEN o THEN {cls} ELSE '' END", let("eid", f"CASE WHEN o THEN coalesce({attribute('tok', 'id')}, '') ELSE '' END", made)))
+    made = let("cls", cls, let("eid", eid, made) if re.search(r"\beid\b", rule + mark + need) else made)
+    made = let("m", f"try_element_at({_tag_facts()}, tag)", let("o", opens, made))
     one = let("tag", tag_name("tok"), f"CASE WHEN tag <> '' THEN {made} END")
     all_tags = f"array_compact(transform({toks}, (tok, i) -> CASE WHEN tok LIKE '<%' THEN {one} END))"
     if first:
@@ -152,7 +154,7 @@ def tags(toks: str, rule: str, mark: str = "0", need: str = "0", first: tuple[st
         return all_tags
     # tags of other names only where some element of that name has a rule or a mark
     named = "array_distinct(transform(filter(all, t -> t.rule IS NOT NULL OR t.mark <> 0), t -> t.tag))"
-    return let("all", all_tags, let("named", named, f"filter(all, t -> t.own <> 0 OR t.ends <> 0 OR {among('t.tag', BLOCK)} OR array_contains(named, t.tag))"))
+    return let("all", all_tags, let("named", named, "filter(all, t -> t.own <> 0 OR array_contains(named, t.tag))"))
 
 
 def elements(tag_array: str, size: str, free: tuple[str, ...] = ("root", "body"), choose: str | None = None, cuts: bool = False) -> str:
@@ -173,7 +175,7 @@ def elements(tag_array: str, size: str, free: tuple[str, ...] = ("root", "body")
     ended = "transform(filter(slice(a.stack, 1, k), e -> e.rule IS NOT NULL), e -> named_struct('start', e.start, 'end', t.i, 'rule', e.rule, 'row', e.row))"
     none = f"CAST(array() AS array<{ELEMENT}>)"
     cut = "array(named_struct('start', t.i, 'end', t.i + 1, 'rule', 'cut', 'row', CAST(NULL AS int)))"
-    done = f"concat(found, CASE WHEN {among('t.tag', BLOCK)} AND NOT {counted} THEN {cut} ELSE {none} END)" if cuts else "found"
+    done = f"concat(found, CASE WHEN t.own & {BLOCK_BIT} <> 0 AND NOT {counted} THEN {cut} ELSE {none} END)" if cuts else "found"
     # how many of the open elements end: up to the farthest of a group within the fence, or up to the tag's own
     fence = "array_position(transform(a.stack, e -> e.own & t.stop <> 0), true)"
     farthest = let("near", f"CASE WHEN t.stop = 0 THEN 0 ELSE {fence} END",

@@ -278,6 +278,16 @@ def standin_limit_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("measured"))
 
 
+@register("limit_versions", """
+WITH v AS (SELECT p_brand AS brand, DATE '2019-01-01' + CAST((p_partkey * 37) % 2190 AS INTEGER) AS valid_from,
+                  max(p_retailprice) AS limit_value FROM part GROUP BY 1, 2)
+SELECT *, lead(valid_from) OVER (PARTITION BY brand ORDER BY valid_from) AS valid_to FROM v
+""")
+def limit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every limit version with the end of its validity."""
+    return corpus.version_validity(standin_limit_versions(spark, sf_dir), "brand")
+
+
 @register("limit_as_of", """
 WITH v AS (SELECT p_brand AS brand, DATE '2019-01-01' + CAST((p_partkey * 37) % 2190 AS INTEGER) AS valid_from,
                   max(p_retailprice) AS limit_value FROM part GROUP BY 1, 2),
@@ -290,10 +300,9 @@ SELECT brand, count(*) AS n_samples, count(*) FILTER (WHERE limit_value IS NULL)
 FROM j GROUP BY brand
 """, bench=True)
 def limit_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W4 validity intervals + J12 as-of join of every sample to the limit in
-    force on its date; exceedances per brand."""
-    versions = corpus.version_validity(standin_limit_versions(spark, sf_dir), "brand")
-    j = corpus.as_of(standin_limit_samples(spark, sf_dir), versions, "brand", "sample_date")
+    """J12 as-of join of every sample to the limit in force on its date;
+    exceedances per brand."""
+    j = corpus.as_of(standin_limit_samples(spark, sf_dir), standin_limit_versions(spark, sf_dir), "brand", "sample_date")
     return j.groupBy("brand").agg(
         F.count("*").alias("n_samples"), F.count_if(F.col("limit_value").isNull()).alias("n_without_version"),
         F.count_if(F.col("measured") > F.col("limit_value")).alias("n_exceeding"))
