@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regcorpus.llm.store import in_batches
+
 # White space of the pattern below, as Unicode lists it (fixed values).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 MEMO, TABLE = 400_000, 400_000
@@ -299,7 +301,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
                     out, rows, size = [], [], 0
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"])
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id bigint, ids array<int>")
+        .transform(in_batches, run, "doc_id bigint, ids array<int>")
 
 
 def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -312,7 +314,7 @@ def decode_documents(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                 part = b.slice(at, 64)
                 texts = ["".join(decode_stream(ids.as_py() or [], vocab)) for ids in part.column(1)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return encoded.select("doc_id", "ids").transform(in_batches, run, "doc_id bigint, text string")
 
 
 def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id",
@@ -343,4 +345,4 @@ def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: s
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        .transform(in_batches, run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regcorpus.llm.store import in_batches
+
 PATH_DIMS, WORD_DIMS, HIDDEN = 32, 32, 16
 INPUT = PATH_DIMS + WORD_DIMS + 5
 SAMPLE, MAX_HTML, MAX_BLOCKS, STEPS = 150, 200_000, 150, 1 << 15
@@ -371,4 +373,4 @@ def extract(pages: DataFrame, labeller: Labeller, id_col: str = "page_id", url_c
                                                   pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
     return pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.col(html_col).cast("string").alias("html")) \
-        .mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+        .transform(in_batches, run, "page_id bigint, url string, text string, n_chars bigint")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from regcorpus.llm.bitmap import index, ranked, same
-from regcorpus.llm.store import written
+from regcorpus.llm.store import in_batches, written
 
 FANOUT, LEVELS = 16, 3
 PAGE_BITS = 12                       # FANOUT ** LEVELS slots
@@ -103,7 +103,7 @@ def _page_nodes(pages: DataFrame) -> DataFrame:
             n = [-(-x // FANOUT ** LEVELS) for x in b.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()),
                                               pa.array([bytes.fromhex(t.decode()) for t in top], pa.binary())], ["tree", "place", "n", "node"])
-    return pages.select("tree", "page", "n", "nodes").mapInArrow(run, "tree string, place bigint, n bigint, node binary")
+    return pages.select("tree", "page", "n", "nodes").transform(in_batches, run, "tree string, place bigint, n bigint, node binary")
 
 
 def _pages(slots: DataFrame, extra: list[str], label: str) -> DataFrame:
@@ -141,7 +141,7 @@ def _paths(pages: DataFrame, above: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([tree] * len(slots), pa.string()), pa.array([(page << PAGE_BITS) + s for s in slots], pa.int64()),
                          pa.array(paths, PATH)], ["tree", "place", "path"])
-    return _under(pages, above).select("tree", "page", "n", "nodes", "path").mapInArrow(run, PATHS)
+    return _under(pages, above).select("tree", "page", "n", "nodes", "path").transform(in_batches, run, PATHS)
 
 
 def _under(pages: DataFrame, above: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def _proved(pages: DataFrame, above: DataFrame) -> DataFrame:
                     out.append((r["tree"], r["id"][s], node.decode(), r["subroot"], r["root"], proof, roots[top]))
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == 1 else pa.string()) for i, c in enumerate(zip(*out, strict=True))],
                                                  ["tree", "id", "leaf", "subroot", "root", "proof_sha256", "folded_root"])
-    return _under(pages, above).mapInArrow(run, "tree string, id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string")
+    return _under(pages, above).transform(in_batches, run, "tree string, id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string")
 
 
 def manifest(leaves: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
 from regcorpus.llm.rows import KEY, keys, repeat
-from regcorpus.llm.store import written
+from regcorpus.llm.store import in_batches, written
 
 SLOTS = 4096
 ITERATIONS = 200  # more than halving the whole bracket takes
@@ -43,7 +43,7 @@ def word_counts(docs: DataFrame, id_col: str, text_col: str, source_col: str) ->
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), *keys(id_col, text_col), F.col(source_col).cast("string").alias("source"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .mapInArrow(run, "doc_id bigint, row_key_1 bigint, row_key_2 bigint, source string, size bigint")
+        .transform(in_batches, run, "doc_id bigint, row_key_1 bigint, row_key_2 bigint, source string, size bigint")
 
 
 def targets(histogram: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, limit: int = 2) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from regcorpus.llm import text_vec as tv
 from regcorpus.llm.graph import components
 from regcorpus.llm.rows import KEY, keys, pick
-from regcorpus.llm.store import written
+from regcorpus.llm.store import in_batches, written
 
 CHUNK_ROWS = 1000
 CHUNK_SHINGLES = 1 << 20
@@ -139,7 +139,7 @@ def sketches(docs: DataFrame, n_words: int, percent: int) -> DataFrame:
                         most[n] = may_miss(n, percent)
                     yield (*ids[i], n, *_digests(s), most[n], s[:_probe_size(n, percent)])
         yield from _batched(rows(), ["doc_id", *KEY, "n", "d1", "d2", "most", "probe"])
-    return docs.select("doc_id", *KEY, "text").mapInArrow(run, SKETCH)
+    return docs.select("doc_id", *KEY, "text").transform(in_batches, run, SKETCH)
 
 
 def _full_sets(docs: DataFrame, n_words: int) -> DataFrame:
@@ -151,7 +151,7 @@ def _full_sets(docs: DataFrame, n_words: int) -> DataFrame:
                 for s in shingle_sets(b.column(0), n_words, hasher):
                     yield *_digests(s), len(s), s
         yield from _batched(rows(), [*CLASS, "shingles"])
-    return docs.select("text").mapInArrow(run, SETS)
+    return docs.select("text").transform(in_batches, run, SETS)
 
 
 class Forest:
@@ -289,7 +289,7 @@ def _search(rows: DataFrame, keys: list[str], percent: int) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, "d1") \
-        .select(*keys, "d1", "label", "shingles").mapInArrow(run, "a bigint, b bigint")
+        .select(*keys, "d1", "label", "shingles").transform(in_batches, run, "a bigint, b bigint")
 
 
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 4,

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
+from regcorpus.llm.store import in_batches
 
 SHORTEST, REPEATS = 6, 4
 GRAM = 5                     # words that any period pair of a run shares
@@ -201,4 +202,4 @@ def periodic_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                      pa.array(runs, pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))),
                      pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "n_words", "runs", "collapsed"])
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(run, f"doc_id bigint, n_words bigint, runs {RUNS}, collapsed string")
+    return rows.transform(in_batches, run, f"doc_id bigint, n_words bigint, runs {RUNS}, collapsed string")

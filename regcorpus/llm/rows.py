@@ -30,6 +30,9 @@ def repeat(docs: DataFrame, copies: DataFrame, id_col: str, text_col: str) -> Da
     """Every row of ``docs`` as often as ``copies`` (keys and ``copies``) says;
     rows that repeat share the sum of their copies."""
     own = docs.columns
-    packed = docs.select(*keys(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in own]).alias("row")).dropDuplicates(KEY)
-    total = copies.groupBy(*KEY).agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
-    return packed.join(total, KEY).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
+    packed = docs.select(*keys(id_col, text_col), F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"))
+    total = copies.groupBy(*KEY).agg(F.sum("copies").cast("int").alias("copies"), F.count("*").alias("m")).filter("copies > 0")
+    found = packed.join(total, KEY)
+    # only rows that repeat need one of them picked, which sorts whole rows
+    once = found.filter("m = 1").unionByName(found.filter("m > 1").dropDuplicates(KEY)) if not total.filter("m > 1").isEmpty() else found
+    return once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -19,3 +19,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+BATCH_BYTES = 8 << 20
+
+
+def in_batches(df: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInArrow`` with Arrow batches bounded by bytes as well as by rows: a
+    task holds a batch twice (in the JVM and in Python) besides its work."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
 from regcorpus.llm.rows import keys
-from regcorpus.llm.store import written
+from regcorpus.llm.store import in_batches, written
 
 WINDOW, SUB, CROWD = 35, 16, 1000
 
@@ -74,7 +74,7 @@ def _minimisers(rows: DataFrame, window: int, sub: int) -> DataFrame:
                 text = np.searchsorted(first, at, "right") - 1
                 yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(k[i:j][text]), pa.array(k2[i:j][text]),
                                                   pa.array((at - first[text]).astype(np.int32))], ["bucket", "k", "k2", "at"])
-    return rows.select("k", "k2", "text").mapInArrow(run, "bucket bigint, k bigint, k2 bigint, at int")
+    return rows.select("k", "k2", "text").transform(in_batches, run, "bucket bigint, k bigint, k2 bigint, at int")
 
 
 def _packed(rows: DataFrame, window: int, sub: int) -> DataFrame:
@@ -109,7 +109,7 @@ def _packed(rows: DataFrame, window: int, sub: int) -> DataFrame:
                         yield _rows(out)
                         out, size = ([], [], [], [], [], []), 0
             yield _rows(out)
-    return rows.select("k", "k2", "text", "alone").mapInArrow(run, "bucket bigint, packed string, k bigint, k2 bigint, at int, n int")
+    return rows.select("k", "k2", "text", "alone").transform(in_batches, run, "bucket bigint, packed string, k bigint, k2 bigint, at int, n int")
 
 
 def _rows(out):
@@ -165,7 +165,7 @@ def _cold(strings: DataFrame, window: int) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["bucket", "sig", "mask"])
     return strings.repartition("bucket").sortWithinPartitions("bucket").select("bucket", "packed", "sig", "times") \
-        .mapInArrow(run, "bucket bigint, sig bigint, mask bigint")
+        .transform(in_batches, run, "bucket bigint, sig bigint, mask bigint")
 
 
 def _crowded(strings: DataFrame, window: int) -> DataFrame:
@@ -191,7 +191,7 @@ def _covered(marks: DataFrame, window: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))],
                                              ["k", "k2", "spans"])
     rows = marks.groupBy("k", "k2").agg(F.collect_set(F.struct(F.col("at").cast("bigint").alias("at"), "mask")).alias("hits"))
-    return rows.mapInArrow(run, "k bigint, k2 bigint, spans array<struct<start:bigint,end:bigint>>")
+    return rows.transform(in_batches, run, "k bigint, k2 bigint, spans array<struct<start:bigint,end:bigint>>")
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -238,7 +238,7 @@ def kept_texts(texts: DataFrame, spans: DataFrame) -> DataFrame:
                 removed.append(gone)
                 kept.append(b" ".join(out).decode())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], ["k", "k2", "n_removed", "kept"])
-    return texts.join(spans, ["k", "k2"]).select("k", "k2", "text", "spans").mapInArrow(run, "k bigint, k2 bigint, n_removed bigint, kept string")
+    return texts.join(spans, ["k", "k2"]).select("k", "k2", "text", "spans").transform(in_batches, run, "k bigint, k2 bigint, n_removed bigint, kept string")
 
 
 def _word_digests(keyed: DataFrame) -> DataFrame:
@@ -252,7 +252,7 @@ def _word_digests(keyed: DataFrame) -> DataFrame:
                 sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n, pa.int64()), pa.array(sha, pa.string())],
                                              ["doc_id", "k", "k2", "n_words", "all_sha256"])
-    return keyed.select("doc_id", "k", "k2", "text").mapInArrow(run, "doc_id bigint, k bigint, k2 bigint, n_words bigint, all_sha256 string")
+    return keyed.select("doc_id", "k", "k2", "text").transform(in_batches, run, "doc_id bigint, k bigint, k2 bigint, n_words bigint, all_sha256 string")
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from regcorpus.llm.bpe import Encoder, few_collections
+from regcorpus.llm.store import in_batches
 
 BLOCK = 1 << 16
 SEGMENT = 1024
@@ -71,7 +72,7 @@ def token_files(docs: DataFrame, ranks: dict, pattern: str, id_col: str = "doc_i
         flat = np.concatenate(held) if held else np.zeros(0, dtype)
         yield rows([flat[i:i + block].tobytes() for i in range(0, len(flat), block)], [], at)
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, FILES)
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text")).transform(in_batches, run, FILES)
 
 
 def separators(files: DataFrame, end: int = END, dtype: str = "<u2") -> DataFrame:
@@ -86,7 +87,7 @@ def separators(files: DataFrame, end: int = END, dtype: str = "<u2") -> DataFram
                 ends.append(np.flatnonzero(tokens == end))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n, pa.int64()), pa.array(ends, pa.list_(pa.int64()))],
                                              ["file", "block", "n", "ends"])
-    return files.filter("block is not null").select("file", "block", "data").mapInArrow(run, "file int, block bigint, n bigint, ends array<bigint>")
+    return files.filter("block is not null").select("file", "block", "data").transform(in_batches, run, "file int, block bigint, n bigint, ends array<bigint>")
 
 
 def document_lengths(scanned: DataFrame, segment: int = SEGMENT) -> DataFrame:

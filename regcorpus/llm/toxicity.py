@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regcorpus.llm import text_vec as tv
+from regcorpus.llm.store import in_batches
 
 BINS = 1 << 18
 PREFIXES = (4, 5, 6, 7, 8)
@@ -90,7 +91,7 @@ def best_terms(sample: DataFrame, n_terms: int) -> np.ndarray:
     clean, toxic = totals.get(0, 0), totals.get(1, 0)
     if not clean or not toxic:
         return np.zeros(0, np.int64)
-    c = sample.select("text", "label").mapInArrow(count, "bin bigint, clean bigint, toxic bigint").groupBy("bin") \
+    c = sample.select("text", "label").transform(in_batches, count, "bin bigint, clean bigint, toxic bigint").groupBy("bin") \
         .agg(F.sum("clean").alias("a"), F.sum("toxic").alias("b"))
     seen = F.col("a") + F.col("b")
     gap = F.col("b") * float(clean) - F.col("a") * float(toxic)
@@ -167,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "label", "cols"])
 
     # at most ``sample`` rows with at most ``terms`` numbers each, in a fixed order
-    got = rows.select("text", "doc_id", "label").mapInArrow(pairs, "doc_id bigint, label int, cols array<int>") \
+    got = rows.select("text", "doc_id", "label").transform(in_batches, pairs, "doc_id bigint, label int, cols array<int>") \
         .orderBy("doc_id", "label", "cols").toArrow()
     lists = got.column("cols").combine_chunks()
     cols = np.asarray(lists.flatten()).astype(np.int64)
@@ -193,7 +194,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
                                              ["doc_id", "held_out", "score"])
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     rows = base.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lower(F.coalesce("text", F.lit(""))).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, held_out boolean, score double") \
+    return rows.transform(in_batches, run, "doc_id bigint, held_out boolean, score double") \
         .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
@@ -211,4 +212,4 @@ def without_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", thr
             rows = pa.RecordBatch.from_arrays(b.columns[1:], names=own.names)
             yield rows.filter(pa.array(keep))
     return docs.select(F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("lower"), *[F.col(f"`{c}`") for c in docs.columns]) \
-        .mapInArrow(run, own)
+        .transform(in_batches, run, own)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from regcorpus.llm.graph import components
-from regcorpus.llm.store import written
+from regcorpus.llm.store import in_batches, written
 
 BLOCK = 1024
 
@@ -72,7 +72,7 @@ def _signatures(vectors: DataFrame, bits: int, tables: int, seed: int) -> DataFr
                     pa.FixedSizeListArray.from_arrays(pa.array(unit.ravel()), dim).cast(pa.list_(pa.float64())),
                     pa.FixedSizeListArray.from_arrays(pa.array(codes.ravel()), tables).cast(pa.list_(pa.int64()))],
                     ["row", "label", "dim", "unit", "codes"])
-    return vectors.mapInArrow(run, "row bigint, label string, dim int, unit array<double>, codes array<bigint>")
+    return vectors.transform(in_batches, run, "row bigint, label string, dim int, unit array<double>, codes array<bigint>")
 
 
 def bucket_links(unit: np.ndarray, codes: np.ndarray, side: np.ndarray, table: int, cosine: float):
@@ -138,7 +138,7 @@ def _compare(cells: DataFrame, cosine: float) -> DataFrame:
 
     keys = ["t", "label", "dim", "code", "left", "right"]
     return cells.repartition(*keys).sortWithinPartitions(*keys).select(*keys, "row", "side", "unit", "codes") \
-        .mapInArrow(run, "a bigint, b bigint, n bigint")
+        .transform(in_batches, run, "a bigint, b bigint, n bigint")
 
 
 def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
