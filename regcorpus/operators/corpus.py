@@ -242,8 +242,9 @@ def word_postings(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id
 
 def append_postings(postings: DataFrame, table: str, path: str, buckets: int = 64) -> None:
     """A wave of postings appended to the kept index, a table in buckets by
-    word, sorted inside: a search reads it without shuffling it.  Waves hold
-    different documents; ``merge_postings`` rewrites many waves' files as one."""
+    word, sorted inside: a search reads it without shuffling it, given no fewer
+    buckets than shuffle partitions.  Waves hold different documents;
+    ``merge_postings`` rewrites many waves' files as one."""
     writer = postings.repartition(buckets, "word").write.mode("append").bucketBy(buckets, "word").sortBy("word")
     writer.option("path", path).format("parquet").saveAsTable(table)
 

@@ -66,6 +66,31 @@ def events_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_latest(spark, target, "user_id", ["ts", "event_id"])
 
 
+@register("events_once_per_key", """
+SELECT event_id, user_id, event_type FROM events
+UNION ALL SELECT event_id + 1000000000, user_id, 'late' FROM events WHERE event_id % 50 = 0 AND CAST(ts AS DATE) = (SELECT min(CAST(ts AS DATE)) FROM events)
+""")
+def events_once_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T2 with event time: events landed day by day, each twice, and at the end
+    new events of the first day.  The stream writes every event once; the late
+    ones come back from the side table."""
+    run = ingest.new_run_dir(spark, "once")
+    e = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+    day = F.to_date("ts")
+    first = e.agg(F.min(day)).first()[0]
+    schema = e.schema
+    twice = e.unionByName(e).withColumn("wave", F.dayofmonth("ts"))
+    late = e.filter((F.col("event_id") % 50 == 0) & (day == F.lit(first))).select(
+        (F.col("event_id") + 1_000_000_000).alias("event_id"), "ts", "user_id", F.lit("late").alias("event_type"), F.lit(99).alias("wave"))
+    for low, high in ((1, 10), (11, 20), (21, 31), (99, 99)):
+        rows = twice if high < 99 else late
+        rows.filter(F.col("wave").between(low, high)).drop("wave").write.mode("append").parquet(f"{run}/landing/w={low}")
+        ingest.ingest_once_per_key(spark, f"{run}/landing", schema, ["event_id"], "ts", "12 days", f"{run}/kept", f"{run}/checkpoint", 4)
+    kept = spark.read.schema(schema).parquet(f"{run}/kept")
+    lost = ingest.rows_too_late(spark.read.schema(schema).parquet(f"{run}/landing").drop("w"), kept, ["event_id"])
+    return kept.unionByName(lost).select("event_id", "user_id", "event_type")
+
+
 # ----------------------------------------------------------------- S7 S8 S9 --
 def standin_front_matter_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")

@@ -18,8 +18,6 @@ from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMes
 from regcorpus.functions import extract as X
 from regcorpus.functions.text import safe_name
 
-SALTS = 8  # files a keyword is spread over (K3)
-
 
 def write_envelope(rows: DataFrame, path: str, fetched_at: str, total_name: str) -> int:
     """K1: rows as JSON lines under ``path/rows`` and a one-row manifest
@@ -77,9 +75,8 @@ def write_per_keyword(hits: DataFrame, path: str, keyword_col: str = "keyword")
     """K3: one folder per keyword (safe name, X9) plus a summary table;
     the original keyword stays a column because safe names can collide."""
     out = hits.withColumn("keyword_safe", safe_name(F.col(keyword_col)))
-    # a keyword's rows meet in at most SALTS tasks, so it gets few files and no task a whole hot one
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hits.columns]), F.lit(SALTS))
-    out.repartition("keyword_safe", salt).write.mode("overwrite").partitionBy("keyword_safe").json(f"{path}/by_keyword")
+    # adaptive execution joins small keywords' tasks and splits a hot keyword by its size
+    out.hint("rebalance", "keyword_safe").write.mode("overwrite").partitionBy("keyword_safe").json(f"{path}/by_keyword")
     written = out.sparkSession.read.schema(out.schema).json(f"{path}/by_keyword")
     summary = written.groupBy("keyword_safe", keyword_col).agg(F.count("*").alias("n_results"))
     summary.write.mode("overwrite").json(f"{path}/summary")

@@ -9,7 +9,8 @@ T2 keeps the newest record per key across runs.  It is a streaming
 aggregation — ``max(struct(order_col, ...))`` per key — whose per-key state
 lives in the (distributed, checkpointed) state store; ``update`` mode emits the
 keys each micro-batch changed, and ``foreachBatch`` appends them to the target
-as one epoch, which readers reduce by key.
+as one epoch, which readers reduce by key.  For records that are never revised
+``ingest_once_per_key`` keeps one row per key with a watermark and bounded state.
 """
 
 from __future__ import annotations
@@ -81,6 +82,29 @@ def compact_latest(spark: SparkSession, target_dir: str, key: str, order_cols: l
     read_latest(spark, target_dir, key, order_cols).write.mode("overwrite").parquet(f"{compacted_dir}/epoch={0:012d}")
 
 
+def ingest_once_per_key(spark: SparkSession, source_dir: str, schema: StructType, keys: list, event_time: str, delay: str,
+                        sink_dir: str, checkpoint_dir: str, max_files_per_trigger: int | None = None):
+    """T2 for append-only records: the first row of every key within the
+    watermark goes to ``sink_dir``; keys older than ``delay`` behind the newest
+    event time leave the state, so it stays bounded however long the stream runs.
+    Rows later than that are not written (``rows_too_late`` finds them).
+    ``event_time`` is a timestamp with time zone."""
+    reader = spark.readStream.format("parquet").schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    kept = reader.load(source_dir).withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    q = (kept.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).option("path", sink_dir)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def rows_too_late(landed: DataFrame, kept: DataFrame, keys: list) -> DataFrame:
+    """The landed rows of which no row with their keys was written, because
+    all came after the watermark: the side table of a run."""
+    return landed.join(kept.select(*keys).distinct(), keys, "left_anti")
+
+
 def new_run_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for one run."""
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")

@@ -25,12 +25,47 @@ def test_as_of_matches_brute_force(spark):
         assert got[sid] == want, (key, d)
 
 
+def test_as_of_with_ended_versions_nulls_and_hot_months(spark):
+    d = dt.date
+    v = spark.createDataFrame([("a", d(2020, 1, 5), d(2020, 2, 1), 1), ("a", d(2020, 3, 1), None, 2), ("a", d(2020, 1, 20), d(2020, 1, 25), 3), (None, d(2020, 1, 1), None, 9)],
+                              "k string, valid_from date, valid_to date, val int")
+    s = spark.createDataFrame([("a", d(2020, 1, 4), 0), ("a", d(2020, 1, 5), 1), ("a", d(2020, 1, 24), 2), ("a", d(2020, 1, 25), 3), ("a", d(2020, 2, 20), 4),
+                               ("a", d(2024, 7, 1), 5), ("b", d(2020, 1, 6), 6), (None, d(2020, 1, 6), 7), ("a", None, 8), (None, None, 9)], "k string, d date, sid int")
+    got = {r.sid: r.val for r in corpus.as_of(s, v, "k", "d").collect()}
+    assert got == {0: None, 1: 1, 2: 3, 3: None, 4: None, 5: 2, 6: None, 7: None, 8: None, 9: None}
+    assert corpus.as_of(s.limit(0), v, "k", "d").count() == 0 and corpus.as_of(s, v.limit(0), "k", "d").filter("val IS NULL").count() == 10
+
+
+def test_phrase_index_is_read_without_an_exchange(spark, tmp_path):
+    docs = [(i, f"Word{i % 7} tail{i} common") for i in range(60)]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    for wave in (0, 1):
+        corpus.append_postings(corpus.word_postings(d.filter(F.col("doc_id") % 2 == wave)), "phrase_index", str(tmp_path / "index"), buckets=16)
+    phrases = ["word3", "ail1", "common", "d3 tail3", "nowhere"]
+    p = spark.createDataFrame([(x,) for x in phrases], "phrase string")
+    want = sorted((ph, i) for i, t in docs for ph in phrases if ph in t.lower())
+    assert sorted(tuple(r) for r in corpus.phrase_hits(d, p, postings=spark.table("phrase_index")).collect()) == want
+    corpus.merge_postings(spark, "phrase_index", "phrase_index_merged", str(tmp_path / "merged"), buckets=16)
+    one = corpus.phrase_hits(d, p.filter("phrase <> 'd3 tail3'"), postings=spark.table("phrase_index_merged"))
+    assert sorted(tuple(r) for r in one.collect()) == [w for w in want if w[0] != "d3 tail3"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = corpus.phrase_hits(d, p.filter("phrase <> 'd3 tail3'"), postings=spark.table("phrase_index_merged"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE phrase_index")
+        spark.sql("DROP TABLE phrase_index_merged")
+    # the postings are joined by word as they lie; only the documents found are moved
+    scan = [i for i, line in enumerate(plan.splitlines()) if "FileScan parquet" in line and "id#" in line.split("FileScan")[1].split("]")[0]]
+    assert scan and "Exchange" not in "".join(plan.splitlines()[scan[0] - 3:scan[0] + 1])
+
+
 def test_phrase_hits(spark):
     docs = [(1, "Ala ma kota i PSA"), (2, "kotara"), (3, "nic"), (4, "ab abc"), (5, None), (6, ""), (7, "alpha beta xx")]
-    phrases = ["kot", "psa", "ab", "abc", "x", "ma kota", "beta", "xx", "", None, "kotar", "nieobecne"]
+    phrases = ["kot", "psa", "ab", "abc", "x", "ma kota", "beta", "xx", "", None, "kotar", "nieobecne", "kota i", " ", "a\ti"]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     p = spark.createDataFrame([(x,) for x in phrases], "phrase string")
-    want = sorted((ph, i) for i, t in docs for ph in phrases if t and ph and ph in t.lower())
+    want = sorted((ph, i) for i, t in docs for ph in phrases if t and ph and ph.strip() and ph in t.lower())
     for gram in (1, 3, 4):
         assert sorted(tuple(r) for r in corpus.phrase_hits(d, p, gram=gram).collect()) == want
 

@@ -172,6 +172,28 @@ def test_latest_state_survives_a_replayed_batch(spark):
     assert {r.k: r.v for r in ingest.read_latest(spark, f"{run}/small", "k", ["ts"]).collect()} == want
 
 
+def test_once_per_key_with_bounded_state_and_late_rows(spark):
+    run = ingest.new_run_dir(spark, "test-once")
+    import datetime as dt
+    schema = "k long, ts timestamp, v string"
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    day = dt.datetime(2024, 1, 1)
+    sizes = []
+    for w in range(12):
+        rows = [(w * 10 + i % 10, day + dt.timedelta(days=w, hours=i), f"w{w}") for i in range(20)]       # every key twice
+        if w == 11:
+            rows += [(5, day, "again"), (900, day, "late")]
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{run}/land/w={w:02d}")
+        q = ingest.ingest_once_per_key(spark, f"{run}/land", st, ["k"], "ts", "2 days", f"{run}/out", f"{run}/ck", 1)
+        sizes += [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+    kept = spark.read.schema(st).parquet(f"{run}/out")
+    assert sorted(r.k for r in kept.collect()) == list(range(120))
+    assert 0 < max(sizes) <= 60                                     # of 121 keys
+    late = ingest.rows_too_late(spark.read.schema(st).parquet(f"{run}/land"), kept, ["k"])
+    assert [(r.k, r.v) for r in late.collect()] == [(900, "late")]
+
+
 def test_wide_table_rows_and_long_answers(spark):
     wide = "| " + " | ".join(str(i) for i in range(10_001)) + " |"
     text = f"{wide}\n|---|\n{wide}\n\n| a |\n| b |\n"
