@@ -226,3 +226,57 @@ def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                        spot_sigs.printed(F.col("edited_signatures")).alias("edited_fingerprint"),
                        spot_sigs.likeness(F.col("signatures"), F.col("edited_signatures")).alias("near_edited"),
                        spot_sigs.likeness(F.col("signatures"), F.col("next_signatures")).alias("near_next"))
+
+
+def _merkle_sql() -> str:
+    """Levels, proofs and folds by recursive queries over row numbers."""
+    def values(text):
+        parts = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+        return "sha256(" + " || ".join(f"coalesce(CAST(strlen({p}) AS VARCHAR) || ':' || {p}, '-')" for p in parts) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    bit = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)"
+    byte_list = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))"
+    crc = f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {byte_list}), lambda c, b: {bit}), 4294967295)"
+
+    def climb(name, base, key):
+        return (f"{name} AS ({base} UNION ALL SELECT lvl + 1, {key}, place // 16, sha256(string_agg(h, '' ORDER BY place)), (n + 15) // 16 "
+                f"FROM {name} WHERE n > 1 GROUP BY lvl, {key}, place // 16, n)")
+
+    def runs(name, key):
+        return f"SELECT lvl, {key}, place // 16 AS run, list(h ORDER BY place) AS hs FROM {name} WHERE n > 1 GROUP BY lvl, {key}, place // 16"
+
+    def slot(place, lvl):
+        return f"CAST(({place} // CAST(power(16, {lvl}) AS BIGINT)) % 16 AS BIGINT)"
+
+    def sides(place, lvl):
+        at = slot(place, lvl)
+        return f"array_to_string(hs[1:{at}], '') AS l, array_to_string(hs[{at} + 2:], '') AS r"
+
+    def run_of(place, lvl):
+        return f"{place} // CAST(power(16, {lvl} + 1) AS BIGINT)"
+
+    return f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, {values("text")} AS leaf, CASE WHEN {crc} % 5 = 0 THEN {values(lower)} END AS claimed FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS n,
+                  row_number() OVER () AS rid FROM d),
+{climb("lv", "SELECT 0 AS lvl, source, place, leaf AS h, n FROM leaves", "source")},
+trees AS (SELECT source, h AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM lv WHERE n = 1),
+{climb("tv", "SELECT 0 AS lvl, 0 AS one, place, subroot AS h, n FROM trees", "one")},
+lr AS ({runs("lv", "source")}), tr AS ({runs("tv", "one")}),
+steps AS (
+  SELECT rid, lr.lvl, {sides("place", "lr.lvl")} FROM leaves JOIN lr ON lr.source IS NOT DISTINCT FROM leaves.source AND lr.run = {run_of("place", "lr.lvl")}
+  UNION ALL
+  SELECT rid, 100 + tr.lvl, {sides("t.place", "tr.lvl")} FROM leaves JOIN trees t ON t.source IS NOT DISTINCT FROM leaves.source
+  JOIN tr ON tr.run = {run_of("t.place", "tr.lvl")}),
+ordered AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY lvl) AS k FROM steps),
+fold AS (SELECT rid, CAST(0 AS BIGINT) AS k, coalesce(claimed, leaf) AS x FROM leaves
+         UNION ALL SELECT f.rid, o.k, sha256(o.l || f.x || o.r) FROM fold f JOIN ordered o ON o.rid = f.rid AND o.k = f.k + 1),
+proofs AS (SELECT rid, sha256(string_agg(l || r, '' ORDER BY lvl)) AS proof_sha256 FROM steps GROUP BY rid)
+SELECT doc_id, leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM leaves JOIN trees ON trees.source IS NOT DISTINCT FROM leaves.source CROSS JOIN (SELECT h AS root FROM tv WHERE n = 1) x
+LEFT JOIN proofs ON proofs.rid = leaves.rid JOIN (SELECT rid, arg_max(x, k) AS folded_root FROM fold GROUP BY rid) f ON f.rid = leaves.rid
+"""
+
+
+ORACLES["op13_merkle_manifest"] = _merkle_sql()
