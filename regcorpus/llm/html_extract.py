@@ -28,7 +28,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 PATH_DIMS, WORD_DIMS, HIDDEN = 32, 32, 16
 INPUT = PATH_DIMS + WORD_DIMS + 5
 SAMPLE, MAX_HTML, MAX_BLOCKS, STEPS = 150, 200_000, 150, 1 << 15
