@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from regcorpus import sinks
 from regcorpus.functions import extract as X
-from regcorpus.operators import corpus, mdlinks, records
+from regcorpus.operators import corpus, markup, mdlinks, records
 from regcorpus.plans.cases import _CJEU_HITS_SQL, standin_cjeu_rows
 from regcorpus.plans.common import register, table
 from regcorpus.plans.links import standin_acts, standin_triples
@@ -268,3 +268,24 @@ def mirrored_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_mirrored(sinks.mirrored_paths(inputs), run)
     back = sinks.read_mirrored(spark, run)
     return back.select("path", F.md5("markdown").alias("markdown_md5"))
+
+
+# ------------------------------------------------------------------ S2 U3 --
+@register("landed_encodings_and_sidecars", """
+SELECT 'd' || CAST(doc_id AS VARCHAR) || '.html' AS file, 'ok' AS status, chr(220) || 'ber ' || chr(233) || 't' || chr(233) || ' ' || lang || ' '
+       || CAST(doc_id AS VARCHAR) || chr(10) AS markdown FROM documents
+""")
+def landed_encodings_and_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S2 + U3: landed pages in UTF-8 and (every third) Latin-1, some with a
+    sidecar beside them: the scan passes over sidecars, the decoder tells the
+    encodings apart, H5 converts."""
+    d = table(spark, sf_dir, "documents")
+    html = F.concat(F.lit("<html><head><title>x<body><p>\u00dcber \u00e9t\u00e9 "), F.col("lang"), F.lit(" "), F.col("doc_id").cast("string"))
+    name = F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".html"))
+    pages = d.select(name.alias("path"), F.when(F.col("doc_id") % 3 == 1, F.encode(html, "ISO-8859-1")).otherwise(F.encode(html, "UTF-8")).alias("markdown"))
+    side = d.filter("doc_id % 5 = 0").select(F.concat(name, F.lit(files.SIDECAR_SUFFIX)).alias("path"), F.encode(F.lit("<p>sidecar</p>"), "UTF-8").alias("markdown"))
+    run = new_run_dir(spark, "landed-encodings")
+    sinks.write_mirrored(pages.unionByName(side), run)
+    scanned = files.decoded(files.scan_landed(spark, run, extensions=("html", "txt")))
+    conv = markup.convert_documents(scanned.withColumn("file", F.substring_index("path", "/", -1)), "file", "text")
+    return markup.to_markdown(conv, "file").select("file", "status", "markdown")

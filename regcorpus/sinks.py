@@ -144,7 +144,8 @@ class _Written(WriterCommitMessage):
 
 
 class MirroredFiles(DataSource):
-    """Write side of ``mirrored_files``: rows ``(path, markdown)`` as files."""
+    """Write side of ``mirrored_files``: rows ``(path, markdown)`` as files;
+    strings in UTF-8, binary content as it is."""
 
     @classmethod
     def name(cls):
@@ -179,7 +180,7 @@ class _MirroredWriter(DataSourceWriter):
                 raise ValueError(f"path leaves the folder: {name}")
             store.create_dir(f"{folder}/{name}".rsplit("/", 1)[0], recursive=True)
             with store.open_output_stream(f"{folder}/{name}") as out:
-                out.write((row[1] or "").encode())
+                out.write(row[1].encode() if isinstance(row[1], str) else bytes(row[1] or b""))
         return _Written(folder)
 
     def commit(self, messages):
