@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from regcorpus.functions import extract as X
-from regcorpus.operators.joins import small_dim
+from regcorpus.operators.joins import group_facts, row_hash, small_dim
 
 # --- fixed values: administrative court divisions (code, seat) -------------
 COURT_DIVISIONS = [("Wa", "Warszawa"), ("Gl", "Gliwice"), ("Kr", "Krakow"), ("Wr", "Wroclaw"),
@@ -320,7 +320,7 @@ def version_validity(versions: DataFrame, key: str, valid_from: str = "valid_fro
     month).  The buckets come from the same exchange as the versions."""
     v = versions.withColumn("_b", _month(F.col(valid_from))).repartition(key, "_b")
     inner = Window.partitionBy(key, "_b").orderBy(valid_from)
-    buckets = v.groupBy(key, "_b").agg(F.min(valid_from).alias("_first"))
+    buckets = group_facts(v, [key, "_b"], _first=F.min(valid_from))
     buckets = buckets.withColumn("_next_b", F.lead("_first").over(Window.partitionBy(key).orderBy("_b"))).drop("_first")
     return (v.withColumn("_next_in", F.lead(valid_from).over(inner)).join(buckets, [key, "_b"])
             .withColumn("valid_to", F.coalesce("_next_in", "_next_b"))
@@ -347,21 +347,22 @@ def as_of(samples: DataFrame, versions: DataFrame, key: str, date_col: str,
     v = F.struct(F.col(valid_from).alias("_at"), *[F.col(c).alias(c) for c in vcols])
     began = versions.filter(F.col(key).isNotNull() & F.col(valid_from).isNotNull()).select(
         F.col(key).alias("_k"), F.col(valid_from).alias("_d"), F.lit(0).alias("_side"), v.alias("_v"))
-    asked = samples.select(F.col(key).alias("_k"), F.col(date_col).alias("_d"), F.lit(1).alias("_side"), F.struct(*[F.col(c) for c in samples.columns]).alias("_s"))
+    asked = samples.select(F.col(key).alias("_k"), F.col(date_col).alias("_d"), F.lit(1).alias("_side"), *[F.col(c).alias(f"_s_{c}") for c in samples.columns])
     both = began.unionByName(asked, allowMissingColumns=True).withColumn("_m", _month(F.col("_d")))
     # samples without key or date match nothing: they are dealt by their values
-    lone = F.when(F.col("_k").isNull() | F.col("_d").isNull(), F.xxhash64("_s"))
+    lone = F.when((F.col("_side") == 1) & (F.col("_k").isNull() | F.col("_d").isNull()), row_hash(both))
     dealt = both.withColumn("_lone", lone).repartition("_k", "_m", "_lone")
     earlier = Window.partitionBy("_k").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
-    buckets = dealt.groupBy("_k", "_m", "_lone").agg(F.max("_v").alias("_last")).filter("_lone IS NULL").drop("_lone") \
+    buckets = group_facts(dealt, ["_k", "_m", "_lone"], _last=F.max("_v")).filter("_lone IS NULL") \
         .withColumn("_before", F.max("_last").over(earlier)).select(F.col("_k").alias("_bk"), F.col("_m").alias("_bm"), "_before")
-    so_far = Window.partitionBy("_k", "_m", "_lone").orderBy("_d", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    seen = dealt.withColumn("_own", F.max("_v").over(so_far)).filter("_side = 1")
+    # the row's hash as last order key: both uses of the rows ask for all columns and share their exchange
+    so_far = Window.partitionBy("_k", "_m", "_lone").orderBy("_d", "_side", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    seen = dealt.withColumn("_row", row_hash(dealt)).withColumn("_own", F.max("_v").over(so_far)).filter("_side = 1")
     j = seen.join(buckets, (F.col("_k") == F.col("_bk")) & (F.col("_m") == F.col("_bm")) & F.col("_lone").isNull(), "left")
     found = j.withColumn("_f", F.when(F.col("_lone").isNull(), F.coalesce("_own", "_before")))
     if valid_to in vcols:
         found = found.withColumn("_f", F.when(F.col(f"_f.{valid_to}").isNull() | (F.col("_d") < F.col(f"_f.{valid_to}")), F.col("_f")))
-    return found.select(*[F.col(f"_s.{c}").alias(c) for c in samples.columns], *[F.col(f"_f.{c}").alias(c) for c in vcols])
+    return found.select(*[F.col(f"_s_{c}").alias(c) for c in samples.columns], *[F.col(f"_f.{c}").alias(c) for c in vcols])
 
 
 def latest_by(df: DataFrame, key: str, order_cols: list) -> DataFrame:

@@ -11,7 +11,8 @@ run may hold a third of all rows, so the sum is computed in two levels:
 per-block sums (``block_pages`` pages per block) get a prefix over blocks —
 few rows per run — and the in-block prefix runs in windows partitioned by
 ``(run, block)``, each at most ``block_pages`` rows.  The page-level table is
-narrow (no items); the verdict joins back as one ``first_halt`` per run.
+narrow (no items) and dealt out once: block sums and in-block prefix read the
+same exchange.  The verdict joins back as one ``first_halt`` per run.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from regcorpus.operators.joins import group_facts
+
 BLOCK_PAGES = 4096
 
 
@@ -26,9 +29,9 @@ def running_rows(pages: DataFrame, run_col: str = "run_id", page_col: str = "pag
                  n_col: str = "n_rows", block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Add ``cum_rows`` = sum of ``n_col`` over pages <= this page and
     ``cum_pages`` = number of such pages, per run."""
-    p = pages.withColumn("_blk", F.floor(F.col(page_col) / block_pages))
+    p = pages.withColumn("_blk", F.floor(F.col(page_col) / block_pages)).repartition(run_col, "_blk")
     before = Window.partitionBy(run_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (p.groupBy(run_col, "_blk").agg(F.sum(n_col).alias("_bsum"), F.count("*").alias("_bpages"))
+    blocks = (group_facts(p, [run_col, "_blk"], _bsum=F.sum(n_col), _bpages=F.count("*"))
               .withColumn("_boff", F.coalesce(F.sum("_bsum").over(before), F.lit(0)))
               .withColumn("_poff", F.coalesce(F.sum("_bpages").over(before), F.lit(0)))
               .drop("_bsum", "_bpages"))
@@ -54,28 +57,17 @@ def first_halt(pages: DataFrame, run_col: str = "run_id", page_col: str = "page"
 
 
 def counted_pages(pages: DataFrame, first_page: int = 0, max_pages: int | None = 5,
-                  run_col: str = "run_id", page_col: str = "page", cut_lineage: bool = True,
-                  block_pages: int = BLOCK_PAGES) -> DataFrame:
+                  run_col: str = "run_id", page_col: str = "page", block_pages: int = BLOCK_PAGES) -> DataFrame:
     """Keep the pages a sequential collector would have consumed.
 
     ``pages`` needs ``ok``, ``n_rows``, ``total`` (see ``parse_envelope``).
-    ``max_pages=None`` reads every landed page.
-
-    The verdict needs the narrow page table three times (block sums, in-block
-    prefix, halts).  With ``cut_lineage`` it is computed once and written
-    with ``checkpoint()`` to the shared checkpoint folder (one small row per
-    page), so the landed pages are parsed twice in all — once for the
-    verdict, once for the items kept — instead of once per use.
-    """
+    ``max_pages=None`` reads every landed page.  The landed pages are parsed
+    twice, once for the verdict (numbers only) and once for the items kept;
+    nothing runs while the plan is built."""
     if max_pages is not None:
         pages = pages.filter(F.col(page_col) < first_page + max_pages)
     pages = pages.filter(F.col(page_col) >= first_page)
-    narrow = pages.select(run_col, page_col, "ok", "n_rows", "total")
-    if cut_lineage:
-        from regcorpus.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(narrow.sparkSession)
-        narrow = narrow.checkpoint(eager=True)
-    halt = first_halt(narrow, run_col, page_col, block_pages, first_page)
+    halt = first_halt(pages, run_col, page_col, block_pages, first_page)
     return (pages.join(halt, run_col, "left")
             .filter(F.col("ok") & (F.col("first_halt").isNull()
                                    | (F.col(page_col) <= F.col("first_halt"))))

@@ -130,7 +130,7 @@ def test_paging_rule_property(spark, runs, max_pages, block_pages):
     rows = [(r, p, v["ok"], v["n"] if v["ok"] else 0, v["total"]) for r, ps in pages.items() for p, v in ps.items()]
     df = spark.createDataFrame(rows, "run_id int, page int, ok boolean, n_rows long, total long")
     got = {}
-    for r in paging.counted_pages(df, 0, max_pages, cut_lineage=False, block_pages=block_pages).collect():
+    for r in paging.counted_pages(df, 0, max_pages, block_pages=block_pages).collect():
         got.setdefault(r.run_id, []).append(r.page)
     for run, ps in pages.items():
         model = {p: dict(ok=v["ok"], n=v["n"] if v["ok"] else 0, total=v["total"]) for p, v in ps.items()}
