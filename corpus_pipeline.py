@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from regcorpus.llm import bpe, exact_dedup, mixing, ngram_join, toxicity
-from regcorpus.llm.store import written
+from regcorpus.llm.store import TABLES, drop_written, written
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    """All stages over ``documents``; the last one's rows.  A stage's result is
+    written, then its intermediates and the table it read are removed."""
+    docs, mark = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), len(TABLES)
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_written(spark, mark)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from regcorpus.llm import html_extract, toxicity, vector_dedup
@@ -173,3 +174,27 @@ def test_pipeline_stages_against_brute_force(spark):
     assert {r.doc_id for r in near} == {c or i for i, _, c in brute.jaccard([(r.doc_id, r.text) for r in exact])}
     assert {r.doc_id for r in mixed} <= {r.doc_id for r in near} and all(d.columns == kept[0][1].columns for _, d in kept[:4])
     assert len(toks) == len(mixed) and {r.doc_id: r.decoded_sha256 for r in toks} == {r.doc_id: brute.sha(r.text or "") for r in mixed}
+
+
+def test_pipeline_removes_intermediates_and_takes_edge_rows(spark, tmp_path):
+    """Null, empty and shared ids, an empty table, clashing columns."""
+    import os
+
+    import corpus_pipeline
+    from regcorpus.llm import store
+    from regcorpus.session import ensure_checkpoint_dir
+    shared = ensure_checkpoint_dir(spark)
+    rows = [(r[0], r[1], r[2], r[3], r[4]) for r in brute.edge_rows()] + [(None, brute.sentence(50 + i, 40), None, None, None) for i in range(6)]
+    rows += [(7, brute.sentence(60, 50), "en", "s1", 5)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    for name, data in (("some", rows), ("none", [])):
+        at = str(tmp_path / name)
+        df = spark.createDataFrame(data, schema).withColumn("label", F.lit(1)).withColumn("k", F.lit("x")).withColumn("row", F.lit(2))
+        df.write.parquet(f"{at}/documents.parquet")
+        labels = spark.createDataFrame([(i, 1, i % 2) for i in range(10)], "doc_id long, quality int, toxic int")
+        labels.write.parquet(f"{at}/labels.parquet")
+        before, held = set(os.listdir(shared)), len(store.TABLES)
+        got = corpus_pipeline.run(spark, at)
+        assert len(store.TABLES) == held + 1 and len(set(os.listdir(shared)) - before) == 1
+        texts = [r.decoded_sha256 for r in got.collect()]
+        assert bool(texts) == bool(data) and set(texts) <= {brute.sha(r[1] or "") for r in data}
