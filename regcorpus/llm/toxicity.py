@@ -149,8 +149,9 @@ class Machine:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         sample: int = SAMPLE, terms: int = TERMS, factors: int = FACTORS) -> Machine:
-    """The machine for labelled rows; without both labels it has no terms and
-    scores every text alike."""
+    """The machine for labelled rows.  Without both labels, or where no term
+    tells them apart, it has no terms and scores every text alike, by its
+    initial bias."""
     rows = labelled_sample(docs, labels, sample, id_col, text_col, label_col)
     machine = Machine(best_terms(rows, terms), factors)
     if not len(machine.bins):
@@ -199,7 +200,10 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
 
 
 def without_toxic(docs: DataFrame, machine: Machine, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that are not predicted toxic, in one pass."""
+    """The rows of ``docs`` that are not predicted toxic, in one pass.  A machine
+    without terms knows nothing of any text and rejects none."""
+    if not len(machine.bins):
+        return docs
     place, own = machine.place(), docs.schema
 
     def run(batches):

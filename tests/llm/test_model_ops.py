@@ -191,7 +191,7 @@ def test_pipeline_removes_intermediates_and_takes_edge_rows(spark, tmp_path):
         at = str(tmp_path / name)
         df = spark.createDataFrame(data, schema).withColumn("label", F.lit(1)).withColumn("k", F.lit("x")).withColumn("row", F.lit(2))
         df.write.parquet(f"{at}/documents.parquet")
-        labels = spark.createDataFrame([(i, 1, i % 2) for i in range(10)], "doc_id long, quality int, toxic int")
+        labels = spark.createDataFrame([(i, 1, 0) for i in range(10)], "doc_id long, quality int, toxic int")
         labels.write.parquet(f"{at}/labels.parquet")
         before, held = set(os.listdir(shared)), len(store.TABLES)
         got = corpus_pipeline.run(spark, at)
