@@ -2,7 +2,10 @@
 
 import random
 
+from regcorpus import sinks
 from regcorpus.operators import htmltokens, markup
+from regcorpus.plans import extras
+from regcorpus.sources import files
 
 PARTS = ["<p>a</p>", "<h2>Tytuł </h2>", "<li>x", "<ul>", "</ul>", "<p>", "</p>", "text &amp; more", "<br>", "<b>bold</b>", "<hr>", "<p/>", "<td>1</td>",
          '<a href="u">link</a>', "<table><tr>", "</table>", "<div>", "</div>", "<h1><p>n</p></h1>", "  \n", "<!-- c -->", "<pre>a\n b</pre>", "</h2>", "<title>t</title>"]
@@ -25,3 +28,30 @@ def test_judgments_without_nested_blocks_need_no_fold(spark):
 
 def test_bound_values_are_not_copied():
     assert "transform(" not in htmltokens.let("a", "b", "c")
+
+
+def test_staged_files_are_moved_by_tasks(spark, tmp_path, monkeypatch):
+    rows = spark.range(60, numPartitions=5).selectExpr("concat('d', id % 3, '/a ', id, '.md') AS path", "cast(id AS string) AS markdown")
+    moved = []
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", lambda self, names, n, f=type(spark.sparkContext).parallelize: moved.append((len(names), n)) or f(self, names, n))
+    sinks.write_mirrored(rows, str(tmp_path / "out"))
+    assert moved == [(5, 5)]
+    sinks.write_mirrored(rows.filter("id < 0"), str(tmp_path / "out"))
+    assert {r.path: r.markdown for r in sinks.read_mirrored(spark, str(tmp_path / "out")).collect()} == {f"d{i % 3}/a {i}.md": str(i) for i in range(60)}
+    assert not (tmp_path / "out" / "_staged").exists()
+
+
+def test_many_small_files_are_few_tasks(spark, tmp_path):
+    n = 40 * files.SCAN_TASKS * spark.sparkContext.defaultParallelism
+    for i in range(n):
+        (tmp_path / f"{i}.html").write_text("x")
+    found = files.scan_landed(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= files.SCAN_TASKS * spark.sparkContext.defaultParallelism and found.count() == n
+
+
+def test_pages_land_as_one_file_per_id_in_one_folder(spark, tmp_path):
+    rows = [(1, "a\nb"), (2, None), (2, "c"), (None, "d")]
+    spark.createDataFrame(rows, "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    extras.standin_landed_pages(spark, str(tmp_path), str(tmp_path / "raw"))
+    got = {f.name: len(f.read_bytes()) for f in (tmp_path / "raw").iterdir() if not f.name.startswith(".")}
+    assert got == {"page=1.txt": 4, "page=2.txt": 3, "page=__HIVE_DEFAULT_PARTITION__.txt": 2}
