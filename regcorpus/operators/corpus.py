@@ -255,12 +255,13 @@ def merge_postings(spark: SparkSession, table: str, merged: str, path: str, buck
     append_postings(spark.table(table).dropDuplicates(["word", "id"]), merged, path, buckets)
 
 
-def _grams(word: str, gram: int) -> Column:
-    """Distinct character grams of 1 to ``gram`` characters."""
+def _grams(words: DataFrame, gram: int) -> DataFrame:
+    """``(word, _g)``: the character grams of 1 to ``gram`` characters of every
+    word; a gram that a word repeats is a row each time."""
     ahead = F.lit(f"(?s)(?=(.{{{gram}}})).")
-    full = F.array_distinct(F.regexp_extract_all(F.concat(word, F.lit("\u0000" * (gram - 1))), ahead, F.lit(1)))
-    return F.get(F.transform(F.array(full), lambda g: F.concat(g, *[F.array_distinct(F.transform(g, lambda x: F.substring(x, 1, n)))  # noqa: B023
-                                                                    for n in range(1, gram)])), 0)
+    padded = F.concat("word", F.lit("\u0000" * (gram - 1)))
+    whole = words.select("word", F.explode_outer(F.regexp_extract_all(padded, ahead, F.lit(1))).alias("_w"))
+    return whole.select("word", F.explode_outer(F.array("_w", *[F.substring("_w", 1, n) for n in range(1, gram)])).alias("_g"))
 
 
 def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text", phrase_col: str = "phrase", id_col: str = "doc_id",
@@ -285,7 +286,7 @@ def phrase_hits(docs: DataFrame, phrases: DataFrame, text_col: str = "text", phr
     own = F.when(F.length("_w") <= gram, F.array("_w")).otherwise(F.array_distinct(F.regexp_extract_all("_w", F.lit(f"(?s)(?=(.{{{gram}}})).") , F.lit(1))))
     wanted = p.select("_k", "_w", F.explode(own).alias("_g"))
     vocabulary = held_words.select("word").distinct()
-    in_words = vocabulary.select("word", F.explode_outer(_grams("word", gram)).alias("_g")).join(wanted.select("_g").distinct(), "_g", "left_semi")
+    in_words = _grams(vocabulary, gram).join(wanted.select("_g").distinct(), "_g", "left_semi")
     often = in_words.groupBy("_g").agg(F.count("*").alias("_df"))
     # a phrase with a gram that no word holds is nowhere
     rarest = wanted.join(often, "_g", "left").groupBy("_k", "_w").agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("_df"), "_g")).alias("m")) \
