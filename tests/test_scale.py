@@ -26,6 +26,40 @@ def test_judgments_without_nested_blocks_need_no_fold(spark):
     assert flat[400] and 0 < sum(flat.values()) < len(flat)
 
 
+ROWS = ["<tr><td>II GSK 1/20</td></tr>", '<tr><td>a <a href="/d?a&amp;b">x</a><td>5 &lt; 6<br>\n', '<tr class="item"><th>h</th><td><b>b</b> > c</td></tr>\n', "<tr></tr>", "<tr>", "</tr>",
+        '<tr class="wynik"><td>w</td></tr>', '<tr><td class="wynik">in</td></tr>', "<tr><td><table><tr><td>n</td></tr></table></td></tr>", "<table>", "</table>", "</td>",
+        '<div class="wyniki">', '<div class="result-item">', "</div>", "loose", "<tr><td><a>no</a><a href='/2'>s</a></td></tr>", "<tr/>", "<tr><td>5 < 6</td></tr>", '<tr title="a>b"><td>q</td></tr>', "<script><tr></script>"]
+
+
+def test_runs_of_plain_rows_are_one_token(spark):
+    rnd = random.Random(5)
+    lead = ['<table class="lista">', "<table>", '<div class="wyniki"><table>', '<div class="result-item"><table>']
+    pages = [(i, rnd.choice(lead) + "".join(rnd.choices(ROWS, k=rnd.randint(0, 9)))) for i in range(600)]
+    pages += [(600, lead[0] + ROWS[0] * 3000 + "</table>"), (601, lead[0] + "".join(f"<tr><td>{i}" for i in range(9)) + "</table>"), (602, ""), (603, None)]
+    df = spark.createDataFrame(pages, "id int, html string")
+    # a comment before each cell and row end leads through the tags of every row
+    long = df.selectExpr("id", "regexp_replace(html, '(?=<t[dh][ >])|(?=</tr>)', '<!-- -->') AS html")
+    got, want = ({(r.id, r.row_no): (r.text, r.href) for r in markup.scan_result_pages(x, ("id",)).collect()} for x in (df, long))
+    assert got == want and got[600, 2999] == ("II GSK 1/20", None) and [got[601, i][0] for i in range(9)] == [*"012345678"]
+    pattern = htmltokens.plain_rows(["wynik"])
+    sizes = {r.id: r.n for r in df.selectExpr("id", f"size({htmltokens.tokens('html', pattern)}) AS n").collect()}
+    assert sizes[600] == 3 and sizes[601] == 6
+    in_cell = f"<table>{ROWS[0]}{ROWS[7]}{ROWS[0]}{ROWS[0]}</table>"
+    assert spark.sql(f"SELECT size({htmltokens.tokens(htmltokens.lit(in_cell), pattern)}) AS n").first().n == 9
+
+
+def test_result_pages_are_dealt_out_by_rows(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(extras, "RESULT_ROWS_PER_TASK", 100)
+    n = 150 * spark.sparkContext.defaultParallelism
+    spark.range(n).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "date'1995-01-01' AS o_orderdate", "concat('P', id % 3) AS o_orderpriority", "'O' AS o_orderstatus") \
+        .write.parquet(str(tmp_path / "orders.parquet"))
+    pages = extras.standin_result_pages(spark, str(tmp_path))
+    pages.write.parquet(str(tmp_path / "pages"))
+    assert pages.rdd.getNumPartitions() == -(-n // 100)          # small as they are, tasks are not joined
+    rows = markup.scan_result_pages(spark.read.parquet(str(tmp_path / "pages")), ("keyword", "page_no"))
+    assert rows.count() == n and rows.select("keyword", "page_no", "row_no").distinct().count() == n
+
+
 def test_bound_values_are_not_copied():
     assert "transform(" not in htmltokens.let("a", "b", "c")
 
