@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from regcorpus import sinks
 from regcorpus.operators import flow, htmltokens, markup
 from regcorpus.plans import extras
@@ -75,6 +77,33 @@ def test_staged_files_are_moved_by_tasks(spark, tmp_path, monkeypatch):
     assert not (tmp_path / "out" / "_staged").exists()
 
 
+def test_no_list_of_files_comes_to_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ENTRIES_PER_BATCH", 3)
+    monkeypatch.setattr(sinks, "BYTES_PER_BATCH", 20)
+    monkeypatch.setattr(sinks, "FILES_PER_TASK", 4)
+    out = tmp_path / "a b+#c"
+    names = ["a.md", "_b.md", "_b=1.md", ".c.md", "x/_d/e.md", "x/_d=1/e.md", "x/.g/h.md", "_metadata_x/i.md", "_metadata.md", "k._COPYING_/l.md", "e/empty.md",
+             "s p/a+b.md", "\u00fc.md", "q.MD", "dir.md/z.md", "a#b?.md", "t.txt", *[f"deep/{i % 3}/{i}/{i}.md" for i in range(40)]]
+    for name in names:
+        (out / name).parent.mkdir(parents=True, exist_ok=True)
+        (out / name).write_text("" if "empty" in name else f"{name} \u017c")
+    (out / "void").mkdir()
+    (out / "link.md").symlink_to(out / "a.md")
+    (out / "broken.md").symlink_to(out / "nowhere")
+    for path, suffix in ((str(out), ".md"), (f"file://{out}/", ".{md,txt}"), (str(out / "void"), ".md")):
+        back = sinks.read_mirrored(spark, path, suffix)
+        assert not any(".parquet" not in f for f in back.inputFiles())          # Spark's scan gives every file here
+        got = sorted(back.collect())
+        with monkeypatch.context() as m:
+            m.setattr(sinks, "_folder_uri", lambda *a: None)
+            assert got == sorted(sinks.read_mirrored(spark, path, suffix).collect())
+    assert {r.path for r in sinks.read_mirrored(spark, str(out / "deep")).collect()} == {f"{i % 3}/{i}/{i}.md" for i in range(40)}
+    for path in (out / "a.md", tmp_path / "*"):          # no folder: Spark's scan
+        assert sinks.read_mirrored(spark, str(path)).count() > 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sinks.read_mirrored(spark, str(out / "nowhere"))
+
+
 def test_many_small_files_are_few_tasks(spark, tmp_path):
     n = 40 * files.SCAN_TASKS * spark.sparkContext.defaultParallelism
     for i in range(n):
