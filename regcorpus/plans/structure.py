@@ -260,12 +260,12 @@ SELECT CASE WHEN k = 1 THEN target ELSE stem || '.' || ext || '.md' END AS path,
 """)
 def mirrored_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: one Markdown file per input at its mirrored path, collisions decided
-    before the write, and the files read back."""
+    before a file has its place, and the files read back."""
     d = table(spark, sf_dir, "documents")
     stem = F.concat(F.lit("d"), (F.col("doc_id") % 9).cast("string"), F.lit("/a"), F.floor(F.col("doc_id") / 2).cast("string"))
     inputs = d.select(F.concat(stem, F.when(F.col("doc_id") % 2 == 0, ".html").otherwise(".xml")).alias("path"), F.coalesce("text", F.lit("")).alias("markdown"))
     run = new_run_dir(spark, "mirrored")
-    sinks.write_mirrored(sinks.mirrored_paths(inputs), run)
+    sinks.write_mirrored(inputs, run, sinks.mirrored_paths)
     back = sinks.read_mirrored(spark, run)
     return back.select("path", F.md5("markdown").alias("markdown_md5"))
 

@@ -6,7 +6,7 @@ import pytest
 
 from regcorpus import sinks
 from regcorpus.operators import flow, htmltokens, markup
-from regcorpus.plans import extras
+from regcorpus.plans import extras, structure
 from regcorpus.sources import files
 
 PARTS = ["<p>a</p>", "<h2>Tytuł </h2>", "<li>x", "<ul>", "</ul>", "<p>", "</p>", "text &amp; more", "<br>", "<b>bold</b>", "<hr>", "<p/>", "<td>1</td>",
@@ -77,6 +77,34 @@ def test_staged_files_are_moved_by_tasks(spark, tmp_path, monkeypatch):
     assert not (tmp_path / "out" / "_staged").exists()
 
 
+def test_texts_are_not_moved_to_decide_names(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ENTRIES_PER_BATCH", 3)
+    monkeypatch.setattr(sinks, "FILES_PER_TASK", 4)
+    pairs = [(f"d{i // 2 % 3}/a{i // 2}.{'html' if i % 2 else 'xml'}", f"{i} \u017c") for i in range(60)] + [("/d0/r.html", "rooted"), ("d0/a0.xml", "copy"), ("b c/y", None), ("z.html.gz", "g")]
+    rows = spark.createDataFrame(pairs, "path string, markdown string").repartition(7)
+    seen = []
+
+    def named(df, paths=sinks.mirrored_paths):
+        seen.append(dict(df.dtypes) | {r.markdown: r.path for r in df.collect()})
+        return paths(df)
+    for out, names in ((tmp_path / "now", named), (tmp_path / "then", None)):
+        sinks.write_mirrored(rows if names else sinks.mirrored_paths(rows), str(out), names)
+        assert not (out / "_staged").exists()
+    now, then = ({str(f.relative_to(d)): f.read_bytes() for f in d.rglob("*") if f.is_file()} for d in (tmp_path / "now", tmp_path / "then"))
+    two = ("d0/a0.xml.md", "d0/a0.xml.2.md")          # of equal paths either one
+    assert {now.pop(n) for n in two} == {then.pop(n) for n in two} and now == then
+    assert len(seen) == 1 and sorted(v for k, v in seen[0].items() if "/" in k) == sorted(p for p, _ in pairs)          # no text
+    for bad in ("../b.html", None):
+        with pytest.raises(Exception, match="leaves the folder"):
+            sinks.write_mirrored(spark.createDataFrame([("a.html", "1"), (bad, "2")], "path string, markdown string"), str(tmp_path / "bad"), sinks.mirrored_paths)
+    assert not any(f.is_file() for f in (tmp_path / "bad").rglob("*"))
+    sinks.write_mirrored(rows.filter("false"), str(tmp_path / "none"), sinks.mirrored_paths)
+    assert list((tmp_path / "none").iterdir()) == []
+    monkeypatch.setattr(sinks, "mirrored_paths", named)
+    spark.createDataFrame([(i, f"text {i}") for i in range(9)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert structure.mirrored_markdown(spark, str(tmp_path)).count() == 9 and len(seen) == 2
+
+
 def test_no_list_of_files_comes_to_the_driver(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "ENTRIES_PER_BATCH", 3)
     monkeypatch.setattr(sinks, "BYTES_PER_BATCH", 20)
