@@ -97,6 +97,8 @@ def test_texts_are_not_moved_to_decide_names(spark, tmp_path, monkeypatch):
     for bad in ("../b.html", None):
         with pytest.raises(Exception, match="leaves the folder"):
             sinks.write_mirrored(spark.createDataFrame([("a.html", "1"), (bad, "2")], "path string, markdown string"), str(tmp_path / "bad"), sinks.mirrored_paths)
+    with pytest.raises(ZeroDivisionError):
+        sinks.write_mirrored(rows, str(tmp_path / "bad"), lambda df: 1 / 0)
     assert not any(f.is_file() for f in (tmp_path / "bad").rglob("*"))
     sinks.write_mirrored(rows.filter("false"), str(tmp_path / "none"), sinks.mirrored_paths)
     assert list((tmp_path / "none").iterdir()) == []
